@@ -93,7 +93,7 @@ def mix(
     max_repeat: int = 3,
     seed: int = 17,
     block_words: int = 32,
-    shard_words: int = 4_000_000,
+    shard_words: int = 200_000,
 ) -> DataFrame:
     """Plan the mix: one row for each row of docs.
 
@@ -176,7 +176,7 @@ WITH sizes AS (
   ) WHERE r <= (SELECT round(sum(source_size) / 32.0) FROM targets) GROUP BY rank
 ), placed AS (
   SELECT s.*, t.rank, t.source_size, t.target, coalesce(q.seats, 0) AS source_seats,
-         ('0x' || place[1:8])::BIGINT % greatest(1, ceil(source_size / 4000000.0)::BIGINT) AS shard
+         ('0x' || place[1:8])::BIGINT % greatest(1, ceil(source_size / 200000.0)::BIGINT) AS shard
   FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source LEFT JOIN seats q USING (rank)
 ), shards AS (
   SELECT rank, shard, any_value(source) AS source, sum(size)::BIGINT AS shard_size, any_value(source_seats) AS source_seats

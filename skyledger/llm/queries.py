@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, mixing, simhash
-from .common import documents
+from . import bpe, line_dedup, mixing, quality, simhash, toxicity
+from .common import documents, table
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,11 +23,19 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(documents(spark, sf_dir), rank_file, public_tokenizers.PATTERN, keep_ids=False).drop("ids")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels")).drop("spans")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -36,7 +44,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_simhash": op2_simhash,
         "op5_bpe": op5_bpe,
+        "op6_quality": op6_quality,
         "op7_line_dedup": op7_line_dedup,
+        "op8_toxicity": op8_toxicity,
         "op10_mixing": op10_mixing,
     }
 
