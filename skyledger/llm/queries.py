@@ -7,10 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, mixing, quality, simhash, toxicity
+from . import bpe, line_dedup, mixing, quality, simhash, sketch, toxicity
 from .common import documents, table
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = sketch.fingerprint_documents(documents(spark, sf_dir))
+    return x.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        sketch.as_text(F.col("sketch")).alias("fingerprint"),
+        sketch.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        sketch.likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        sketch.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(documents(spark, sf_dir))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -42,6 +55,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_fingerprints": op1_fingerprints,
         "op2_simhash": op2_simhash,
         "op5_bpe": op5_bpe,
         "op6_quality": op6_quality,
