@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, mixing, quality, simhash, sketch, toxicity
+from . import bpe, line_dedup, mixing, pii, quality, simhash, sketch, toxicity
 from .common import documents, table
 
 
@@ -29,6 +29,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(documents(spark, sf_dir)).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -57,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
         "op2_simhash": op2_simhash,
+        "op3_pii": op3_pii,
         "op5_bpe": op5_bpe,
         "op6_quality": op6_quality,
         "op7_line_dedup": op7_line_dedup,
