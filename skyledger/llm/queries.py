@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, mixing, pii, quality, simhash, sketch, toxicity
+from . import bpe, line_dedup, mixing, pii, quality, recompress, simhash, sketch, toxicity
 from .common import documents, table
 
 
@@ -53,6 +53,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels")).drop("spans")
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = recompress.remove_repeats(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -66,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality": op6_quality,
         "op7_line_dedup": op7_line_dedup,
         "op8_toxicity": op8_toxicity,
+        "op9_substrings": op9_substrings,
         "op10_mixing": op10_mixing,
     }
 
