@@ -120,19 +120,19 @@ def fingerprint_documents(docs: DataFrame, shingle: int = SHINGLE, scale: int =
     table gives an empty result; other columns are not read.
     """
     links = stage(neighbours(docs), "neighbours").select(*_key("doc_id"), "before_id", "before_chars")
-    full = docs.select("doc_id", text_or_empty().alias("text"))
-    # With each text its own sketch; both uses below read the same shuffled rows.
-    own = full.withColumn("sketch", sketch(F.col("text"), shingle, scale)).withColumns({"_k": _key("doc_id")[0], "_none": _key("doc_id")[1]})
-    joined = own.join(links, ["_k", "_none"])
+    full = docs.select("doc_id", text_or_empty().alias("text")).withColumns({"_k": _key("doc_id")[0], "_none": _key("doc_id")[1]})
+    # Both uses read the same shuffled texts. Sketches are made after that shuffle, so it carries texts alone.
+    joined = full.join(links, ["_k", "_none"])
     heads = joined.select(
         *_key("before_id"),
-        F.struct(F.substring(F.col("text"), F.lit(1), F.floor(F.col("before_chars") / 4).cast("int")).alias("head"), F.col("sketch").alias("next_sketch")).alias("next"),
-        F.xxhash64("text").alias("_hash"),
+        F.struct(F.substring(F.col("text"), F.lit(1), F.floor(F.col("before_chars") / 4).cast("int")).alias("head"), sketch(F.col("text"), shingle, scale).alias("next_sketch")).alias("next"),
+        F.xxhash64("text", "doc_id").alias("_hash"),  # with doc_id, so that both uses read the same columns
     )
     heads = heads.groupBy("_k", "_none").agg(F.min_by("next", "_hash").alias("next"))
-    out = joined.select("_k", "_none", "doc_id", "text", "sketch").join(heads, ["_k", "_none"], "left")
+    out = joined.select("_k", "_none", "doc_id", "text").join(heads, ["_k", "_none"], "left")
     n = F.char_length("text")
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.coalesce("next.head", F.lit("")), F.lit(1), cut))
     out = out.withColumn("edited", edited)
-    return out.select("doc_id", "text", "edited", "sketch", sketch(F.col("edited"), shingle, scale).alias("edited_sketch"), F.col("next.next_sketch").alias("next_sketch"))
+    sketches = [sketch(F.col(c), shingle, scale) for c in ("text", "edited")]
+    return out.select("doc_id", "text", "edited", sketches[0].alias("sketch"), sketches[1].alias("edited_sketch"), F.col("next.next_sketch").alias("next_sketch"))
