@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, mixing, pii, quality, recompress, simhash, sketch, toxicity
+from . import bpe, embeddings, line_dedup, mixing, pii, quality, recompress, simhash, sketch, toxicity
 from .common import documents, table
 
 
@@ -33,6 +33,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(documents(spark, sf_dir)).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_groups(table(spark, sf_dir, "embeddings"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -67,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_fingerprints": op1_fingerprints,
         "op2_simhash": op2_simhash,
         "op3_pii": op3_pii,
+        "op4_embeddings": op4_embeddings,
         "op5_bpe": op5_bpe,
         "op6_quality": op6_quality,
         "op7_line_dedup": op7_line_dedup,
