@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from .common import connected_components, stage
 
 BITS, QUARTER = 64, 16
-#: Node pairs a task walks at once; what is over waits on a stack.
-FRONTIER = 1 << 20
+#: Node pairs a task walks at once; what is over waits on a stack. Few at once let links found early prune the rest.
+FRONTIER = 1 << 15
 #: Leaves that a task walks together; a node is never cut.
 LEAVES = 250_000
 #: Nodes of the sixteenth level with so many leaves link leaves of distance 1 before the walk.
@@ -115,14 +115,13 @@ def trie_links(prints: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]
 
     keep = size > 1
     # A pair of nodes is two ranges of sorted prints and the bits they differ in so far; level: bits walked.
-    stack = [(QUARTER, first[keep], (first + size)[keep], first[keep], (first + size)[keep], np.zeros(keep.sum(), np.int8))]
+    lo, hi = first[keep].astype(np.int32), (first + size)[keep].astype(np.int32)
+    stack = [(QUARTER, lo, hi, lo, hi, np.zeros(len(lo), np.int8))]
     while stack:
         level, a0, a1, b0, b1, diff = stack.pop()
         if len(a0) > FRONTIER:
-            half = len(a0) // 2
-            stack.append((level, a0[half:], a1[half:], b0[half:], b1[half:], diff[half:]))
-            a0, a1, b0, b1, diff = a0[:half], a1[:half], b0[:half], b1[:half], diff[:half]
-            stack.append((level, a0, a1, b0, b1, diff))
+            for at in range(0, len(a0), FRONTIER):
+                stack.append((level, *(v[at : at + FRONTIER].copy() for v in (a0, a1, b0, b1, diff))))
             continue
         # Leaf pairs are compared at once.
         leaf = (a1 - a0 == 1) & (b1 - b0 == 1)
@@ -143,8 +142,8 @@ def trie_links(prints: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]
         bit = np.uint64(1 << (BITS - 1 - level))
         below = np.uint64((1 << (BITS - 1 - level)) - 1)
         cut = lambda lo: np.searchsorted(prints, (prints[lo] & ~(bit | below)) | bit)  # noqa: E731  where the node's 1 child begins
-        am = np.clip(cut(a0), a0, a1)
-        bm = np.clip(cut(b0), b0, b1)
+        am = np.clip(cut(a0), a0, a1).astype(np.int32)
+        bm = np.clip(cut(b0), b0, b1).astype(np.int32)
         same = a0 == b0
         cases = [(a0, am, b0, bm, 0, slice(None)), (am, a1, bm, b1, 0, slice(None)), (a0, am, bm, b1, 1, slice(None)), (am, a1, b0, bm, 1, ~same)]
         parts = []
