@@ -89,12 +89,12 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, keep_ids: bo
                 for text in part.column(1):
                     x = encode(enc, text.as_py() or "")
                     n.append(len(x))
-                    ids.append(x.astype("i8") if keep_ids else None)
+                    ids.append(x.astype("i4") if keep_ids else None)
                     sha.append(hashlib.sha256(x.tobytes()).hexdigest())
                     back.append(hashlib.sha256(enc.decode_bytes(x.tolist())).hexdigest())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.list_(pa.int64())), pa.array(sha, pa.string()), pa.array(back, pa.string())],
+                    [part.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(sha, pa.string()), pa.array(back, pa.string())],
                     names=["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids array<long>, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string")

@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from .learning import held_out, sample_ids, training_labels
 
 #: Bound on the labelled documents that the field is fitted on.
-SAMPLE = 3_000
+SAMPLE = 2_500
 SLOTS = 1 << 16
 TOKEN = re.compile(r"[^\W_]+")
 #: Marginals under this do not count towards a document's score.
@@ -73,23 +74,25 @@ class Field:
         s = math.exp(max(-15.0, min(15.0, self.start)))
         rows = -(-n // ROW)
         pad = rows * ROW - n
-        xs = np.r_[x, np.ones(pad)].reshape(rows, ROW).T.copy()
+        kind = x.dtype
+        xs = np.r_[x, np.ones(pad, kind)].reshape(rows, ROW).T.copy()
         begins = np.r_[first, np.ones(pad, bool)].reshape(rows, ROW).T.copy()
-        m00, m10 = np.where(begins, 1.0, a[0, 0]), np.where(begins, 1.0, a[1, 0])
-        m01, m11 = np.where(begins, s, a[0, 1]) * xs, np.where(begins, s, a[1, 1]) * xs
+        m00, m10, m01, m11 = (np.where(begins, kind.type(one), kind.type(two)) for one, two in ((1, a[0, 0]), (1, a[1, 0]), (s, a[0, 1]), (s, a[1, 1])))
+        m01 *= xs
+        m11 *= xs
         # Product of each row's matrices.
-        p00, p01, p10, p11 = np.ones(rows), np.zeros(rows), np.zeros(rows), np.ones(rows)
+        p00, p01, p10, p11 = (np.full(rows, z, kind) for z in (1, 0, 0, 1))
         for t in range(ROW):
             p00, p01, p10, p11 = p00 * m00[t] + p01 * m10[t], p00 * m01[t] + p01 * m11[t], p10 * m00[t] + p11 * m10[t], p10 * m01[t] + p11 * m11[t]
             top = np.maximum(p00 + p01, p10 + p11)
             p00, p01, p10, p11 = p00 / top, p01 / top, p10 / top, p11 / top
         # What comes into each row from the left and from the right.
-        left, right = np.ones(rows), np.ones(rows)
+        left, right = np.ones(rows, kind), np.ones(rows, kind)
         for k in range(1, rows):
-            left[k] = (p01[k - 1] + left[k - 1] * p11[k - 1]) / (p00[k - 1] + left[k - 1] * p10[k - 1] + 1e-300)
+            left[k] = (p01[k - 1] + left[k - 1] * p11[k - 1]) / (p00[k - 1] + left[k - 1] * p10[k - 1] + 1e-30)
         for k in range(rows - 2, -1, -1):
-            right[k] = (p10[k + 1] + p11[k + 1] * right[k + 1]) / (p00[k + 1] + p01[k + 1] * right[k + 1] + 1e-300)
-        forward, backward = np.empty((ROW, rows)), np.empty((ROW, rows))
+            right[k] = (p10[k + 1] + p11[k + 1] * right[k + 1]) / (p00[k + 1] + p01[k + 1] * right[k + 1] + 1e-30)
+        forward, backward = np.empty((ROW, rows), kind), np.empty((ROW, rows), kind)
         r = left
         for t in range(ROW):
             r = forward[t] = (m01[t] + r * m11[t]) / (m00[t] + r * m10[t])
@@ -142,70 +145,88 @@ def units(token: str) -> list[str]:
     return [w, *(w[:n] + "*" for n in (4, 5, 6, 7, 8) if len(w) > n)]
 
 
-def toxic_units(texts: list[list[str]], labels: list[int], share: float = 0.5, alpha: float = 0.05) -> set[str]:
-    """Words and beginnings of words that toxic documents hold more often than chance allows."""
+def toxic_units(types: list[str], documents: list[np.ndarray], labels: list[int], share: float = 0.5, alpha: float = 0.05) -> set[str]:
+    """Words and beginnings of words that toxic documents hold more often than chance allows.
+
+    documents lists each document's distinct types, as positions in ``types``.
+    """
     seen, toxic = Counter(), Counter()
-    for tokens, y in zip(texts, labels):
-        own = {u for t in set(tokens) for u in units(t)}
-        seen.update(own)
+    for own, y in zip(documents, labels):
+        found = {u for t in own.tolist() for u in units(types[t])}
+        seen.update(found)
         if y:
-            toxic.update(own)
+            toxic.update(found)
     p = min(max(sum(labels) / max(len(labels), 1), 1e-6), 1 - 1e-6)
-    return {u for u, k in toxic.items() if k >= share * seen[u] and tail(k, seen[u], p) * len(seen) < alpha}
+    return {u for u, k in toxic.items() if k >= 3 and k >= share * seen[u] and tail(k, seen[u], p) * len(seen) < alpha}
+
 
+def fit(rows: Iterator[tuple[str, int]], rounds: int = 30, rate: float = 0.25, decay: float = 1e-6) -> Field:
+    """Fit the field to labelled documents (text, 0 or 1) by Adam steps on its log likelihood.
 
-def fit(texts: list[str], labels: list[int], rounds: int = 30, rate: float = 0.25, decay: float = 1e-6) -> Field:
-    """Fit the field to labelled documents by Adam steps on its log likelihood."""
+    Texts are read one after the other and kept as numbers of their tokens' types.
+    """
     field = Field()
-    split = [TOKEN.findall(t) for t in texts]
-    bad = toxic_units(split, labels)
-    order: dict[str, int] = defaultdict(lambda: len(order))
-    types = np.array([order[t] for tokens in split for t in tokens], dtype=np.int64)
+    order: dict[str, int] = {}
+    parts, labels = [], []
+    for text, y in rows:
+        parts.append(np.fromiter((order.setdefault(t[0], len(order)) for t in TOKEN.finditer(text)), np.int32))
+        labels.append(int(y))
+    names = list(order)
+    bad = toxic_units(names, [np.unique(x) for x in parts], labels)
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    types = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+    del parts, order
     n = len(types)
     if not n or not bad:
         field.slope, field.shift = 1e-3, math.log((sum(labels) + 0.5) / (len(labels) - sum(labels) + 1))
         return field
-    is_bad = np.array([any(u in bad for u in units(t)) for t in order])
-    sizes = np.array([len(s) for s in split])
-    y = (is_bad[types] & np.repeat(np.array(labels, bool), sizes)).astype(float)
+    is_bad = np.array([any(u in bad for u in units(t)) for t in names])
+    y = is_bad[types] & np.repeat(np.array(labels, bool), sizes)
     first = np.zeros(n, bool)
     first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
-    lists = [token_features(t) for t in order]
-    flat = np.fromiter((f for x in lists for f in x), np.int64)
-    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    flat, count = array("H"), np.zeros(len(names), np.int32)
+    for i, t in enumerate(names):
+        own = token_features(t)
+        count[i] = len(own)
+        flat.extend(own)
+    flat = np.frombuffer(flat, np.uint16)
+    begin = np.cumsum(count) - count
     inner = np.flatnonzero(~first)
-    pairs = 2 * y[inner - 1] + y[inner]
-    seen = np.bincount(pairs.astype(int), minlength=4).reshape(2, 2) / n
+    seen = np.bincount(2 * y[inner - 1] + y[inner], minlength=4).reshape(2, 2) / n
     m, v = np.zeros(SLOTS + 6), np.zeros(SLOTS + 6)
+
+    def emissions() -> np.ndarray:
+        return (np.add.reduceat(field.weights.astype(np.float32)[flat], begin) + np.float32(field.bias))[types]
+
     for t in range(1, rounds + 1):
-        e = (np.bincount(owner, weights=field.weights[flat], minlength=len(lists)) + field.bias)[types]
-        f, b, x = field.passes(e, first)
+        f, b, x = field.passes(emissions(), first)
         q = f * b / (1 + f * b)
-        a = np.exp(field.trans)
+        a = np.exp(field.trans).astype(np.float32)
         r, c = f[inner - 1], x[inner] * b[inner]
-        joint = np.stack([np.full(len(inner), a[0, 0]), a[0, 1] * c, a[1, 0] * r, a[1, 1] * r * c])
-        joint = (joint / joint.sum(axis=0)).sum(axis=1).reshape(2, 2) / n
+        joint = [a[0, 0], a[0, 1] * c, a[1, 0] * r, a[1, 1] * r * c]
+        total = joint[0] + joint[1] + joint[2] + joint[3]
+        joint = np.array([float((z / total).sum(dtype=np.float64)) for z in joint]).reshape(2, 2) / n
         off = (q - y) / n
-        slope = np.bincount(flat, weights=np.bincount(types, weights=off, minlength=len(lists))[owner], minlength=SLOTS)
-        grad = np.r_[slope + decay * field.weights, off.sum(), off[first].sum(), (joint - seen).ravel()]
+        by_type = np.bincount(types, weights=off, minlength=len(names)).astype(np.float32)
+        slope = np.bincount(flat, weights=np.repeat(by_type, count), minlength=SLOTS)
+        grad = np.r_[slope + decay * field.weights, off.sum(dtype=np.float64), off[first].sum(dtype=np.float64), (joint - seen).ravel()]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
         field.weights -= step[:SLOTS]
         field.bias -= step[SLOTS]
         field.start -= step[SLOTS + 1]
         field.trans -= step[SLOTS + 2 :].reshape(2, 2)
-    e = (np.bincount(owner, weights=field.weights[flat], minlength=len(lists)) + field.bias)[types]
-    doc = np.repeat(np.arange(len(texts)), sizes)
-    field.calibrate(field.evidence(field.marginals(e, first), doc, len(texts)), np.array(labels, float))
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    field.calibrate(field.evidence(field.marginals(emissions(), first), doc, len(sizes)), np.array(labels, float))
     return field
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 29) -> Field:
     """Fit on a bounded sample of labelled documents outside the held-out fold."""
     chosen = sample_ids(training_labels(labels, "toxic"), sample, seed)
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label").collect()
-    rows = sorted((r.doc_id, r.text, r.label) for r in rows)
-    return fit([r[1] for r in rows], [int(r[2] > 0) for r in rows])
+    rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label")
+    rows = sorted((r.doc_id, r.text, r.label) for r in rows.toLocalIterator())
+    return fit((text, int(label > 0)) for _, text, label in rows)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, sample: int = SAMPLE) -> DataFrame:
