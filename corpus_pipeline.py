@@ -26,8 +26,8 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five words a shingle; fingerprints of texts that are 0.8 alike or more differ in few bits."""
-    return simhash.one_of_each(docs, words=5)
+    """Shingles and bits as in the operator's own query: five-word shingles change more bits for an edit (see README)."""
+    return simhash.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
