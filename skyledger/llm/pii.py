@@ -207,11 +207,11 @@ def hidden(text: str) -> list[Span]:
 
 
 def spans_of(text: str) -> tuple[list[Span], list[Span]]:
-    """(base spans, all spans), each by start and then by kind. A hidden span that meets a base span of its kind is left out."""
+    """(base spans, all spans), each by start and then by kind. A hidden span inside a base span of its kind is left out."""
     base = find(text)
     more = []
     for kind, a, b in hidden(text):
-        if not any(k == kind and a < e and s < b for k, s, e in base):
+        if not any(k == kind and s <= a and b <= e for k, s, e in base):
             more.append((kind, a, b))
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
     return sorted(base, key=order), sorted([*base, *more], key=order)
