@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.staging import staged
 from . import match
 
 MAD = 1.482602218505602
@@ -49,12 +50,13 @@ def xcorr(pairs: DataFrame, keys: Sequence[str] = (), maxsep: float = 2.5, bin_:
     peak = bins.groupBy(*g).agg(
         F.max_by(F.struct("i", "j"), F.struct(F.col("n"), -F.col("i"), -F.col("j"))).alias("at"), F.max("n").alias("top"), median("n").alias("background"), F.sum("n").alias("npairs")
     )
-    centre = peak.select(
+    centre = staged(peak, "peak").select(
         *g, "npairs", "top", "background", (-maxsep + (F.col("at.i") + 0.5) * bin_).alias("cx"), (-maxsep + (F.col("at.j") + 0.5) * bin_).alias("cy"), F.lit(True).alias("moving")
     )
-    # The centre moves by less than a bin a round, so refinement needs no pair farther out. These few are kept.
+    # The centre moves by less than a bin a round, so refinement needs no pair farther out. These few are written.
     reach = (rounds + 1) * bin_
-    core = p.join(centre, g).where((F.abs(F.col("dra") - F.col("cx")) < reach) & (F.abs(F.col("ddec") - F.col("cy")) < reach)).select(*g, "dra", "ddec").persist()
+    core = p.join(centre, g).where((F.abs(F.col("dra") - F.col("cx")) < reach) & (F.abs(F.col("ddec") - F.col("cy")) < reach))
+    core = staged(core.select(*g, "dra", "ddec"), "core")
     for _ in range(rounds):
         near = core.join(centre, g).where("moving").where((F.abs(F.col("dra") - F.col("cx")) < bin_) & (F.abs(F.col("ddec") - F.col("cy")) < bin_))
         step = near.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), median("dra").alias("_x"), median("ddec").alias("_y"))
