@@ -12,7 +12,7 @@ from . import match, offset, select, stats
 
 #: Grid, least sources a cell, floor of the peak ratio.
 GRIDS = ((4, 300, 1.5), (2, 150, 1.5), (1, 100, 4.0))
-SPREAD, SPURIOUS, SPURIOUS_SHARE, BAD_SHARE, COVERAGE = 30.0, 300.0, 0.02, 0.15, 0.5
+SPREAD, SPURIOUS, SPURIOUS_SHARE, BAD_SHARE, COVERAGE = 30.0, 300.0, 0.02, 0.02, 0.5
 
 
 def _index(u: Column, v: Column, n: int) -> Column:

@@ -46,12 +46,12 @@ def xcorr(pairs: DataFrame, keys: Sequence[str] = (), maxsep: float = 2.5, bin_:
     last = int(round(2 * maxsep / bin_)) - 1
     cell = lambda c: F.least(F.floor((F.col(c) + maxsep) / bin_), F.lit(last)).cast("int")
     inside = (F.abs("dra") <= maxsep) & (F.abs("ddec") <= maxsep)
-    bins = p.where(inside).groupBy(*g, cell("dra").alias("i"), cell("ddec").alias("j")).agg(F.count(F.lit(1)).alias("n"))
+    bins = p.where(inside).groupBy(*g, cell("dra").alias("_bi"), cell("ddec").alias("_bj")).agg(F.count(F.lit(1)).alias("n"))
     peak = bins.groupBy(*g).agg(
-        F.max_by(F.struct("i", "j"), F.struct(F.col("n"), -F.col("i"), -F.col("j"))).alias("at"), F.max("n").alias("top"), median("n").alias("background"), F.sum("n").alias("npairs")
+        F.max_by(F.struct("_bi", "_bj"), F.struct(F.col("n"), -F.col("_bi"), -F.col("_bj"))).alias("_at"), F.max("n").alias("top"), median("n").alias("background"), F.sum("n").alias("npairs")
     )
     centre = staged(peak, "peak").select(
-        *g, "npairs", "top", "background", (-maxsep + (F.col("at.i") + 0.5) * bin_).alias("cx"), (-maxsep + (F.col("at.j") + 0.5) * bin_).alias("cy"), F.lit(True).alias("moving")
+        *g, "npairs", "top", "background", (-maxsep + (F.col("_at._bi") + 0.5) * bin_).alias("cx"), (-maxsep + (F.col("_at._bj") + 0.5) * bin_).alias("cy"), F.lit(True).alias("moving")
     )
     # The centre moves by less than a bin a round, so refinement needs no pair farther out. These few are written.
     reach = (rounds + 1) * bin_
