@@ -93,7 +93,7 @@ def field_vote(spark, d):
     return I.field_vote(inv(spark, d), "obs", "field", "name")
 
 
-@query("detector_inventory", f"{INV}, g AS (SELECT *, CASE WHEN k % 50 = 0 THEN 'logs' ELSE filter END AS fd FROM f) SELECT field, fd, CASE WHEN fd <> 'logs' THEN string_agg(DISTINCT regexp_extract(name, '(nrc[ab](?:\\d|long))', 1), ',' ORDER BY regexp_extract(name, '(nrc[ab](?:\\d|long))', 1)) END AS detectors FROM g GROUP BY ALL")
+@query("detector_inventory", f"{INV}, g AS (SELECT *, CASE WHEN k % 50 = 0 THEN 'logs' ELSE filter END AS fd FROM f) SELECT field, fd, CASE WHEN fd <> 'logs' THEN string_agg(DISTINCT regexp_extract(name, '(nrc[ab](?:\\d|long))', 1), ',' ORDER BY regexp_extract(name, '(nrc[ab](?:\\d|long))', 1)) END AS detectors FROM g GROUP BY field, fd")
 def detector_inventory(spark, d):
     x = inv(spark, d).withColumn("fd", F.when(F.col("k") % 50 == 0, "logs").otherwise(F.col("filter")))
     return I.detector_lists(x, ["field"], "fd", "name").select("field", "fd", F.array_join("detectors", ",").alias("detectors"))
@@ -102,8 +102,8 @@ def detector_inventory(spark, d):
 @query(
     "layout_choice",
     f"""{INV}, g AS (SELECT *, regexp_extract(name, '(nrc[ab]\\d)', 1) AS det, 'n' || mtime % 50 AS base FROM f), o AS (SELECT field, det, base, bool_or(folder = 'pipeline') AS a, bool_or(folder = 'flat') AS b, max(mtime) FILTER (folder = 'pipeline') AS ta, max(mtime) FILTER (folder = 'flat') AS tb FROM g GROUP BY ALL),
-x AS (SELECT field, det, count(*) FILTER (a) AS na, count(*) FILTER (b) AS nb, count(*) FILTER (a AND b) AS both, count(*) AS total, max(ta) AS ta, max(tb) AS tb FROM o GROUP BY ALL)
-SELECT field, det, CASE WHEN na > nb OR (na = nb AND coalesce(ta >= tb, ta IS NOT NULL)) THEN 'pipeline' ELSE 'flat' END AS layout, na, nb, total, na > 0 AND nb > 0 AND both = 0 AS split FROM x""",
+x AS (SELECT field, det, count(*) FILTER (a) AS na, count(*) FILTER (b) AS nb, count(*) FILTER (a AND b) AS common, count(*) AS total, max(ta) AS ta, max(tb) AS tb FROM o GROUP BY ALL)
+SELECT field, det, CASE WHEN na > nb OR (na = nb AND coalesce(ta >= tb, ta IS NOT NULL)) THEN 'pipeline' ELSE 'flat' END AS layout, na, nb, total, na > 0 AND nb > 0 AND common = 0 AS split FROM x""",
 )
 def layout_choice(spark, d):
     x = inv(spark, d).withColumns({"det": F.regexp_extract("name", r"(nrc[ab]\d)", 1), "base": F.concat(F.lit("n"), (F.col("mtime") % 50).cast("string"))})
@@ -125,7 +125,7 @@ def missing_bands(spark, d):
     return I.missing_bands(inv(spark, d).select("field", "obs", "filter").distinct(), inv(spark, d).where("mtime % 100 = 7"), ["field", "obs"])
 
 
-@query("two_modules", f"{INV}, m AS (SELECT field, filter, mtime % 400 AS day, k, upper(regexp_extract(name, 'nrc([ab])', 1)) AS module FROM f) SELECT field, filter, day, bool_or(k % 61 = 0) OR count(DISTINCT module) = 2 AS both FROM m GROUP BY ALL")
+@query("two_modules", f"{INV}, m AS (SELECT field, filter, mtime % 400 AS day, k, upper(regexp_extract(name, 'nrc([ab])', 1)) AS module FROM f) SELECT field, filter, day, bool_or(k % 61 = 0) OR count(DISTINCT module) = 2 AS "both" FROM m GROUP BY ALL")
 def two_modules(spark, d):
     x = inv(spark, d).withColumns({"day": F.col("mtime") % 400, "module": S.name_tokens(F.col("name"))["module"]})
     return I.two_modules(x, ["field", "filter", "day"], "module", F.col("k") % 61 == 0)

@@ -214,8 +214,8 @@ def poll_digest(spark, d):
 
 @query(
     "filter_tokens",
-    f"""WITH x AS (SELECT program, k, i, upper(t) AS t FROM ({POLL_1.sql}), unnest(string_split_regex(coalesce(filters, ''), '[;,]')) WITH ORDINALITY AS u(t, i)), y AS (SELECT program, t, min(k * 10 + i) AS at FROM x WHERE regexp_matches(t, '^F\\d{{3,4}}[WNM]2?$') GROUP BY ALL)
-SELECT p.program, coalesce(string_agg(t, '|' ORDER BY at), '') AS filters FROM (SELECT DISTINCT program FROM x) p LEFT JOIN y USING (program) GROUP BY p.program""",
+    f"""WITH x AS (SELECT program, k, i, upper(t) AS t FROM ({POLL_1.sql}), unnest(string_split_regex(coalesce(filters, ''), '[;,]')) WITH ORDINALITY AS u(t, i)), y AS (SELECT program, t, min(k * 10 + i) AS pos FROM x WHERE regexp_matches(t, '^F\\d{{3,4}}[WNM]2?$') GROUP BY ALL)
+SELECT p.program, coalesce(string_agg(t, '|' ORDER BY pos), '') AS filters FROM (SELECT DISTINCT program FROM x) p LEFT JOIN y USING (program) GROUP BY p.program""",
 )
 def filter_tokens(spark, d):
     x = POLL_1.df(spark, d).withColumn("filters", M.S.parse_filters(F.col("filters")))
