@@ -125,9 +125,9 @@ def resampled(spark, d):
     return P.resample(p, p.select("y", "x"), (0.5 * F.col("x") + 0.25 * F.col("y") + 3.5, 0.75 * F.col("y") + 2.25))
 
 
-@query("resample", f"{RESAMPLED} SELECT y, x, round(value, 6) AS value FROM r")
+@query("resample", f"{RESAMPLED} SELECT y, x, round(value, 9) AS value FROM r")
 def resample(spark, d):
-    return resampled(spark, d).select("y", "x", F.round("value", 6).alias("value"))
+    return resampled(spark, d).select("y", "x", F.round("value", 9).alias("value"))
 
 
 @query("covered_fraction", f"{RESAMPLED} SELECT round(avg(CASE WHEN value IS NULL THEN 0.0 ELSE 1.0 END), 6) AS covered FROM r")

@@ -1,0 +1,125 @@
+"""Injected truths on synthetic star fields."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from skyledger.operators import grid, match, offset, pixels, stats
+
+MAS = 1 / 3.6e6
+
+
+def field(spark, n, dra=0.0, ddec=0.0, seed=1, spread=0.02, key="f", noise=0.0):
+    rng = np.random.default_rng(seed)
+    ra, dec = 266.4 + rng.uniform(0, spread, n), -28.9 + rng.uniform(0, spread, n)
+    ra, dec = ra + (dra + rng.normal(0, noise, n) if noise else dra) * MAS / np.cos(np.radians(dec)), dec + (ddec + rng.normal(0, noise, n) if noise else ddec) * MAS
+    return spark.createDataFrame([(key, i, float(a), float(d)) for i, (a, d) in enumerate(zip(ra, dec))], "field string, id long, ra double, dec double")
+
+
+def brute(a, b, r):
+    out = set()
+    for x in a:
+        for y in b:
+            s = np.hypot((x.ra - y.ra) * np.cos(np.radians(x.dec)), x.dec - y.dec) * 3600
+            if s <= r:
+                out.add((x.id, y.id))
+    return out
+
+
+def test_radius_join_is_all_pairs_and_wraps(spark):
+    a, b = field(spark, 300, seed=2), field(spark, 300, seed=3)
+    got = {(r.a_id, r.b_id) for r in match.radius_join(a, b, 1.5, ["field"]).collect()}
+    assert got == brute(a.collect(), b.collect(), 1.5)
+    edge = spark.createDataFrame([(0, 359.99999, 10.0), (1, 0.00001, 10.0), (2, None, 10.0), (3, float("nan"), 10.0)], "id long, ra double, dec double")
+    assert {(r.a_id, r.b_id) for r in match.radius_join(edge, edge, 0.2).collect()} == {(0, 0), (1, 1), (0, 1), (1, 0)}
+    plan = match.radius_join(a, b, 1.5, ["field"])._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("truth,close", [(0.0, 1.5), (90.0, 3.0)])
+def test_xcorr_recovers_shift(spark, truth, close):
+    a, b = field(spark, 700, dra=truth), field(spark, 700)
+    pairs = offset.pair_offsets(match.radius_join(a, b, 2.5, ["field"])).select(F.col("a_field").alias("field"), "dra", "ddec")
+    r = offset.xcorr(pairs, ["field"]).first()
+    assert abs(r.dra - truth) < close and abs(r.ddec) < close
+    few = offset.xcorr(pairs.limit(5), ["field"]).first()
+    assert few.off is None and few.reason == "fewer than 30 pairs"
+
+
+def test_same_star_refuses_without_bulk_agreement(spark):
+    a, b = field(spark, 400, dra=8.0), field(spark, 400)
+    m = offset.pair_offsets(match.mutual_nearest(match.radius_join(a, b, 0.05, ["field"]))).withColumnRenamed("a_field", "field")
+    bulk = lambda off, ratio: spark.createDataFrame([("f", off, ratio)], "field string, off double, peak_ratio double")
+    good = offset.same_star_offset(m, ["field"], bulk=bulk(8.0, 9.0)).first()
+    assert abs(good.off - 8) < 0.5 and good.reason is None
+    assert offset.same_star_offset(m, ["field"], bulk=bulk(500.0, 9.0)).first().off is None
+    assert offset.same_star_offset(m, ["field"], bulk=bulk(8.0, 1.0)).first().off is None
+
+
+def test_isolated_bulk_has_the_catalogue_minus_reference_sign(spark):
+    rows = [("f", i, 266.4 + (i % 12) * 2 / 3600, -28.9 + (i // 12) * 2 / 3600) for i in range(120)]
+    a = spark.createDataFrame(rows, "field string, id long, ra double, dec double")
+    b = a.withColumn("ra", F.col("ra") + F.lit(30 * MAS) / F.cos(F.radians("dec")))
+    r = offset.isolated_bulk(a, b, ["field"]).first()
+    assert abs(r.dra + 30) < 0.5 and r.n_clean == 120
+
+
+def test_one_to_one_adds_no_pairs(spark):
+    a, b = field(spark, 500, dra=5, noise=2.0), field(spark, 500, seed=1)
+    p = match.one_to_one(match.radius_join(a, b, 0.08, ["field"]), ["a_field"]).collect()
+    assert len({r.a_id for r in p}) == len(p) == len({r.b_id for r in p})
+
+
+def test_cells_measure_a_shift_and_fall_back(spark):
+    a, b = field(spark, 12000, dra=100.0), field(spark, 12000)
+    cells = grid.adaptive_grid(a, b, ["field"]).collect()
+    assert len(cells) == 16 and all(c.grid == 4 and abs(c.off - 100) < 15 for c in cells)
+    a, b = field(spark, 200, dra=20.0), field(spark, 200)
+    cells = grid.adaptive_grid(a, b, ["field"]).collect()
+    assert [c.grid for c in cells] == [1] and abs(cells[0].off - 20) < 15
+
+
+def cells_of(spark, high):
+    rows = [("f", i, j, 100, 200.0 if (i, j) in high else 5.0, 0.0, None) for i in range(4) for j in range(4)]
+    return spark.createDataFrame(rows, "field string, i long, j long, n long, dra double, ddec double, reason string")
+
+
+def test_cell_consistency_needs_neighbours(spark):
+    block = grid.consistency(cells_of(spark, {(0, 0), (0, 1)}), ["field"]).first()
+    assert not block.consistent and block.n_confirmed == 2
+    lone = grid.consistency(cells_of(spark, {(2, 2)}), ["field"]).first()
+    assert lone.consistent and lone.n_deviating == 1 and lone.n_confirmed == 0
+
+
+def test_clipped_line_ignores_outliers_and_groups_stop_alone(spark):
+    rng = np.random.default_rng(4)
+    rows = [("a", float(x), float(2 * x + 1 + rng.normal(0, 0.1) + (50 if i % 40 == 0 else 0))) for i, x in enumerate(rng.uniform(0, 10, 400))]
+    rows += [("b", float(x), float(3 * x)) for x in range(10)]
+    got = {r.g: r for r in stats.clipped_line(spark.createDataFrame(rows, "g string, x double, y double"), ["g"]).collect()}
+    assert abs(got["a"].slope - 2) < 0.02 and abs(got["b"].slope - 3) < 1e-9 and got["b"].n == 10
+
+
+def test_frame_scatter_reads_the_noise(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for s in range(200):
+        ra, dec, m = 266.4 + (s % 20) / 3600, -28.9 + (s // 20) / 3600, float(rng.uniform(10, 20))
+        for e in range(5):
+            rows.append((len(rows), e, ra + rng.normal(0, 3) * MAS / np.cos(np.radians(dec)), dec + rng.normal(0, 3) * MAS, m + rng.normal(0, 0.01), 0))
+    df = spark.createDataFrame([tuple(float(v) if isinstance(v, np.floating) else v for v in r) for r in rows], "id long, exposure int, ra double, dec double, mag double, tile int")
+    got = stats.frame_scatter(df, ["tile"]).collect()
+    assert len(got) > 150 and abs(np.median([r.sy for r in got]) * np.sqrt(2) - 3) < 0.7
+
+
+def test_band_limits_match_numpy(spark):
+    v = np.random.default_rng(1).normal(size=5000)
+    df = spark.createDataFrame([(i % 2, 0, i, float(x), 0) for i, x in enumerate(v)], "image int, y int, x int, value double, dq int")
+    for r in pixels.band_limits(df, ["image"], bins=64).collect():
+        assert np.allclose([r.low, r.high], np.percentile(v[r.image :: 2], [1, 99.5]))
+
+
+def test_local_maxima_find_planted_peaks(spark):
+    rows = [(0, y, x, 100.0 if (y, x) in {(5, 5), (12, 9)} else float((x * 7 + y * 3) % 5), 0) for y in range(20) for x in range(20)]
+    df = spark.createDataFrame(rows, "image int, y int, x int, value double, dq int")
+    t = spark.createDataFrame([(0, 50.0)], "image int, threshold double")
+    assert {(r.y, r.x) for r in pixels.local_maxima(df, t).collect()} == {(5, 5), (12, 9)}
