@@ -40,10 +40,11 @@ def cell_offsets(stars: DataFrame, reference: DataFrame, keys: Sequence[str], n:
     """
     g = [*keys, "i", "j"]
     boxes = select.boxes(match.finite(stars, "ra", "dec"), keys)
-    a = in_cells(stars.select(*keys, "id", "ra", "dec"), boxes, keys, n)
-    b = in_cells(reference.select(*keys, "id", "ra", "dec"), boxes, keys, n, 2.0 / 3600)
+    a = staged(in_cells(stars.select(*keys, "id", "ra", "dec"), boxes, keys, n), "cell-stars")
+    b = staged(in_cells(reference.select(*keys, "id", "ra", "dec"), boxes, keys, n, 2.0 / 3600), "cell-reference")
     size = a.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
     size = size.join(b.groupBy(*g).agg(F.count(F.lit(1)).alias("n_ref")), g, "left").fillna(0, ["n_ref"])
+    size = staged(size, "cell-sizes")
     full = size.where(F.col("n_ref") >= least).select(*g)
     pairs = offset.pair_offsets(match.radius_join(a.join(full, g), b.join(full, g), 2.5, g)).select(*[F.col(f"a_{k}").alias(k) for k in g], "dra", "ddec")
     x = size.join(offset.xcorr(pairs, g).drop("reason"), g, "left")

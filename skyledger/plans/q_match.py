@@ -143,14 +143,17 @@ def same_star(spark, d):
     return rounded(offset.same_star_offset(offset.pair_offsets(p).withColumnRenamed("a_field", "field"), ["field"]), "field")
 
 
-@query(
-    "isolated_bulk",
-    f"""{AB}, {near('a0', 'a0', 0.5, name='selfpairs')}, lone AS (SELECT * FROM a0 WHERE NOT EXISTS (SELECT 1 FROM selfpairs p WHERE p.a_id = a0.id AND p.b_id <> a0.id)),
+ISOLATED = f"""{near('a0', 'a0', 0.5, name='selfpairs')}, lone AS (SELECT * FROM a0 WHERE NOT EXISTS (SELECT 1 FROM selfpairs p WHERE p.a_id = a0.id AND p.b_id <> a0.id)),
 {near('lone', 'b0', 0.4)}, clean AS (SELECT tile, min(a_ra) AS a_ra, min(a_dec) AS a_dec, min(b_ra) AS b_ra, min(b_dec) AS b_dec FROM pairs GROUP BY tile, a_id HAVING count(*) = 1 AND min(sep) < 0.15),
 m AS (SELECT tile, count(*) AS n_clean, median(a_ra - b_ra) * cos(radians(median(a_dec))) * 3600000 AS x, median(a_dec - b_dec) * 3600000 AS y FROM clean GROUP BY tile),
 n AS (SELECT tile, count(*) AS n_stars FROM a0 GROUP BY tile), r AS (SELECT tile, count(*) AS n_reference FROM b0 GROUP BY tile), l AS (SELECT tile, count(*) AS n_isolated FROM lone GROUP BY tile),
 j AS (SELECT tile, n_stars, coalesce(n_reference, 0) AS n_reference, coalesce(n_isolated, 0) AS n_isolated, coalesce(n_clean, 0) AS n_clean, x, y FROM n LEFT JOIN r USING (tile) LEFT JOIN l USING (tile) LEFT JOIN m USING (tile)),
-k AS (SELECT *, CASE WHEN n_stars < 100 OR n_reference < 50 THEN 'too few sources' WHEN n_isolated < 20 THEN 'too few isolated' WHEN n_clean < 15 THEN 'too few clean matches' END AS reason FROM j)
+k AS (SELECT *, CASE WHEN n_stars < 100 OR n_reference < 50 THEN 'too few sources' WHEN n_isolated < 20 THEN 'too few isolated' WHEN n_clean < 15 THEN 'too few clean matches' END AS reason FROM j)"""
+
+
+@query(
+    "isolated_bulk",
+    f"""{AB}, {ISOLATED}
 SELECT tile, n_stars, n_reference, n_isolated, n_clean, CASE WHEN reason IS NULL THEN round(x, 6) END AS dra, CASE WHEN reason IS NULL THEN round(y, 6) END AS ddec, CASE WHEN reason IS NULL THEN round(sqrt(x * x + y * y), 6) END AS off, reason FROM k""",
 )
 def isolated_bulk(spark, d):

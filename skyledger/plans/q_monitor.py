@@ -226,3 +226,21 @@ def filter_tokens(spark, d):
 def observation_numbers(spark, d):
     x = POLL_1.df(spark, d).groupBy("program").agg(F.array_sort(F.collect_set(M.S.obsnum(F.col("obs_id")))).alias("n"))
     return x.select("program", F.array_join("n", ",").alias("numbers"))
+
+
+@query("streamed_polls", f"{BASE} SELECT 0::BIGINT AS batch, program, obs_id, 'NEW_OBSERVATION' AS event FROM o UNION ALL SELECT 1, program, obs_id, event FROM e")
+def streamed_polls(spark, d):
+    """Both polls through the stream: each run takes what is new as one micro-batch and commits a state version."""
+    from ..sources.staging import new_folder
+    from ..streaming import polls
+
+    root = new_folder(spark, "polls")
+    shape = old(spark, d).schema
+    state = polls.VersionedState(spark, f"{root}/state", shape)
+    sink = lambda e, i: e.select(F.lit(i).cast("long").alias("batch"), "program", "obs_id", "event").write.mode("overwrite").parquet(f"{root}/events/run={i}")
+    run = polls.commit_poll(state, lambda b: b.agg(F.max("poll_mjd")).first()[0], sink)
+    for part, mjd in zip((POLL_0, POLL_1), POLL_MJD):
+        rows = part.df(spark, d).withColumn("poll_mjd", F.lit(mjd))
+        rows.write.mode("append").parquet(f"{root}/polls")
+        polls.watch(spark, f"{root}/polls", rows.schema, run, f"{root}/checkpoint", None).awaitTermination()
+    return spark.read.schema("batch long, program long, obs_id string, event string").parquet(f"{root}/events/run=0", f"{root}/events/run=1")

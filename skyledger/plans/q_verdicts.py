@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import match, offset, stats
 from ..operators import pixels as P
 from ..operators import verdicts as V
-from .q_match import AB, OFF, near, refine
+from .q_match import AB, ISOLATED, OFF, near, refine
 from .q_pixels import PIX, pix
 from .q_stats import BINS, OFFS, QUAL, STAR, fit_rounds, offsets, quality
 from .registry import query
@@ -137,7 +137,13 @@ def stage_mid_infrared(spark, d):
 BAND = "CASE detector % 4 WHEN 0 THEN 'F182M' WHEN 1 THEN 'F212N' WHEN 2 THEN 'F405N' ELSE 'F444W' END"
 
 
-@query("channel_anchor")
+@query(
+    "channel_anchor",
+    f"""{STAR}, q AS (SELECT id, tile, ra, dec, {BAND} AS filter, CASE WHEN detector % 4 < 2 THEN 'SW' ELSE 'LW' END AS channel FROM a), n AS (SELECT tile, channel, filter, count(*) AS c FROM q GROUP BY ALL), h AS (SELECT tile, channel, first(filter ORDER BY c DESC, filter DESC) AS anchor FROM n GROUP BY ALL HAVING count(*) > 1),
+t AS (SELECT q.* EXCLUDE (tile), q.tile AS field, anchor, q.tile * 10 + (channel = 'SW')::INT AS tile FROM q JOIN h ON q.tile = h.tile AND q.channel = h.channel), s1 AS (SELECT * FROM t WHERE filter <> anchor), s2 AS (SELECT * FROM t WHERE filter = anchor),
+{near('s1', 's2', 2.5, more=', a.filter AS filter, a.anchor AS anchor, a.channel AS channel, a.field AS field')}, g AS (SELECT DISTINCT tile, filter, anchor, channel, field FROM pairs), off AS ({OFF.format(keys='tile', pairs='pairs')}), {refine('tile', 2.5)}
+SELECT field AS tile, channel, filter, anchor, round(sqrt(cx * cx + cy * cy) * 1000, 4) AS off, npairs, coalesce(sqrt(cx * cx + cy * cy) * 1000 > 30 AND top / background >= 4 AND npairs >= 100, false) AS flagged FROM c4 JOIN g USING (tile)""",
+)
 def channel_anchor(spark, d):
     a = STARS.df(spark, d).selectExpr("id", "tile", "ra", "dec", f"{BAND} AS filter")
     x = V.channel_anchor(a, ["tile"], 100)
@@ -158,7 +164,12 @@ def field_audit(spark, d):
     return x.select("field", F.round("absolute", 5).alias("absolute"), "modules", F.array_join("flags", "|").alias("flags"))
 
 
-@query("whole_field")
+@query(
+    "whole_field",
+    f"""{AB}, {near('a0', 'b0', 2.5, name='wide')}, off AS ({OFF.format(keys='tile', pairs='wide')}), {refine('tile', 2.5)}, {ISOLATED},
+w AS (SELECT tile, sqrt(cx * cx + cy * cy) * 1000 AS off, top / background AS ratio, sqrt(power(cx * 1000 - x, 2) + power(cy * 1000 - y, 2)) AS apart FROM c4 LEFT JOIN (SELECT * FROM k WHERE reason IS NULL) USING (tile) WHERE c4.npairs >= 30)
+SELECT tile, round(off, 4) AS off, round(ratio, 4) AS peak_ratio, round(apart, 4) AS apart, coalesce(apart > 50, false) AS low_confidence FROM w""",
+)
 def whole_field(spark, d):
     a, b = STARS.df(spark, d), REFERENCE.df(spark, d)
     bulk = offset.xcorr(offset.pair_offsets(match.radius_join(a, b, 2.5, ["tile"])).select(F.col("a_tile").alias("tile"), "dra", "ddec"), ["tile"])

@@ -5,16 +5,21 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet and read it back: loops stay short in lineage and plans know the table's size."""
-    spark = df.sparkSession
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own below the session's checkpoint folder; a temporary one becomes that only where it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         root = spark.sparkContext.getCheckpointDir()
-    path = f"{root.rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write df as Parquet and read it back: loops stay short in lineage and plans know the table's size."""
+    spark = df.sparkSession
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

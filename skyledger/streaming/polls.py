@@ -80,9 +80,10 @@ def commit_poll(state: VersionedState, poll_mjd: Callable[[DataFrame], float], s
     return run
 
 
-def watch(spark: SparkSession, folder: str, schema: StructType, run: Callable[[DataFrame, int], None], checkpoint: str):
-    """Start the stream over a folder of snapshot files, one file a poll."""
-    polls = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+def watch(spark: SparkSession, folder: str, schema: StructType, run: Callable[[DataFrame, int], None], checkpoint: str, files_a_poll: int | None = 1):
+    """Start the stream over a folder of snapshot files. A poll is so many files, or with None all that are new."""
+    reader = spark.readStream.schema(schema)
+    polls = (reader.option("maxFilesPerTrigger", files_a_poll) if files_a_poll else reader).parquet(folder)
     return polls.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
