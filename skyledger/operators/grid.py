@@ -25,7 +25,8 @@ def in_cells(df: DataFrame, boxes: DataFrame, keys: Sequence[str], n: int, margi
     """Each row once for each cell it touches when padded by ``margin`` degrees; rows outside have none."""
     x = df.join(boxes, list(keys))
     size = F.when(select.wraps(F.col("ra0"), F.col("ra1")), 1).otherwise(n)
-    w, h = (F.col("ra1") - F.col("ra0")) / n, (F.col("dec1") - F.col("dec0")) / n
+    wide = lambda a, b: F.when(F.col(b) > F.col(a), (F.col(b) - F.col(a)) / n).otherwise(1.0)  # noqa: E731  all rows in one place: one cell
+    w, h = wide("ra0", "ra1"), wide("dec0", "dec1")
     u, v = (F.col("ra") - F.col("ra0")) / w, (F.col("dec") - F.col("dec0")) / h
     x = x.withColumn("i", F.explode(F.when(size == 1, F.array(F.lit(0).cast("bigint"))).otherwise(_index(u - margin / w, u + margin / w, n))))
     x = x.withColumn("j", F.explode(F.when(size == 1, F.array(F.lit(0).cast("bigint"))).otherwise(_index(v - margin / h, v + margin / h, n))))

@@ -133,3 +133,16 @@ def frame_of_catalogue(catalogues: DataFrame, frames: DataFrame, name: str = "na
 def canonical_name(items: DataFrame, title: str, state: str, number: str) -> DataFrame:
     """One row for each title: an open one if there is any, then the lowest number."""
     return items.groupBy(title).agg(F.min_by(F.struct(state, number), F.struct(F.col(state) != "open", F.col(number))).alias("_m")).select(title, f"_m.{state}", f"_m.{number}")
+
+
+def brightest(df: DataFrame, keys: Sequence[str], mag: str, id_: str, most: int, frame: str | None = None, frames: int | None = None) -> DataFrame:
+    """At most ``most`` brightest rows of each group; with ``frames`` only those of the group's first frames."""
+    if frame is not None and frames is not None:
+        outer = [k for k in keys if k != frame]
+        df = df.withColumn("_f", F.dense_rank().over(W.partitionBy(*outer).orderBy(frame))).where(F.col("_f") <= frames).drop("_f")
+    return df.withColumn("_r", F.row_number().over(W.partitionBy(*keys).orderBy(mag, id_))).where(F.col("_r") <= most).drop("_r")
+
+
+def fields_of(mapping: DataFrame, programs: DataFrame, wildcard: DataFrame) -> DataFrame:
+    """Fields that a set of programs maps to, and the one that maps a program as a whole."""
+    return mapping.join(programs, "program", "left_semi").select("field").unionByName(wildcard.join(programs, "program", "left_semi").select("field")).distinct()

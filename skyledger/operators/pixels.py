@@ -83,7 +83,7 @@ def effective_psf(stars: DataFrame, pixels: DataFrame, half: int = 8, brightest:
 def psf_radius(psf: DataFrame, keys: Sequence[str] = ("image",)) -> DataFrame:
     """Flux-weighted rms radius; negative pixels count as none."""
     w = F.greatest(F.col("psf"), F.lit(0.0))
-    return psf.groupBy(*keys).agg(F.sqrt(F.sum(w * (F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy"))) / F.sum(w)).alias("radius"))
+    return psf.groupBy(*keys).agg(F.sqrt(F.try_divide(F.sum(w * (F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy"))), F.sum(w))).alias("radius"))
 
 
 def local_maxima(pixels: DataFrame, threshold: DataFrame, keys: Sequence[str] = ("image",)) -> DataFrame:
@@ -100,7 +100,7 @@ def local_maxima(pixels: DataFrame, threshold: DataFrame, keys: Sequence[str] =
     own = F.max(F.when((F.col("dy") == 0) & (F.col("dx") == 0), F.col("value")))
     peak = F.max_by(F.struct("dy", "dx"), F.struct(F.col("value"), -F.col("dy"), -F.col("dx")))
     w = F.sum("value")
-    x = seen.groupBy(*k, "cy", "cx").agg(own.alias("value"), peak.alias("_p"), (F.sum(F.col("value") * F.col("dx")) / w).alias("_x"), (F.sum(F.col("value") * F.col("dy")) / w).alias("_y"))
+    x = seen.groupBy(*k, "cy", "cx").agg(own.alias("value"), peak.alias("_p"), F.try_divide(F.sum(F.col("value") * F.col("dx")), w).alias("_x"), F.try_divide(F.sum(F.col("value") * F.col("dy")), w).alias("_y"))
     x = x.where((F.col("_p.dy") == 0) & (F.col("_p.dx") == 0)).join(threshold.select(*k, "threshold"), k).where(F.col("value") > F.col("threshold"))
     return x.select(*k, F.col("cy").alias("y"), F.col("cx").alias("x"), "value", (F.col("cx") + F.col("_x")).alias("sx"), (F.col("cy") + F.col("_y")).alias("sy"))
 

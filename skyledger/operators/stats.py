@@ -93,7 +93,7 @@ def sky_map(df: DataFrame, keys: Sequence[str], n: int = 12, least: int = 3) ->
     x = df.join(centre, g).withColumn("_x", F.col("ra") * F.cos(F.radians("_d0")))
     box = x.groupBy(*g).agg(*[f(c).alias(f"_{n_}{c[-1]}") for c in ("_x", "dec") for n_, f in (("lo", F.min), ("hi", F.max))])
     x = x.join(box, g)
-    cell = lambda c, lo, hi: F.least(F.floor((F.col(c) - F.col(lo)) / (F.col(hi) - F.col(lo)) * n), F.lit(n - 1)).cast("int")
+    cell = lambda c, lo, hi: F.least(F.floor(F.coalesce(F.try_divide(F.col(c) - F.col(lo), F.col(hi) - F.col(lo)), F.lit(0.0)) * n), F.lit(n - 1)).cast("int")
     x = x.select(*g, cell("_x", "_lox", "_hix").alias("i"), cell("dec", "_loc", "_hic").alias("j"), "dra", "ddec")
     return x.groupBy(*g, "i", "j").agg(F.count(F.lit(1)).alias("n"), median("dra").alias("dra"), median("ddec").alias("ddec")).where(F.col("n") >= least)
 

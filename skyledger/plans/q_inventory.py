@@ -8,7 +8,8 @@ from ..functions import scalars as S
 from ..operators import gates as G
 from ..operators import inventory as I
 from .registry import query, table
-from .standins import INVENTORY
+from ..operators import pixels, select
+from .standins import EXPOSURE_SQL, INVENTORY, STARS, exposures
 
 INV = f"WITH f AS ({INVENTORY.sql})"
 TIER = "CASE WHEN contains(name, 'm8_dedup') THEN 8 WHEN regexp_extract(name, '_m([1-8])(?:_|\\.|$)', 1) <> '' THEN regexp_extract(name, '_m([1-8])(?:_|\\.|$)', 1)::INT ELSE 0 END"
@@ -161,6 +162,36 @@ def canonical_title(spark, d):
     return I.canonical_name(o, "title", "state", "number")
 
 
+@query(
+    "brightest_cap",
+    f"WITH e AS ({EXPOSURE_SQL}), d AS (SELECT star, exposure, -2.5 * log10(flux) AS m, dense_rank() OVER (ORDER BY exposure) AS f FROM e) SELECT star, exposure FROM (SELECT *, row_number() OVER (PARTITION BY exposure ORDER BY m, star) AS r FROM d WHERE f <= 5) WHERE r <= 2000",
+)
+def brightest_cap(spark, d):
+    e = exposures(spark, d).withColumns({"m": -2.5 * F.log10("flux"), "g": F.lit(0)})
+    return I.brightest(e, ["g", "exposure"], "m", "star", 2000, "exposure", 5).select("star", "exposure")
+
+
+@query("program_fields", f"{INV} SELECT DISTINCT field FROM f WHERE k % 40 IN (3, 11) UNION SELECT 'treasury'")
+def program_fields(spark, d):
+    m = inv(spark, d).select((F.col("k") % 40).alias("program"), "field")
+    programs = m.where("program in (3, 7, 11)").select("program").distinct()
+    return I.fields_of(m.where("program <> 7"), programs, programs.where("program = 7").withColumn("field", F.lit("treasury")))
+
+
+@query("first_column", "SELECT 'o_totalprice' AS name, sum(o_totalprice) > 0 AS positive FROM orders")
+def first_column(spark, d):
+    o = table(spark, d, "orders")
+    c = select.first_existing(o, ["flux_ab", "O_TotalPrice", "o_custkey"])
+    return o.agg(F.lit(c).alias("name"), (F.sum(c) > 0).alias("positive"))
+
+
+@query("window_crop", f"WITH a AS ({STARS.sql}) SELECT field, greatest(0, least(floor(median(cust) - 300), 899))::BIGINT AS low, least(greatest(0, least(floor(median(cust) - 300), 899)) + 600, 1499)::BIGINT AS high FROM a GROUP BY field")
+def window_crop(spark, d):
+    m = STARS.df(spark, d).groupBy("field").agg(F.percentile("cust", 0.5).alias("c"))
+    low, high = pixels.clipped_window(F.col("c"), 300, 1500)
+    return m.select("field", low.cast("long").alias("low"), high.cast("long").alias("high"))
+
+
 # Gates -----------------------------------------------------------------------------------------------------
 
 IMAGES = f"{INV}, im AS (SELECT field, k, field || '/' || obs || '/t' || k % 7 || '/' || k || '.png' AS path, md5(k::VARCHAR) AS sha FROM f WHERE k % 2 = 0)"

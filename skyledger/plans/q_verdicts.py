@@ -140,8 +140,8 @@ BAND = "CASE detector % 4 WHEN 0 THEN 'F182M' WHEN 1 THEN 'F212N' WHEN 2 THEN 'F
 @query(
     "channel_anchor",
     f"""{STAR}, q AS (SELECT id, tile, ra, dec, {BAND} AS filter, CASE WHEN detector % 4 < 2 THEN 'SW' ELSE 'LW' END AS channel FROM a), n AS (SELECT tile, channel, filter, count(*) AS c FROM q GROUP BY ALL), h AS (SELECT tile, channel, first(filter ORDER BY c DESC, filter DESC) AS anchor FROM n GROUP BY ALL HAVING count(*) > 1),
-t AS (SELECT q.* EXCLUDE (tile), q.tile AS field, anchor, q.tile * 10 + (channel = 'SW')::INT AS tile FROM q JOIN h ON q.tile = h.tile AND q.channel = h.channel), s1 AS (SELECT * FROM t WHERE filter <> anchor), s2 AS (SELECT * FROM t WHERE filter = anchor),
-{near('s1', 's2', 2.5, more=', a.filter AS filter, a.anchor AS anchor, a.channel AS channel, a.field AS field')}, g AS (SELECT DISTINCT tile, filter, anchor, channel, field FROM pairs), off AS ({OFF.format(keys='tile', pairs='pairs')}), {refine('tile', 2.5)}
+t AS (SELECT id, ra, dec, filter, channel, anchor, tile AS field, tile * 10 + (channel = 'SW')::INT AS tile FROM q JOIN h USING (tile, channel)), t1 AS (SELECT * FROM t WHERE filter <> anchor), t2 AS (SELECT * FROM t WHERE filter = anchor),
+{near('t1', 't2', 2.5, more=', a.filter AS filter, a.anchor AS anchor, a.channel AS channel, a.field AS field')}, g AS (SELECT DISTINCT tile, filter, anchor, channel, field FROM pairs), off AS ({OFF.format(keys='tile', pairs='pairs')}), {refine('tile', 2.5)}
 SELECT field AS tile, channel, filter, anchor, round(sqrt(cx * cx + cy * cy) * 1000, 4) AS off, npairs, coalesce(sqrt(cx * cx + cy * cy) * 1000 > 30 AND top / background >= 4 AND npairs >= 100, false) AS flagged FROM c4 JOIN g USING (tile)""",
 )
 def channel_anchor(spark, d):
