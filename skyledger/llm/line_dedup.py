@@ -86,8 +86,27 @@ class LineRuns:
         return runs.groupBy("digest").agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"), F.bool_or("new").alias("new"))
 
     def frequent(self, min_docs: int) -> DataFrame:
-        """(digest, last_doc) of keys found in min_docs documents or more."""
-        return self._merge(self.known()).where(F.col("n_docs") >= min_docs).select("digest", "last_doc")
+        """(digest, n_docs, last_doc) of keys found in min_docs documents or more."""
+        return self._merge(self.known()).where(F.col("n_docs") >= min_docs).select("digest", "n_docs", "last_doc")
+
+
+#: A key is very common if it makes one in so many of all (key, document) rows; so there are at most so many of them.
+VERY_COMMON = 20_000
+
+
+def lost_lines(all_digests: DataFrame, frequent: DataFrame) -> DataFrame:
+    """(doc_id, digest) of frequent keys outside their last document.
+
+    Rows of a very common key would meet in one task of a join by key. Such keys are few by definition, whatever the
+    table's size, so they are broadcast and never shuffled; all other keys are joined by key.
+    """
+    often = stage(frequent, "frequent")
+    limit = all_digests.count() // VERY_COMMON
+    common = F.broadcast(often.where(F.col("n_docs") > limit).select("digest", F.struct("last_doc").alias("_common")))
+    tagged = all_digests.join(common, "digest", "left")
+    rest = tagged.where("_common is null").join(often.where(F.col("n_docs") <= limit).select("digest", "last_doc"), "digest").select("doc_id", "digest", "last_doc")
+    met = tagged.where("_common is not null").select("doc_id", "digest", F.col("_common.last_doc").alias("last_doc"))
+    return met.unionByName(rest).where(~F.col("doc_id").eqNullSafe(F.col("last_doc"))).select("doc_id", "digest")
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 4, fanout: int = 2) -> DataFrame:
@@ -104,8 +123,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     runs = LineRuns(spark, fanout)
     for b in range(batches):
         runs.add(all_digests.where(F.col("batch") == b).select("digest", "doc_id"))
-    lost = all_digests.join(runs.frequent(min_docs), "digest").where(~F.col("doc_id").eqNullSafe(F.col("last_doc")))
-    lost = lost.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list("digest").alias("_lost"))
+    lost = lost_lines(all_digests.select("digest", "doc_id"), runs.frequent(min_docs)).groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list("digest").alias("_lost"))
     added = ["kept_text", "n_lines", "n_dropped"]
     out = docs.select(*[c for c in docs.columns if c not in added]).join(lost, F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
     lines = lines_of(text_or_empty())

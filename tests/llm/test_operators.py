@@ -385,6 +385,13 @@ def test_line_dedup(docs, nothing, batches):
     assert line_dedup.dedup_lines(nothing).count() == 0
 
 
+@pytest.mark.parametrize("very_common", [1, 10**9])
+def test_very_common_lines_are_joined_alike(docs, monkeypatch, very_common):
+    monkeypatch.setattr(line_dedup, "VERY_COMMON", very_common)
+    got = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept_text) for r in line_dedup.dedup_lines(docs).collect()), key=key)
+    assert got == brute_lines(TEXTS)
+
+
 def test_line_runs_compact(spark):
     runs = line_dedup.LineRuns(spark, fanout=2)
     for b in range(5):
