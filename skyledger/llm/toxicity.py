@@ -225,7 +225,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int =
     """Fit on a bounded sample of labelled documents outside the held-out fold."""
     chosen = sample_ids(training_labels(labels, "toxic"), sample, seed)
     rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label")
-    rows = sorted((r.doc_id, r.text, r.label) for r in rows.toLocalIterator())
+    rows = sorted((r.doc_id, r.text, r.label) for r in rows.collect())
     return fit((text, int(label > 0)) for _, text, label in rows)
 
 
