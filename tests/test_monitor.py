@@ -92,3 +92,23 @@ def test_registered_names_are_unique_and_oracles_belong():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries()) and len(e.queries()) > 150
+
+
+def test_per_key_stream_gives_the_events_of_the_diff(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    schema = "program long, obs_id string, released boolean, calib_level int, poll long"
+    turns = [[(1, "a", False, 1, 0), (1, "b", True, None, 0)], [(1, "a", True, 2, 1), (1, "b", True, -1, 1), (2, "c", True, 3, 1)], [(1, "a", True, 2, 2), (1, "b", True, 2, 2)]]
+    for i, rows in enumerate(turns):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in" / f"turn={i}"))
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True)
+    stream = polls.event_stream(reader.parquet(str(tmp_path / "in")))
+    stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
+    got = sorted((r.poll, r.obs_id, r.event) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [
+        (0, "a", "NEW_OBSERVATION"),
+        (0, "b", "NEW_OBSERVATION"),
+        (1, "a", "CALIB_LEVEL_UP"),
+        (1, "a", "NEWLY_RELEASED"),
+        (1, "c", "NEW_OBSERVATION"),
+        (2, "b", "CALIB_LEVEL_UP"),
+    ]
