@@ -57,11 +57,13 @@ def xcorr(pairs: DataFrame, keys: Sequence[str] = (), maxsep: float = 2.5, bin_:
     reach = (rounds + 1) * bin_
     core = p.join(centre, g).where((F.abs(F.col("dra") - F.col("cx")) < reach) & (F.abs(F.col("ddec") - F.col("cy")) < reach))
     core = staged(core.select(*g, "dra", "ddec"), "core")
+    held = [*g, "npairs", "top", "background", "cx", "cy", "moving"]
     for _ in range(rounds):
-        near = core.join(centre, g).where("moving").where((F.abs(F.col("dra") - F.col("cx")) < bin_) & (F.abs(F.col("ddec") - F.col("cy")) < bin_))
-        step = near.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), median("dra").alias("_x"), median("ddec").alias("_y"))
-        go = F.col("moving") & (F.coalesce(F.col("_n"), F.lit(0)) >= fewest)
-        centre = centre.join(step, g, "left").select(
+        # Each round reads the centres once, so the plan grows by one join and one aggregate.
+        near = F.col("moving") & (F.abs(F.col("dra") - F.col("cx")) < bin_) & (F.abs(F.col("ddec") - F.col("cy")) < bin_)
+        step = centre.join(core, g, "left").groupBy(*held).agg(F.count_if(near).alias("_n"), median(F.when(near, F.col("dra"))).alias("_x"), median(F.when(near, F.col("ddec"))).alias("_y"))
+        go = F.col("moving") & (F.col("_n") >= fewest)
+        centre = step.select(
             *g, "npairs", "top", "background", F.when(go, F.col("_x")).otherwise(F.col("cx")).alias("cx"), F.when(go, F.col("_y")).otherwise(F.col("cy")).alias("cy"), go.alias("moving")
         )
     enough = F.col("npairs") >= least
