@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, line_dedup, mixing, quality, simhash
+from skyledger.llm import bpe, line_dedup, mixing, quality, resemblance
 from skyledger.llm.common import documents, stage, table
 
 
@@ -26,8 +26,8 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shingles and bits as in the operator's own query: five-word shingles change more bits for an edit (see README)."""
-    return simhash.one_of_each(docs)
+    """Five words a shingle; all pairs that are 0.8 alike or more link: SimHash groups first, then what they miss."""
+    return resemblance.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,30 +35,37 @@ LEAVES = 250_000
 CROWDED = 64
 
 
-def fingerprint(text: str | None, words: int) -> int:
-    """Fingerprint of one text: a bit is 1 if set in over half of the hashes of its shingles."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """Hashes of the text's shingles, repeated ones too. Up to ``words`` words make one shingle; no words make none."""
     import xxhash
 
     w = (text or "").encode("utf-8", "surrogatepass").lower().split()  # both are for ASCII only on bytes
     if not w:
-        return 0
+        return np.empty(0, np.uint64)
     digest = xxhash.xxh64_intdigest
     if len(w) <= words:
-        hashes = [digest(b" ".join(w), 42)]
-    else:
-        joined, at = b" ".join(w), 0
-        size = [len(x) + 1 for x in w]
-        ends = np.cumsum(size) - 1
-        starts = (ends - np.asarray(size) + 1)[: len(w) - words + 1].tolist()
-        hashes = [digest(joined[a:b], 42) for a, b in zip(starts, ends[words - 1 :].tolist())]
+        return np.array([digest(b" ".join(w), 42)], np.uint64)
+    joined = b" ".join(w)
+    size = [len(x) + 1 for x in w]
+    ends = np.cumsum(size) - 1
+    starts = (ends - np.asarray(size) + 1)[: len(w) - words + 1].tolist()
+    return np.array([digest(joined[a:b], 42) for a, b in zip(starts, ends[words - 1 :].tolist())], np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
     n, total = len(hashes), np.zeros(BITS, np.int64)
-    h = np.array(hashes, dtype=">u8")
+    h = hashes.astype(">u8")
     for at in range(0, n, 1 << 16):
         part = np.unpackbits(h[at : at + (1 << 16)].view(np.uint8)).reshape(-1, BITS)
         total += part.sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * total > n).tobytes(), "big")
 
 
+def fingerprint(text: str | None, words: int) -> int:
+    """Fingerprint of one text: a bit is 1 if set in over half of the hashes of its shingles."""
+    return majority(shingle_hashes(text, words))
+
+
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     """(doc_id, fingerprint long): the 64 bits as a signed number. A null text counts as empty."""
 
