@@ -142,19 +142,20 @@ def two_colour(blue: DataFrame, red: DataFrame, limits: tuple[float, float, floa
     return j.select("y", "x", to_byte(R).alias("r"), to_byte((R + B) / 2).alias("g"), to_byte(B).alias("b"), F.when(none("_nb") & none("_nr"), 0).otherwise(255).alias("a"))
 
 
-def resample(source: DataFrame, grid: DataFrame, to_source: tuple[Column, Column]) -> DataFrame:
+def resample(source: DataFrame, grid: DataFrame, to_source: tuple[Column, Column], keys: Sequence[str] = ()) -> DataFrame:
     """The source on another image's grid by bilinear weights; null where one of the four neighbours misses.
 
-    grid has columns y and x; ``to_source`` gives the source position (x, y) of a grid pixel.
+    grid has columns y and x; ``to_source`` gives the source position (x, y) of a grid pixel. With ``keys``, columns of
+    both, many images go in one job, each grid pixel onto the source of its own keys.
     """
-    g = grid.select("y", "x", to_source[0].alias("u"), to_source[1].alias("v")).withColumns({"_u": F.floor("u"), "_v": F.floor("v")})
+    g = grid.select(*keys, "y", "x", to_source[0].alias("u"), to_source[1].alias("v")).withColumns({"_u": F.floor("u"), "_v": F.floor("v")})
     four = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)]))
-    n = g.select("*", four.alias("o")).select("y", "x", "u", "v", (F.col("_u") + F.col("o.i")).alias("sx"), (F.col("_v") + F.col("o.j")).alias("sy"))
-    s = source.where(~bad()).select(F.col("x").cast("long").alias("sx"), F.col("y").cast("long").alias("sy"), "value")
+    n = g.select("*", four.alias("o")).select(*keys, "y", "x", "u", "v", (F.col("_u") + F.col("o.i")).alias("sx"), (F.col("_v") + F.col("o.j")).alias("sy"))
+    s = source.where(~bad()).select(*keys, F.col("x").cast("long").alias("sx"), F.col("y").cast("long").alias("sy"), "value")
     w = (1 - F.abs(F.col("u") - F.col("sx"))) * (1 - F.abs(F.col("v") - F.col("sy")))
-    j = n.join(s, ["sx", "sy"], "left").withColumn("w", w)
+    j = n.join(s, [*keys, "sx", "sy"], "left").withColumn("w", w)
     need = F.count_if(F.col("w") > 0) == F.count_if((F.col("w") > 0) & F.col("value").isNotNull())
-    return j.groupBy("y", "x").agg(F.when(need, F.sum(F.when(F.col("w") > 0, F.col("w") * F.col("value")))).alias("value"))
+    return j.groupBy(*keys, "y", "x").agg(F.when(need, F.sum(F.when(F.col("w") > 0, F.col("w") * F.col("value")))).alias("value"))
 
 
 def covered_fraction(resampled: DataFrame) -> DataFrame:
