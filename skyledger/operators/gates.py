@@ -20,32 +20,61 @@ def ancestors(path: Column) -> Column:
     return F.when(n > 0, F.transform(F.sequence(n, F.lit(1), F.lit(-1)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))).otherwise(F.array().cast("array<string>"))
 
 
-def covering_verdict(images: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The verdict that covers an image: its sibling of the same stem, else that of the nearest tile tree above it.
+SIDECAR = r"\.(validation\.)?json$"
 
-    images: path, sha. verdicts: path, tree (boolean), pass, state, sha (of the image it was made for). The hash must
-    agree for a sibling.
+
+def covering_verdicts(images: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Every verdict that covers an image: its sibling's, and those of all tile trees above it; a null ``v`` without any.
+
+    images: path, sha. verdicts: path (the sibling's file, or the root folder of a tile tree), tree (boolean), pass, state
+    (of the star check), png_sha and jpg_sha (hashes that the verdict was made for) and, for a tree, source_sha (hash of
+    its source image as it is now, null if that is gone). All columns of images stay.
     """
-    sib = images.join(verdicts.where("not tree").select(stem(F.col("path")).alias("_s"), F.struct("pass", "state", "sha").alias("v")), stem(F.col("path")) == F.col("_s"))
-    sib = sib.select("path", "sha", "v", F.lit(0).alias("far"))
-    up = images.select("path", "sha", F.posexplode(ancestors(F.col("path"))).alias("far", "_dir"))
-    tree = up.join(verdicts.where("tree").select(F.col("path").alias("_dir"), F.struct("pass", "state", "sha").alias("v")), "_dir").select("path", "sha", "v", (F.col("far") + 1).alias("far"))
-    w = W.partitionBy("path").orderBy("far")
-    best = sib.unionByName(tree).withColumn("_r", F.row_number().over(w)).where("_r = 1")
-    bound = (F.col("far") > 0) | (F.col("v.sha") == F.col("sha"))
-    return images.join(best.select("path", "v", "far", bound.alias("bound")), "path", "left")
-
-
-def release_gate(covered: DataFrame, keys: Sequence[str], overridden: Column) -> DataFrame:
-    """Fail-closed: every image needs a passing, hash-bound verdict; a failed star check cannot be overridden."""
-    reason = (
+    v = F.struct("path", "tree", "pass", "state", "png_sha", "jpg_sha", "source_sha").alias("v")
+    plain = ~F.coalesce("tree", F.lit(False))
+    own = verdicts.where(plain).select(F.regexp_replace("path", SIDECAR, "").alias("_s"), v)
+    trees = verdicts.where(~plain).select(F.col("path").alias("_dir"), v)
+    sibling = images.select("path", stem(F.col("path")).alias("_s")).join(own, "_s").select("path", "v")
+    above = images.select("path", F.explode(ancestors(F.col("path"))).alias("_dir")).join(trees, "_dir").select("path", "v")
+    return images.join(sibling.unionByName(above), "path", "left")
+
+
+def verdict_problem(no_star_check: Column, accept_unbound_tree: Column) -> Column:
+    """Why a covering verdict ``v`` does not let its image (path, sha) out; null if it does.
+
+    What is not known to be good is a problem: a verdict passes only if it says so, its star check passes or was left out
+    and that is acknowledged, and it is bound to the bytes. A failed verdict or star check has no way around it.
+    """
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    state = F.coalesce("v.state", F.lit("absent"))
+    expected = F.when(F.lower("path").endswith(".png"), F.col("v.png_sha")).otherwise(F.col("v.jpg_sha"))
+    tree, bound = yes(F.col("v.tree")), F.col("v.png_sha").isNotNull() & F.col("v.source_sha").isNotNull()
+    return (
         F.when(F.col("v").isNull(), "no verdict")
-        .when(F.col("v.state") == "fail", "star check failed")
-        .when(~F.col("bound"), "verdict of other bytes")
-        .when(~F.col("v.pass") & ~overridden, "verdict fails")
+        .when(~yes(F.col("v.pass")), "validation failed")
+        .when(~state.isin("pass", "skipped", "absent"), "star check failed")
+        .when((state != "pass") & ~yes(no_star_check), F.concat(F.lit("star check "), state))
+        .when(~tree & expected.isNull(), "verdict without hash")
+        .when(~tree & ~yes(expected == F.col("sha")), "verdict of other bytes")
+        .when(tree & bound & (F.col("v.png_sha") != F.col("v.source_sha")), "tree verdict of other bytes")
+        .when(tree & ~bound & ~yes(accept_unbound_tree), "tree verdict unbound")
     )
-    x = covered.withColumn("reason", reason)
-    return x.groupBy(*keys).agg(F.bool_and(F.col("reason").isNull()).alias("ok"), F.array_join(F.array_sort(F.collect_set("reason")), "; ").alias("reasons"), F.count(F.lit(1)).alias("n"))
+
+
+def release_gate(covered: DataFrame, keys: Sequence[str], no_star_check: Column, accept_unbound_tree: Column | None = None, expected: DataFrame | None = None) -> DataFrame:
+    """Whether all images of a group may go out. Fail-closed: an image goes if one of its covering verdicts has no problem.
+
+    covered: see covering_verdicts. With ``expected`` (a table of keys), groups without images are there too, and refused.
+    Returns keys, ok, reasons (of the images that are refused), n (images).
+    """
+    g = list(keys)
+    x = covered.withColumn("_p", verdict_problem(no_star_check, F.lit(False) if accept_unbound_tree is None else accept_unbound_tree))
+    image = x.groupBy(*g, "path").agg(F.bool_or(F.col("_p").isNull()).alias("_ok"), F.collect_set("_p").alias("_why"))
+    out = image.groupBy(*g).agg(F.bool_and("_ok").alias("ok"), F.array_distinct(F.flatten(F.collect_set(F.when(~F.col("_ok"), F.col("_why"))))).alias("_why"), F.count(F.lit(1)).alias("n"))
+    if expected is not None:
+        out = expected.select(*g).distinct().join(out, g, "left")
+    why = F.when(F.col("n").isNull(), F.array(F.lit("no images"))).otherwise(F.array_sort("_why"))
+    return out.select(*g, F.coalesce("ok", F.lit(False)).alias("ok"), F.array_join(why, "; ").alias("reasons"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def uncovered(files: DataFrame, trees: DataFrame, images: Sequence[str], sidecars: Sequence[str]) -> DataFrame:
@@ -67,16 +96,19 @@ def tile_plan(spec: DataFrame, registered: DataFrame, present: DataFrame, keys:
 def sticky_union(old: DataFrame, new: DataFrame, alias: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Checklists (item, checked) joined: checked in either stays checked; renamed items count as their new names."""
     def renamed(d: DataFrame) -> DataFrame:
-        return d.join(F.broadcast(alias.select(F.col("old").alias("item"), F.col("new").alias("_n"))), "item", "left").withColumn("item", F.coalesce("_n", "item")).groupBy(*keys, "item").agg(F.bool_or("checked").alias("checked"))
+        return d.join(alias.select(F.col("old").alias("item"), F.col("new").alias("_n")), "item", "left").withColumn("item", F.coalesce("_n", "item")).groupBy(*keys, "item").agg(F.bool_or("checked").alias("checked"))
 
     o, n = renamed(old), renamed(new)
     x = o.withColumnRenamed("checked", "_o").join(n.withColumnRenamed("checked", "_c"), [*keys, "item"], "full_outer")
     return x.select(*keys, "item", (F.coalesce("_o", F.lit(False)) | F.coalesce("_c", F.lit(False))).alias("checked"))
 
 
-def checklist(metrics: DataFrame, rules: dict[str, str]) -> DataFrame:
-    """Booleans of an observation from metrics (obsid, stage, metric, value as text): rules are expressions over stage_metric."""
-    wide = metrics.withColumn("_m", F.concat_ws("_", "stage", "metric")).groupBy("obsid").pivot("_m").agg(F.first("value"))
+def checklist(metrics: DataFrame, rules: dict[str, str], metrics_used: Sequence[str]) -> DataFrame:
+    """Booleans of an observation from metrics (obsid, stage, metric, value as text).
+
+    rules are expressions over columns stage_metric, of which ``metrics_used`` names those that there are.
+    """
+    wide = metrics.withColumn("_m", F.concat_ws("_", "stage", "metric")).groupBy("obsid").pivot("_m", list(metrics_used)).agg(F.first("value"))
     return wide.select("obsid", *[F.coalesce(F.expr(e), F.lit(False)).alias(c) for c, e in rules.items()])
 
 
@@ -96,11 +128,20 @@ def catalogue_staleness(catalogues: DataFrame, tables: DataFrame, keys: Sequence
     return c.join(t, k, "left").withColumn("stale", F.coalesce(F.col("catalogue") < F.col("table_time") - slack, F.lit(False)))
 
 
-def progress(inventory: DataFrame, keys: Sequence[str], alignment: DataFrame) -> DataFrame:
-    """Pipeline stages of an observation: files, newest file, frames re-aligned since the alignment table."""
+def progress(inventory: DataFrame, keys: Sequence[str], alignment: DataFrame, stages: Sequence[str], slack: float = 1.0) -> DataFrame:
+    """Pipeline stages of an observation in their order: files, newest file, frames re-aligned since the alignment table,
+    and a status: 'none', 'stale' (newest file older than an earlier stage's by more than ``slack``) or 'done'.
+
+    Every stage of every observation has a row. ``offset`` is the alignment table's, with its own row in the caller's join.
+    """
     k = list(keys)
     x = inventory.join(alignment.select(*k, "table_time"), k, "left")
-    return x.groupBy(*k, "stage").agg(F.count(F.lit(1)).alias("n"), F.max("mtime").alias("newest"), F.count_if(F.col("mtime") >= F.col("table_time")).alias("n_realigned"))
+    n = x.groupBy(*k, "stage").agg(F.count(F.lit(1)).alias("n"), F.max("mtime").alias("newest"), F.count_if(F.col("mtime") >= F.col("table_time")).alias("n_realigned"))
+    rows = inventory.select(*k).distinct().withColumn("_s", F.explode(F.array(*[F.struct(F.lit(i).alias("position"), F.lit(s).alias("stage")) for i, s in enumerate(stages)])))
+    x = rows.select(*k, "_s.position", "_s.stage").join(n, [*k, "stage"], "left").fillna(0, ["n", "n_realigned"])
+    earlier = F.max("newest").over(W.partitionBy(*k).orderBy("position").rowsBetween(W.unboundedPreceding, -1))
+    status = F.when(F.col("n") == 0, "none").when(F.coalesce(F.col("newest") < earlier - slack, F.lit(False)), "stale").otherwise("done")
+    return x.select(*k, "position", "stage", "n", "newest", "n_realigned", status.alias("status"))
 
 
 def metrics_upsert(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -109,10 +150,15 @@ def metrics_upsert(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def provenance_digest(inputs: DataFrame, keys: Sequence[str], most: int = 12) -> DataFrame:
-    """Inputs by role and folder: up to ``most`` names in order, else the first three, the last and the count."""
-    k = list(keys)
+    """Inputs by role and folder: up to ``most`` names in order, else the first three, the last and the count.
+
+    Names are ranked rather than gathered, so a folder of any size costs its sort and a dozen names.
+    """
+    g = [*keys, "role", "folder"]
     folder, name = F.regexp_replace("path", r"/[^/]*$", ""), F.regexp_extract("path", r"([^/]*)$", 1)
-    x = inputs.select(*k, "role", folder.alias("folder"), name.alias("name")).distinct().groupBy(*k, "role", "folder").agg(F.array_sort(F.collect_list("name")).alias("l"))
-    n = F.size("l")
-    short = F.concat(F.array_join(F.slice("l", 1, 3), ", "), F.lit(" ... "), F.element_at("l", -1), F.lit(" ("), n.cast("string"), F.lit(")"))
-    return x.select(*k, "role", "folder", n.alias("n"), F.when(n > most, short).otherwise(F.array_join("l", ", ")).alias("names"))
+    x = inputs.select(*keys, "role", folder.alias("folder"), name.alias("name")).distinct()
+    x = x.withColumn("_r", F.row_number().over(W.partitionBy(*g).orderBy("name")))
+    x = x.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.max("name").alias("_last"), F.array_sort(F.collect_list(F.when(F.col("_r") <= most, F.col("name")))).alias("l"))
+    n = F.col("n")
+    short = F.concat(F.array_join(F.slice("l", 1, 3), ", "), F.lit(" ... "), F.col("_last"), F.lit(" ("), n.cast("string"), F.lit(")"))
+    return x.select(*g, n, F.when(n > most, short).otherwise(F.array_join("l", ", ")).alias("names"))

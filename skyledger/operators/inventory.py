@@ -37,7 +37,7 @@ def first_passing(candidates: DataFrame, keys: Sequence[str], rank: str, least:
 
 def preferred_band(available: DataFrame, ranked: DataFrame, keys: Sequence[str], backed: str) -> DataFrame:
     """For each channel its first band of a ranked list, bands with an image first."""
-    x = available.join(F.broadcast(ranked), "filter").withColumn("channel", S.channel(F.col("filter")))
+    x = available.join(ranked, "filter").withColumn("channel", S.channel(F.col("filter")))
     return x.groupBy(*keys, "channel").agg(F.min_by("filter", F.struct(~F.col(backed), "rank")).alias("filter"))
 
 

@@ -7,6 +7,7 @@ instrument). One-shot keys are rows (key, when) in a table that only grows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -106,9 +107,8 @@ def actionable(grouped: DataFrame, downloaded: DataFrame, triggered: DataFrame,
     A download is keyed with 'NIRCam' where the instrument is blank; the trigger and the extra action need NIRCam
     itself, and the extra action is never retired.
     """
-    named = F.when(F.col("instrument") == "", "NIRCam").otherwise(F.col("instrument"))
     x = grouped.where("field <> '' and ready")
-    x = x.withColumns({"_dk": S.action_key(F.col("program"), F.col("obsnum"), named), "_tk": S.action_key(F.col("program"), F.col("obsnum"))})
+    x = x.withColumns({"_dk": S.download_key(F.col("program"), F.col("obsnum"), F.col("instrument")), "_tk": S.trigger_key(F.col("program"), F.col("obsnum"))})
     x = x.join(downloaded.select(F.col("key").alias("_dk"), F.lit(True).alias("_d")).distinct(), "_dk", "left")
     x = x.join(triggered.select(F.col("key").alias("_tk"), F.lit(True).alias("_t")).distinct(), "_tk", "left")
     nircam = F.col("instrument") == "NIRCam"
@@ -140,14 +140,25 @@ def revert_deferred(state: DataFrame, old: DataFrame, deferred: DataFrame) -> Da
 
 
 def in_flight(groups_: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Groups without a running job whose name begins with field, program and observation. The job list is short."""
-    prefix = F.concat("field", F.col("program").cast("string"), F.lit("-o"), "obsnum", F.lit("-"))
-    return groups_.join(F.broadcast(jobs.select(F.col("name").alias("_job"))), F.col("_job").startswith(prefix), "left_anti")
+    """Groups without a running job whose name begins with '<field><program>-o<observation>-'.
 
-
-def rearm(keys: DataFrame, key: str) -> DataFrame:
-    """One-shot keys without this one and its forms with an instrument. Raises if there is none to take out."""
-    hit = (F.col("key") == key) | F.col("key").rlike("^" + key.replace("-", r"\-") + r"-[a-z]+$")
+    A job's name is cut after each of its dashes, so the prefix test is an equi join.
+    """
+    parts = F.split("name", "-")
+    heads = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda n: F.array_join(F.slice(parts, 1, n), "-"))
+    busy = jobs.where(F.col("name").contains("-")).select(F.explode(heads).alias("_job")).distinct()
+    prefix = F.concat("field", F.col("program").cast("string"), F.lit("-o"), "obsnum")
+    return groups_.join(busy, F.col("_job") == prefix, "left_anti")
+
+
+def rearm(keys: DataFrame, key: str, downloads: bool = True) -> DataFrame:
+    """One-shot keys without this one ('program-oNNN', joint observations too) and, with ``downloads``, its forms with an
+    instrument. Another observation that begins with this one stays. Raises if the key is malformed or none matches."""
+    if not re.fullmatch(rf"[0-9]+-o{S.OBS_TOKEN}", key or ""):
+        raise ValueError(f"{key!r} is not <program>-o<obs>")
+    hit = F.col("key") == key
+    if downloads:
+        hit = hit | F.col("key").rlike(rf"^{key}-[A-Za-z0-9]*[A-Za-z][A-Za-z0-9]*\z")
     if keys.where(hit).limit(1).count() == 0:
         raise KeyError(f"no spent key matches {key}")
     return keys.where(~hit)
@@ -159,21 +170,32 @@ def record_keys(keys: DataFrame, acted: DataFrame, batch: int) -> DataFrame:
     return keys.unionByName(new.join(keys, "key", "left_anti").dropDuplicates(["key"]))
 
 
-def routed(events: DataFrame, downgrades: DataFrame, memo: str | None, rolling_program: int) -> DataFrame:
-    """Where each group reports: a new comment for an arrival or a fresh downgrade, else an edit of the last one.
+def routed(events: DataFrame, notice: Column | None, memo: str | None, rolling_field: str) -> DataFrame:
+    """Where events report: a new comment for an arrival or a fresh downgrade of the run, else an edit of the last one.
 
-    One program's groups share a rolling target. A downgrade is fresh when its class is not the memorised one.
+    Each group (program, obsnum, instrument) has its own page; events of ``rolling_field`` share one. The run's ``notice``
+    is a downgrade by how it begins, and fresh when its class is not the memorised one; it then notifies on every page.
     """
-    g = groups(events).withColumn("target", F.when(F.col("program") == rolling_program, F.concat(F.lit("rolling-"), F.col("program").cast("string"))).otherwise(F.concat(F.col("program").cast("string"), F.lit("-o"), "obsnum")))
-    d = downgrades.groupBy(*GROUP).agg(F.max(S.downgrade_class(F.col("text"))).alias("downgrade"))
-    x = g.join(d, GROUP, "left").withColumn("fresh", F.coalesce((F.col("downgrade") != "none") & (F.col("downgrade") != F.lit(memo or "")), F.lit(False)))
-    return x.groupBy("target").agg(F.when(F.bool_or(F.col("arrival") | F.col("fresh")), "comment").otherwise("edit").alias("route"), F.count(F.lit(1)).alias("n_groups"))
+    rolling = F.coalesce(F.col("field") == rolling_field, F.lit(False))
+    instrument = F.coalesce(F.nullif("instrument", F.lit("")), F.lit("NIRCam"))
+    own = F.concat(F.col("program").cast("string"), F.lit("-o"), "obsnum", F.lit(" ("), instrument, F.lit(")"))
+    x = events.where(rolling | (F.col("obsnum") != "")).withColumn("target", F.when(rolling, F.lit("rolling")).otherwise(own))
+    reason = S.downgrade_class(F.lit(None).cast("string") if notice is None else notice)
+    fresh = F.coalesce(reason != F.lit(memo or ""), F.lit(False))
+    x = x.withColumn("_new", select.event_is_arrival() | fresh)
+    return x.groupBy("target").agg(F.when(F.bool_or("_new"), "comment").otherwise("edit").alias("route"), F.count_distinct(*GROUP).alias("n_groups"))
 
 
-def memo_after(posts: DataFrame, downgrade: str | None) -> DataFrame:
-    """The memo after a run: the downgrade if every notifying post succeeded, none after a run without a downgrade."""
-    ok = F.coalesce(F.every("ok"), F.lit(True))
-    return posts.where("notifies").agg(F.when(F.lit(downgrade is None), F.lit(None).cast("string")).when(ok, F.lit(downgrade)).alias("memo"))
+def memo_after(runs: DataFrame, posts: DataFrame, run: str = "run") -> DataFrame:
+    """The memo after each run: (run, notice, memo) as it was, and posts (run, notifies, ok).
+
+    A downgrade is memorised once every notifying post succeeded and there was one; a run without a downgrade forgets it;
+    else the memo stays as it was.
+    """
+    p = posts.where("notifies").groupBy(run).agg(F.every(F.coalesce("ok", F.lit(False))).alias("_ok"))
+    reason = S.downgrade_class(F.col("notice"))
+    x = runs.join(p, run, "left")
+    return x.select(run, F.when(reason.isNull(), F.lit(None).cast("string")).when(F.coalesce("_ok", F.lit(False)), reason).otherwise(F.col("memo")).alias("memo"))
 
 
 def download_size(products: DataFrame, keys: Sequence[str], suffixes: Sequence[str]) -> DataFrame:
@@ -198,13 +220,15 @@ def pointings(state: DataFrame) -> DataFrame:
 
 
 def registry(state: DataFrame, fields: DataFrame | None = None) -> DataFrame:
-    """Observations with calibrated data: sorted distinct filters and the first date of (program, obsnum, instrument)."""
-    x = state.withColumns({"obsnum": S.obsnum(F.col("obs_id")), "instrument": S.instrument_class(F.col("instrument_name"))})
-    x = x.where((F.col("obsnum") != "") & (F.coalesce("calib_level", F.lit(0)) >= 2))
+    """Observations with calibrated data: sorted distinct filters and the date of the earliest end of exposure (t_max) of
+    (program, obsnum, instrument); a blank instrument is NIRCam."""
+    named = F.coalesce(F.nullif(S.instrument_class(F.col("instrument_name")), F.lit("")), F.lit("NIRCam"))
+    x = state.withColumns({"obsnum": S.obsnum(F.col("obs_id")), "instrument": named})
+    x = x.where((F.col("obsnum") != "") & (F.coalesce("calib_level", F.lit(-1)) >= 2))
     if fields is not None:
         x = x.join(fields, ["program", "obsnum"], "left_semi")
     f = F.array_sort(F.array_distinct(F.flatten(F.collect_set(S.parse_filters(F.col("filters"))))))
-    return x.groupBy(*GROUP).agg(f.alias("filters"), F.to_date(F.timestamp_seconds((F.min("t_obs_release") - 40587) * 86400)).alias("first_date"))
+    return x.groupBy(*GROUP).agg(f.alias("filters"), F.to_date(F.timestamp_seconds((F.min(S.none_if_nan(F.col("t_max"))) - 40587) * 86400)).alias("first_date"))
 
 
 def coverage_gap(observed: DataFrame, registered: DataFrame) -> DataFrame:
@@ -213,11 +237,15 @@ def coverage_gap(observed: DataFrame, registered: DataFrame) -> DataFrame:
     return exact.join(registered.where("obsnum is null").select("program"), "program", "left_anti")
 
 
-def poll_digest(state: DataFrame) -> DataFrame:
-    return state.agg(F.count_distinct("program").alias("programs"), F.count_distinct(*KEY).alias("observations"), F.count_if(F.col("missing_since").isNotNull()).alias("missing"))
+def poll_digest(state: DataFrame, last_poll: Column | None = None) -> DataFrame:
+    """Programs, observations, missing ones and, where given, the time of the last poll as text."""
+    when = [] if last_poll is None else [S.mjd_to_text(F.max(last_poll)).alias("last_poll")]
+    return state.agg(F.count_distinct("program").alias("programs"), F.count_distinct(*KEY).alias("observations"), F.count_if(F.col("missing_since").isNotNull()).alias("missing"), *when)
 
 
 def token_union(df: DataFrame, keys: Sequence[str], tokens: str, order: str) -> DataFrame:
-    """Distinct tokens of a group, in the order in which rows first bring them."""
-    rows = F.array_sort(F.collect_list(F.struct(order, tokens)))
-    return df.groupBy(*keys).agg(F.array_distinct(F.flatten(F.transform(rows, lambda r: r[tokens]))).alias(tokens))
+    """Distinct tokens of a group, in the order in which rows first bring them; only a token's first place is gathered."""
+    one = df.select(*keys, order, F.posexplode_outer(tokens).alias("_i", "_t"))
+    first = one.groupBy(*keys, "_t").agg(F.min(F.struct(order, "_i")).alias("_at"))
+    rows = F.array_sort(F.collect_list(F.when(F.col("_t").isNotNull(), F.struct("_at", "_t"))))
+    return first.groupBy(*keys).agg(F.transform(rows, lambda r: r["_t"]).alias(tokens))

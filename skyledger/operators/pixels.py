@@ -210,7 +210,7 @@ def clipped_window(centre: Column, half: int, size: int) -> tuple[Column, Column
 def covering_tile(positions: DataFrame, wcs: DataFrame, shape: tuple[int, int]) -> DataFrame:
     """The image on whose pixels most positions of a group fall, the first by name on a tie. Images are few rows."""
     w = {c: F.col(c) for c in ("crval1", "crval2", "crpix1", "crpix2", "cd11", "cd12", "cd21", "cd22")}
-    j = positions.join(F.broadcast(wcs), "tile")
+    j = positions.join(wcs, "tile")
     x, y = S.tan_to_pixel(F.col("ra"), F.col("dec"), w)
     inside = (x >= 0) & (x < shape[1]) & (y >= 0) & (y < shape[0])
     n = j.groupBy("tile", "field", "image").agg(F.count_if(inside).alias("n"))

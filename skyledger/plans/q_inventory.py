@@ -194,40 +194,61 @@ def window_crop(spark, d):
 
 # Gates -----------------------------------------------------------------------------------------------------
 
-IMAGES = f"{INV}, im AS (SELECT field, k, field || '/' || obs || '/t' || k % 7 || '/' || k || '.png' AS path, md5(k::VARCHAR) AS sha FROM f WHERE k % 2 = 0)"
-STATE = "CASE k % 5 WHEN 0 THEN 'fail' WHEN 1 THEN 'skipped' ELSE 'pass' END"
+IMAGES = f"{INV}, im AS (SELECT field, k, field || '/' || obs || '/t' || k % 7 || '/' || k || CASE WHEN k % 2 = 0 THEN '.png' ELSE '.jpg' END AS path, md5(k::VARCHAR) AS sha FROM f)"
+#: Tile trees: root, pass, state of the star check, hash that the verdict is bound to, hash of the source image now.
+TREES = [("brick", True, "pass", "t", "t"), ("brick/002", False, "pass", "t", "t"), ("cloudc", True, "pass", "t", None), ("sgrb2", True, "skipped", "t", "t"), ("sickle/001", True, "pass", "t", "u"), ("w51/003", None, "pass", "t", "t")]
 
 
 def images(spark, d):
-    path = F.concat_ws("/", "field", "obs", F.concat(F.lit("t"), (F.col("k") % 7).cast("string")), F.concat(F.col("k").cast("string"), F.lit(".png")))
-    return inv(spark, d).where("k % 2 = 0").select("field", "k", path.alias("path"), F.md5(F.col("k").cast("string")).alias("sha"))
+    path = F.concat_ws("/", "field", "obs", F.concat(F.lit("t"), (F.col("k") % 7).cast("string")), F.concat(F.col("k").cast("string"), F.when(F.col("k") % 2 == 0, ".png").otherwise(".jpg")))
+    return inv(spark, d).select("field", "k", path.alias("path"), F.md5(F.col("k").cast("string")).alias("sha"))
 
 
 def verdicts(spark, d):
-    i = images(spark, d).where("k % 3 <> 0")
-    state = F.when(F.col("k") % 5 == 0, "fail").when(F.col("k") % 5 == 1, "skipped").otherwise("pass")
-    own = i.select(F.concat(G.stem(F.col("path")), F.lit(".json")).alias("path"), F.lit(False).alias("tree"), (F.col("k") % 4 != 2).alias("pass"), state.alias("state"), F.when(F.col("k") % 11 == 0, "other").otherwise(F.col("sha")).alias("sha"))
-    trees = spark.createDataFrame([("brick", True, True, "pass", "t"), ("brick/002", True, False, "pass", "t")], own.schema)
+    k = F.col("k")
+    own = images(spark, d).where("k % 3 <> 0").select(
+        F.concat(G.stem(F.col("path")), F.lit(".validation.json")).alias("path"),
+        F.lit(False).alias("tree"),
+        F.when(k % 13 != 0, k % 4 != 2).alias("pass"),
+        F.when(k % 5 == 0, "fail").when(k % 5 == 1, "skipped").when(k % 5 == 2, "absent").otherwise("pass").alias("state"),
+        F.when(k % 11 == 0, "other").when(k % 17 == 0, None).otherwise(F.col("sha")).alias("_h"),
+    )
+    png = F.col("path").isNotNull() & (k % 2 == 0)
+    own = own.join(images(spark, d).select(F.concat(G.stem(F.col("path")), F.lit(".validation.json")).alias("path"), "k"), "path")
+    own = own.select("path", "tree", "pass", "state", F.when(png, F.col("_h")).otherwise("x").alias("png_sha"), F.when(png, "x").otherwise(F.col("_h")).alias("jpg_sha"), F.lit(None).cast("string").alias("source_sha"))
+    trees = spark.createDataFrame([(root, True, ok, state, bound, None, source) for root, ok, state, bound, source in TREES], own.schema)
     return own.unionByName(trees)
 
 
-COVERED = f"""{IMAGES}, c AS (SELECT im.*, CASE WHEN k % 3 <> 0 THEN k % 4 <> 2 WHEN starts_with(path, 'brick/002/') THEN false WHEN field = 'brick' THEN true END AS pass,
-  CASE WHEN k % 3 <> 0 THEN {STATE} WHEN field = 'brick' THEN 'pass' END AS state, CASE WHEN k % 3 <> 0 THEN k % 11 <> 0 WHEN field = 'brick' THEN true END AS bound FROM im)"""
+_ROWS = ", ".join(f"('{r}', {'NULL' if p is None else p}, '{s}', '{b}', {'NULL' if h is None else repr(h)})" for r, p, s, b, h in TREES)
+COVERED = f"""{IMAGES}, tr(root, pass, state, bound, source) AS (VALUES {_ROWS}), own AS (SELECT path, CASE WHEN k % 13 <> 0 THEN k % 4 <> 2 END AS pass, ['fail', 'skipped', 'absent', 'pass', 'pass'][k % 5 + 1] AS state, CASE WHEN k % 11 = 0 THEN 'other' WHEN k % 17 = 0 THEN NULL ELSE sha END AS bound FROM im WHERE k % 3 <> 0),
+v AS (SELECT path, false AS tree, pass, state, bound, NULL AS source FROM own UNION ALL SELECT path, true, pass, state, bound, source FROM im JOIN tr ON starts_with(path, root || '/')),
+c AS (SELECT im.*, v.tree, v.pass, v.state, CASE WHEN tree IS NULL THEN 'no verdict' WHEN pass IS NOT TRUE THEN 'validation failed' WHEN state = 'fail' THEN 'star check failed' WHEN state <> 'pass' AND k % 7 >= 3 THEN 'star check ' || state
+  WHEN NOT tree AND bound IS NULL THEN 'verdict without hash' WHEN NOT tree AND bound <> sha THEN 'verdict of other bytes' WHEN tree AND bound <> source THEN 'tree verdict of other bytes' WHEN tree AND source IS NULL AND k % 2 = 1 THEN 'tree verdict unbound' END AS problem FROM im LEFT JOIN v USING (path))"""
 
 
-@query("covering_verdict", f"{COVERED} SELECT path, pass, state, bound FROM c")
+def covered(spark, d):
+    return G.covering_verdicts(images(spark, d), verdicts(spark, d))
+
+
+ACKNOWLEDGED = (F.expr("k % 7 < 3"), F.expr("k % 2 = 0"))
+
+
+@query("covering_verdict", f"{COVERED} SELECT path, tree, pass, state, problem FROM c")
 def covering_verdict(spark, d):
-    return G.covering_verdict(images(spark, d).select("path", "sha"), verdicts(spark, d)).select("path", "v.pass", "v.state", "bound")
+    return covered(spark, d).select("path", "v.tree", "v.pass", "v.state", G.verdict_problem(*ACKNOWLEDGED).alias("problem"))
 
 
 @query(
     "release_gate",
-    f"""{COVERED}, r AS (SELECT *, CASE WHEN pass IS NULL THEN 'no verdict' WHEN state = 'fail' THEN 'star check failed' WHEN NOT bound THEN 'verdict of other bytes' WHEN NOT pass AND k % 3 <> 1 THEN 'verdict fails' END AS reason FROM c)
-SELECT field, k % 40 AS page, bool_and(reason IS NULL) AS ok, coalesce(string_agg(DISTINCT reason, '; ' ORDER BY reason), '') AS reasons, count(*) AS n FROM r GROUP BY ALL""",
+    f"""{COVERED}, i AS (SELECT field, k % 40 AS page, path, bool_or(problem IS NULL) AS ok FROM c GROUP BY ALL), g AS (SELECT field, page, bool_and(ok) AS ok, count(*) AS n FROM i GROUP BY ALL),
+w AS (SELECT c.field, k % 40 AS page, string_agg(DISTINCT problem, '; ' ORDER BY problem) AS reasons FROM c JOIN i USING (path) WHERE NOT i.ok GROUP BY ALL)
+SELECT field, page, ok, coalesce(reasons, '') AS reasons, n FROM g LEFT JOIN w USING (field, page) UNION ALL SELECT DISTINCT field, 99, false, 'no images', 0 FROM f""",
 )
 def release_gate(spark, d):
-    c = G.covering_verdict(images(spark, d), verdicts(spark, d)).withColumn("page", F.col("k") % 40)
-    return G.release_gate(c, ["field", "page"], F.col("k") % 3 == 1)
+    c = covered(spark, d).withColumn("page", F.col("k") % 40)
+    pages = c.select("field", "page").unionByName(c.select("field", F.lit(99).cast("long").alias("page")))
+    return G.release_gate(c, ["field", "page"], *ACKNOWLEDGED, expected=pages)
 
 
 @query("extra_files", f"{INV}, p AS (SELECT field || '/' || obs || '/' || name AS path FROM f) SELECT path FROM p WHERE NOT (ends_with(path, '_i2d.fits') OR ends_with(path, '.ecsv')) AND NOT starts_with(path, 'brick/002/')")
@@ -260,7 +281,7 @@ def sticky_checklist(spark, d):
 def checklist(spark, d):
     o = table(spark, d, "orders").groupBy(F.col("o_custkey").cast("string").alias("obsid"), F.when(F.col("o_orderkey") % 3 == 0, "stage1").when(F.col("o_orderkey") % 3 == 1, "stage4").otherwise("stage2").alias("stage"))
     m = o.agg(F.max("o_totalprice").cast("string").alias("value")).withColumn("metric", F.lit("off"))
-    return G.checklist(m, {"frame_ok": "cast(stage4_off as double) < 400000", "image_ok": "stage1_off is not null"})
+    return G.checklist(m, {"frame_ok": "cast(stage4_off as double) < 400000", "image_ok": "stage1_off is not null"}, ["stage1_off", "stage4_off"])
 
 
 @query("staged_release", f"{INV}, v AS (SELECT field, filter, mtime AS version, max(k % 2) = 1 AS marker FROM f GROUP BY ALL) SELECT field, filter, max(version) AS version, first(marker ORDER BY version DESC) OR (max(version) % 5 = 0) AS ok FROM v GROUP BY ALL")
@@ -272,19 +293,27 @@ def staged_release(spark, d):
 
 @query(
     "staleness",
-    f"""{INV}, c AS (SELECT field, filter, max(mtime) AS catalogue FROM f WHERE k % 3 = 2 AND mtime % 2 = 0 GROUP BY ALL), t AS (SELECT field, filter, CASE WHEN bool_or(k % 401 = 1) THEN 'locked' ELSE 'consensus' END AS kind, coalesce(max(mtime) FILTER (k % 401 = 1), max(mtime) FILTER (k % 401 <> 1)) AS table_time FROM f WHERE k % 3 <> 2 GROUP BY ALL)
+    f"""{INV}, c AS (SELECT field, filter, max(mtime) AS catalogue FROM f WHERE k % 3 = 2 GROUP BY ALL), t AS (SELECT field, filter, CASE WHEN bool_or(k % 401 = 1) THEN 'locked' ELSE 'consensus' END AS kind, coalesce(max(mtime) FILTER (k % 401 = 1), max(mtime) FILTER (k % 401 <> 1)) AS table_time FROM f WHERE k % 3 <> 2 GROUP BY ALL)
 SELECT field, filter, catalogue, kind, table_time, coalesce(catalogue < table_time - 1, false) AS stale FROM c LEFT JOIN t USING (field, filter)""",
 )
 def staleness(spark, d):
     f = inv(spark, d)
     t = f.where("k % 3 <> 2").withColumn("kind", F.when(F.col("k") % 401 == 1, "locked").otherwise("consensus"))
-    return G.catalogue_staleness(f.where("k % 3 = 2 and mtime % 2 = 0"), t, ["field", "filter"])
+    return G.catalogue_staleness(f.where("k % 3 = 2"), t, ["field", "filter"])
 
 
-@query("progress", f"{INV}, t AS (SELECT field, obs, min(mtime) + 600 AS tt FROM f GROUP BY ALL) SELECT field, obs, k % 3 AS stage, count(*) AS n, max(mtime) AS newest, count(*) FILTER (mtime >= tt) AS n_realigned FROM f JOIN t USING (field, obs) GROUP BY ALL")
+@query(
+    "progress",
+    f"""{INV}, t AS (SELECT field, obs, min(mtime) + 600 AS tt FROM f GROUP BY ALL), s AS (SELECT field, obs, CASE k % 3 WHEN 0 THEN 'calibrated' WHEN 1 THEN 'image' ELSE 'catalogue' END AS stage, count(*) AS n, max(mtime) AS newest, count(*) FILTER (mtime >= tt) AS n_realigned FROM f JOIN t USING (field, obs) WHERE NOT (field = 'w51' AND k % 3 = 1) GROUP BY ALL),
+p(position, stage) AS (VALUES (0, 'calibrated'), (1, 'image'), (2, 'catalogue')), r AS (SELECT DISTINCT field, obs, position, p.stage FROM f, p),
+x AS (SELECT r.*, coalesce(n, 0) AS n, newest, coalesce(n_realigned, 0) AS n_realigned, max(newest) OVER (PARTITION BY field, obs ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier FROM r LEFT JOIN s USING (field, obs, stage))
+SELECT field, obs, position, stage, n, newest, n_realigned, CASE WHEN n = 0 THEN 'none' WHEN newest < earlier - 1 THEN 'stale' ELSE 'done' END AS status FROM x""",
+)
 def progress(spark, d):
-    f = inv(spark, d).withColumn("stage", F.col("k") % 3)
-    return G.progress(f, ["field", "obs"], f.groupBy("field", "obs").agg((F.min("mtime") + 600).alias("table_time")))
+    kind = F.when(F.col("k") % 3 == 0, "calibrated").when(F.col("k") % 3 == 1, "image").otherwise("catalogue")
+    f = inv(spark, d).withColumn("stage", kind)
+    table_time = f.groupBy("field", "obs").agg((F.min("mtime") + 600).alias("table_time"))
+    return G.progress(f.where("not (field = 'w51' and stage = 'image')"), ["field", "obs"], table_time, ["calibrated", "image", "catalogue"])
 
 
 @query("metrics_upsert", "SELECT o_custkey AS obsid, o_orderkey % 5 AS stage, 'price' AS metric, max(o_totalprice) AS value FROM orders WHERE o_orderkey % 5 <> 2 GROUP BY ALL UNION ALL SELECT o_custkey, 2, 'price', max(CASE WHEN o_custkey % 3 = 0 THEN -o_totalprice ELSE o_totalprice END) FROM orders WHERE o_orderkey % 5 = 2 GROUP BY ALL")
@@ -297,9 +326,9 @@ def metrics_upsert(spark, d):
 
 @query(
     "provenance_digest",
-    f"""{INV}, g AS (SELECT field, filter AS role, field || '/' || folder AS folder, list_sort(list(DISTINCT name)) AS l FROM f WHERE mtime % 60 < 3 GROUP BY ALL)
+    f"""{INV}, g AS (SELECT field, filter AS role, field || '/' || folder AS folder, list_sort(list(DISTINCT name)) AS l FROM f GROUP BY ALL)
 SELECT field, role, folder, len(l) AS n, CASE WHEN len(l) > 12 THEN array_to_string(l[1:3], ', ') || ' ... ' || l[-1] || ' (' || len(l) || ')' ELSE array_to_string(l, ', ') END AS names FROM g""",
 )
 def provenance_digest(spark, d):
-    x = inv(spark, d).where("mtime % 60 < 3").select("field", F.col("filter").alias("role"), F.concat_ws("/", "field", "folder", "name").alias("path"))
+    x = inv(spark, d).select("field", F.col("filter").alias("role"), F.concat_ws("/", "field", "folder", "name").alias("path"))
     return G.provenance_digest(x, ["field"])

@@ -19,8 +19,8 @@ FIELD = "CASE WHEN program = 7 THEN 'treasury' WHEN program % 4 = 3 THEN '' ELSE
 READY = "(released AND coalesce(calib_level, 0) >= 2)"
 ARRIVAL = f"({READY} AND (event <> 'CALIB_LEVEL_UP' OR coalesce(previous, 0) < 2))"
 GROUPS = f"""{BASE}, g AS (SELECT program, obsnum, instrument, count(*) AS n_events, bool_or({READY}) AS ready, bool_or({ARRIVAL}) AS arrival, min(t_obs_release) FILTER ({READY}) AS oldest, any_value({FIELD}) AS field FROM e WHERE obsnum <> '' GROUP BY ALL)"""
-KEYED = f"""{GROUPS}, k AS (SELECT *, program || '-o' || obsnum || CASE WHEN instrument IN ('NIRCam', '') THEN '' ELSE '-' || lower(instrument) END AS dk, program || '-o' || obsnum AS tk FROM g WHERE field <> '' AND ready),
-spent AS (SELECT DISTINCT program || '-o' || {OBSNUM} AS key FROM ({POLL_0.sql}) WHERE k % 3 = 0), act AS (SELECT * FROM k WHERE dk NOT IN (SELECT key FROM spent) OR (instrument = 'NIRCam' AND tk NOT IN (SELECT key FROM spent)))"""
+KEYED = f"""{GROUPS}, k AS (SELECT *, program || '-o' || obsnum || '-' || CASE WHEN instrument = '' THEN 'NIRCam' ELSE instrument END AS dk, program || '-o' || obsnum AS tk FROM g WHERE field <> '' AND ready),
+spent AS (SELECT program || '-o' || {OBSNUM} || CASE k % 3 WHEN 0 THEN '' ELSE '-' || CASE {INST} WHEN '' THEN 'NIRCam' ELSE {INST} END END AS key FROM ({POLL_0.sql}) WHERE k % 3 < 2), act AS (SELECT * FROM k WHERE dk NOT IN (SELECT key FROM spent) OR (instrument = 'NIRCam' AND tk NOT IN (SELECT key FROM spent)))"""
 
 
 def old(spark, d):
@@ -45,7 +45,9 @@ def mapped(spark, d):
 
 def spent(spark, d):
     x = M.S.obsnum(F.col("obs_id"))
-    return POLL_0.df(spark, d).where("k % 3 = 0").select(M.S.action_key(F.col("program"), x).alias("key")).distinct()
+    p, inst = F.col("program"), M.S.instrument_class(F.col("instrument_name"))
+    key = F.when(F.col("k") % 3 == 0, M.S.trigger_key(p, x)).otherwise(M.S.download_key(p, x, inst))
+    return POLL_0.df(spark, d).where("k % 3 < 2").select(key.alias("key")).distinct()
 
 
 def actions(spark, d):
@@ -140,10 +142,10 @@ def in_flight(spark, d):
     return M.in_flight(a, jobs).select("program", "obsnum", "instrument")
 
 
-@query("rearm", f"SELECT DISTINCT program || '-o' || {OBSNUM} AS key FROM ({POLL_0.sql}) WHERE k % 3 = 0 AND NOT (program = 3 AND {OBSNUM} = '003')")
+@query("rearm", f"{KEYED} SELECT DISTINCT key FROM spent WHERE key NOT IN ('3-o003', '3-o003-NIRCam', '3-o003-MIRI', '3-o003-Niriss') UNION ALL SELECT '3-o003-004' UNION ALL SELECT '3-o003-004-MIRI'")
 def rearm(spark, d):
-    keys = spent(spark, d)
-    return M.rearm(keys.unionByName(keys.limit(0)).unionByName(spark.createDataFrame([("3-o003",), ("3-o003-miri",)], "key string")), "3-o003").distinct()
+    more = spark.createDataFrame([("3-o003",), ("3-o003-MIRI",), ("3-o003-004",), ("3-o003-004-MIRI",)], "key string")
+    return M.rearm(spent(spark, d).unionByName(more), "3-o003").distinct()
 
 
 @query("recorded_keys", f"WITH s AS (SELECT DISTINCT o_custkey::VARCHAR AS key FROM orders WHERE o_custkey % 3 = 0), a AS (SELECT DISTINCT o_custkey::VARCHAR AS key FROM orders WHERE o_orderkey % 2 = 0 AND o_orderstatus <> 'F') SELECT key, 1::BIGINT AS batch FROM s UNION ALL SELECT key, 2 FROM a WHERE key NOT IN (SELECT key FROM s)")
@@ -157,20 +159,40 @@ def recorded_keys(spark, d):
 
 @query(
     "routing",
-    f"""{GROUPS}, x AS (SELECT CASE WHEN program = 7 THEN 'rolling-7' ELSE program || '-o' || obsnum END AS target, arrival, CASE WHEN program % 5 = 1 THEN 'budget' WHEN program % 5 = 2 THEN 'failure' END AS dg FROM g)
-SELECT target, CASE WHEN bool_or(arrival OR coalesce(dg = 'failure', false)) THEN 'comment' ELSE 'edit' END AS route, count(*) AS n_groups FROM x GROUP BY target""",
+    f"""{BASE}, x AS (SELECT CASE WHEN {FIELD} = 'treasury' THEN 'rolling' ELSE program || '-o' || obsnum || ' (' || CASE instrument WHEN '' THEN 'NIRCam' ELSE instrument END || ')' END AS target, {ARRIVAL} AS arrival, (program, obsnum, instrument) AS g FROM e WHERE {FIELD} = 'treasury' OR obsnum <> ''), r(run, fresh) AS (VALUES (0, false), (1, false), (2, true), (3, true), (4, false))
+SELECT run, target, CASE WHEN bool_or(arrival OR fresh) THEN 'comment' ELSE 'edit' END AS route, count(DISTINCT g) AS n_groups FROM x, r GROUP BY run, target""",
 )
 def routing(spark, d):
+    from functools import reduce
+
     e = mapped(spark, d)
-    text = F.when(F.col("program") % 5 == 1, "over budget by far").otherwise("failed to run")
-    down = e.where("program % 5 in (1, 2)").select(*M.GROUP, text.alias("text")).distinct()
-    return M.routed(e, down, "budget", 7)
+    runs = [(None, None), ("CAPPED \u2014 9 group(s)", "CAPPED"), ("LOW DISK: 1 TB", "CAPPED"), ("LOW DISK: 1 TB", None), ("SEED RUN", None)]
+    each = [M.routed(e, None if n is None else F.lit(n), memo, "treasury").withColumn("run", F.lit(i)) for i, (n, memo) in enumerate(runs)]
+    return reduce(lambda a, b: a.unionByName(b), each)
+
 
+@query(
+    "event_lines",
+    f"""{BASE} SELECT rpad(event, 16, ' ') || ' ' || program || ' ' || obs_id || ' [field=' || coalesce(nullif({FIELD}, ''), '?unmapped?') || ' tile=' || target_name || ' filters=' || coalesce(filters, '?') || ']' ||
+  CASE WHEN event = 'CALIB_LEVEL_UP' THEN ' (level ' || coalesce(previous::VARCHAR, 'None') || ' -> ' || calib_level || ')' ELSE ' calib=' || coalesce(calib_level::VARCHAR, 'None') || ' release=' || coalesce(strftime(make_timestamp(((t_obs_release - 40587) * 86400000000)::BIGINT), '%Y-%m-%d %H:%M UTC'), 'unknown') END ||
+  CASE WHEN {READY} THEN '' ELSE ' PLANNED(no released calibrated data yet)' END AS line FROM e""",
+)
+def event_lines(spark, d):
+    e = mapped(spark, d).withColumns({"ready": select.event_ready(), "tile": F.col("target_name")})
+    return e.select(M.S.event_text({c: F.col(c) for c in e.columns}).alias("line"))
 
-@query("notice_memo", "SELECT CASE WHEN bool_and(o_orderkey >= 0) THEN 'budget' END AS memo FROM orders WHERE o_orderkey % 2 = 0")
+
+@query(
+    "notice_memo",
+    """WITH r AS (SELECT DISTINCT o_custkey AS run, ['LOW DISK', 'CAPPED', NULL, NULL][o_custkey % 4 + 1] AS class, CASE WHEN o_custkey % 2 = 0 THEN 'CAPPED' END AS memo FROM orders), p AS (SELECT o_custkey AS run, bool_and(o_orderkey % 97 <> 0 AND o_orderstatus <> 'F') AS ok FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1)
+SELECT run, CASE WHEN class IS NULL THEN NULL WHEN ok THEN class ELSE memo END AS memo FROM r LEFT JOIN p USING (run)""",
+)
 def notice_memo(spark, d):
-    posts = table(spark, d, "orders").select((F.col("o_orderkey") % 2 == 0).alias("notifies"), (F.col("o_orderkey") % 2 == 0).alias("ok"))
-    return M.memo_after(posts, "budget")
+    o = table(spark, d, "orders").withColumn("run", F.col("o_custkey"))
+    notices = [F.when(F.col("run") % 4 == i, n) for i, n in ((0, "LOW DISK: 2 TB"), (1, "CAPPED \u2014 9"), (3, "SEED RUN"))]
+    runs = o.select("run", F.coalesce(*notices).alias("notice"), F.when(F.col("run") % 2 == 0, "CAPPED").alias("memo")).distinct()
+    posts = o.select("run", (F.col("o_orderkey") % 2 == 0).alias("notifies"), F.when(F.col("o_orderkey") % 97 != 0, F.col("o_orderstatus") != "F").alias("ok"))
+    return M.memo_after(runs, posts)
 
 
 SIZES = f"f AS ({INVENTORY.sql}), z AS (SELECT field, filter, obs, CASE WHEN count(size) = count(*) THEN sum(size)::BIGINT END AS bytes, count(*) AS n_products FROM f WHERE ends_with(name, '_cal.fits') OR ends_with(name, '_i2d.fits') GROUP BY ALL)"
@@ -192,8 +214,8 @@ def pointings(spark, d):
 
 @query(
     "registry_build",
-    f"""{BASE}, t AS (SELECT program, obsnum, instrument, t_obs_release, unnest(CASE WHEN filters IS NULL THEN ['-'] ELSE [upper(x) for x in string_split_regex(filters, '[;,]')] END) AS f FROM n WHERE obsnum <> '' AND coalesce(calib_level, 0) >= 2)
-SELECT program, obsnum, instrument, coalesce(string_agg(DISTINCT f, '|' ORDER BY f) FILTER (regexp_matches(f, '^F\\d{{3,4}}[WNM]2?$')), '') AS filters, (min(t_obs_release) - 40587)::BIGINT AS first_day FROM t GROUP BY ALL""",
+    f"""{BASE}, t AS (SELECT program, obsnum, instrument, t_max, unnest(CASE WHEN filters IS NULL THEN ['-'] ELSE [upper(x) for x in string_split_regex(filters, '[;,]')] END) AS f FROM n WHERE obsnum <> '' AND coalesce(calib_level, 0) >= 2)
+SELECT program, obsnum, CASE instrument WHEN '' THEN 'NIRCam' ELSE instrument END AS instrument, coalesce(string_agg(DISTINCT f, '|' ORDER BY f) FILTER (regexp_matches(f, '^F\\d{{3,4}}[WNM]2?$')), '') AS filters, (min(t_max) - 40587)::BIGINT AS first_day FROM t GROUP BY ALL""",
 )
 def registry_build(spark, d):
     r = M.registry(new(spark, d))
@@ -207,9 +229,9 @@ def coverage_gap(spark, d):
     return M.coverage_gap(seen, seen.where("program % 4 = 2 and obsnum >= '300'").unionByName(whole))
 
 
-@query("poll_digest", f"{BASE} SELECT (SELECT count(DISTINCT program) FROM (SELECT program FROM o UNION SELECT program FROM n)) AS programs, (SELECT count(*) FROM (SELECT obs_id FROM o UNION SELECT obs_id FROM n)) AS observations, (SELECT count(*) FROM o WHERE obs_id NOT IN (SELECT obs_id FROM n)) AS missing")
+@query("poll_digest", f"{BASE} SELECT (SELECT count(DISTINCT program) FROM (SELECT program FROM o UNION SELECT program FROM n)) AS programs, (SELECT count(*) FROM (SELECT obs_id FROM o UNION SELECT obs_id FROM n)) AS observations, (SELECT count(*) FROM o WHERE obs_id NOT IN (SELECT obs_id FROM n)) AS missing, '1998-07-06 00:00 UTC' AS last_poll")
 def poll_digest(spark, d):
-    return M.poll_digest(M.next_state(old(spark, d), new(spark, d), POLL_MJD[1]))
+    return M.poll_digest(M.next_state(old(spark, d), new(spark, d), POLL_MJD[1]), F.lit(POLL_MJD[1]))
 
 
 @query(

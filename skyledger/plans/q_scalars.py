@@ -92,11 +92,13 @@ def tan_project(spark, d):
 
 @query(
     "catalogue_tier",
-    f"""{INV} SELECT k, name, CASE WHEN contains(name, 'm8_dedup') THEN 8 WHEN regexp_extract(name, '_m([1-8])(?:_|\\.|$)', 1) <> '' THEN regexp_extract(name, '_m([1-8])(?:_|\\.|$)', 1)::INT ELSE 0 END AS tier,
-  CASE WHEN contains(name, 'm8_dedup') THEN 'deduplicated' WHEN regexp_extract(name, '_m([1-8])', 1) <> '' THEN 'stage m' || regexp_extract(name, '_m([1-8])', 1) ELSE 'archive' END AS label FROM f""",
+    f"""{INV} SELECT k, name, CASE WHEN contains(name, 'm8_dedup') THEN 8 WHEN contains(name, '_m3') THEN 3 WHEN contains(name, '_m6') THEN 6 ELSE 0 END AS tier,
+  CASE k % 4 WHEN 0 THEN CASE WHEN contains(name, '_m8') THEN 'release m8' WHEN contains(name, '_m3') THEN 'release m3' WHEN contains(name, '_m6') THEN 'release m6' ELSE 'release' END WHEN 1 THEN 'per-filter DAO positions' WHEN 2 THEN 'MAST catalogue' ELSE 'release catalogue' END AS label FROM f""",
 )
 def catalogue_tier(spark, d):
-    return INVENTORY.df(spark, d).select("k", "name", S.catalogue_tier(F.col("name")).alias("tier"), S.source_label(F.col("name")).alias("label"))
+    k = F.col("k")
+    source = F.when(k % 4 == 0, F.concat(F.lit("release: "), "name")).when(k % 4 == 1, "per-filter Dao").when(k % 4 == 2, F.concat(F.lit("MAST "), "name"))
+    return INVENTORY.df(spark, d).select("k", "name", S.catalogue_tier(F.upper("name")).alias("tier"), S.source_label(source).alias("label"))
 
 
 @query(
@@ -131,55 +133,70 @@ def asinh_stretch(spark, d):
 
 @query(
     "keys_and_text",
-    f"""{POLL} SELECT k, printf('jw%05d-o%s', program, right(obs_id, 3)) AS obsid, program || '-o' || right(obs_id, 3) || CASE WHEN k % 3 = 0 THEN '' ELSE '-miri' END AS key,
-  CASE k % 4 WHEN 0 THEN 'unmapped' WHEN 1 THEN 'budget' WHEN 2 THEN 'failure' ELSE 'none' END AS downgrade, CASE WHEN k % 5 = 0 THEN NULL WHEN k % 5 = 1 THEN NULL ELSE k + 0.5::DOUBLE END AS number,
-  '[NEW] ' || program || '/' || right(obs_id, 3) || ' level ' || calib_level AS line FROM p""",
+    f"""{POLL}, o AS (SELECT *, right(obs_id, 3) AS obs FROM p) SELECT k, printf('jw%05d-o%s', program, obs) AS obsid, program || '-o' || obs AS trigger, program || '-o' || obs || CASE WHEN k % 3 = 2 THEN '-MIRI' ELSE '-NIRCam' END AS download,
+  'GC ' || chr(8212) || printf(' jw%05d-o%s (MIRI)', program, obs) AS title, printf('jw%05d-o%s', program, obs) || CASE WHEN k % 2 = 0 THEN '-002-998' ELSE '' END AS mosaic, '/base/brick/*/pipeline/' || printf('jw%05d-o%s', program, obs) || '*_t001_nircam_*i2d.fits' AS product_glob,
+  k % 6 < 3 AS token_ok, CASE k % 4 WHEN 0 THEN 'LOW DISK' WHEN 1 THEN 'CAPPED' END AS downgrade, CASE WHEN k % 5 = 0 THEN NULL WHEN k % 5 = 1 THEN NULL ELSE k + 0.5::DOUBLE END AS number FROM o""",
 )
 def keys_and_text(spark, d):
-    obs = F.expr("right(obs_id, 3)")
-    inst = F.when(F.col("k") % 3 == 0, "NIRCam").otherwise("MIRI")
-    why = F.when(F.col("k") % 4 == 0, "no mapping for x").when(F.col("k") % 4 == 1, "over budget").when(F.col("k") % 4 == 2, "failed: y")
-    text = F.when(F.col("k") % 5 == 0, "n/a").when(F.col("k") % 5 == 1, "NaN").otherwise((F.col("k") + 0.5).cast("string"))
+    k, program, obs = F.col("k"), F.col("program"), F.expr("right(obs_id, 3)")
+    inst = F.when(k % 3 == 0, "NIRCam").when(k % 3 == 1, "").otherwise("MIRI")
+    token = F.element_at(F.array(*[F.lit(t) for t in ("1", "001-002", "9999", "12345", "001-", "x1")]), (k % 6 + 1).cast("int"))
+    notice = F.when(k % 4 == 0, "LOW DISK: 3.1 TB free").when(k % 4 == 1, "CAPPED \u2014 9 group(s)").when(k % 4 == 2, "SEED RUN, LOW DISK")
+    text = F.when(k % 5 == 0, "n/a").when(k % 5 == 1, "NaN").otherwise((k + 0.5).cast("string"))
     return POLL_1.df(spark, d).select(
         "k",
-        S.obsid(F.col("program"), obs).alias("obsid"),
-        S.action_key(F.col("program"), obs, inst).alias("key"),
-        S.downgrade_class(why).alias("downgrade"),
+        S.obsid(program, obs).alias("obsid"),
+        S.trigger_key(program, obs).alias("trigger"),
+        S.download_key(program, obs, inst).alias("download"),
+        S.observation_title(F.lit("GC"), program, obs, F.lit("MIRI")).alias("title"),
+        S.mosaic_obsid(program, obs, F.when(k % 2 == 0, F.array(F.lit("002"), F.lit("998")))).alias("mosaic"),
+        S.product_glob(F.lit("/base"), F.lit("brick"), program, obs, F.lit("NIRCam")).alias("product_glob"),
+        S.is_obs_token(token).alias("token_ok"),
+        S.downgrade_class(notice).alias("downgrade"),
         S.safe_double(text).alias("number"),
-        S.event_text(F.lit("NEW"), F.col("program"), obs, F.col("calib_level")).alias("line"),
     )
 
 
 @query(
     "midpoint_band",
-    f"""{INV}, g AS (SELECT field, obs, list(DISTINCT filter) AS bands FROM f GROUP BY ALL), u AS (SELECT field, obs, unnest(bands) AS b FROM g), w AS (SELECT *, regexp_extract(b, '(\\d+)', 1)::INT AS n FROM u)
-SELECT field, obs, coalesce(max_by(b, n) FILTER (n < 400), min_by(b, n)) AS band FROM w GROUP BY ALL""",
+    """SELECT o_orderkey AS k, ['8um', '8um', '8um', '8um', '8um', '24um', '24um', '24um', '24um', NULL, NULL][o_orderkey % 11 + 1] AS band FROM orders""",
 )
 def midpoint_band(spark, d):
-    g = INVENTORY.df(spark, d).groupBy("field", "obs").agg(F.collect_set("filter").alias("bands"))
-    return g.select("field", "obs", S.midpoint_band(F.col("bands"), 400).alias("band"))
+    names = ("F560W", "f770w", "F1000W", "F1130W", "F1280W", "F1500W", "F1800W", "F2100W", "F2550W", "F212N", "F1000M")
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("o_orderkey") % 11 + 1).cast("int"))
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), S.midpoint_band(name).alias("band"))
 
 
 @query(
     "job_ids",
-    """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey || '|' || (o_custkey + 7) ELSE o_custkey::VARCHAR END AS jobs FROM orders""",
+    """SELECT o_orderkey AS k, CASE o_orderkey % 3 WHEN 0 THEN o_custkey || '|' || (o_custkey + 9000007) || '|777' WHEN 1 THEN o_custkey || '|' || (o_custkey + 9000007) ELSE '' END AS jobs FROM orders WHERE o_custkey <> 777""",
 )
 def job_ids(spark, d):
-    n, m = F.col("o_custkey").cast("string"), (F.col("o_custkey") + 7).cast("string")
-    two = F.concat(F.lit("x\nSubmitted batch job "), n, F.lit("\njobid: "), m, F.lit("\nSubmitted batch job "), n)
-    text = F.when(F.col("o_orderkey") % 2 == 0, two).otherwise(F.concat(F.lit("jobid: "), n))
-    return table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.array_join(S.job_ids(text), "|").alias("jobs"))
+    n, m = F.col("o_custkey").cast("string"), (F.col("o_custkey") + 9000007).cast("string")
+    bare = F.concat(n, F.lit("\n"), m, F.lit(";nova\nSubmitted batch job 777\njobid: 5"))
+    told = F.concat(F.lit("Submitted batch job "), n, F.lit("\nSubmitted batch job "), m, F.lit("\n  "), n, F.lit("  \nnot 3"))
+    text = F.when(F.col("o_orderkey") % 3 == 0, bare).when(F.col("o_orderkey") % 3 == 1, told)
+    return table(spark, d, "orders").where("o_custkey <> 777").select(F.col("o_orderkey").alias("k"), F.array_join(S.job_ids(text), "|").alias("jobs"))
+
+
+#: Verdicts with the state of their star check and whether they pass.
+VERDICTS = [
+    ('{"pass": true, "checks": {"star_positions": {"pass": true}}}', "pass", True), ('{"pass": false, "checks": {"star_positions": {"pass": false}}}', "fail", False),
+    ('{"pass": 1, "checks": {"star_positions": {"pass": true, "skipped": true}}}', "skipped", True), ('{"pass": 0, "checks": {"star_positions": null}}', "absent", False),
+    ('{"pass": "yes", "checks": {"star_positions": {}}}', "fail", True), ('{"pass": "", "checks": {"star_positions": {"skipped": "no catalogue"}}}', "skipped", False),
+    ('{"pass": [], "checks": {"star_positions": {"skipped": "", "pass": 1}}}', "pass", False), ('{"checks": "none"}', "absent", False), ("not json", "absent", False),
+]
+_LIST = lambda i: "[" + ", ".join(str(v[i]) if isinstance(v[i], bool) else f"'{v[i]}'" for v in VERDICTS) + "]"
 
 
 @query(
     "verdict_state",
-    "SELECT o_orderkey AS k, CASE o_orderkey % 4 WHEN 0 THEN 'pass' WHEN 1 THEN 'fail' WHEN 2 THEN 'skipped' ELSE 'absent' END AS state, (CASE WHEN o_custkey % 8 >= 4 THEN 'N' ELSE 'S' END) || (CASE WHEN o_orderkey % 4 >= 2 THEN 'E' ELSE 'W' END) AS quadrant FROM orders",
+    f"SELECT o_orderkey AS k, {_LIST(1)}[o_orderkey % 9 + 1] AS state, {_LIST(2)}[o_orderkey % 9 + 1] AS passes, (CASE WHEN o_custkey % 8 >= 4 THEN 'N' ELSE 'S' END) || (CASE WHEN o_orderkey % 4 >= 2 THEN 'E' ELSE 'W' END) AS quadrant FROM orders",
 )
 def verdict_state(spark, d):
-    k = F.col("o_orderkey") % 4
-    body = F.when(k == 0, '{"pass": true}').when(k == 1, '{"pass": false}').when(k == 2, '{"pass": true, "skipped": true}').otherwise("null")
-    json = F.concat(F.lit('{"pass": true, "checks": {"star_positions": '), body, F.lit("}}"))
-    return table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), S.verdict_state(json).alias("state"), S.quadrant(k * 2, F.col("o_custkey") % 8, 8).alias("quadrant"))
+    k = F.col("o_orderkey")
+    json = F.element_at(F.array(*[F.lit(v[0]) for v in VERDICTS]), (k % 9 + 1).cast("int"))
+    return table(spark, d, "orders").select(k.alias("k"), S.verdict_state(json).alias("state"), S.verdict_passes(json).alias("passes"), S.quadrant(k % 4 * 2, F.col("o_custkey") % 8, 8).alias("quadrant"))
 
 
 # Predicates ------------------------------------------------------------------------------------------------

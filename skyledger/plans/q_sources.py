@@ -62,12 +62,13 @@ def header_store(spark, d):
 
 def title_lines(spark, d):
     k, two = F.col("o_orderkey"), lambda c, n: F.lpad(c.cast("string"), n, "0")
-    good = F.concat(F.lit("jw"), two(F.col("o_custkey"), 5), F.lit("-o"), two(k % 1000, 3), F.lit(" NIRCam "), F.col("o_orderpriority"))
-    line = F.when(k % 3 == 0, good).when(k % 3 == 1, F.concat(F.lit("jw"), k.cast("string"), F.lit(" broken"))).otherwise("other text")
+    obs = F.concat(F.lit("jw"), two(F.col("o_custkey"), 5), F.lit("-o"), two(k % 1000, 3))
+    good = F.concat("o_orderpriority", F.when(k % 2 == 0, " \u2014 ").otherwise(" - "), obs, F.when(k % 5 == 0, " (MIRI) old").otherwise(" (NIRCam)"))
+    line = F.when(k % 3 == 0, good).when(k % 3 == 1, F.concat(F.lit(" renamed: "), obs, F.lit(" (NIRCam)"))).otherwise("jw1 other text")
     return table(spark, d, "orders").select(k.alias("k"), line.alias("line"))
 
 
-@query("title_lines", "SELECT o_orderkey AS k, o_custkey::INT AS program, lpad((o_orderkey % 1000)::VARCHAR, 3, '0') AS obs, 'NIRCam' AS instrument, o_orderpriority AS name FROM orders WHERE o_orderkey % 3 = 0")
+@query("title_lines", "SELECT o_orderkey AS k, o_custkey::INT AS program, lpad((o_orderkey % 1000)::VARCHAR, 3, '0') AS obs, CASE WHEN o_orderkey % 5 = 0 THEN 'MIRI' ELSE 'NIRCam' END AS instrument, o_orderpriority AS name FROM orders WHERE o_orderkey % 3 = 0")
 def titles(spark, d):
     return io.titles(title_lines(spark, d), "line")[0].drop("line")
 

@@ -77,6 +77,7 @@ _ARCHIVE = {
     "k": "o_orderkey",
     "calib_level": "CASE o_orderstatus WHEN 'P' THEN -1 WHEN 'O' THEN 2 ELSE 3 END",
     "t_obs_release": (f"CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE cast({DAYS[0]} + 40587 as double) END", f"CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE cast({DAYS[1]} + 40587 as double) END"),
+    "t_max": (f"CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE cast({DAYS[0]} + 40587 - o_custkey % 400 as double) END", f"CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE cast({DAYS[1]} + 40587 - o_custkey % 400 as double) END"),
     "instrument_name": "CASE o_custkey % 5 WHEN 0 THEN 'NIRCAM/IMAGE' WHEN 1 THEN 'MIRI/IMAGE' WHEN 2 THEN 'nircam' WHEN 3 THEN 'NIRISS/WFSS' ELSE NULL END",
     "filters": "CASE o_orderkey % 3 WHEN 0 THEN 'CLEAR;F212N' WHEN 1 THEN 'f444w,F470N;F444W' ELSE NULL END",
     "target_name": "concat('GC_', cast(o_orderkey % 60 as string))",

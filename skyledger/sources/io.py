@@ -115,15 +115,18 @@ def header_store(headers: DataFrame, keywords: Sequence[str], order: str) -> Dat
     return last.groupBy("obsid").pivot("keyword", list(keywords)).agg(F.first("value"))
 
 
-TITLE = r"^jw(\d{5})-o(\d{3})\s+(\S+)\s+(.+)$"
+#: Fixed values: 'name - jwPPPPP-oNNN (instrument)', with a long dash or a short one, and what looks like an observation.
+TITLE = r"(?i)^(.*?)\s+[\u2014-]\s+jw0*(\d+)-o(\d{3})\s+\((NIRCam|MIRI)\)"
+OBS_LIKE = r"(?i)jw\d{5}-o\d{3}"
 
 
 def titles(lines: DataFrame, line: str) -> tuple[DataFrame, DataFrame]:
-    """Parsed title lines, and lines that look like an observation but do not parse."""
-    pick = lambda g: F.regexp_extract(line, TITLE, g)
-    ok = F.col(line).rlike(TITLE)
-    parsed = lines.where(ok).select("*", pick(1).cast("int").alias("program"), pick(2).alias("obs"), pick(3).alias("instrument"), pick(4).alias("name"))
-    return parsed, lines.where(~ok & F.col(line).rlike(r"^jw\d"))
+    """Parsed title lines, and lines that carry an observation but do not parse; other lines are in neither."""
+    text = F.trim(F.col(line))
+    pick = lambda g: F.regexp_extract(text, TITLE, g)
+    ok = F.coalesce(text.rlike(TITLE), F.lit(False))
+    parsed = lines.where(ok).select("*", pick(2).cast("int").alias("program"), pick(3).alias("obs"), pick(4).alias("instrument"), pick(1).alias("name"))
+    return parsed, lines.where(~ok & text.rlike(OBS_LIKE))
 
 
 def job_listing(lines: DataFrame, line: str, prefix: str, arity: int = 5) -> DataFrame:

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from skyledger.functions import scalars
 from skyledger.operators import gates, inventory, offset, select, stats
 from skyledger.sources import io
 
@@ -35,22 +36,83 @@ def test_layout_tie_goes_to_the_newer(spark):
     assert got == {"d": ("flat", 2, True), "e": ("pipeline", 1, False)}
 
 
-def gate(spark, images, verdicts):
-    i = spark.createDataFrame(images, "path string, sha string")
-    v = spark.createDataFrame(verdicts, "path string, tree boolean, pass boolean, state string, sha string")
-    return gates.release_gate(gates.covering_verdict(i, v).withColumn("page", F.lit(1)), ["page"], F.lit(True)).first()
-
-
-def test_release_gate_fails_closed(spark):
-    assert not gate(spark, [("a/b/c.png", "h")], [("x/y.json", False, True, "pass", "h")]).ok
-    assert gate(spark, [("a/b/c.png", "h")], [("a/b/c.json", False, True, "pass", "h")]).ok
-    other = gate(spark, [("a/b/c.png", "h")], [("a/b/c.json", False, True, "pass", "old")])
-    assert not other.ok and other.reasons == "verdict of other bytes"
-    failed = gate(spark, [("a/b/c.png", "h")], [("a/b/c.json", False, False, "fail", "h")])
-    assert not failed.ok and failed.reasons == "star check failed"
-    assert gate(spark, [("a/b/c.png", "h")], [("a", True, True, "pass", "t")]).ok
-    near = gate(spark, [("a/b/c.png", "h")], [("a", True, True, "pass", "t"), ("a/b", True, False, "fail", "t")])
-    assert not near.ok
+SCHEMA = "path string, tree boolean, pass boolean, state string, png_sha string, jpg_sha string, source_sha string"
+
+
+def gate(spark, verdicts, star=False, unbound=False, images=(("a/b/c.png", "h"),)):
+    i = spark.createDataFrame(list(images), "path string, sha string").withColumn("page", F.lit(1))
+    c = gates.covering_verdicts(i, spark.createDataFrame(verdicts, SCHEMA))
+    r = gates.release_gate(c, ["page"], F.lit(star), F.lit(unbound)).first()
+    return r.ok, r.reasons
+
+
+def own(ok=True, state="pass", sha="h"):
+    return ("a/b/c.validation.json", False, ok, state, sha, "no", None)
+
+
+def tree(root="a", ok=True, state="pass", sha="t", source="t"):
+    return (root, True, ok, state, sha, None, source)
+
+
+@pytest.mark.parametrize(
+    "verdicts, star, unbound, want",
+    [
+        ([], True, True, (False, "no verdict")),
+        ([own()], False, False, (True, "")),
+        ([own(ok=False)], True, True, (False, "validation failed")),
+        ([own(ok=None)], True, True, (False, "validation failed")),
+        ([own(state="fail")], True, True, (False, "star check failed")),
+        ([own(state="skipped")], False, False, (False, "star check skipped")),
+        ([own(state="absent")], False, False, (False, "star check absent")),
+        ([own(state=None)], False, False, (False, "star check absent")),
+        ([own(state="skipped")], True, False, (True, "")),
+        ([own(state="absent")], True, False, (True, "")),
+        ([own(state="odd")], True, True, (False, "star check failed")),
+        ([own(sha=None)], True, True, (False, "verdict without hash")),
+        ([own(sha="old")], True, True, (False, "verdict of other bytes")),
+        ([tree()], False, False, (True, "")),
+        ([tree(source="u")], True, True, (False, "tree verdict of other bytes")),
+        ([tree(source=None)], True, False, (False, "tree verdict unbound")),
+        ([tree(sha=None)], True, False, (False, "tree verdict unbound")),
+        ([tree(source=None)], False, True, (True, "")),
+        ([tree("z")], True, True, (False, "no verdict")),
+        # Any covering verdict may let an image out, near or far.
+        ([own(sha="old"), tree()], False, False, (True, "")),
+        ([tree("a/b", ok=False), tree("a")], False, False, (True, "")),
+        ([tree("a/b", ok=False), tree("a", state="fail")], True, True, (False, "star check failed; validation failed")),
+    ],
+)
+def test_release_gate_fails_closed(spark, verdicts, star, unbound, want):
+    assert gate(spark, verdicts, star, unbound) == want
+
+
+def test_release_gate_binds_each_kind_of_image_and_refuses_no_images(spark):
+    both = [("a/b/c.png", "no"), ("a/b/c.jpg", "no")]
+    assert gate(spark, [("a/b/c.validation.json", False, True, "pass", "no", "no", None)], images=both) == (True, "")
+    assert gate(spark, [("a/b/c.validation.json", False, True, "pass", "no", "other", None)], images=both) == (False, "verdict of other bytes")
+    i = spark.createDataFrame([], "path string, sha string, page int")
+    c = gates.covering_verdicts(i, spark.createDataFrame([own()], SCHEMA))
+    r = gates.release_gate(c, ["page"], F.lit(True), expected=spark.createDataFrame([(7,)], "page int")).collect()
+    assert [(x.page, x.ok, x.reasons, x.n) for x in r] == [(7, False, "no images", 0)]
+
+
+def test_literal_rules(spark):
+    one = lambda c: spark.range(1).select(c.alias("x")).first().x
+    text = "12345\n12346;nova\nSubmitted batch job 777\njobid: 5\n12345\n"
+    assert one(scalars.job_ids(F.lit(text))) == ["12345", "12346", "777"]
+    assert one(scalars.job_ids(F.lit(None).cast("string"))) == []
+    assert one(scalars.download_key(F.lit(2221), F.lit("002"), F.lit(""))) == "2221-o002-NIRCam"
+    assert one(scalars.download_key(F.lit(2221), F.lit("002"), F.lit("MIRI"))) == "2221-o002-MIRI"
+    assert one(scalars.trigger_key(F.lit(2221), F.lit("002"))) == "2221-o002"
+    assert one(scalars.downgrade_class(F.lit("CAPPED \u2014 5"))) == "CAPPED" and one(scalars.downgrade_class(F.lit("SEED RUN"))) is None
+    assert [one(scalars.midpoint_band(F.lit(f))) for f in ("F1280W", "F1500W", "F212N")] == ["8um", "24um", None]
+    assert one(scalars.source_label(F.lit("release x_M7.fits"), "p")) == "p m7" and one(scalars.source_label(F.lit(""), "p")) == "p catalogue"
+    names = spark.createDataFrame([("cat_M5.fits", 5), ("x_m8_dedup_cat.fits", 8), ("x_m12.fits", 0), ("x_m4-v2", 4)], "name string, tier int")
+    assert names.where(scalars.catalogue_tier(F.col("name")) != F.col("tier")).count() == 0
+    lines = spark.createDataFrame([(" Brick \u2014 jw02221-o001 (NIRCam) ",), ("Sgr B2 - jw05365-o002 (miri)",), ("Brick: jw02221-o003",), ("meta",), (None,)], "t string")
+    good, odd = io.titles(lines, "t")
+    assert [(r.name, r.program, r.obs, r.instrument) for r in good.collect()] == [("Brick", 2221, "001", "NIRCam"), ("Sgr B2", 5365, "002", "miri")]
+    assert [r.t for r in odd.collect()] == ["Brick: jw02221-o003"]
 
 
 def test_weighted_median_is_the_lower_one(spark):
