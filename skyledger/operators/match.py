@@ -1,6 +1,6 @@
 """Joins on the sky. Catalogues have columns ra and dec in degrees; separations are in arcseconds.
 
-A radius join is an equi join on sky buckets as wide as the radius: the smaller side takes the 3 x 3 buckets
+A radius join is an equi join on sky buckets as wide as the radius: the second side takes the 3 x 3 buckets
 around each of its rows, the other side its own bucket, and the exact distance decides. Right ascension wraps at
 360 degrees. Rows whose position is null or NaN match nothing.
 """
@@ -34,25 +34,29 @@ def finite(df: DataFrame, *columns: str) -> DataFrame:
     return df
 
 
-def radius_join(a: DataFrame, b: DataFrame, radius: float, keys: Sequence[str] = (), max_abs_dec: float | None = None) -> DataFrame:
+def radius_join(a: DataFrame, b: DataFrame, radius: float, keys: Sequence[str] = ()) -> DataFrame:
     """Pairs at most ``radius`` arcseconds apart with equal ``keys``.
 
-    Columns of a are named a_<column>, those of b b_<column>; ``sep`` is the distance. ``max_abs_dec`` bounds the
-    declinations; without it one aggregate over b's declinations finds the bound.
+    Columns of a are named a_<column>, those of b b_<column>; ``sep`` is the distance. Declination bands are as high as the
+    radius, and each band has its own cells in right ascension, as wide as the radius is there: rows near a pole make
+    the cells of no other band wider. b takes the 3 x 3 cells around each of its rows, so it should be the smaller side.
     """
     a, b = finite(a, "ra", "dec"), finite(b, "ra", "dec")
-    if max_abs_dec is None:
-        max_abs_dec = b.agg(F.max(F.abs("dec"))).first()[0] or 0.0
-    width = radius / ARCSEC * 1.0001
-    shrink = math.cos(math.radians(min(max_abs_dec + 2 * width, 89.9)))
-    cells = max(1, int(360.0 * shrink / width))
-    ra_width = 360.0 / cells
-    bx = F.floor(F.pmod(F.col("ra"), F.lit(360.0)) / ra_width).cast("long")
-    by = F.floor(F.col("dec") / width).cast("long")
-    left = a.select(*[F.col(c).alias(f"a_{c}") for c in a.columns], bx.alias("_bx"), by.alias("_by"))
-    near = F.array(*[F.struct(F.pmod(bx + i, F.lit(cells)).alias("x"), (by + j).alias("y")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    right = b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns], F.explode(near).alias("_c"))
-    right = right.withColumns({"_bx": F.col("_c.x"), "_by": F.col("_c.y")}).drop("_c")
+    height = radius / ARCSEC * 1.0001
+
+    def cells(band: Column) -> Column:
+        far = F.least(F.greatest(F.abs(band), F.abs(band + 1)) * height + 2 * height, F.lit(90.0))
+        half = F.asin(F.least(F.lit(1.0), math.sin(math.radians(height / 2)) / F.greatest(F.cos(F.radians(far)), F.lit(1e-12))))
+        return F.greatest(F.lit(1), F.floor(360.0 / (F.degrees(half) * 2)).cast("long"))
+
+    def column(ra: Column, n: Column) -> Column:
+        return F.least(F.floor(F.pmod(ra, F.lit(360.0)) / 360.0 * n).cast("long"), n - 1)
+
+    band = F.floor(F.col("dec") / height).cast("long")
+    left = a.select(*[F.col(c).alias(f"a_{c}") for c in a.columns], band.alias("_by")).withColumn("_bx", column(F.col("a_ra"), cells(F.col("_by"))))
+    right = b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns], F.explode(F.array(*[band + j for j in (-1, 0, 1)])).alias("_by"))
+    right = right.withColumn("_n", cells(F.col("_by"))).withColumn("_x", column(F.col("b_ra"), F.col("_n")))
+    right = right.withColumn("_bx", F.explode(F.array_distinct(F.array(*[F.pmod(F.col("_x") + i, F.col("_n")) for i in (-1, 0, 1)])))).drop("_n", "_x")
     on = (left["_bx"] == right["_bx"]) & (left["_by"] == right["_by"])
     for k in keys:
         on = on & (left[f"a_{k}"] == right[f"b_{k}"])
@@ -80,9 +84,9 @@ def one_to_one(pairs: DataFrame, keys: Sequence[str] = (), a: str = "a_id", b: s
     return nearest(nearest(pairs, a, b, keys=keys), b, a, keys=keys)
 
 
-def isolated(stars: DataFrame, radius: float, keys: Sequence[str] = (), id_: str = "id", max_abs_dec: float | None = None) -> DataFrame:
+def isolated(stars: DataFrame, radius: float, keys: Sequence[str] = (), id_: str = "id") -> DataFrame:
     """Stars without another star of the same catalogue within ``radius``."""
-    pairs = radius_join(stars.select(*keys, id_, "ra", "dec"), stars.select(*keys, id_, "ra", "dec"), radius, keys, max_abs_dec)
+    pairs = radius_join(stars.select(*keys, id_, "ra", "dec"), stars.select(*keys, id_, "ra", "dec"), radius, keys)
     crowded = pairs.where(F.col(f"a_{id_}") != F.col(f"b_{id_}")).select(*[F.col(f"a_{k}").alias(k) for k in (*keys, id_)]).distinct()
     return finite(stars, "ra", "dec").join(crowded, [*keys, id_], "left_anti")
 
@@ -97,10 +101,12 @@ def unambiguous(pairs: DataFrame, near: float, clear: float, keys: Sequence[str]
 def two_band_colours(a: DataFrame, b: DataFrame, radius: float = 0.05, least: int = 100, keys: Sequence[str] = ()) -> DataFrame:
     """Colours a - b of mutual matches within ``radius``; a group with fewer than ``least`` has null colours and a reason.
 
-    Catalogues in different magnitude systems (column ``system``) are refused the same way.
+    Catalogues in different magnitude systems (column ``system``) are refused the same way, unknown systems too.
     """
-    pairs = mutual_nearest(radius_join(a, b, radius, keys).where(F.col("sep") < radius), [f"a_{k}" for k in keys])
-    n = F.count(F.lit(1)).over(W.partitionBy(*[f"a_{k}" for k in keys])) if keys else F.count(F.lit(1)).over(W.partitionBy(F.lit(1)))
-    same = F.col("a_system") == F.col("b_system")
-    reason = F.when(n < least, "too few matches").when(~same, "magnitude systems differ")
-    return pairs.withColumn("reason", reason).withColumn("colour", F.when(F.col("reason").isNull(), F.col("a_mag") - F.col("b_mag")))
+    k = [f"a_{c}" for c in keys]
+    pairs = mutual_nearest(radius_join(a, b, radius, keys).where(F.col("sep") < radius), k)
+    n = pairs.groupBy(*k).agg(F.count(F.lit(1)).alias("_n"))
+    pairs = pairs.join(n, k) if k else pairs.crossJoin(F.broadcast(n))  # one row
+    same = F.coalesce(F.col("a_system") == F.col("b_system"), F.lit(False))
+    reason = F.when(F.col("_n") < least, "too few matches").when(~same, "magnitude systems differ")
+    return pairs.withColumn("reason", reason).drop("_n").withColumn("colour", F.when(F.col("reason").isNull(), F.col("a_mag") - F.col("b_mag")))

@@ -14,38 +14,46 @@ from .offset import mad_std, median
 
 
 def clipped_line(df: DataFrame, keys: Sequence[str], x: str = "x", y: str = "y", rounds: int = 5, sigmas: float = 3.0, least: int = 30) -> DataFrame:
-    """Line y = slope * x + intercept by rounds of fitting and clipping at ``sigmas`` scaled deviations.
+    """Line y = slope * x + intercept by fitting and up to ``rounds`` of clipping and fitting again.
 
-    A group stops when a round keeps all its rows or would leave fewer than ``least``; it then has the values of its
-    last fit. Returns keys, slope, intercept, scatter, n. Groups go on independently.
+    A round keeps the rows whose residual is under ``sigmas`` scaled deviations. A group stops when it keeps all its rows
+    or would keep fewer than ``least``; it then has the values of its last fit. Returns keys, slope, intercept, scatter,
+    n. Groups go on independently; a group of one x has null values.
     """
     g = list(keys)
     now = staged(df.select(*g, F.col(x).alias("x"), F.col(y).alias("y")), "fit")
     done: DataFrame | None = None
-    for r in range(rounds):
+    for r in range(rounds + 1):
         line = now.groupBy(*g).agg(F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"), F.count(F.lit(1)).alias("n"))
         res = now.join(line, g).withColumn("r", F.col("y") - (F.col("slope") * F.col("x") + F.col("intercept")))
-        stat = line.join(mad_std(res, g, "r").select(*g, F.col("r_med").alias("centre"), F.col("r_mad").alias("scatter")), g)
-        kept = res.join(stat.select(*g, "centre", "scatter"), g).groupBy(*g).agg(F.count_if(F.abs(F.col("r") - F.col("centre")) < sigmas * F.col("scatter")).alias("kept"))
+        stat = line.join(mad_std(res, g, "r").select(*g, F.col("r_mad").alias("scatter")), g)
+        kept = res.join(stat.select(*g, "scatter"), g).groupBy(*g).agg(F.count_if(F.abs("r") < sigmas * F.col("scatter")).alias("kept"))
         # One row a group; written, so that a round's plan does not hold those of all rounds before.
-        limits = staged(stat.join(kept, g).withColumn("open", (F.col("kept") < F.col("n")) & (F.col("kept") >= least) & F.lit(r < rounds - 1)), "fit-limits")
+        limits = staged(stat.join(kept, g).withColumn("open", (F.col("kept") < F.col("n")) & (F.col("kept") >= least) & F.lit(r < rounds)), "fit-limits")
         over = limits.where(~F.col("open")).select(*g, "slope", "intercept", "scatter", "n")
         done = over if done is None else done.unionByName(over)
-        prior = limits.where("open").select(*g, F.col("slope").alias("_s"), F.col("intercept").alias("_i"), F.col("centre").alias("_c"), F.col("scatter").alias("_w"))
+        prior = limits.where("open").select(*g, F.col("slope").alias("_s"), F.col("intercept").alias("_i"), F.col("scatter").alias("_w"))
         residual = F.col("y") - (F.col("_s") * F.col("x") + F.col("_i"))
-        now = now.join(prior, g).where(F.abs(residual - F.col("_c")) < sigmas * F.col("_w")).drop("_s", "_i", "_c", "_w")
+        now = now.join(prior, g).where(F.abs(residual) < sigmas * F.col("_w")).drop("_s", "_i", "_w")
     return done
 
 
 def sigma_clipped(df: DataFrame, keys: Sequence[str], value: str, rounds: int = 5, sigmas: float = 3.0) -> DataFrame:
-    """Mean, median and standard deviation after clipping at ``sigmas`` deviations around the median."""
+    """Mean, median and standard deviation after clipping at ``sigmas`` deviations around the median.
+
+    Limits only narrow, so a round reads the values once and keeps what lies within the limits of all rounds before: one
+    staged row a group.
+    """
     g = list(keys)
     p = df.select(*g, F.col(value).alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
     stat = lambda d: d.groupBy(*g).agg(F.avg("v").alias("mean"), median("v").alias("median"), F.stddev_pop("v").alias("std"), F.count(F.lit(1)).alias("n"))
     s = stat(p)
-    for _ in range(rounds):
-        p = p.join(s.select(*g, F.col("median").alias("_m"), F.col("std").alias("_s")), g).where(F.abs(F.col("v") - F.col("_m")) <= sigmas * F.col("_s")).drop("_m", "_s")
-        s = stat(p)
+    bounds = staged(s.select(*g, (F.col("median") - sigmas * F.col("std")).alias("_lo"), (F.col("median") + sigmas * F.col("std")).alias("_hi")), "clip")
+    for r in range(rounds):
+        s = stat(p.join(bounds, g).where((F.col("v") >= F.col("_lo")) & (F.col("v") <= F.col("_hi"))))
+        if r < rounds - 1:
+            x = s.join(bounds, g).select(*g, F.greatest("_lo", F.col("median") - sigmas * F.col("std")).alias("_lo"), F.least("_hi", F.col("median") + sigmas * F.col("std")).alias("_hi"))
+            bounds = staged(x, "clip")
     return s
 
 
@@ -102,19 +110,39 @@ def amp90(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     return cells.groupBy(*keys).agg(F.percentile(F.hypot("dra", "ddec"), 0.9).alias("amp90"), F.count(F.lit(1)).alias("cells"))
 
 
+#: Multipliers of the permutations of ranks: primes, so coprime to the number of rows of any group under 10^9.
+_PRIMES = (1_000_000_007, 1_000_000_009, 1_000_000_021, 1_000_000_033, 1_000_000_087, 1_000_000_093, 1_000_000_097)
+
+
+def hash_ranks(df: DataFrame, keys: Sequence[str], id_: str) -> DataFrame:
+    """Rows numbered from 0 in the order of md5(id) within their group (_r), with the group's size (_m).
+
+    The first two digits of the hash deal a group to 256 windows, whose sizes give the others their first number.
+    """
+    g = list(keys)
+    h = F.md5(F.col(id_).cast("string"))
+    x = df.withColumns({"_h": h, "_b": F.substring(h, 1, 2)})
+    n = x.groupBy(*g, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    w = W.partitionBy(*g)
+    n = n.select(*g, "_b", (F.sum("_c").over(w.orderBy("_b")) - F.col("_c")).alias("_o"), F.sum("_c").over(w).alias("_m"))
+    r = F.row_number().over(W.partitionBy(*g, "_b").orderBy("_h", id_)) - 1
+    return x.withColumn("_r", r).join(n, [*g, "_b"]).withColumn("_r", F.col("_r") + F.col("_o")).drop("_h", "_b", "_o")
+
+
 def shuffled_null(df: DataFrame, keys: Sequence[str], id_: str = "id", permutations: int = 20, n: int = 12, least: int = 3) -> DataFrame:
     """Null of amp90 by shuffled positions: median null amplitude and p = (#(null >= amp) + 1) / (permutations + 1).
 
-    Offsets in id order meet positions in the order of a hash of id and permutation, group by group.
+    Rows are ranked once, by a hash of their id. In permutation p the offsets of rank r meet the position of rank
+    (r * prime + p * (size / permutations) + 1) modulo the group's size, for one of a few primes.
     """
     g = list(keys)
     real = amp90(sky_map(df, g, n, least), g)
-    copies = df.withColumn("_p", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
-    w = W.partitionBy(*g, "_p")
-    places = copies.select(*g, "_p", "ra", "dec", F.row_number().over(w.orderBy(F.xxhash64(id_, "_p"), id_)).alias("_r"))
-    values = copies.select(*g, "_p", "dra", "ddec", F.row_number().over(w.orderBy(id_)).alias("_r"))
-    null = amp90(sky_map(values.join(places, [*g, "_p", "_r"]), [*g, "_p"], n, least), [*g, "_p"]).withColumnRenamed("amp90", "null_amp")
-    x = null.join(real, g)
+    ranked = staged(hash_ranks(df.select(*g, id_, "ra", "dec", "dra", "ddec"), g, id_), "ranks")
+    prime = F.element_at(F.array(*[F.lit(p) for p in _PRIMES]), (F.col("_p") % len(_PRIMES) + 1).cast("int"))
+    turned = F.pmod(F.col("_r") * prime + F.col("_p") * F.floor(F.col("_m") / permutations) + 1, F.col("_m"))
+    values = ranked.withColumn("_p", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1)))).select(*g, "_p", "dra", "ddec", turned.alias("_r"))
+    null = amp90(sky_map(values.join(ranked.select(*g, "_r", "ra", "dec"), [*g, "_r"]), [*g, "_p"], n, least), [*g, "_p"]).withColumnRenamed("amp90", "null_amp")
+    x = null.join(real.select(*g, "amp90"), g)
     return x.groupBy(*g, "amp90").agg(median("null_amp").alias("null_median"), ((F.count_if(F.col("null_amp") >= F.col("amp90")) + 1) / (permutations + 1)).alias("p_value"))
 
 
@@ -137,39 +165,76 @@ def zeropoint(matched: DataFrame, keys: Sequence[str], mag: str, reference_mag:
 
 
 def detector_residuals(pairs: DataFrame, field: str, detector: str, least: int = 50) -> DataFrame:
-    """Median residual of each detector against its field's median, with scatter and the field's worst detector.
+    """Median residual of each detector against its field's median, with scatter, the field's worst detector and the
+    difference of its modules' means (A - B; null where one is missing).
 
-    pairs has dra and ddec in mas. Detectors with fewer than ``least`` pairs are left out.
+    pairs has dra and ddec in mas. Detectors, named nrca1 to nrcblong, with fewer than ``least`` pairs are left out.
     """
     g = [field, detector]
     x = pairs.select(*g, "dra", "ddec")
     m = mad_std(x, g, "dra", "ddec").join(x.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least), g)
     f = m.groupBy(field).agg(median("dra_med").alias("_fx"), median("ddec_med").alias("_fy"))
     m = m.join(f, field).select(*g, "n", (F.col("dra_med") - F.col("_fx")).alias("dra"), (F.col("ddec_med") - F.col("_fy")).alias("ddec"), F.hypot("dra_mad", "ddec_mad").alias("scatter"))
-    worst = F.max_by(detector, F.struct(F.hypot("dra", "ddec"), -F.col(detector))).over(W.partitionBy(field))
-    return m.withColumn("worst", worst)
+    # Ties go to the first detector by name: fewer than a dozen rows a field are sorted.
+    w = W.partitionBy(field)
+    worst = F.first(detector).over(w.orderBy(F.hypot("dra", "ddec").desc(), detector).rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    side = F.upper(F.substring(detector, 4, 1))
+    gap = lambda c: F.avg(F.when(side == "A", F.col(c))).over(w) - F.avg(F.when(side == "B", F.col(c))).over(w)
+    return m.withColumns({"worst": worst, "module_dra": gap("dra"), "module_ddec": gap("ddec")})
 
 
-def frame_scatter(detections: DataFrame, keys: Sequence[str], tol: float = 0.04, exposures: int = 3) -> DataFrame:
-    """Scatter between frames: detections grouped around leaders, per-axis standard deviation / sqrt(2) in mas.
+def sky_groups(detections: DataFrame, keys: Sequence[str], tol: float, order: Sequence[str]) -> DataFrame:
+    """Detections grouped as if taken one by one in ``order``: each that is not in a group yet opens one and takes all
+    others within ``tol`` arcseconds that are in none. Adds ``leader``, the id of the one that opened the group.
 
-    A detection leads if none with a smaller (mag, id) lies within ``tol`` arcseconds; the others join their nearest
-    leader, and one without a leader within ``tol`` is left out. Groups need ``exposures`` distinct exposures.
-    (Where clusters are over two tolerances apart this is the grouping in order of detection.)
+    Pairs are joined once and staged. In a round a detection looks at its first neighbour before it that leads or is
+    undecided: without any it leads itself, one that leads takes it, else it waits. Each round decides at least the first
+    of those that are left.
     """
     g = list(keys)
-    pairs = match.radius_join(detections, detections, tol, g)
-    before = F.struct("b_mag", "b_id") < F.struct("a_mag", "a_id")
-    led = pairs.where(before).select(*[F.col(f"a_{k}").alias(k) for k in g], F.col("a_id").alias("id")).distinct()
-    leaders = detections.join(led, [*g, "id"], "left_anti")
-    members = match.nearest(match.radius_join(detections, leaders, tol, g), "a_id", "b_id", keys=[f"a_{k}" for k in g])
-    m = members.groupBy(*[F.col(f"a_{k}").alias(k) for k in g], F.col("b_id").alias("leader")).agg(
-        F.count_distinct("a_exposure").alias("n_exposures"),
-        F.avg("a_mag").alias("mag"),
-        (F.stddev_pop(F.col("a_ra") * F.cos(F.radians("b_dec"))) * 3.6e6 / F.sqrt(F.lit(2.0))).alias("sx"),
-        (F.stddev_pop("a_dec") * 3.6e6 / F.sqrt(F.lit(2.0))).alias("sy"),
-    )
-    return m.where(F.col("n_exposures") >= exposures)
+    d = detections.withColumn("_o", F.struct(*order, "id"))
+    k = [F.col(f"a_{c}").alias(c) for c in g]
+    slim = d.select(*g, "id", "ra", "dec", "_o")
+    pairs = match.radius_join(slim, slim, tol, g).where("a_id <> b_id")
+    pairs = pairs.where(F.col("b__o") < F.col("a__o"))
+    pairs = staged(pairs.select(*k, F.col("a_id").alias("id"), F.col("b_id").alias("other"), F.col("b__o").alias("_oo")), "near")
+    node = [*g, "id"]
+    open_, out = staged(d.select(*node), "open"), None
+    while open_.limit(1).count():
+        state = open_.withColumn("leads", F.lit(False))
+        if out is not None:
+            state = state.unionByName(out.where("id = leader").select(*node, F.lit(True).alias("leads")))
+        live = pairs.join(open_, node, "left_semi").join(state.withColumnRenamed("id", "other"), [*g, "other"])
+        first = live.groupBy(*node).agg(F.min_by(F.struct("other", "leads"), "_oo").alias("_f"))
+        x = open_.join(first, node, "left").select(*node, F.when(F.col("_f").isNull(), F.col("id")).when(F.col("_f.leads"), F.col("_f.other")).alias("leader"))
+        settled = staged(x.where("leader is not null"), "settled")
+        out = settled if out is None else out.unionByName(settled)
+        open_ = staged(open_.join(settled, node, "left_anti"), "open")
+    return detections.withColumn("leader", F.col("id")) if out is None else detections.join(out, node)
+
+
+def frame_scatter(detections: DataFrame, keys: Sequence[str], tol: float = 0.04, exposures: int = 3, brightest: int = 2000, fewest: int = 20, most_exposures: int = 12, least: int = 50) -> DataFrame:
+    """Scatter between frames: sqrt((var ra * cos dec) + var dec) / sqrt(2) in mas and the median magnitude of each group
+    of detections that ``exposures`` distinct exposures share.
+
+    detections: keys, exposure, frame, id, ra, dec, mag. Of each frame the ``brightest`` count, and none if there are fewer
+    than ``fewest``; of a key's exposures the first ``most_exposures`` by name. Groups are taken in the order of exposure,
+    frame and magnitude, see sky_groups. A key with fewer than ``least`` groups, or fewer detections, has no rows.
+    """
+    g = list(keys)
+    x = match.finite(detections, "ra", "dec", "mag")
+    first = x.select(*g, "exposure").distinct().withColumn("_e", F.row_number().over(W.partitionBy(*g).orderBy("exposure"))).where(F.col("_e") <= most_exposures).drop("_e")
+    x = x.join(first, [*g, "exposure"], "left_semi")
+    f = W.partitionBy(*g, "exposure", "frame")
+    x = x.withColumns({"_r": F.row_number().over(f.orderBy("mag", "id")), "_n": F.count(F.lit(1)).over(f)}).where((F.col("_r") <= brightest) & (F.col("_n") >= fewest)).drop("_r", "_n")
+    x = staged(x, "detections")
+    size = x.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), median("dec").alias("_d0")).where(F.col("_n") >= least)
+    x = sky_groups(x.join(size.drop("_n"), g), g, tol, ["exposure", "frame", "mag"])
+    rms = F.hypot(F.stddev_pop("ra") * F.cos(F.radians(F.first("_d0"))), F.stddev_pop("dec")) * 3.6e6 / F.sqrt(F.lit(2.0))
+    m = x.groupBy(*g, "leader").agg(F.count_distinct("exposure").alias("n_exposures"), median("mag").alias("mag"), rms.alias("scatter"))
+    m = m.where((F.col("n_exposures") >= exposures) & (F.col("scatter") > 0))
+    n = m.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least)
+    return m.join(n.drop("_n"), g)
 
 
 def repeatability(df: DataFrame) -> Column:

@@ -211,10 +211,11 @@ def offset_cloud(spark, d):
 
 @query(
     "two_band_colours",
-    f"""{MODULES}, {near('m_a', 'm_b', 0.05, more=', a.mag AS a_mag, b.mag AS b_mag')}
-SELECT a_id, b_id, round(CASE WHEN count(*) OVER (PARTITION BY tile) >= 100 THEN a_mag - b_mag END, 6) AS colour, CASE WHEN count(*) OVER (PARTITION BY tile) < 100 THEN 'too few matches' END AS reason
-FROM (SELECT *, row_number() OVER (PARTITION BY tile, a_id ORDER BY sep, b_id) AS r1, row_number() OVER (PARTITION BY tile, b_id ORDER BY sep, a_id) AS r2 FROM pairs WHERE sep < 0.05) WHERE r1 = 1 AND r2 = 1""",
+    f"""{MODULES}, {near('m_a', 'm_b', 0.05, keys='field', more=', a.mag AS a_mag, b.mag AS b_mag')}
+SELECT a_id, b_id, round(CASE WHEN count(*) OVER (PARTITION BY field) >= 100 AND field NOT IN ('5-LOW', '2-HIGH') THEN a_mag - b_mag END, 6) AS colour, CASE WHEN count(*) OVER (PARTITION BY field) < 100 THEN 'too few matches' WHEN field IN ('5-LOW', '2-HIGH') THEN 'magnitude systems differ' END AS reason
+FROM (SELECT *, row_number() OVER (PARTITION BY field, a_id ORDER BY sep, b_id) AS r1, row_number() OVER (PARTITION BY field, b_id ORDER BY sep, a_id) AS r2 FROM pairs WHERE sep < 0.05) WHERE r1 = 1 AND r2 = 1""",
 )
 def two_band_colours(spark, d):
-    a, b = (m.df(spark, d).withColumn("system", F.lit("Vega")) for m in (MODULE_A, MODULE_B))
-    return match.two_band_colours(a, b, keys=["tile"]).select("a_id", "b_id", F.round("colour", 6).alias("colour"), "reason")
+    a = MODULE_A.df(spark, d).withColumn("system", F.lit("Vega"))
+    b = MODULE_B.df(spark, d).withColumn("system", F.when(F.col("field") == "5-LOW", "AB").when(F.col("field") != "2-HIGH", "Vega"))
+    return match.two_band_colours(a, b, keys=["field"]).select("a_id", "b_id", F.round("colour", 6).alias("colour"), "reason")

@@ -16,15 +16,15 @@ M = offset.MAD
 
 def fit_rounds(rounds: int, source: str) -> str:
     out, now = "", source
-    for r in range(rounds):
+    for r in range(rounds + 1):
         out += f""", l{r} AS (SELECT field, regr_slope(y, x) AS s, regr_intercept(y, x) AS i, count(*) AS n FROM {now} GROUP BY field),
 m{r} AS (SELECT field, s, i, n, median(y - (s * x + i)) AS c FROM {now} JOIN l{r} USING (field) GROUP BY ALL),
-w{r} AS (SELECT field, s, i, n, c, median(abs(y - (s * x + i) - c)) * {M} AS w FROM {now} JOIN m{r} USING (field) GROUP BY ALL),
-k{r} AS (SELECT field, s, i, n, c, w, count(*) FILTER (abs(y - (s * x + i) - c) < 3 * w) AS kept FROM {now} JOIN w{r} USING (field) GROUP BY ALL),
-f{r} AS (SELECT *, kept < n AND kept >= 30 AND {r} < {rounds - 1} AS open FROM k{r}),
-p{r} AS (SELECT field, x, y FROM {now} JOIN f{r} USING (field) WHERE open AND abs(y - (s * x + i) - c) < 3 * w)"""
+w{r} AS (SELECT field, s, i, n, median(abs(y - (s * x + i) - c)) * {M} AS w FROM {now} JOIN m{r} USING (field) GROUP BY ALL),
+k{r} AS (SELECT field, s, i, n, w, count(*) FILTER (abs(y - (s * x + i)) < 3 * w) AS kept FROM {now} JOIN w{r} USING (field) GROUP BY ALL),
+f{r} AS (SELECT *, kept < n AND kept >= 30 AND {r} < {rounds} AS open FROM k{r}),
+p{r} AS (SELECT field, x, y FROM {now} JOIN f{r} USING (field) WHERE open AND abs(y - (s * x + i)) < 3 * w)"""
         now = f"p{r}"
-    return out + " " + " UNION ALL ".join(f"SELECT field, round(s, 6) AS slope, round(i, 5) AS intercept, round(w, 6) AS scatter, n FROM f{r} WHERE NOT open" for r in range(rounds))
+    return out + " " + " UNION ALL ".join(f"SELECT field, round(s, 6) AS slope, round(i, 5) AS intercept, round(w, 6) AS scatter, n FROM f{r} WHERE NOT open" for r in range(rounds + 1))
 
 
 @query("clipped_fit", f"{STAR}, q AS (SELECT field, mag AS x, mag * 0.98 + (cust % 50) / 100.0::DOUBLE + CASE WHEN cust % 37 = 0 THEN 4 ELSE 0 END AS y FROM a) {fit_rounds(5, 'q')}")
@@ -75,14 +75,14 @@ def binned_rms(spark, d):
     return stats.binned(q, ["detector"], "mag", "r", positive=False).select("detector", "centre", F.round("rms", 6).alias("rms"), "n")
 
 
-OFFS = f"""{AB}, {near('a0', 'b0', 0.3, more=', a.field AS field, a.mag AS mag, a.detector AS detector, a.obs AS obs, b.mag AS bmag')},
-o AS (SELECT field, detector, obs, mag, bmag, a_id AS id, a_ra AS ra, a_dec AS dec, (a_ra - b_ra) * cos(radians(a_dec)) * 3600000 AS dra, (a_dec - b_dec) * 3600000 AS ddec FROM {MUTUAL} WHERE r1 = 1 AND r2 = 1)"""
+OFFS = f"""{AB}, {near('a0', 'b0', 0.3, more=', a.field AS field, a.mag AS mag, a.flux AS flux, a.flux_err AS flux_err, a.detector AS detector, a.obs AS obs, b.mag AS bmag')},
+o AS (SELECT field, detector, obs, mag, bmag, flux, flux_err, a_id AS id, a_ra AS ra, a_dec AS dec, (a_ra - b_ra) * cos(radians(a_dec)) * 3600000 AS dra, (a_dec - b_dec) * 3600000 AS ddec FROM {MUTUAL} WHERE r1 = 1 AND r2 = 1)"""
 
 
 def offsets(spark, d):
     p = match.mutual_nearest(match.radius_join(STARS.df(spark, d), REFERENCE.df(spark, d), 0.3, ["tile"]), ["a_tile"])
     p = offset.pair_offsets(p).withColumns({"dra": F.col("dra") * 1000, "ddec": F.col("ddec") * 1000})
-    return p.select(*[F.col(f"a_{c}").alias(c) for c in ("field", "detector", "obs", "mag", "id", "ra", "dec")], F.col("b_mag").alias("bmag"), "dra", "ddec")
+    return p.select(*[F.col(f"a_{c}").alias(c) for c in ("field", "detector", "obs", "mag", "flux", "flux_err", "id", "ra", "dec")], F.col("b_mag").alias("bmag"), "dra", "ddec")
 
 
 MAP = f"""{OFFS}, d0 AS (SELECT obs, median(dec) AS d0 FROM o GROUP BY obs), x AS (SELECT o.*, ra * cos(radians(d0)) AS px FROM o JOIN d0 USING (obs)),
@@ -101,10 +101,18 @@ def amp90(spark, d):
     return stats.amp90(stats.sky_map(offsets(spark, d), ["obs"]), ["obs"]).select("obs", F.round("amp90", 5).alias("amp90"), "cells")
 
 
-@query("shuffled_null")
+@query(
+    "shuffled_null",
+    f"""{MAP}, real AS (SELECT obs, quantile_cont(sqrt(dra * dra + ddec * ddec), 0.9) AS amp90 FROM cells GROUP BY obs), k AS (SELECT *, row_number() OVER (PARTITION BY obs ORDER BY md5(id::VARCHAR), id) - 1 AS r, count(*) OVER (PARTITION BY obs) AS m FROM o),
+v AS (SELECT obs, p, dra, ddec, (r * [{", ".join(str(p) for p in stats._PRIMES)}][p % {len(stats._PRIMES)} + 1] + p * floor(m / 20)::BIGINT + 1) % m AS r FROM k, unnest(range(20)) AS u(p)),
+j AS (SELECT v.obs, p, ra, dec, v.dra, v.ddec FROM v JOIN k ON v.obs = k.obs AND v.r = k.r), e0 AS (SELECT obs, p, median(dec) AS d0 FROM j GROUP BY ALL), x2 AS (SELECT j.*, ra * cos(radians(d0)) AS px FROM j JOIN e0 USING (obs, p)),
+box2 AS (SELECT obs, p, min(px) AS x0, max(px) AS x1, min(dec) AS y0, max(dec) AS y1 FROM x2 GROUP BY ALL), c2 AS (SELECT obs, p, least(floor((px - x0) / (x1 - x0) * 12), 11)::INT AS i, least(floor((dec - y0) / (y1 - y0) * 12), 11)::INT AS j, dra, ddec FROM x2 JOIN box2 USING (obs, p)),
+cells2 AS (SELECT obs, p, i, j, median(dra) AS dra, median(ddec) AS ddec FROM c2 GROUP BY ALL HAVING count(*) >= 3), n AS (SELECT obs, p, quantile_cont(sqrt(dra * dra + ddec * ddec), 0.9) AS a FROM cells2 GROUP BY ALL)
+SELECT obs, round(amp90, 5) AS amp90, round(median(a), 5) AS null_median, round((count(*) FILTER (a >= amp90) + 1) / 21, 6) AS p_value FROM n JOIN real USING (obs) GROUP BY obs, amp90""",
+)
 def shuffled_null(spark, d):
     x = stats.shuffled_null(offsets(spark, d), ["obs"])
-    return x.select("obs", *[F.round(c, 6).alias(c) for c in ("amp90", "null_median", "p_value")])
+    return x.select("obs", F.round("amp90", 5).alias("amp90"), F.round("null_median", 5).alias("null_median"), F.round("p_value", 6).alias("p_value"))
 
 
 @query(
@@ -127,26 +135,28 @@ def depth_zeropoint(spark, d):
 
 @query(
     "detector_residuals",
-    f"""{OFFS}, m AS (SELECT field, detector, count(*) AS n, median(dra) AS mx, median(ddec) AS my FROM o GROUP BY ALL), dv AS (SELECT field, detector, median(abs(dra - mx)) * {M} AS sx, median(abs(ddec - my)) * {M} AS sy FROM o JOIN m USING (field, detector) GROUP BY ALL),
-k AS (SELECT * FROM m JOIN dv USING (field, detector) WHERE n >= 50), f AS (SELECT field, median(mx) AS fx, median(my) AS fy FROM k GROUP BY field),
+    f"""{OFFS.replace('o AS (SELECT field, detector,', "o AS (SELECT field, 'nrc' || CASE WHEN detector < 4 THEN 'a' ELSE 'b' END || (detector % 4 + 1) AS detector,")}, m AS (SELECT field, detector, count(*) AS n, median(dra) AS mx, median(ddec) AS my FROM o GROUP BY ALL), dv AS (SELECT field, detector, median(abs(dra - mx)) * {M} AS sx, median(abs(ddec - my)) * {M} AS sy FROM o JOIN m USING (field, detector) GROUP BY ALL),
+k AS (SELECT * FROM m JOIN dv USING (field, detector) WHERE n >= 10), f AS (SELECT field, median(mx) AS fx, median(my) AS fy FROM k GROUP BY field),
 r AS (SELECT field, detector, n, mx - fx AS dra, my - fy AS ddec, sqrt(sx * sx + sy * sy) AS scatter FROM k JOIN f USING (field))
-SELECT field, detector, n, round(dra, 5) AS dra, round(ddec, 5) AS ddec, round(scatter, 5) AS scatter, first(detector) OVER (PARTITION BY field ORDER BY sqrt(dra * dra + ddec * ddec) DESC, detector) AS worst FROM r""",
+SELECT field, detector, n, round(dra, 5) AS dra, round(ddec, 5) AS ddec, round(scatter, 5) AS scatter, first(detector) OVER (PARTITION BY field ORDER BY sqrt(dra * dra + ddec * ddec) DESC, detector) AS worst,
+  round(avg(dra) FILTER (contains(detector, 'nrca')) OVER (PARTITION BY field) - avg(dra) FILTER (contains(detector, 'nrcb')) OVER (PARTITION BY field), 5) AS module_dra FROM r""",
 )
 def detector_residuals(spark, d):
-    x = stats.detector_residuals(offsets(spark, d), "field", "detector")
-    return x.select("field", "detector", "n", *[F.round(c, 5).alias(c) for c in ("dra", "ddec", "scatter")], "worst")
+    named = F.concat(F.lit("nrc"), F.when(F.col("detector") < 4, "a").otherwise("b"), (F.col("detector") % 4 + 1).cast("string"))
+    x = stats.detector_residuals(offsets(spark, d).withColumn("detector", named), "field", "detector", 10)
+    return x.select("field", "detector", "n", *[F.round(c, 5).alias(c) for c in ("dra", "ddec", "scatter", "module_dra")], "worst")
 
 
 @query(
     "interfilter_residual",
-    f"""{OFFS}, g AS (SELECT *, count(*) OVER (PARTITION BY field) AS n FROM o WHERE mag < -10), m AS (SELECT field, median(dra) AS mx, median(ddec) AS my FROM g WHERE n >= 200 GROUP BY field),
+    f"""{OFFS}, g AS (SELECT *, count(*) OVER (PARTITION BY field) AS n FROM o WHERE flux / flux_err > 10), m AS (SELECT field, median(dra) AS mx, median(ddec) AS my FROM g WHERE n >= 200 GROUP BY field),
 r AS (SELECT field, sqrt((dra - mx) * (dra - mx) + (ddec - my) * (ddec - my)) AS r FROM g JOIN m USING (field))
 SELECT field, count(*) AS n, round(sqrt(avg(r * r)), 5) AS rms, round(avg(CASE WHEN r > 20 THEN 1.0 ELSE 0.0 END), 6) AS far FROM r GROUP BY field""",
 )
 def interfilter_residual(spark, d):
     from ..operators.verdicts import interfilter
 
-    x = interfilter(offsets(spark, d).where("mag < -10"), ["field"])
+    x = interfilter(offsets(spark, d).where("flux / flux_err > 10"), ["field"])
     return x.select("field", "n", F.round("rms", 5).alias("rms"), F.round("far", 6).alias("far"))
 
 
@@ -165,15 +175,32 @@ def frames(spark, d):
     )
 
 
+def leader_rounds(rounds: int) -> str:
+    """CTEs that take detections one by one in the order of o: ``g`` has each one's leader."""
+    out = "u0 AS MATERIALIZED (SELECT tile, id FROM d)"
+    for r in range(rounds):
+        leaders = "".join(f" UNION ALL SELECT id, true FROM t{q} WHERE id = leader" for q in range(r))
+        out += f""", s{r} AS MATERIALIZED (SELECT id, false AS leads FROM u{r}{leaders}), v{r} AS MATERIALIZED (SELECT a_id AS id, first(b_id ORDER BY bo) AS b, first(leads ORDER BY bo) AS leads FROM pairs p JOIN u{r} a ON p.a_id = a.id JOIN s{r} b ON p.b_id = b.id WHERE bo < ao GROUP BY a_id),
+t{r} AS MATERIALIZED (SELECT u.id, CASE WHEN b IS NULL THEN u.id ELSE b END AS leader FROM u{r} u LEFT JOIN v{r} v ON u.id = v.id WHERE b IS NULL OR leads), u{r + 1} AS MATERIALIZED (SELECT * FROM u{r} WHERE id NOT IN (SELECT id FROM t{r}))"""
+    return out + ", g AS (" + " UNION ALL ".join(f"SELECT * FROM t{r}" for r in range(rounds)) + ")"
+
+
+JITTER = FRAMES.replace("flux::BIGINT % 13 - 6", "round(flux)::BIGINT % 81 - 40").replace("(flux::BIGINT", "(round(flux)::BIGINT").replace("0 AS tile", "star % 4 AS tile")
+
+
 @query(
     "frame_scatter",
-    f"""{EXP}, d AS ({FRAMES.replace('flux::BIGINT', 'round(flux)::BIGINT')}), {near('d', 'd', 0.04, more=', a.mag AS a_mag, b.mag AS b_mag, a.exposure AS exposure')},
-led AS (SELECT DISTINCT a_id FROM pairs WHERE b_mag < a_mag OR (b_mag = a_mag AND b_id < a_id)),
-j AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY sep, b_id) AS r FROM pairs WHERE b_id NOT IN (SELECT a_id FROM led)) WHERE r = 1)
-SELECT b_id AS leader, count(DISTINCT exposure) AS n_exposures, round(avg(a_mag), 5) AS mag, round(stddev_pop(a_dec) * 3600000 / sqrt(2), 3) AS sy FROM j GROUP BY b_id HAVING count(DISTINCT exposure) >= 3""",
+    f"""{EXP}, x AS ({JITTER}), r AS (SELECT *, row_number() OVER (PARTITION BY tile, exposure ORDER BY mag, id) AS r, count(*) OVER (PARTITION BY tile, exposure) AS nf FROM x),
+d AS MATERIALIZED (SELECT * FROM r WHERE r <= 2000 AND nf >= 20 AND exposure <= 12), {near('d', 'd', 0.04, more=', (a.exposure, a.mag, a.id) AS ao, (b.exposure, b.mag, b.id) AS bo').replace('pairs AS (', 'pairs AS MATERIALIZED (', 1)}, {leader_rounds(12)},
+c AS (SELECT tile, median(dec) AS d0 FROM d GROUP BY tile HAVING count(*) >= 50), m AS (SELECT d.tile, leader, count(DISTINCT exposure) AS n_exposures, median(mag) AS mag, sqrt(power(stddev_pop(ra) * cos(radians(first(d0))), 2) + power(stddev_pop(dec), 2)) * 3600000 / sqrt(2) AS s FROM d JOIN g USING (id) JOIN c ON d.tile = c.tile GROUP BY d.tile, leader)
+SELECT tile, leader, n_exposures, round(mag, 5) AS mag, round(s, 1) AS scatter FROM (SELECT *, count(*) OVER (PARTITION BY tile) AS n FROM m WHERE n_exposures >= 3 AND s > 0) WHERE n >= 50""",
 )
 def frame_scatter(spark, d):
-    return stats.frame_scatter(frames(spark, d), ["tile"]).select("leader", "n_exposures", F.round("mag", 5).alias("mag"), F.round("sy", 3).alias("sy"))
+    e, whole = exposures(spark, d), F.round("flux").cast("long")
+    ra = 266.4 + (F.col("star") % 100) / 3600 + (whole % 81 - 40) / 3.6e6
+    moved = e.select((F.col("star") * 8 + F.col("exposure")).alias("id"), (F.col("star") % 4).alias("tile"), ra.alias("ra"))
+    f = frames(spark, d).drop("tile", "ra").join(moved, "id").withColumn("frame", F.col("exposure"))
+    return stats.frame_scatter(f, ["tile"]).select("tile", "leader", "n_exposures", F.round("mag", 5).alias("mag"), F.round("scatter", 1).alias("scatter"))
 
 
 @query("internal_rms", f"{EXP}, s AS (SELECT star, stddev_pop(qfit) / 1e7 AS std_ra, stddev_pop(err) / 1e8 AS std_dec, -28.9 AS dec, count(*) AS n FROM e GROUP BY star HAVING count(*) >= 3) SELECT star, round(sqrt(power(std_ra * cos(radians(dec)), 2) + std_dec * std_dec) * 3600000 / sqrt(2), 6) AS rms FROM s")

@@ -9,8 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder of its own below the session's checkpoint folder; a temporary one becomes that only where it is unset."""
+    """A folder of its own below the session's checkpoint folder.
+
+    Where that is unset a local session gets a temporary one; on a cluster executors would not see it, so that raises.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not root:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         root = spark.sparkContext.getCheckpointDir()

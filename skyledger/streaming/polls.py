@@ -1,25 +1,27 @@
-"""The monitor as a stream: each micro-batch is a poll; state versions are committed by a pointer swap.
+"""The monitor as a stream: each micro-batch is a poll, and each commit a new version of the state.
 
-The state of a version lies in its own folder, and a one-line pointer file names the current version. A batch writes
-its folder first and then swaps the pointer, so a reader sees the old or the new state and never a mixture; a batch
-that is replayed finds its own version committed and does nothing.
+A version lies in its own folder, which counts once Spark has marked its write as a success. The state is the highest
+such version, so there is no pointer that could be lost: a run that dies while it writes leaves the version before it in
+place, and a batch that is replayed finds its own version committed and does nothing.
 """
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from ..operators import monitor
+from ..sources.staging import staged
 
 
 class VersionedState:
-    """State tables in ``root``/version=N with a pointer; a missing pointer is an empty state, a broken one raises."""
+    """State tables in ``root``/version=N. Without a complete version the state is empty; a broken one raises when read."""
 
     def __init__(self, spark: SparkSession, root: str, schema: StructType):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
@@ -29,12 +31,23 @@ class VersionedState:
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
-    def version(self) -> int | None:
+    def versions(self) -> list[tuple[int, datetime.date]]:
+        """Complete versions in order, with the (UTC) day on which each was committed."""
         fs, path = self._fs()
-        if not fs.exists(path(f"{self.root}/current")):
-            return None
-        line = self.spark.read.text(f"{self.root}/current").first()
-        return int(line[0])  # a corrupt pointer raises
+        if not fs.exists(path(self.root)):
+            return []
+        out = []
+        for status in fs.listStatus(path(self.root)):
+            name = status.getPath().getName()
+            done = path(f"{self.root}/{name}/_SUCCESS")
+            if name.startswith("version=") and fs.exists(done):
+                when = fs.getFileStatus(done).getModificationTime() / 1000
+                out.append((int(name[8:]), datetime.datetime.fromtimestamp(when, datetime.UTC).date()))
+        return sorted(out)
+
+    def version(self) -> int | None:
+        found = self.versions()
+        return found[-1][0] if found else None
 
     def load(self) -> DataFrame:
         v = self.version()
@@ -43,39 +56,81 @@ class VersionedState:
         return self.spark.read.schema(self.schema).option("mode", "FAILFAST").parquet(f"{self.root}/version={v}")
 
     def commit(self, state: DataFrame, version: int) -> None:
-        """Write the version, then swap the pointer by a rename."""
-        fs, path = self._fs()
+        """Write the version. It counts from the moment Spark marks the write as a success."""
         state.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(f"{self.root}/version={version}")
-        new = path(f"{self.root}/_new-{version}")
-        with_text = fs.create(new, True)
-        with_text.write(bytearray(f"{version}\n".encode()))
-        with_text.close()
-        current = path(f"{self.root}/current")
-        if fs.exists(current):
-            fs.delete(current, False)
-        fs.rename(new, current)
-
-    def prune(self, keep: int = 14) -> None:
-        """Remove all but the last ``keep`` versions."""
-        fs, path = self._fs()
-        v = self.version()
-        for status in fs.listStatus(path(self.root)) or []:
-            name = status.getPath().getName()
-            if v is not None and name.startswith("version=") and int(name[8:]) <= v - keep:
-                fs.delete(status.getPath(), True)
 
-
-def commit_poll(state: VersionedState, poll_mjd: Callable[[DataFrame], float], sink: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function: diff the poll against the committed state, hand events to ``sink``, commit."""
+    def backups(self) -> dict[datetime.date, int]:
+        """For each day with a commit, the version that the day's first commit replaced: the state as the day began."""
+        found = self.versions()
+        first: dict[datetime.date, int] = {}
+        for (before, was), (_, day) in zip(found, found[1:]):
+            if was < day:
+                first.setdefault(day, before)
+        return first
+
+    def prune(self, today: datetime.date, keep_days: int = 14) -> None:
+        """Remove versions that are neither the last two nor the backup of one of the last ``keep_days`` days."""
+        fs, path = self._fs()
+        found = self.versions()
+        keep = {v for v, _ in found[-2:]} | {v for day, v in self.backups().items() if (today - day).days <= keep_days}
+        for v, _ in found:
+            if v not in keep:
+                fs.delete(path(f"{self.root}/version={v}"), True)
+
+
+Programs = Callable[[DataFrame], DataFrame]
+
+
+def commit_poll(
+    state: VersionedState,
+    poll_mjd: Callable[[DataFrame], float],
+    sink: Callable[[DataFrame, int], None],
+    order: Column,
+    *,
+    failed: Programs | None = None,
+    seeded: VersionedState | None = None,
+    with_field: Callable[[DataFrame], DataFrame] | None = None,
+    spent: Callable[[], tuple[DataFrame, DataFrame]] | None = None,
+    act: Callable[[DataFrame, int], None] | None = None,
+    most: int = 4,
+) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function: diff the poll against the committed state, hand on events and actions, commit.
+
+    Of rows with one key the last by ``order`` wins. Programs that ``failed`` names (a column program) keep their records.
+    ``sink`` has all events. With ``act``, groups of events of programs that had a baseline - records, or a row in
+    ``seeded`` - are ranked once ``with_field`` has mapped them and ``spent`` has given the (downloaded, triggered) keys:
+    the first ``most`` go to ``act``, the records of the others are committed as they were before the poll, so that they
+    come again. A program's first poll is committed and nothing follows.
+
+    The commit is the last step: after a crash before it the batch runs again with the same batch id and the same events,
+    so ``sink`` and ``act`` are called at least once a batch and should overwrite by the id.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         if (state.version() or 0) >= batch_id + 1 or batch.limit(1).count() == 0:
             return
-        mjd = poll_mjd(batch)
-        old = state.load()
-        new = monitor.summarize(batch, mjd, F.col("obs_id"))
-        sink(monitor.diff_events(old, new), batch_id)
-        state.commit(monitor.next_state(old, new, mjd), batch_id + 1)
+        mjd, old, bad = poll_mjd(batch), state.load(), failed(batch) if failed else None
+        new = monitor.summarize(batch, mjd, order)
+        if bad is not None:
+            new = new.join(bad.select("program").distinct(), "program", "left_anti")
+        new = staged(new, "poll")
+        events = staged(monitor.diff_events(old, new), "events")
+        sink(events, batch_id)
+        after = monitor.next_state(old, new, mjd, bad)
+        known = old.select("program").distinct()
+        if seeded is not None:
+            known = known.unionByName(seeded.load().select("program")).distinct()
+        if act is not None:
+            mapped = events.join(known, "program", "left_semi")
+            groups = monitor.groups(with_field(mapped) if with_field else mapped)
+            none = batch.sparkSession.createDataFrame([], "key string")
+            ranked = staged(monitor.capped(monitor.actionable(groups, *(spent() if spent else (none, none))), most), "groups")
+            act(ranked.where("acts"), batch_id)
+            later = mapped.join(ranked.where("not acts").select(*monitor.GROUP), monitor.GROUP, "left_semi")
+            after = monitor.revert_deferred(after, old, later)
+        if seeded is not None:
+            seeded.commit(staged(known.unionByName(new.select("program")).distinct(), "seeded"), batch_id + 1)
+        state.commit(after, batch_id + 1)
 
     return run
 
@@ -96,7 +151,7 @@ class EventsOf(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
         out = []
         for poll in rows:
-            for r in poll.sort_values("poll").itertuples():
+            for r in poll.sort_values("poll", kind="stable").itertuples():
                 level = None if pd.isna(r.calib_level) else int(r.calib_level)
                 released = bool(r.released)
                 if not self.seen.exists():

@@ -66,10 +66,13 @@ def test_cap_defers_and_drains(spark):
 
 
 def test_rearm(spark):
-    keys = spark.createDataFrame([("1-o001",), ("1-o001-miri",), ("1-o0011",)], "key string")
-    assert [r.key for r in M.rearm(keys, "1-o001").collect()] == ["1-o0011"]
+    keys = spark.createDataFrame([("1-o001",), ("1-o001-MIRI",), ("1-o001-002",), ("1-o001-002-MIRI",), ("1-o0011",)], "key string")
+    assert [r.key for r in M.rearm(keys, "1-o001").collect()] == ["1-o001-002", "1-o001-002-MIRI", "1-o0011"]
+    assert [r.key for r in M.rearm(keys, "1-o001-002", downloads=False).collect()] == ["1-o001", "1-o001-MIRI", "1-o001-002-MIRI", "1-o0011"]
     with pytest.raises(KeyError):
         M.rearm(keys, "9-o001")
+    with pytest.raises(ValueError):
+        M.rearm(keys, "1-o")
 
 
 def test_stream_commits_versions_once(spark, tmp_path):
@@ -80,7 +83,7 @@ def test_stream_commits_versions_once(spark, tmp_path):
     state = polls.VersionedState(spark, root, spark.createDataFrame([], STATE).schema)
     assert state.load().count() == 0
     got = []
-    run = polls.commit_poll(state, lambda b: 200.0, lambda e, i: got.extend((i, r.obs_id, r.event) for r in e.collect()))
+    run = polls.commit_poll(state, lambda b: 200.0, lambda e, i: got.extend((i, r.obs_id, r.event) for r in e.collect()), F.col("obs_id"))
     polls.watch(spark, src, schema, run, str(tmp_path / "ck")).awaitTermination()
     assert state.version() == 3 and {r.obs_id for r in state.load().collect()} == {A, B}
     before = list(got)
@@ -88,6 +91,57 @@ def test_stream_commits_versions_once(spark, tmp_path):
     assert got == before and state.version() == 3
 
 
+def test_a_crash_between_steps_loses_no_state_and_repeats_the_batch(spark, tmp_path, monkeypatch):
+    state = polls.VersionedState(spark, str(tmp_path / "state"), spark.createDataFrame([], STATE).schema)
+    got = []
+    run = polls.commit_poll(state, lambda b: 200.0, lambda e, i: got.append((i, sorted((r.obs_id, r.event) for r in e.collect()))), F.col("obs_id"))
+    run(spark.createDataFrame([row(A, 1, 300.0)], SCHEMA), 0)
+    second = spark.createDataFrame([row(A, 2, 150.0), row(B)], SCHEMA)
+    with monkeypatch.context() as m:
+        m.setattr(state, "commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            run(second, 1)
+    # A write that died: rows are there, the mark of success is not.
+    state.commit(state.load(), 2)
+    (tmp_path / "state" / "version=2" / "_SUCCESS").unlink()
+    assert state.version() == 1 and [r.obs_id for r in state.load().collect()] == [A]
+    run(second, 1)
+    assert got[1] == got[2] and got[1][0] == 1 and state.version() == 2 and state.load().count() == 2
+
+
+def test_stream_seeds_caps_defers_and_isolates(spark, tmp_path):
+    of = lambda name, schema: polls.VersionedState(spark, str(tmp_path / name), spark.createDataFrame([], schema).schema)
+    state, seeded = of("state", STATE), of("seeded", "program long")
+    acted = []
+    run = polls.commit_poll(
+        state, lambda b: 200.0, lambda e, i: None, F.col("obs_id"), seeded=seeded, failed=lambda b: b.where("filters = 'failed'").select("program"),
+        with_field=lambda e: e.withColumn("field", F.lit("brick")), act=lambda g, i: acted.append((i, sorted(r.obsnum for r in g.collect()))), most=2,
+    )
+    ids = [f"jw02221-o{n:03d}_t001_nircam" for n in range(1, 6)]
+    run(spark.createDataFrame([row(ids[0])], SCHEMA), 0)
+    run(spark.createDataFrame([row(i) for i in ids], SCHEMA), 1)
+    run(spark.createDataFrame([row(i) for i in ids], SCHEMA), 2)
+    bad = spark.createDataFrame([row(ids[0])], SCHEMA).withColumn("filters", F.lit("failed"))
+    run(bad, 3)
+    assert acted == [(0, []), (1, ["002", "003"]), (2, ["004", "005"]), (3, [])]
+    assert {r.obs_id: r.missing_since for r in state.load().collect()} == dict.fromkeys(ids)
+    assert [r.program for r in seeded.load().collect()] == [2221]
+
+
+def test_first_version_of_a_day_is_kept_fourteen_days(spark, tmp_path):
+    import datetime
+    import os
+
+    state = polls.VersionedState(spark, str(tmp_path / "s"), spark.createDataFrame([], "program long").schema)
+    day = lambda n: datetime.datetime(2026, 1, n, 12, tzinfo=datetime.UTC)
+    for v, n in enumerate([1, 1, 2, 2, 2, 10, 17, 17], 1):
+        state.commit(spark.range(v).select(F.col("id").alias("program")), v)
+        os.utime(tmp_path / "s" / f"version={v}" / "_SUCCESS", (day(n).timestamp() + v,) * 2)
+    assert state.backups() == {day(2).date(): 2, day(10).date(): 5, day(17).date(): 6}
+    state.prune(day(17).date())
+    assert [v for v, _ in state.versions()] == [5, 6, 7, 8]
+
+
 def test_registered_names_are_unique_and_oracles_belong():
     import __spark_entry__ as e
 
