@@ -430,27 +430,63 @@ def test_recompression(docs, nothing):
     assert recompress.remove_repeats(nothing).count() == 0
 
 
+def repeats_of(spark, rows, parts=4):
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    return sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in recompress.remove_repeats(df).collect()), key=key)
+
+
 def test_recompression_on_few_words(spark):
     rng = np.random.default_rng(9)
     rows = [(d, " ".join(rng.choice(list("abc"), rng.integers(0, 120), p=[0.8, 0.15, 0.05]))) for d in range(150)]
     rows += [(200 + d, " ".join(["a b"] * int(n))) for d, n in enumerate(rng.integers(1, 40, 20))]
-    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    got = sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in recompress.remove_repeats(df).collect()), key=key)
-    assert got == brute_repeats(rows)
+    assert repeats_of(spark, rows) == brute_repeats(rows)
+
+
+def test_recompression_of_long_repeats_nulls_and_repeated_ids(spark):
+    rng = np.random.default_rng(19)
+    word = lambda n: " ".join(f"v{x}" for x in rng.integers(0, 3000, n))
+    long, shared = word(900), word(260)
+    rows = [(5, f"{word(30)} {long} {word(7)}"), (6, f"{word(9)} {long[:2000]} {shared}"), (7, long), (7, f"{shared} {word(40)}"), (3, f"{shared} {word(50)}"), (None, long), (None, long), (None, shared), (1, ""), (2, None)]
+    rows += [(40 + i, f"{word(20)} {shared} {word(20)}") for i in range(30)] + [(90, word(60_000) + " " + long)]
+    assert repeats_of(spark, rows) == brute_repeats(rows)
+
+
+def test_recompression_tells_thue_morse_words_apart(spark):
+    """Sums of powers modulo 2^64 cannot: such a word of letters and its complement have one digest."""
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    for n in (1024, 2048, 4096):
+        one, other = ("".join("ab"[b ^ flip] for b in bits[:n]) for flip in (0, 1))
+        head = " ".join(f"w{i}" for i in range(12))
+        rows = [(1, f"{head} {one}"), (2, f"{head} {other}")]
+        assert repeats_of(spark, rows, 1) == brute_repeats(rows) and brute_repeats(rows)[1][2] == 0
 
 
 def test_equal_windows_have_equal_symbols():
     rng = np.random.default_rng(10)
     text = " ".join(rng.choice(["a", "b", "c", "d"], 4000))
-    w = recompress.Words([text.encode()])
+    w = recompress.Words([text.encode()], 2)
     at = w.windows(13)
     top, digest = recompress.highest(w, at), w.digests(at, 13)
     seen = {}
-    for d, t in zip(digest.tolist(), top.tolist()):
+    for d, t in zip(zip(*digest.tolist()), top.tolist()):
         assert seen.setdefault(d, t) == t
     assert (top > 0).all()
 
 
+def test_symbols_of_all_levels_stand_for_one_sequence_of_words():
+    rng = np.random.default_rng(11)
+    part = " ".join(rng.choice(["a", "b", "c"], 400))
+    w = recompress.Words([" ".join([part, str(i), part]).encode() for i in range(5)], 2)
+    spelled, levels = {}, w.levels(6)
+    for level in levels:
+        for k in np.flatnonzero(~level.boundary):
+            d, at = w.doc[level.start[k]], level.start[k] - w.first[w.doc[level.start[k]]]
+            text = tuple(w.split[d][at : at + level.words[k]])
+            assert len(text) == level.words[k] and spelled.setdefault(tuple(level.name[:, k].tolist()), text) == text
+    assert max(level.words.max() for level in levels) >= 13
+    assert len(set(spelled.values())) == len(spelled)
+
+
 # 10 ---------------------------------------------------------------------------------------------------------
 
 
