@@ -1,9 +1,10 @@
 """Document fingerprints: threshold-scaled sketches of word shingles, by DataFrame functions only.
 
 A sketch keeps every shingle hash below a fixed fraction of the hash range, so sketches of texts of very unequal
-length are comparable: the sketch of a union is the union of sketches, and the share of one sketch that another
-holds estimates containment. The smallest hash is kept as well, so no text with words has an empty sketch; unions
-keep that property.
+length are comparable: the sketch of a union of shingle sets is the union of their sketches, and the share of one
+sketch that another holds estimates containment without bias. A text of few shingles may have an empty sketch; two
+empty sketches tell nothing of each other, so likeness and containment are then null, and ``fingerprint_documents``
+goes by whether the texts are equal.
 
 A document's neighbour in doc_id order is found without a global sort of texts: ids alone are dealt out by range,
 each range is walked by a window, and the ends of ranges, one row each, are joined up. Texts are shuffled once, by
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import SPACE, stage, text_or_empty
 
 #: Words in a shingle, and one hash in how many is kept.
-SHINGLE, SCALE = 5, 8
+SHINGLE, SCALE = 5, 4
 
 
 def words_of(text: Column) -> Column:
@@ -43,7 +44,7 @@ def _kept(hashes: Column, shingle: int, scale: int) -> Column:
 
     # Hashes are signed: those below the fraction are the lowest 1/scale of the signed range.
     limit = -(1 << 63) + (1 << 64) // scale
-    return _let(_let(hashes, rolled), lambda s: F.array_sort(F.array_distinct(_let(F.array_min(s), lambda m: F.filter(s, lambda x: (x < F.lit(limit)) | (x == m))))))
+    return F.array_sort(F.array_distinct(F.filter(_let(hashes, rolled), lambda x: x < F.lit(limit))))
 
 
 def _let(value: Column, body) -> Column:
@@ -52,14 +53,14 @@ def _let(value: Column, body) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated resemblance of two texts, 0 to 1: shared hashes among all. Two empty sketches are alike."""
+    """Estimated resemblance of two texts, 0 to 1: shared hashes among all. Null for two empty sketches."""
     both = F.size(F.array_union(a, b))
-    return F.when(both == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / both).cast("double")
+    return F.when(both > 0, F.size(F.array_intersect(a, b)) / both).cast("double")
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Estimated share of a's text that b's text holds. An empty sketch is held by any."""
-    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(a)).cast("double")
+    """Estimated share of a's text that b's text holds. Null where a's sketch is empty."""
+    return F.when(F.size(a) > 0, F.size(F.array_intersect(a, b)) / F.size(a)).cast("double")
 
 
 def as_text(s: Column) -> Column:
@@ -67,9 +68,20 @@ def as_text(s: Column) -> Column:
     return F.array_join(F.transform(s, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
 
 
-def _key(doc_id: str) -> list[Column]:
-    """doc_id as two columns without nulls, so that joins and groups on it share one shuffle."""
-    return [F.coalesce(F.col(doc_id), F.lit(0)).alias("_k"), F.col(doc_id).isNull().alias("_none")]
+#: Rows without a doc_id, which all have one neighbour, are dealt to so many keys.
+NULL_KEYS = 256
+
+
+def _key(doc_id: str, salt: Column) -> list[Column]:
+    """doc_id as two columns without nulls, so that joins and groups on it share one shuffle. Where it is null the key is
+    ``salt``: an array stands for all of its keys, one row each."""
+    return [F.coalesce(F.col(doc_id).cast("long"), salt.cast("long")).alias("_k"), F.col(doc_id).isNull().alias("_none")]
+
+
+def _all_keys(df: DataFrame, doc_id: str) -> DataFrame:
+    """df with a row for each key that rows with this doc_id may have."""
+    salts = F.when(F.col(doc_id).isNull(), F.sequence(F.lit(0), F.lit(NULL_KEYS - 1))).otherwise(F.array(F.lit(0)))
+    return df.withColumn("_salt", F.explode(salts)).withColumns(dict(zip(("_k", "_none"), _key(doc_id, F.col("_salt"))))).drop("_salt")
 
 
 def neighbours(docs: DataFrame) -> DataFrame:
@@ -112,27 +124,32 @@ def fingerprint_documents(docs: DataFrame, shingle: int = SHINGLE, scale: int =
 
     The edited text has the last floor(n_chars / 4) code points replaced by the first as many (or all) of the
     next document in ascending doc_id order (after the last: the first). Returns doc_id, text, edited, sketch,
-    edited_sketch, next_sketch.
+    edited_sketch, next_sketch, near_edited, near_next. The last two are the likeness of sketches; where both are empty
+    they are 1 for equal texts, else 0.
 
-    A null text counts as empty; its sketch is empty and two empty sketches have likeness 1. A null doc_id comes
-    before all others. Rows that repeat a doc_id have the same next document, the row with the next larger doc_id;
+    A null text counts as empty and its sketch is empty. A very long text is one row's sketch and nothing more. A null
+    doc_id comes before all others; rows with it are dealt to many tasks. Rows that repeat a doc_id have the same next document, the row with the next larger doc_id;
     if that id is repeated, the row whose text has the smallest hash. A single document is its own next. An empty
-    table gives an empty result; other columns are not read.
+    table gives an empty result; other columns are not read, whatever their names.
     """
-    links = stage(neighbours(docs), "neighbours").select(*_key("doc_id"), "before_id", "before_chars")
-    full = docs.select("doc_id", text_or_empty().alias("text")).withColumns({"_k": _key("doc_id")[0], "_none": _key("doc_id")[1]})
+    links = _all_keys(stage(neighbours(docs), "neighbours"), "doc_id").select("_k", "_none", "before_id", "before_chars")
+    full = docs.select("doc_id", text_or_empty().alias("text"))
+    full = full.select("doc_id", "text", *_key("doc_id", F.pmod(F.xxhash64("text"), F.lit(NULL_KEYS))))
     # Both uses read the same shuffled texts. Sketches are made after that shuffle, so it carries texts alone.
     joined = full.join(links, ["_k", "_none"])
+    head = F.substring(F.col("text"), F.lit(1), F.floor(F.col("before_chars") / 4).cast("int"))
     heads = joined.select(
-        *_key("before_id"),
-        F.struct(F.substring(F.col("text"), F.lit(1), F.floor(F.col("before_chars") / 4).cast("int")).alias("head"), sketch(F.col("text"), shingle, scale).alias("next_sketch")).alias("next"),
+        "before_id",
+        F.struct(head.alias("head"), sketch(F.col("text"), shingle, scale).alias("next_sketch"), F.sha1("text").alias("digest")).alias("next"),
         F.xxhash64("text", "doc_id").alias("_hash"),  # with doc_id, so that both uses read the same columns
     )
-    heads = heads.groupBy("_k", "_none").agg(F.min_by("next", "_hash").alias("next"))
+    heads = _all_keys(heads.groupBy("before_id").agg(F.min_by("next", "_hash").alias("next")), "before_id").drop("before_id")
     out = joined.select("_k", "_none", "doc_id", "text").join(heads, ["_k", "_none"], "left")
     n = F.char_length("text")
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.coalesce("next.head", F.lit("")), F.lit(1), cut))
     out = out.withColumn("edited", edited)
     sketches = [sketch(F.col(c), shingle, scale) for c in ("text", "edited")]
-    return out.select("doc_id", "text", "edited", sketches[0].alias("sketch"), sketches[1].alias("edited_sketch"), F.col("next.next_sketch").alias("next_sketch"))
+    out = out.select("doc_id", "text", "edited", sketches[0].alias("sketch"), sketches[1].alias("edited_sketch"), F.col("next.next_sketch").alias("next_sketch"), F.col("next.digest").alias("_next"))
+    near = lambda other, same: F.coalesce(likeness(F.col("sketch"), F.col(other)), same.cast("double"), F.lit(0.0))
+    return out.withColumns({"near_edited": near("edited_sketch", F.col("text") == F.col("edited")), "near_next": near("next_sketch", F.sha1("text") == F.col("_next"))}).drop("_next")
