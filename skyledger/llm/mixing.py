@@ -7,7 +7,8 @@ Only DataFrame and SQL functions. The mix is planned in words:
 2. the mix has round(words / block_words) blocks of equal size. Each goes to the source with the
    highest quotient target / (2k + 1), k being the blocks it has (Sainte-Laguë);
 3. a source is split into shards of about ``shard_words`` words by a seeded digest of doc_id, so that no
-   source, however large, is handled in one task; the source's blocks go to its shards the same way, by words;
+   source, however large, is handled in one task; the source's blocks go to its shards the same way, by words, and
+   where it has more than ``region_shards`` shards first to regions of so many and then to the shards of each;
 4. in a shard the documents stand on a line in seeded order. The shard's quota is taken from that line
    as whole passes over it and then one run of consecutive blocks that starts at a seeded block and wraps
    around. So the shard's words are met exactly and only the documents at the run's ends are cut.
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, stage, text_or_empty
+from .common import WORD, fresh, stage, text_or_empty
 
 
 def sized(docs: DataFrame, seed: int) -> DataFrame:
@@ -34,7 +35,7 @@ def sized(docs: DataFrame, seed: int) -> DataFrame:
         F.col("source"),
         F.xxhash64(text_or_empty()).alias("text_hash"),
         F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"),
-        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))).alias("place"),
+        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.md5(text_or_empty()))))).alias("place"),
     )
 
 
@@ -62,24 +63,24 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], max_repeat: int)
     return per.select("source", "rank", "source_size", F.when(F.col("capped"), F.col("cap")).otherwise(F.coalesce(share, F.col("cap"))).alias("target"))
 
 
-def apportion(votes: DataFrame, group: str, key: str, vote: str, seats: Column) -> DataFrame:
+def apportion(votes: DataFrame, group: list[str], key: str, vote: str, seats: Column) -> DataFrame:
     """Add ``seats``: Sainte-Laguë seats for each row of a group, ``seats`` being the group's total.
 
     With n rows, V votes and N seats the last seat's divisor lies between V/(N + n/2) and V/(N - n/2),
     which bounds each row's seats from below and above; only quotients between are ranked. Equal
     quotients go by ``key``. Rows without votes get none.
     """
-    g = W.partitionBy(group)
+    g = W.partitionBy(*group)
     v = F.col(vote).cast("double")
     x = votes.withColumn("_total", seats.cast("long")).withColumn("_n", F.count(F.when(v > 0, 1)).over(g)).withColumn("_v", F.sum(v).over(g))
     lower = F.when(v > 0, F.greatest(F.lit(0), F.floor(v * (F.col("_total") - F.col("_n") / 2) / F.col("_v") + 0.5) - 2)).otherwise(0).cast("long")
     upper = F.when(v > 0, F.floor(v * (F.col("_total") + F.col("_n") / 2) / F.col("_v") + 0.5) + 2).otherwise(0).cast("long")
     x = x.withColumn("_low", lower).withColumn("_up", upper)
     x = x.withColumn("_left", F.col("_total") - F.sum("_low").over(g))
-    quotient = x.where("_up > _low").select(group, key, "_left", v.alias("_w"), F.explode(F.sequence("_low", F.col("_up") - 1)).alias("_k"))
-    best = W.partitionBy(group).orderBy((F.col("_w") / (2 * F.col("_k") + 1)).desc(), F.col(key))
-    won = quotient.withColumn("_r", F.row_number().over(best)).where("_r <= _left").groupBy(group, key).agg(F.count(F.lit(1)).alias("_won"))
-    out = x.join(won, [group, key], "left").withColumn("seats", F.col("_low") + F.coalesce(F.col("_won"), F.lit(0)))
+    quotient = x.where("_up > _low").select(*group, key, "_left", v.alias("_w"), F.explode(F.sequence("_low", F.col("_up") - 1)).alias("_k"))
+    best = W.partitionBy(*group).orderBy((F.col("_w") / (2 * F.col("_k") + 1)).desc(), F.col(key))
+    won = quotient.withColumn("_r", F.row_number().over(best)).where("_r <= _left").groupBy(*group, key).agg(F.count(F.lit(1)).alias("_won"))
+    out = x.join(won, [*group, key], "left").withColumn("seats", F.col("_low") + F.coalesce(F.col("_won"), F.lit(0)))
     return out.drop("_total", "_n", "_v", "_low", "_up", "_left", "_won")
 
 
@@ -94,6 +95,7 @@ def mix(
     seed: int = 17,
     block_words: int = 32,
     shard_words: int = 200_000,
+    region_shards: int = 4_096,
 ) -> DataFrame:
     """Plan the mix: one row for each row of docs.
 
@@ -102,21 +104,28 @@ def mix(
     ``copies`` is taken / size rounded half up, for users who place whole documents only.
 
     A null or empty text has size 0 and is taken 0 times; a null source is a source of its own, last in
-    order; a null doc_id is a document like any other. Rows that repeat another row stand on the line one
-    after the other. An empty table gives an empty result. Extra columns of docs are not read.
+    order; a null doc_id is a document like any other, and its text decides its place. Documents with equal places stand
+    on the line by doc_id, size and text, rows that repeat another row one after the other. A very long text may be cut
+    by the run's ends like any other. An empty table gives an empty result. Extra columns of docs are not read, whatever
+    their names.
     """
     sizes = stage(sized(docs, seed), "sizes")
     sources = stage(source_targets(sizes, weights, max_repeat).withColumn("g", F.lit(0)), "sources")
     blocks = F.round(F.sum("source_size").over(W.partitionBy("g")) / block_words)
-    sources = apportion(sources, "g", "rank", "target", blocks).select(
+    sources = apportion(sources, ["g"], "rank", "target", blocks).select(
         "source", "rank", "source_size", "target", F.col("seats").alias("source_seats"), F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).alias("shards")
     )
     sources = stage(sources, "quotas")
     s = sources.withColumnRenamed("source", "_source")
     placed = sizes.join(s, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     placed = placed.withColumn("shard", F.pmod(hex_number(F.col("place")), F.col("shards")))
-    shards = placed.groupBy("rank", "shard").agg(F.sum("size").alias("shard_size"), F.first("source_seats").alias("source_seats"), F.first("source").alias("source"))
-    shards = apportion(shards, "rank", "shard", "shard_size", F.col("source_seats"))
+    shards = placed.groupBy("rank", "shard").agg(F.sum("size").alias("shard_size"), F.first("source_seats").alias("source_seats"), F.first("source").alias("source"), F.first("shards").alias("shards"))
+    # No window ranks more than region_shards rows, or one row for each region of a source.
+    count = F.ceil(F.col("shards") / region_shards)
+    shards = stage(shards.withColumn("region", F.pmod(F.col("shard"), count)), "shards")
+    regions = shards.groupBy("rank", "region").agg(F.sum("shard_size").alias("region_size"), F.first("source_seats").alias("source_seats"))
+    regions = apportion(regions, ["rank"], "region", "region_size", F.col("source_seats")).select("rank", "region", F.col("seats").alias("region_seats"))
+    shards = apportion(shards.join(regions, ["rank", "region"]), ["rank", "region"], "shard", "shard_size", F.col("region_seats"))
     wanted = F.least(F.col("seats") * block_words, F.col("shard_size") * max_repeat)
     start = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")), F.lit(":"), F.col("shard").cast("string")))
     shards = shards.withColumn("wanted", wanted).select(
@@ -139,19 +148,21 @@ def mix(
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: docs' rows, each as often as ``copies`` says, with docs' columns.
 
-    Rows with equal doc_id, source and text share the larger of their quotas.
+    Rows with equal doc_id, source and text share the larger of their quotas. Nulls, ties and empty texts: see mix.
+    Internal columns have names of their own, so docs may have any.
     """
-    plan = mix(docs, **options).groupBy("doc_id", "source", "text_hash").agg(F.max("copies").alias("_copies")).where("_copies > 0")
-    plan = plan.select(F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), "_copies")
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("source").eqNullSafe(F.col("_source")) & (F.xxhash64(text_or_empty()) == F.col("_hash"))
-    out = docs.join(plan, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return out.select(*[docs[c] for c in docs.columns])
+    doc, source, hashed, copies = (fresh(n) for n in ("doc", "source", "hash", "copies"))
+    plan = mix(docs, **options).groupBy("doc_id", "source", "text_hash").agg(F.max("copies").alias(copies)).where(F.col(copies) > 0)
+    plan = plan.select(F.col("doc_id").alias(doc), F.col("source").alias(source), F.col("text_hash").alias(hashed), copies)
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & F.col("source").eqNullSafe(F.col(source)) & (F.xxhash64(text_or_empty()) == F.col(hashed))
+    out = docs.join(plan, same).withColumn(fresh("copy"), F.explode(F.sequence(F.lit(1), F.col(copies))))
+    return out.select(*docs.columns)
 
 
 ORACLE = r"""
 WITH sizes AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5('17:' || coalesce(doc_id::VARCHAR, 'null')) AS place
+         md5('17:' || coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, '')))) AS place
   FROM documents
 ), per AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) AS rank
