@@ -1,21 +1,23 @@
 r"""Line dedup over levelled sorted runs of line digests.
 
 A line's key is the line without ASCII white space at its ends, A-Z in lower case. ``LineRuns`` keeps what
-is known of all keys seen so far as *runs*: tables (digest, n_docs, last_doc) sorted by digest. A batch of
-documents is merge-anti-joined with the runs: digests that no run has yet are the batch's new keys, digests
-that a run has are increments; both are added as one more run of level 0. When a level holds ``fanout`` runs
-they are merged into one run of the next level, so a batch meets O(log batches) runs. ``frequent`` merges
-the runs that are left and gives the keys found in many documents.
+is known of all keys seen so far as *runs*: tables (digest, n_docs, last_doc) sorted by digest, each key in one of
+them. A batch of documents is merge-anti-joined with the runs: its keys that no run has yet are its own run, one more of
+level 0; what it adds to keys of runs is kept beside as increments. When a level holds ``fanout`` runs they are merged
+into one run of the next level, so a batch meets O(log batches) runs. ``frequent`` goes over the keys of the runs, adds
+their increments and gives those found in many documents.
 
 Digests are MD5 values of the key (128 bits), so unequal keys do not meet in practice.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stage, text_or_empty
+from .common import fresh, stage, text_or_empty
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACES = " \t\n\x0b\f\r"
@@ -43,30 +45,30 @@ def digests(docs: DataFrame, batches: int, min_chars: int) -> DataFrame:
 
 
 class LineRuns:
-    """Levelled sorted runs. Each run is a staged table; merging reads runs in digest order."""
+    """Levelled sorted runs, staged tables of disjoint keys, and increments to their keys."""
 
     def __init__(self, spark: SparkSession, fanout: int = 2):
         self.spark, self.fanout = spark, fanout
         self.levels: list[list[DataFrame]] = []
+        self.increments: list[DataFrame] = []
 
     def known(self) -> DataFrame | None:
-        """All runs one under the other."""
-        found = None
-        for level in self.levels:
-            for run in level:
-                found = run if found is None else found.unionByName(run)
-        return found
+        """All runs one under the other; no key is there twice."""
+        return self._union([run for level in self.levels for run in level])
+
+    @staticmethod
+    def _union(tables: list[DataFrame]) -> DataFrame | None:
+        return reduce(DataFrame.unionByName, tables) if tables else None
 
     def add(self, batch: DataFrame) -> DataFrame:
-        """Add a batch of rows (digest, doc_id). Returns its run, ``new`` telling keys no run had before."""
+        """Add a batch of rows (digest, doc_id), distinct. Returns its run: the keys that no run had before."""
         own = batch.groupBy("digest").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc"))
         known = self.known()
-        if known is None:
-            run = own.withColumn("new", F.lit(True))
-        else:
-            keys = known.select("digest").where("new")
-            run = own.join(keys, "digest", "left_anti").withColumn("new", F.lit(True)).unionByName(own.join(keys, "digest", "left_semi").withColumn("new", F.lit(False)))
-        run = stage(run.repartition("digest").sortWithinPartitions("digest"), "run")
+        if known is not None:
+            own = stage(own, "batch")
+            self.increments.append(stage(own.join(known.select("digest"), "digest", "left_semi"), "increment"))
+            own = own.join(known.select("digest"), "digest", "left_anti")
+        run = stage(own.repartition("digest").sortWithinPartitions("digest"), "run")
         self._place(run, 0)
         return run
 
@@ -76,18 +78,18 @@ class LineRuns:
         self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
             runs, self.levels[level] = self.levels[level], []
-            merged = runs[0]
-            for r in runs[1:]:
-                merged = merged.unionByName(r)
-            self._place(stage(self._merge(merged).sortWithinPartitions("digest"), "run"), level + 1)
-
-    @staticmethod
-    def _merge(runs: DataFrame) -> DataFrame:
-        return runs.groupBy("digest").agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"), F.bool_or("new").alias("new"))
+            merged = self._union(runs)
+            self._place(stage(merged.repartition("digest").sortWithinPartitions("digest"), "run"), level + 1)
 
     def frequent(self, min_docs: int) -> DataFrame:
-        """(digest, n_docs, last_doc) of keys found in min_docs documents or more."""
-        return self._merge(self.known()).where(F.col("n_docs") >= min_docs).select("digest", "n_docs", "last_doc")
+        """(digest, n_docs, last_doc) of keys found in min_docs documents or more: one row a key of the runs."""
+        more = self._union(self.increments)
+        if more is None:
+            return self.known().where(F.col("n_docs") >= min_docs)
+        more = more.groupBy("digest").agg(F.sum("n_docs").alias("n_more"), F.max("last_doc").alias("last_more"))
+        n = F.col("n_docs") + F.coalesce("n_more", F.lit(0))
+        found = self.known().join(more, "digest", "left").select("digest", n.alias("n_docs"), F.greatest("last_doc", "last_more").alias("last_doc"))
+        return found.where(F.col("n_docs") >= min_docs)
 
 
 #: A key is very common if it makes one in so many of all (key, document) rows; so there are at most so many of them.
@@ -115,24 +117,26 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     A key of at least ``min_chars`` code points found in at least ``min_docs`` documents loses all its lines
     except in the document with the largest doc_id that holds it. Lines are split at \n only; a null or empty
     text is one empty line and its kept text is empty. Rows that repeat a doc_id count as one document. A null
-    doc_id is one document that comes before all others. An empty table gives an empty result. Columns of docs
-    other than doc_id and text pass through, those named like an added column are replaced.
+    doc_id is one document that comes before all others. A very long text is one row like any other, and its lines are
+    looked up among those it loses. An empty table gives an empty result. Columns of docs other than doc_id and text pass
+    through, whatever their names; those named like an added column are replaced.
     """
     spark = docs.sparkSession
     all_digests = stage(digests(docs, batches, min_chars), "digests", partition_by="batch")
     runs = LineRuns(spark, fanout)
     for b in range(batches):
         runs.add(all_digests.where(F.col("batch") == b).select("digest", "doc_id"))
-    lost = lost_lines(all_digests.select("digest", "doc_id"), runs.frequent(min_docs)).groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list("digest").alias("_lost"))
+    doc, gone, left = fresh("doc"), fresh("lost"), fresh("stays")
+    lost = lost_lines(all_digests.select("digest", "doc_id"), runs.frequent(min_docs)).groupBy(F.col("doc_id").alias(doc)).agg(F.collect_list("digest").alias(gone))
     added = ["kept_text", "n_lines", "n_dropped"]
-    out = docs.select(*[c for c in docs.columns if c not in added]).join(lost, F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
+    out = docs.select(*[c for c in docs.columns if c not in added]).join(lost, F.col("doc_id").eqNullSafe(F.col(doc)), "left")
     lines = lines_of(text_or_empty())
-    stays = F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col("_lost"), digest(x, min_chars)), F.lit(False)))
+    stays = F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col(gone), digest(x, min_chars)), F.lit(False)))
     out = out.withColumn("n_lines", F.size(lines).cast("long"))
-    out = out.withColumn("_stays", F.when(F.col("_lost").isNotNull(), stays))
-    kept = F.when(F.col("_lost").isNull(), text_or_empty()).otherwise(F.array_join("_stays", "\n"))
-    dropped = F.when(F.col("_lost").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size("_stays")).cast("long")
-    return out.withColumn("kept_text", kept).withColumn("n_dropped", dropped).drop("_doc", "_lost", "_stays")
+    out = out.withColumn(left, F.when(F.col(gone).isNotNull(), stays))
+    kept = F.when(F.col(gone).isNull(), text_or_empty()).otherwise(F.array_join(left, "\n"))
+    dropped = F.when(F.col(gone).isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size(left)).cast("long")
+    return out.withColumn("kept_text", kept).withColumn("n_dropped", dropped).drop(doc, gone, left)
 
 
 ORACLE = r"""
