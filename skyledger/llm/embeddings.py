@@ -4,9 +4,13 @@ Vectors are scaled to length 1; a cosine of at least c is then a distance of at
 vector by ``width`` random normal projections, each moved by a random offset and cut into cells of ``cell``; vectors
 with equal cells in a table share a bucket. Vectors of one bucket are compared exactly, in double precision.
 
-With cells of 1.5, a projection keeps two vectors of cosine 0.95 in one cell with chance 0.83 and two at right angles
-with chance 0.39. So with width 8 and 32 tables a link of cosine 0.95 is found with chance 0.9998 and one of 0.97
-nearly always, while unrelated vectors meet in a table once in 2,000 times.
+With cells of 1.5, a projection keeps two vectors of cosine 0.95 in one cell with chance p = 0.83 and two at right angles
+with chance q = 0.39. ``setting_for`` takes the width from the number n of vectors, so that an unrelated vector meets
+about ``CROWD`` others in a table whatever n is, and as many tables as keep the chance to miss a link of cosine 0.95 under
+``MISS``: work grows as n^1.2 and not as n^2.
+
+Hashes are exact: vectors and projections are rounded to whole multiples of 2^-18, whose products and sums doubles hold
+without error. So a vector has the same cells in every task, and whatever batch it is hashed in.
 
 Equal vectors are one *class* that is hashed once and counts as often as it occurs. A link that several tables find
 counts in the first of them only, which both vectors' hashes tell, so links are counted where they are found and never
@@ -17,6 +21,7 @@ parts, and pairs of parts are compared in different tasks, so no bucket is too l
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,19 +32,29 @@ from pyspark.sql import functions as F
 
 from .common import connected_components, stage
 
-WIDTH, TABLES, CELL, PART, SEED = 8, 32, 1.5, 2_000, 31
+CELL, PART, SEED = 1.5, 2_000, 31
+#: Chances that one projection keeps two vectors of cosine 0.95, or two at right angles, in one cell of 1.5.
+TOGETHER, APART = 0.83, 0.39
+CROWD, MISS, UNIT = 8, 1e-3, 1 << 18
+
+
+def setting_for(n: int) -> tuple[int, int]:
+    """(width, tables) for n distinct vectors."""
+    width = max(4, math.ceil(math.log(max(n, 1) / CROWD) / -math.log(APART)) if n > CROWD else 4)
+    return width, math.ceil(math.log(MISS) / math.log(1 - TOGETHER**width))
 
 
 @lru_cache(maxsize=8)
 def projections(dim: int, width: int, tables: int, cell: float, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rng = np.random.default_rng([seed, dim])
-    return rng.standard_normal((dim, width * tables)), rng.uniform(0, cell, width * tables), rng.integers(1, 1 << 62, width, dtype=np.int64) * 2 + 1
+    a, shift = np.rint(rng.standard_normal((dim, width * tables)) * UNIT), np.rint(rng.uniform(0, cell, width * tables) * UNIT * UNIT)
+    return a, shift, rng.integers(1, 1 << 62, width, dtype=np.int64) * 2 + 1
 
 
 def buckets(unit: np.ndarray, width: int, tables: int, cell: float, seed: int) -> np.ndarray:
     """Bucket of each unit vector in each table, as a 64-bit digest of its cells and its dimension."""
     a, shift, odd = projections(unit.shape[1], width, tables, cell, seed)
-    cells = np.floor((unit @ a + shift) / cell).astype(np.int64).reshape(len(unit), tables, width)
+    cells = np.floor((np.rint(unit * UNIT) @ a + shift) / (cell * UNIT * UNIT)).astype(np.int64).reshape(len(unit), tables, width)
     x = (cells * odd).sum(axis=2) + unit.shape[1]  # wraps around
     x = x.view(np.uint64)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -48,13 +63,23 @@ def buckets(unit: np.ndarray, width: int, tables: int, cell: float, seed: int) -
 
 def units(raw: list[bytes]) -> np.ndarray:
     """Unit vectors in double precision of vectors of one dimension; components are first scaled by the largest."""
-    v = np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1)
+    v = np.stack([np.frombuffer(r, np.float32, offset=1) if len(r) % 4 == 1 else np.frombuffer(r, np.float64, offset=2) for r in raw], dtype=np.float64)
     v = v / np.abs(v).max(axis=1, keepdims=True)
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
+def packed(v: np.ndarray) -> bytes:
+    """A vector in single precision after one byte where that holds it, else in double precision after two."""
+    with np.errstate(over="ignore"):
+        single = v.astype(np.float32)
+    return b"\0" + single.tobytes() if np.array_equal(single.astype(np.float64), v) else b"\0\0" + v.tobytes()
+
+
 def prepared(vectors: DataFrame) -> DataFrame:
-    """(vec_id, class long, vec binary of doubles): class and vec are null for vectors that link with nothing."""
+    """(vec_id, class long, vec binary): class and vec are null for vectors that link with nothing.
+
+    vec has 4 bytes a component where they are single-precision numbers, else 8, see ``packed``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -62,7 +87,7 @@ def prepared(vectors: DataFrame) -> DataFrame:
             for x in batch.column(1):
                 v = np.array([np.nan if c is None else c for c in x.as_py()], dtype=np.float64) if x.is_valid else np.zeros(0)
                 if len(v) and np.isfinite(v).all() and v.any():
-                    raw.append((v + 0.0).tobytes())  # -0 is 0
+                    raw.append(packed(v + 0.0))  # -0 is 0
                     classes.append(int.from_bytes(hashlib.md5(raw[-1]).digest()[:8], "little", signed=True))
                 else:
                     raw.append(None)
@@ -73,13 +98,13 @@ def prepared(vectors: DataFrame) -> DataFrame:
 
 
 def by_dimension(raw: list[bytes]) -> Iterator[np.ndarray]:
-    size = np.fromiter(map(len, raw), np.int64, len(raw))
+    size = np.fromiter((len(r) // 4 if len(r) % 4 == 1 else len(r) // 8 for r in raw), np.int64, len(raw))
     for s in np.unique(size):
         yield np.flatnonzero(size == s)
 
 
 def near_groups(
-    vectors: DataFrame, cosine: float = 0.95, width: int = WIDTH, tables: int = TABLES, cell: float = CELL, part: int = PART, seed: int = SEED
+    vectors: DataFrame, cosine: float = 0.95, width: int | None = None, tables: int | None = None, cell: float = CELL, part: int = PART, seed: int = SEED
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of vectors (vec_id, embedding).
 
@@ -87,12 +112,15 @@ def near_groups(
     links lead to, the row's own included; kept tells whether it is the row's own. Null or zero vectors and those
     with null or non-finite components link with nothing. Vectors of different dimensions do not link. Rows that
     repeat a vec_id are vectors of their own and link by their embeddings. A null vec_id counts in no minimum; its
-    component's id is null if it has no other, and kept is then true. An empty table gives an empty result; other
-    columns are not read.
+    component's id is null if it has no other, and kept is then true. Vectors of any length are taken. An empty table
+    gives an empty result; other columns are not read, whatever their names. ``width`` and ``tables`` follow from the
+    number of distinct vectors unless both are given.
     """
     own = stage(prepared(vectors), "vectors")
     classes = own.where("class is not null").groupBy("class").agg(F.count(F.lit(1)).alias("times"), F.first("vec").alias("vec"))
     classes = stage(classes, "classes")
+    if width is None or tables is None:
+        width, tables = setting_for(classes.count())
     setting = (width, tables, cell, seed)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
