@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import simhash
-from .common import connected_components, stage
+from .common import connected_components, fresh, stage
 
 #: Shared shingles of two sets, as a ratio of whole numbers: 4 of 5.
 SHARE, OF = 4, 5
@@ -168,8 +168,11 @@ def alike_groups(docs: DataFrame, words: int = 5) -> DataFrame:
 def one_of_each(docs: DataFrame, words: int = 5) -> DataFrame:
     """docs without near copies: of each component the document with the smallest doc_id stays.
 
-    Documents with a null doc_id stay. Of rows that repeat a kept doc_id all stay.
+    Documents with a null doc_id stay. Of rows that repeat a kept doc_id all stay. Texts without words, null ones too,
+    are copies of one another. A very long text is compared whole. An empty table gives an empty one. Other columns pass
+    through, whatever their names.
     """
-    kept = alike_groups(docs, words).where("doc_id = component_id").select(F.col("doc_id").alias("_doc")).distinct()
-    named = docs.join(kept, docs.doc_id == F.col("_doc"), "left_semi")
+    doc = fresh("doc")
+    kept = alike_groups(docs, words).where("doc_id = component_id").select(F.col("doc_id").alias(doc)).distinct()
+    named = docs.join(kept, F.col("doc_id") == F.col(doc), "left_semi")
     return named.unionByName(docs.where("doc_id is null"))

@@ -24,13 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, stage
+from .common import connected_components, fresh, stage
 
 BITS, QUARTER = 64, 16
 #: Node pairs a task walks at once; what is over waits on a stack. Few at once let links found early prune the rest.
 FRONTIER = 1 << 15
-#: Leaves that a task walks together; a node is never cut.
+#: Leaves that a task walks together.
 LEAVES = 250_000
+#: A node of the sixteenth level with more leaves is cut into sub-nodes, whose pairs are dealt to different tasks.
+SPLIT = 1 << 18
 #: Nodes of the sixteenth level with so many leaves link leaves of distance 1 before the walk.
 CROWDED = 64
 
@@ -102,6 +104,12 @@ class Forest:
                 np.minimum.at(self.of, np.maximum(x, y), np.minimum(x, y))
 
 
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        of = self.roots()
+        linked = np.flatnonzero(of != np.arange(len(of)))
+        return linked, of[linked]
+
+
 def popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)
 
@@ -121,9 +129,27 @@ def trie_links(prints: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]
         forest.union(crowd[hit], at[hit])
 
     keep = size > 1
-    # A pair of nodes is two ranges of sorted prints and the bits they differ in so far; level: bits walked.
     lo, hi = first[keep].astype(np.int32), (first + size)[keep].astype(np.int32)
-    stack = [(QUARTER, lo, hi, lo, hi, np.zeros(len(lo), np.int8))]
+    walk(prints, forest, (QUARTER, lo, hi, lo, hi, np.zeros(len(lo), np.int8)), budget)
+    return forest.links()
+
+
+def cross_links(one: np.ndarray, two: np.ndarray, level: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between two nodes of one level, each with sorted distinct prints, that lie ``level`` bits deep."""
+    prints = np.concatenate([one, two] if one[0] < two[0] else [two, one])
+    n = len(one) if one[0] < two[0] else len(two)
+    top = np.uint64(BITS - level)
+    forest, diff = Forest(len(prints)), popcount((one[:1] ^ two[:1]) >> top).astype(np.int8)
+    at = lambda x: np.array([x], np.int32)
+    walk(prints, forest, (level, at(0), at(n), at(n), at(len(prints)), diff), budget)
+    of = forest.links()
+    return prints[of[0]], prints[of[1]]
+
+
+def walk(prints: np.ndarray, forest: Forest, start: tuple, budget: int) -> None:
+    """Join in the forest what pairs of trie nodes hold, from ``start`` on: (bits walked, two ranges of sorted prints for each
+    pair of nodes, bits in which they differ so far)."""
+    stack = [start]
     while stack:
         level, a0, a1, b0, b1, diff = stack.pop()
         if len(a0) > FRONTIER:
@@ -162,9 +188,6 @@ def trie_links(prints: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]
             ok &= ~((p1 - p0 == 1) & (p0 == q0))
             parts.append(tuple(v[ok] for v in (p0, p1, q0, q1, d)))
         stack.append((level + 1, *(np.concatenate(v) for v in zip(*parts))))
-    of = forest.roots()
-    linked = np.flatnonzero(of != np.arange(n))
-    return linked, of[linked]
 
 
 def rotated(prints: np.ndarray, quarter: int) -> np.ndarray:
@@ -172,41 +195,62 @@ def rotated(prints: np.ndarray, quarter: int) -> np.ndarray:
     return prints if not quarter else (prints << turn) | (prints >> np.uint64(BITS - quarter * QUARTER))
 
 
-def links(distinct: DataFrame, budget: int = 3) -> DataFrame:
+def links(distinct: DataFrame, budget: int = 3, split: int = SPLIT) -> DataFrame:
     """Links (a, b) that join exactly the prints that a chain of prints at most ``budget`` bits apart joins."""
     if budget > 3:
         raise ValueError("four quarters leave a shared one for at most three differing bits")
     # Signed numbers: a shift without sign gives the bits.
     quarter = F.explode(F.array(*[F.lit(i) for i in range(4)]))
     four = distinct.select("fingerprint", quarter.alias("quarter"))
-    node = F.shiftrightunsigned(F.expr("shiftleft(fingerprint, quarter * 16)"), 48)
-    four = four.withColumn("node", node).repartition("quarter", "node").sortWithinPartitions("quarter", "node")
-
-    def walk(quarters: np.ndarray, prints: np.ndarray) -> Iterator[pa.RecordBatch]:
+    turned = F.expr("shiftleft(fingerprint, quarter * 16) | if(quarter = 0, 0L, shiftrightunsigned(fingerprint, 64 - quarter * 16))")
+    four = stage(four.select("quarter", turned.alias("print")).withColumn("node", F.shiftrightunsigned("print", 48)), "quarters")
+    # A node of more than ``split`` prints is cut into its sub-nodes ``deep`` bits further down, and each pair of those
+    # within the budget is a cell of its own: (low, high), a print on the side of its own sub-node.
+    crowded = four.groupBy("quarter", "node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > split)
+    deep = F.least(F.ceil(F.log2(F.col("n") / split)), F.lit(12)).cast("int")
+    four = four.join(crowded.select("quarter", "node", deep.alias("deep")), ["quarter", "node"], "left").fillna(0, ["deep"])
+    own = F.expr("if(deep = 0, 0, cast(shiftrightunsigned(shiftleft(print, 16), 64 - deep) as int))")
+    masks = F.filter(F.sequence(F.lit(0), F.expr("cast(shiftleft(1, deep) - 1 as int)")), lambda x: F.bit_count(x) <= budget)
+    cells = four.withColumn("own", own).withColumn("mask", F.explode(masks)).withColumn("other", F.col("own").bitwiseXOR(F.col("mask")))
+    cells = cells.select("quarter", "node", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "deep", "print")
+    key = ["quarter", "node", "low", "high"]
+    cells = cells.repartition(*key).sortWithinPartitions(*key)
+
+    def rows(quarter: int, found: Iterator[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(rotated(x, (4 - quarter) % 4).view(np.int64)) for x in found], names=["a", "b"])
+
+    def found_in(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        quarters, _, low, high, own, deep, prints = (np.concatenate(v) for v in zip(*held))
+        prints = prints.view(np.uint64)
         for quarter in np.unique(quarters).tolist():
-            own = np.sort(rotated(prints[quarters == quarter].view(np.uint64), quarter))
-            found = trie_links(own, budget)
-            back = (4 - quarter) % 4
-            yield pa.RecordBatch.from_arrays([pa.array(rotated(own[x], back).view(np.int64)) for x in found], names=["a", "b"])
+            mine = np.sort(prints[(quarters == quarter) & (low == high)])
+            if len(mine):
+                yield rows(quarter, [mine[x] for x in trie_links(mine, budget)])
+        for at in np.flatnonzero((low != high) & np.r_[True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])]).tolist():
+            cell = (quarters == quarters[at]) & (low == low[at]) & (high == high[at])
+            one, two = (np.sort(prints[cell & (own == x)]) for x in (low[at], high[at]))
+            if len(one) and len(two):
+                yield rows(int(quarters[at]), cross_links(one, two, QUARTER + int(deep[at]), budget))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows come node by node. Whole nodes are walked together, some LEAVES leaves at a time.
-        held, count = [], 0
+        # Rows come cell by cell. Whole nodes are walked together, some LEAVES leaves at a time; cells of two sides alone.
+        held, count, last = [], 0, None
         for batch in batches:
-            held.append([batch.column(i).to_numpy() for i in range(3)])
-            count += batch.num_rows
-            if count >= LEAVES:
-                prints, quarters, nodes = (np.concatenate(v) for v in zip(*held))
-                whole = np.flatnonzero((quarters != quarters[-1]) | (nodes != nodes[-1]))
-                cut = whole[-1] + 1 if len(whole) else 0
-                if cut:
-                    yield from walk(quarters[:cut], prints[:cut])
-                held, count = [[prints[cut:], quarters[cut:], nodes[cut:]]], len(prints) - cut
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
+            quarters, nodes, low, high = columns[:4]
+            new = np.flatnonzero(np.r_[True, (quarters[1:] != quarters[:-1]) | (nodes[1:] != nodes[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
+            for a, b in zip(new, [*new[1:], len(quarters)]):
+                key = (quarters[a], nodes[a], low[a], high[a])
+                pairs = low[a] != high[a]
+                if held and key != last and (count >= LEAVES or pairs or last[2] != last[3]):
+                    yield from found_in(held)
+                    held, count = [], 0
+                held.append([c[a:b] for c in columns])
+                count, last = count + b - a, key
         if held:
-            prints, quarters, _ = (np.concatenate(v) for v in zip(*held))
-            yield from walk(quarters, prints)
+            yield from found_in(held)
 
-    return four.mapInArrow(run, "a long, b long")
+    return cells.mapInArrow(run, "a long, b long")
 
 
 def near_groups(docs: DataFrame, words: int = 3, budget: int = 3) -> DataFrame:
@@ -230,9 +274,12 @@ def near_groups(docs: DataFrame, words: int = 3, budget: int = 3) -> DataFrame:
 def one_of_each(docs: DataFrame, words: int = 3, budget: int = 3) -> DataFrame:
     """docs without near copies: of each component the document with the smallest doc_id stays.
 
-    Documents with a null doc_id stay. Of rows that repeat a kept doc_id all stay.
+    Documents with a null doc_id stay. Of rows that repeat a kept doc_id all stay. Texts without words, null ones too,
+    are copies of one another. A very long text is compared whole. An empty table gives an empty one. Other columns pass
+    through, whatever their names.
     """
     groups = near_groups(docs, words, budget)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_doc")).distinct()
-    named = docs.join(kept, docs.doc_id == F.col("_doc"), "left_semi")
+    doc = fresh("doc")
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias(doc)).distinct()
+    named = docs.join(kept, F.col("doc_id") == F.col(doc), "left_semi")
     return named.unionByName(docs.where("doc_id is null"))
