@@ -19,9 +19,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def sample_ids(ids: DataFrame, bound: int, seed: int) -> DataFrame:
-    """About ``bound`` rows of ids, or all if there are fewer, chosen by a hash of doc_id: the same at every run."""
+    """About ``bound`` rows of ids, or all if there are fewer, chosen by a hash of doc_id and text: the same at every run.
+
+    With the text, rows that share a doc_id, or have none, do not all come or stay away together.
+    """
     n = ids.count()
-    part = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1_000_000))
+    part = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in ("doc_id", "text") if c in ids.columns]), F.lit(1_000_000))
     return ids.where(part < F.lit(min(1_000_000, int(1_000_000 * bound / max(n, 1)) + 1)))
 
 

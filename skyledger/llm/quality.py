@@ -130,6 +130,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int =
     trusted = F.broadcast(sample_ids(known.where("label = 1").select("doc_id"), sample, seed))
     positive = featured(docs.join(trusted, "doc_id", "left_semi"), ["doc_id"])
     web = featured(sample_ids(docs.where(~held_out()), sample, seed + 1), ["doc_id"])
+    # A doc_id counts once among the trusted, however many rows repeat it.
+    positive = positive.groupBy("doc_id").agg(F.min("x").alias("x"))
     rows = [sorted((r.doc_id or 0, tuple(r.x)) for r in part.collect()) for part in (positive, web)]
     x = [np.array([r[1] for r in part], dtype=float).reshape(len(part), N_FEATURES) for part in rows]
     return fit(x[0], x[1], prior)
@@ -139,9 +141,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
     """(doc_id, held_out, score, predicted) for each row of docs.
 
     score is the chance that the text is good, from the whole text alone; predicted is 1 from ``threshold``
-    on. Null texts count as empty and are scored like any text. A null doc_id is not held out. Labels with a
-    null doc_id or label are not used; without any labels every score is 0.5. Repeated rows give repeated
-    results, an empty table gives an empty one.
+    on. Null texts count as empty and are scored like any text, a very long text is scored whole. A null doc_id is not
+    held out. Labels with a null doc_id or label are not used; without any labels every score is 0.5. Ties need no order.
+    Repeated rows give repeated results, an empty table gives an empty one; other columns are not read, whatever their names.
     """
     scorer = train(docs.select("doc_id", "text"), labels, sample)
 

@@ -19,8 +19,8 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("edited", 256).alias("edited_sha256"),
         sketch.as_text(F.col("sketch")).alias("fingerprint"),
         sketch.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-        sketch.likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        sketch.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        "near_edited",
+        "near_next",
     )
 
 
@@ -54,7 +54,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels")).drop("spans")
+    """With the offending offsets, as start:end joined by commas."""
+    scored = toxicity.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return scored.withColumn("spans", spans)
 
 
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

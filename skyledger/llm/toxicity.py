@@ -27,10 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_or_empty
 from .learning import held_out, sample_ids, training_labels
 
 #: Bound on the labelled documents that the field is fitted on.
 SAMPLE = 2_500
+#: Longest text, in bytes, that is learned from.
+MAX_BYTES = 20_000
 SLOTS = 1 << 16
 TOKEN = re.compile(r"[^\W_]+")
 #: Marginals under this do not count towards a document's score.
@@ -222,9 +225,14 @@ def fit(rows: Iterator[tuple[str, int]], rounds: int = 30, rate: float = 0.25, d
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 29) -> Field:
-    """Fit on a bounded sample of labelled documents outside the held-out fold."""
+    """Fit on a bounded sample of labelled documents outside the held-out fold.
+
+    About ``sample`` documents, one text each, of at most MAX_BYTES: longer ones are scored, but not learned from. So at
+    most sample * MAX_BYTES bytes of text reach the driver, whatever the table holds.
+    """
     chosen = sample_ids(training_labels(labels, "toxic"), sample, seed)
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label")
+    rows = docs.where(F.octet_length(text_or_empty()) <= MAX_BYTES).join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id", "label").agg(F.min(text_or_empty()).alias("text"))
     rows = sorted((r.doc_id, r.text, r.label) for r in rows.collect())
     return fit((text, int(label > 0)) for _, text, label in rows)
 
@@ -236,7 +244,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
     spans lists (start, end) in code points of the tokens whose marginal reaches the threshold. Null and
     empty texts, and texts without letters or digits, have the score of a text without evidence and no spans. A null doc_id is not held out;
     labels with a null doc_id or label are not used; without toxic labels every score is that of clean text.
-    Repeated rows give repeated results, an empty table gives an empty one.
+    A very long text is scored whole. Equal scores are equal texts' or chance, no order rests on them.
+    Repeated rows give repeated results, an empty table gives an empty one; other columns are not read, whatever their names.
     """
     field = train(docs.select("doc_id", "text"), labels, sample)
 

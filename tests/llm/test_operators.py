@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from skyledger.llm import bpe, embeddings, line_dedup, mixing, pii, quality, recompress, simhash, sketch, toxicity
+from skyledger.llm import bpe, common, embeddings, line_dedup, mixing, pii, quality, recompress, simhash, sketch, toxicity
 from skyledger.llm.common import connected_components
 
 LINE = "This line of the licence stands in every one of the files here"
@@ -70,6 +70,45 @@ def words(text):
 # 1 ----------------------------------------------------------------------------------------------------------
 
 
+def brute_sketch(text):
+    """XXH64 with seed 42 of each word, chained over the words of a shingle, those in the lowest part kept."""
+    h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words(text)]
+    out = set()
+    for i in range(max(1, len(h) - 4)) if h else ():
+        seed = 42
+        for x in h[i : i + 5]:
+            seed = xxhash.xxh64_intdigest(x.to_bytes(8, "little"), seed)
+        signed = seed - (1 << 64) if seed >> 63 else seed
+        if signed < -(1 << 63) + (1 << 64) // sketch.SCALE:
+            out.add(signed)
+    return sorted(out)
+
+
+def brute_likeness(a, b):
+    x, y = set(brute_sketch(a)), set(brute_sketch(b))
+    return len(x & y) / len(x | y) if x | y else float(a == b)
+
+
+def test_sketch_of_a_union_is_the_union_of_sketches(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(8)
+    short, long = ([" ".join(rng.choice(list("abcdefgh"), 5)) for _ in range(n)] for n in (3, 400))
+    of = lambda shingles: set().union(*(r.s for r in spark.createDataFrame([(x,) for x in shingles], "t string").select(sketch.sketch(F.col("t")).alias("s")).collect()))
+    assert of(short) | of(long) == of(short + long) and of(long) < of(short + long) or of(short) <= of(long)
+
+
+def test_sketches_without_ids(spark):
+    rows = [(None, f"text {i} of those without an id") for i in range(40)] + [(4, "the fourth one"), (9, "the ninth one")]
+    got = sketch.fingerprint_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert len(got) == 42
+    for r in got:
+        following = {None: "the fourth one", 4: "the ninth one"}.get(r.doc_id)
+        if following:
+            cut = len(r.text) // 4
+            assert r.edited == r.text[: len(r.text) - cut] + following[:cut]
+
+
 def test_sketches(docs, nothing):
     unique = docs.where("doc_id is not null and text is not null and not (doc_id = 17 and text like 'a row%')")
     got = {r.doc_id: r for r in sketch.fingerprint_documents(unique).collect()}
@@ -80,7 +119,8 @@ def test_sketches(docs, nothing):
         cut = len(t) // 4
         assert got[d].edited == t[: len(t) - cut] + following[:cut]
         assert got[d].next_sketch == got[order[(i + 1) % len(order)]].sketch
-        assert got[d].sketch == sorted(set(got[d].sketch)) and bool(got[d].sketch) == bool(words(t))
+        assert got[d].sketch == brute_sketch(t) and got[d].edited_sketch == brute_sketch(got[d].edited)
+        assert got[d].near_edited == brute_likeness(t, got[d].edited) and got[d].near_next == brute_likeness(t, following)
     assert got[14].sketch == got[15].sketch
     assert sketch.fingerprint_documents(docs).count() == len(TEXTS)
     assert sketch.fingerprint_documents(nothing).count() == 0
@@ -162,9 +202,28 @@ def test_trie_join_finds_what_all_pairs_find():
     assert forest.roots().tolist() == want
 
 
-def test_components(spark):
+@pytest.mark.parametrize("split", [4, 60])
+def test_crowded_nodes_are_cut_and_lose_no_link(spark, split):
+    rng = np.random.default_rng(split)
+    top = rng.integers(0, 1 << 16, 4)
+    p = {int(top[i % 4]) << 48 | int(x) for i, x in enumerate(rng.integers(0, 1 << 18, 300))}
+    p |= {x ^ (1 << int(b)) ^ (1 << int(c)) for x in list(p)[:120] for b, c in rng.integers(0, 64, (2, 2))}
+    p = np.array(sorted(p), np.uint64)
+    near = np.bitwise_count(p[:, None] ^ p[None, :]) <= 3
+    want = components(len(p), zip(*(v.tolist() for v in np.nonzero(near))))
+    df = spark.createDataFrame([(int(x),) for x in p.view(np.int64)], "fingerprint long").repartition(3)
+    at = {int(x): i for i, x in enumerate(p.view(np.int64))}
+    links = [(at[r.a], at[r.b]) for r in simhash.links(df, split=split).collect()]
+    assert all(near[i, j] for i, j in links) or components(len(p), links) == want
+    assert components(len(p), links) == want and len(set(want)) > 10
+
+
+@pytest.mark.parametrize("hubs", [1, 40, 20_000])
+def test_components(spark, monkeypatch, hubs):
     rng = np.random.default_rng(2)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 400, (300, 2))] + [(i, i + 1) for i in range(500, 560)] + [(7, 7), (None, 3)]
+    links += [(450, i) for i in range(401, 480)]  # a hub in the middle of its ids
+    monkeypatch.setattr(common, "HUBS", hubs)
     want = components(600, [x for x in links if None not in x])
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert all(got.get(i, i) == want[i] for i in range(600))
@@ -251,6 +310,42 @@ def test_embeddings(spark, part):
     assert embeddings.near_groups(df.limit(0)).count() == 0
 
 
+def test_embedding_hashes_do_not_depend_on_the_batch():
+    rng = np.random.default_rng(13)
+    raw = [embeddings.packed(v) for v in rng.standard_normal((301, 48)).astype(np.float32).astype(float)]
+    assert len(raw[0]) == 1 + 4 * 48 and len(embeddings.packed(rng.standard_normal(48))) == 2 + 8 * 48
+    unit = embeddings.units(raw)
+    whole = embeddings.buckets(unit, 9, 40, embeddings.CELL, 1)
+    for size in (1, 2, 7, 64):
+        parts = [embeddings.buckets(unit[i : i + size], 9, 40, embeddings.CELL, 1) for i in range(0, len(unit), size)]
+        assert np.array_equal(np.concatenate(parts), whole)
+
+
+def test_embedding_setting_follows_the_number_of_vectors():
+    widths, tables = zip(*(embeddings.setting_for(n) for n in (0, 1, 100, 10_000, 10**6, 10**9)))
+    assert list(widths) == sorted(widths) and list(tables) == sorted(tables)
+    for n in (10_000, 10**9):
+        width, count = embeddings.setting_for(n)
+        assert n * embeddings.APART**width <= embeddings.CROWD and (1 - embeddings.TOGETHER**width) ** count <= embeddings.MISS
+    # The two chances, measured.
+    rng = np.random.default_rng(14)
+    a = rng.standard_normal((300, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    side = rng.standard_normal((300, 64))
+    side -= (side * a).sum(axis=1, keepdims=True) * a
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    b = 0.95 * a + np.sqrt(1 - 0.95**2) * side
+    one, near, far = (embeddings.buckets(x, 1, 200, embeddings.CELL, 3) for x in (a, b, side))
+    assert abs((one == near).mean() - embeddings.TOGETHER) < 0.02 and abs((one == far).mean() - embeddings.APART) < 0.02
+
+
+def test_embeddings_of_single_and_double_precision_link(spark):
+    v = [float(np.float32(x)) for x in (0.1, 0.2, 0.3)]
+    rows = [(1, v), (2, [0.1, 0.2, 0.3]), (3, [-x for x in v])]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embeddings.near_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (1, 1, True), 2: (1, 1, False), 3: (0, 3, True)}
+
+
 # 5 ----------------------------------------------------------------------------------------------------------
 
 
@@ -392,13 +487,20 @@ def test_very_common_lines_are_joined_alike(docs, monkeypatch, very_common):
     assert got == brute_lines(TEXTS)
 
 
-def test_line_runs_compact(spark):
-    runs = line_dedup.LineRuns(spark, fanout=2)
+def test_line_runs_are_disjoint_and_carry_the_counts(spark):
+    runs, held = line_dedup.LineRuns(spark), {}
+    rng = np.random.default_rng(12)
     for b in range(5):
-        batch = runs.add(spark.createDataFrame([(b"same", b), (b"own%d" % b, b)], "digest binary, doc_id long"))
-        assert {bytes(r.digest): r.new for r in batch.collect()} == {b"same": b == 0, b"own%d" % b: True}
+        rows = {(b"k%d" % int(k), 10 * b + int(d)) for k, d in zip(rng.integers(0, 30, 60), rng.integers(0, 10, 60))}
+        for k, d in rows:
+            held.setdefault(k, set()).add(d)
+        new = runs.add(spark.createDataFrame(sorted(rows), "digest binary, doc_id long"))
+        assert {bytes(r.digest) for r in new.collect()} == {k for k, _ in rows if min(held[k]) >= 10 * b}
     assert [len(level) for level in runs.levels] == [1, 0, 1]
-    assert [(bytes(r.digest), r.last_doc) for r in runs.frequent(5).collect()] == [(b"same", 4)]
+    known = [bytes(r.digest) for r in runs.known().collect()]
+    assert sorted(known) == sorted(held)  # no key twice
+    want = sorted((k, len(d), max(d)) for k, d in held.items() if len(d) >= 5)
+    assert sorted((bytes(r.digest), r.n_docs, r.last_doc) for r in runs.frequent(5).collect()) == want
 
 
 # 9 ----------------------------------------------------------------------------------------------------------
@@ -528,5 +630,5 @@ def test_apportion_is_sainte_lague(spark):
             best = max(range(len(votes)), key=lambda i: (votes[i] / (2 * won[i] + 1), -i))
             won[best] += 1
         df = spark.createDataFrame([(0, i, v) for i, v in enumerate(votes)], "g int, k int, v double")
-        got = {r.k: r.seats for r in mixing.apportion(df, "g", "k", "v", F.lit(seats)).collect()}
+        got = {r.k: r.seats for r in mixing.apportion(df, ["g"], "k", "v", F.lit(seats)).collect()}
         assert [got[i] for i in range(len(votes))] == won
