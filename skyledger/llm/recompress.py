@@ -10,10 +10,10 @@ it and, at the bottom, from the bytes of the word; so equal runs and pairs have
 round only has to find out which names several documents hold. It stages those, and the next round goes on from them:
 
 1. **Revealing**, levels 0 to 2. A symbol depends on its *context*, the words that fix its own parse and that of its
-   neighbours. Each window has a highest symbol: of those whose context it holds, one of the highest level there is, that
-   spans most words. Equal windows have equal highest symbols and neighbouring windows share theirs, so there is about
-   one for three words. Windows whose highest symbol several documents hold make up *passages*; all later rounds read
-   these alone.
+   neighbours. Each run of 8 words has a highest symbol: of those whose context it holds, one of the highest level there
+   is, that spans most words. Of the runs in a window the one with the highest symbol stands for it: its *peak*, named by
+   that symbol and its words. Equal windows have equal peaks and neighbouring windows share theirs, so there is about one
+   for three words. Windows whose peak several documents hold make up *passages*; all later rounds read these alone.
 2. **Long repeats**, the upper levels first (``ROUNDS``). A symbol that spans a window or more and that a document with a
    smaller doc_id holds settles all its words at once; what is settled is not sent again in the rounds below.
 3. **Verifying.** The windows that are left and not settled are compared by their words' names.
@@ -41,6 +41,8 @@ from pyspark.sql import functions as F
 from .common import stage, text_or_empty
 
 WINDOW, REVEALING = 13, 2
+#: A window is so many words longer than the runs that may stand for it.
+SPREAD = 5
 #: Levels of the rounds that settle long repeats, in their order.
 ROUNDS = ((6, 5), (4, 3))
 #: Bytes of text that are parsed together; a longer document is parsed alone.
@@ -176,8 +178,8 @@ def range_max(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return out
 
 
-def highest(words: Words, at: np.ndarray, window: int = WINDOW, revealing: int = REVEALING) -> np.ndarray:
-    """The highest symbol of each window: its number of words in the upper bits, its name in the others."""
+def highest(words: Words, at: np.ndarray, window: int, revealing: int = REVEALING) -> np.ndarray:
+    """The highest symbol in ``window`` words from each place: its number of words in the upper bits, its name in the others."""
     n = len(words.boundary)
     best = np.zeros(len(at), _U)
     left = np.arange(len(at))
@@ -195,6 +197,18 @@ def highest(words: Words, at: np.ndarray, window: int = WINDOW, revealing: int =
     return best
 
 
+def peaks(words: Words, at: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """The peak of each window: 44 bits of its highest symbol, 20 of the digest of its words."""
+    size = max(1, window - SPREAD)
+    runs = words.windows(size)
+    own = np.zeros(len(words.boundary), _U)
+    own[runs] = (highest(words, runs, size) & ~_U(0xFFFFF)) | (words.digests(runs, size)[0] >> _U(44))
+    best = own[at]
+    for k in range(1, window - size + 1):
+        best = np.maximum(best, own[at + k])
+    return best
+
+
 def pack(x: np.ndarray) -> bytes:
     """8-byte numbers byte plane by byte plane: sorted or small ones compress well."""
     return np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T).tobytes()
@@ -404,7 +418,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: tuple[tuple[in
         def entries() -> Entries:
             for _, ids, words, _ in in_chunks(batches, 1):
                 at = words.windows(window)
-                high, doc = highest(words, at, window), words.doc[at]
+                high, doc = peaks(words, at, window), words.doc[at]
                 new = np.r_[True, (high[1:] != high[:-1]) | (doc[1:] != doc[:-1])] if len(at) else np.zeros(0, bool)
                 yield high[None, new], ids[doc[new]]
 
@@ -414,7 +428,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: tuple[tuple[in
         for rows, ids, words, (keys,) in in_chunks(batches, 1, "keys"):
             hashes = rows.column("hash").to_numpy(zero_copy_only=False)
             at = words.windows(window)
-            at = at[member(highest(words, at, window)[None], words.doc[at], keys)]
+            at = at[member(peaks(words, at, window)[None], words.doc[at], keys)]
             low, high = ranges(covered(len(words.boundary), at, window))
             doc = words.doc[low]
             start = low - words.first[doc]
@@ -488,7 +502,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: tuple[tuple[in
                 columns = [pa.array(ids, mask=ids <= LAST_NO_ID), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(out, pa.binary()).cast(pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "kept_text"])
 
-    shared = settle(texts.mapInArrow(symbols, PACKED), False, "shared-symbols")
+    shared = settle(texts.mapInArrow(symbols, PACKED), False, "shared-peaks")
     found = stage(travelling.join(shared, "id").mapInArrow(passages, "id long, hash long, start long, text string"), "passages")
     keys: DataFrame | None = None
     for own in rounds:

@@ -563,12 +563,12 @@ def test_recompression_tells_thue_morse_words_apart(spark):
         assert repeats_of(spark, rows, 1) == brute_repeats(rows) and brute_repeats(rows)[1][2] == 0
 
 
-def test_equal_windows_have_equal_symbols():
+def test_equal_windows_have_equal_peaks():
     rng = np.random.default_rng(10)
     text = " ".join(rng.choice(["a", "b", "c", "d"], 4000))
     w = recompress.Words([text.encode()], 2)
     at = w.windows(13)
-    top, digest = recompress.highest(w, at), w.digests(at, 13)
+    top, digest = recompress.peaks(w, at), w.digests(at, 13)
     seen = {}
     for d, t in zip(zip(*digest.tolist()), top.tolist()):
         assert seen.setdefault(d, t) == t
