@@ -14,8 +14,8 @@ round only has to find out which names several documents hold. It stages those,
    is, that spans most words. Of the runs in a window the one with the highest symbol stands for it: its *peak*, named by
    that symbol and its words. Equal windows have equal peaks and neighbouring windows share theirs, so there is about one
    for three words. Windows whose peak several documents hold make up *passages*; all later rounds read these alone.
-2. **Long repeats**, the upper levels first (``ROUNDS``). A symbol that spans a window or more and that a document with a
-   smaller doc_id holds settles all its words at once; what is settled is not sent again in the rounds below.
+2. **Long repeats**, the levels of ``ROUNDS``. A symbol that spans a window or more and that a document with a smaller
+   doc_id holds settles all its words at once; what is settled is not sent again in the rounds below.
 3. **Verifying.** The windows that are left and not settled are compared by their words' names.
 
 **Exactness.** The first round only leaves out what cannot repeat. The others decide by names of 128 bits: two lanes of
@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +44,8 @@ from .common import stage, text_or_empty
 WINDOW, REVEALING = 13, 2
 #: A window is so many words longer than the runs that may stand for it.
 SPREAD = 5
-#: Levels of the rounds that settle long repeats, in their order.
-ROUNDS = ((6, 5), (4, 3))
+#: Levels of the rounds that settle long repeats, in their order. More rounds send less and parse more often.
+ROUNDS = ((6, 5, 4, 3),)
 #: Bytes of text that are parsed together; a longer document is parsed alone.
 CHUNK = 6_000_000
 #: Entries that are sent together.
@@ -71,40 +72,41 @@ def joined(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
     return mixed(mixed(a + _U(salt)) * _ODD[: len(a)] + b)
 
 
-class Vocabulary(dict):
-    """Numbers of words by first appearance."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = len(self)
-        return len(self) - 1
-
-    def names(self, lanes: int) -> np.ndarray:
-        raw = b"".join(hashlib.blake2b(w, digest_size=16).digest() for w in self)
-        return np.frombuffer(raw, "<u8").reshape(-1, 2).T[:lanes].astype(_U)
+def names_of(words: pa.Array, lanes: int) -> np.ndarray:
+    """Names (lanes x n) of distinct words."""
+    digest = hashlib.blake2b
+    raw = b"".join([digest(w, digest_size=16).digest() for w in words.to_pylist()])
+    return np.frombuffer(raw, "<u8").reshape(-1, 2).T[:lanes].astype(_U)
 
 
 class Words:
     """The words of some texts: names with a boundary before, between and after texts.
 
     ``token`` (lanes x places) and ``boundary`` have one place for each word and boundary, ``doc`` is the text of each
-    place, ``counts`` the number of words of each text, ``first`` the place of its first word.
+    place, ``counts`` the number of words of each text, ``first`` the place of its first word. Words are numbered within
+    these texts before they are named, so each distinct one is digested once.
     """
 
     def __init__(self, texts: list[bytes], lanes: int):
-        known = Vocabulary()
-        self.split = [t.split() for t in texts]  # at ASCII white space
-        self.counts = np.fromiter(map(len, self.split), np.int64, len(texts))
-        total = int(self.counts.sum())
-        numbers = np.fromiter((known[w] for words in self.split for w in words), np.int64, total)
-        doc = np.repeat(np.arange(len(texts)), self.counts)
+        self.texts = texts
+        pieces = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+        flat, sizes = pieces.values, np.diff(pieces.offsets.to_numpy())
+        word = pc.greater(pc.binary_length(flat), 0)  # there are empty pieces at the ends of texts
+        numbers = flat.filter(word).dictionary_encode()
+        doc = np.repeat(np.arange(len(texts)), sizes)[word.to_numpy(zero_copy_only=False)]
+        self.counts = np.bincount(doc, minlength=len(texts))
+        total = len(doc)
         n = total + len(texts) + 1
         place = np.arange(total) + doc + 1
         self.token, self.boundary, self.doc = np.zeros((lanes, n), _U), np.ones(n, bool), np.zeros(n, np.int64)
         if total:
-            self.token[:, place] = known.names(lanes)[:, numbers]
+            self.token[:, place] = names_of(numbers.dictionary.cast(pa.large_binary()), lanes)[:, numbers.indices.to_numpy()]
         self.boundary[place], self.doc[place] = False, doc
         self.first = np.cumsum(self.counts + 1) - self.counts
 
+    def split(self, text: int) -> list[bytes]:
+        return self.texts[text].split()  # at ASCII white space
+
     def windows(self, window: int) -> np.ndarray:
         """Places at which a window of one text starts."""
         bad = np.r_[0, np.cumsum(self.boundary)]
@@ -201,8 +203,12 @@ def peaks(words: Words, at: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """The peak of each window: 44 bits of its highest symbol, 20 of the digest of its words."""
     size = max(1, window - SPREAD)
     runs = words.windows(size)
+    # A sum of multiples will do here, as peaks only leave out what cannot repeat.
+    sums = np.zeros(len(runs), _U)
+    for k in range(size):
+        sums += words.token[0, runs + k] * _U(pow(int(_ODD[0, 0]), k + 1, 1 << 64))
     own = np.zeros(len(words.boundary), _U)
-    own[runs] = (highest(words, runs, size) & ~_U(0xFFFFF)) | (words.digests(runs, size)[0] >> _U(44))
+    own[runs] = (highest(words, runs, size) & ~_U(0xFFFFF)) | (mixed(sums) >> _U(44))
     best = own[at]
     for k in range(1, window - size + 1):
         best = np.maximum(best, own[at + k])
@@ -432,7 +438,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: tuple[tuple[in
             low, high = ranges(covered(len(words.boundary), at, window))
             doc = words.doc[low]
             start = low - words.first[doc]
-            out = [b" ".join(words.split[d][s : s + n]) for d, s, n in zip(doc.tolist(), start.tolist(), (high - low).tolist())]
+            out, last, split = [], None, []
+            for d, s, n in zip(doc.tolist(), start.tolist(), (high - low).tolist()):
+                if d != last:
+                    last, split = d, words.split(d)
+                out.append(b" ".join(split[s : s + n]))
             for i in range(0, len(out), 10_000):
                 part = slice(i, i + 10_000)
                 columns = [pa.array(ids[doc[part]]), pa.array(hashes[doc[part]]), pa.array(start[part]), pa.array(out[part], pa.binary()).cast(pa.string())]
@@ -470,7 +480,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: tuple[tuple[in
         for rows, ids, words, (keys, seen) in in_chunks(batches, 2, "keys", "seen"):
             start, hashes = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("start", "hash"))
             gone = settled(words, words.levels(top), keys, window)
-            at = words.windows(window)
+            some = np.fromiter((k is not None for k in seen), bool, len(seen))
+            before, at = np.r_[0, np.cumsum(gone)], words.windows(window)
+            at = at[some[words.doc[at]] & (before[at + window] - before[at] < window)]
             at = at[member(words.digests(at, window), words.doc[at], seen)]
             low, high = ranges(gone | covered(len(gone), at, window))
             doc = words.doc[low]

@@ -551,6 +551,9 @@ def test_recompression_of_long_repeats_nulls_and_repeated_ids(spark):
     rows = [(5, f"{word(30)} {long} {word(7)}"), (6, f"{word(9)} {long[:2000]} {shared}"), (7, long), (7, f"{shared} {word(40)}"), (3, f"{shared} {word(50)}"), (None, long), (None, long), (None, shared), (1, ""), (2, None)]
     rows += [(40 + i, f"{word(20)} {shared} {word(20)}") for i in range(30)] + [(90, word(60_000) + " " + long)]
     assert repeats_of(spark, rows) == brute_repeats(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    more = recompress.remove_repeats(df, rounds=((6, 5), (4, 3))).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in more), key=key) == brute_repeats(rows)
 
 
 def test_recompression_tells_thue_morse_words_apart(spark):
@@ -583,7 +586,7 @@ def test_symbols_of_all_levels_stand_for_one_sequence_of_words():
     for level in levels:
         for k in np.flatnonzero(~level.boundary):
             d, at = w.doc[level.start[k]], level.start[k] - w.first[w.doc[level.start[k]]]
-            text = tuple(w.split[d][at : at + level.words[k]])
+            text = tuple(w.split(d)[at : at + level.words[k]])
             assert len(text) == level.words[k] and spelled.setdefault(tuple(level.name[:, k].tolist()), text) == text
     assert max(level.words.max() for level in levels) >= 13
     assert len(set(spelled.values())) == len(spelled)
