@@ -267,9 +267,20 @@ def test_personal_data_disguises():
         "card ４１１１１１１１１１１１１１１１!": ("card", "４１１１１１１１１１１１１１１１"),
         "jo​hn@example.com": ("email", "jo​hn@example.com"),
     }
+    cases |= {
+        "ask john at example.com for it": ("email", "john at example.com"),
+        "ask John At Example Dot Com": ("email", "John At Example Dot Com"),
+        "ask john dot smith at example dot com": ("email", "john dot smith at example dot com"),
+        "to j\U0001d428hn@ex\U0001d41ample.com!": ("email", "j\U0001d428hn@ex\U0001d41ample.com"),
+        "at 10 dot 0 dot 0 dot 1 it": ("ip", "10 dot 0 dot 0 dot 1"),
+        "at 192[.]168[.]0[.]1": ("ip", "192[.]168[.]0[.]1"),
+        "at \u09e7\u09e6.\u09e6.\u09e6.\u09e7 it": ("ip", "\u09e7\u09e6.\u09e6.\u09e6.\u09e7"),
+        "card 4 one 1 one 1111 1111 one one one one": ("card", "4 one 1 one 1111 1111 one one one one"),
+        "to john[@]example[.]com": ("email", "john[@]example[.]com"),
+    }
     for text, (kind, piece) in cases.items():
         assert (kind, text.index(piece), text.index(piece) + len(piece)) in pii.spans_of(text)[1], text
-    for text in ("we met at home. dot the i", "look at word.word", "one or two or three", "stone bone phone alone"):
+    for text in ("we met at home. dot the i", "look at word.word", "one or two or three", "stone bone phone alone", "visit us at example.com", "available at shop.com", "see page one 2 three", "[.] (at) {dot}", "5 at 10.30 point 2"):
         assert pii.spans_of(text) == ([], [])
 
 
