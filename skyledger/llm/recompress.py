@@ -47,9 +47,9 @@ SPREAD = 5
 #: Levels of the rounds that settle long repeats, in their order. More rounds send less and parse more often.
 ROUNDS = ((6, 5, 4, 3),)
 #: Bytes of text that are parsed together; a longer document is parsed alone.
-CHUNK = 6_000_000
+CHUNK = 2_500_000
 #: Entries that are sent together.
-FLUSH = 1_500_000
+FLUSH = 1_200_000
 #: Bytes of input for which there is a bucket.
 BUCKET_BYTES = 16_000_000
 
