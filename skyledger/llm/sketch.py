@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import SPACE, stage, text_or_empty
 
 #: Words in a shingle, and one hash in how many is kept.
-SHINGLE, SCALE = 5, 4
+SHINGLE, SCALE = 5, 6
 
 
 def words_of(text: Column) -> Column:
@@ -143,7 +143,8 @@ def fingerprint_documents(docs: DataFrame, shingle: int = SHINGLE, scale: int =
         F.struct(head.alias("head"), sketch(F.col("text"), shingle, scale).alias("next_sketch"), F.sha1("text").alias("digest")).alias("next"),
         F.xxhash64("text", "doc_id").alias("_hash"),  # with doc_id, so that both uses read the same columns
     )
-    heads = _all_keys(heads.groupBy("before_id").agg(F.min_by("next", "_hash").alias("next")), "before_id").drop("before_id")
+    # Keyed before they are grouped, so that group and join share one shuffle.
+    heads = _all_keys(heads, "before_id").groupBy("_k", "_none").agg(F.min_by("next", "_hash").alias("next"))
     out = joined.select("_k", "_none", "doc_id", "text").join(heads, ["_k", "_none"], "left")
     n = F.char_length("text")
     cut = F.floor(n / 4).cast("int")
