@@ -3,8 +3,8 @@
 No number of differing bits holds all such pairs, so fingerprints only go first: each text of a SimHash group is compared
 with the group's first one, which links most copies at a cost of the group's size. The other pairs come from a prefix
 join that misses none: sets that are 0.8 alike share one of the first fifth of their shingles in any order that is the
-same for all texts. The order puts common shingles last; it changes the cost only. Pairs that already hang together are
-not compared again, and every pair is checked on its whole sets before it links.
+same for all texts. The order puts common shingles last; it changes the cost only. The texts of a shingle are first compared
+with one of them, then pairs of what does not hang together yet. Every pair is checked on its whole sets before it links.
 """
 
 from __future__ import annotations
@@ -150,6 +150,14 @@ def alike_groups(docs: DataFrame, words: int = 5) -> DataFrame:
     by_h = F.expr("min(key) over (partition by h) < max(key) over (partition by h)")
     shared = prefixes(docs, words).withColumn("_two", by_h).where("_two").drop("_two").distinct()
     shared = stage(shared.join(hangs, shared.key == hangs.b, "left").select("h", "key", "n", "at", F.coalesce("of", "key").alias("group")), "shared-shingles")
+    # Each text with the first one of its shingle, so that a large group of near copies hangs together before pairs are made.
+    lead = shared.groupBy("h").agg(F.min_by(F.struct("key", "n", "at", "group"), F.struct("group", "key")).alias("lead"))
+    led = shared.join(lead, "h").where("group <> lead.group").where(F.expr(f"{SHARE + OF} * least(n - at, lead.n - lead.at) >= {SHARE} * (n + lead.n)"))
+    led = stage(led.select(F.least("key", "lead.key").alias("a"), F.greatest("key", "lead.key").alias("b")).distinct(), "lead-pairs")
+    links = stage(links.unionByName(checked(led, docs, least, words)), "lead-links")
+    roots = connected_components(links)
+    shared = shared.drop("group").join(roots, shared.key == roots.node, "left").select("h", "key", "n", "at", F.coalesce("root", "key").alias("group"))
+    shared = stage(shared, "shared-shingles")
     g = shared.select("h", "group").distinct()
     pairs = g.select("h", F.col("group").alias("ga")).join(g.select("h", F.col("group").alias("gb")), "h").where("ga < gb")
     x, y = (shared.select("h", F.col("group").alias(f"g{k}"), F.col("key").alias(k), F.col("n").alias(f"n{k}"), F.col("at").alias(f"at{k}")) for k in ("a", "b"))
