@@ -231,12 +231,13 @@ def covered(spark, d):
     return G.covering_verdicts(images(spark, d), verdicts(spark, d))
 
 
-ACKNOWLEDGED = (F.expr("k % 7 < 3"), F.expr("k % 2 = 0"))
+def acknowledged():
+    return F.expr("k % 7 < 3"), F.expr("k % 2 = 0")
 
 
 @query("covering_verdict", f"{COVERED} SELECT path, tree, pass, state, problem FROM c")
 def covering_verdict(spark, d):
-    return covered(spark, d).select("path", "v.tree", "v.pass", "v.state", G.verdict_problem(*ACKNOWLEDGED).alias("problem"))
+    return covered(spark, d).select("path", "v.tree", "v.pass", "v.state", G.verdict_problem(*acknowledged()).alias("problem"))
 
 
 @query(
@@ -248,7 +249,7 @@ SELECT field, page, ok, coalesce(reasons, '') AS reasons, n FROM g LEFT JOIN w U
 def release_gate(spark, d):
     c = covered(spark, d).withColumn("page", F.col("k") % 40)
     pages = c.select("field", "page").unionByName(c.select("field", F.lit(99).cast("long").alias("page")))
-    return G.release_gate(c, ["field", "page"], *ACKNOWLEDGED, expected=pages)
+    return G.release_gate(c, ["field", "page"], *acknowledged(), expected=pages)
 
 
 @query("extra_files", f"{INV}, p AS (SELECT field || '/' || obs || '/' || name AS path FROM f) SELECT path FROM p WHERE NOT (ends_with(path, '_i2d.fits') OR ends_with(path, '.ecsv')) AND NOT starts_with(path, 'brick/002/')")
