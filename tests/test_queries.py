@@ -46,3 +46,12 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     columns = [d[0] for d in want.description]
     assert sorted(got.columns) == sorted(columns)
     assert bag([tuple(r) for r in got.collect()], got.columns) == bag(want.fetchall(), columns)
+
+
+def test_queries_load_without_a_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import __spark_entry__ as e; assert len(e.queries()) > 150 and set(e.oracle_sql()) <= set(e.queries())"
+    subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parent.parent, check=True, timeout=120)
