@@ -4,7 +4,9 @@ No number of differing bits holds all such pairs, so fingerprints only go first:
 with the group's first one, which links most copies at a cost of the group's size. The other pairs come from a prefix
 join that misses none: sets that are 0.8 alike share one of the first fifth of their shingles in any order that is the
 same for all texts. The order puts common shingles last; it changes the cost only. The texts of a shingle are first compared
-with one of them, then pairs of what does not hang together yet. Every pair is checked on its whole sets before it links.
+with one of them. Then pairs of what does not hang together yet leave the join only if their parities allow it: sets that
+differ in d shingles differ in at most d parity bits, so no pair is lost by that. Every pair is checked on its whole sets
+before it links.
 """
 
 from __future__ import annotations
@@ -23,6 +25,9 @@ from .common import connected_components, fresh, stage
 SHARE, OF = 4, 5
 #: Shingles are counted by so many buckets, and so many of the fullest are known as common.
 BUCKETS, COMMON = 1 << 22, 1 << 16
+#: Longs of a set's parity, 64 bits each.
+LANES = 8
+PARITY = [f"p{i}" for i in range(LANES)]
 
 
 def shingle_set(hashes: np.ndarray) -> np.ndarray:
@@ -35,27 +40,41 @@ def set_key(own: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(own.tobytes(), 7)
 
 
+def parity(own: np.ndarray) -> np.ndarray:
+    """A bit for each of 64 * LANES classes of shingles: whether the set has an odd number of the class."""
+    odd = np.bincount((own >> np.uint64(24)).astype(np.int64) % (64 * LANES), minlength=64 * LANES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
+def may_link(a: str, b: str) -> str:
+    """SQL: sets that are alike enough differ in at most a ninth of both sizes, so at most in so many parity bits."""
+    apart = " + ".join(f"bit_count({p}{a} ^ {p}{b})" for p in PARITY)
+    return f"{SHARE + OF} * ({apart}) <= {OF - SHARE} * (n{a} + n{b})"
+
+
 def _signed(x) -> pa.Array:
     return pa.array(np.array(x, dtype=np.uint64).view(np.int64))
 
 
 def described(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, fingerprint, key, n) a row of docs; key names the shingle set, n is its size."""
+    """(doc_id, fingerprint, key, n, p0, p1, ...) a row of docs; key names the shingle set, n is its size, p its parity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                prints, keys, sizes = [], [], []
+                prints, keys, sizes, odd = [], [], [], []
                 for t in part.column(1):
                     h = simhash.shingle_hashes(t.as_py(), words)
                     own = shingle_set(h)
                     prints.append(simhash.majority(h))
                     keys.append(set_key(own))
                     sizes.append(len(own))
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), _signed(prints), _signed(keys), pa.array(sizes, pa.int64())], names=["doc_id", "fingerprint", "key", "n"])
+                    odd.append(parity(own))
+                columns = [part.column(0).cast(pa.int64()), _signed(prints), _signed(keys), pa.array(sizes, pa.int64()), *map(_signed, np.array(odd).reshape(-1, LANES).T)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fingerprint", "key", "n", *PARITY])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fingerprint long, key long, n long")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, fingerprint long, key long, n long, {', '.join(f'{p} long' for p in PARITY)}")
 
 
 def common_buckets(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +157,8 @@ def alike_groups(docs: DataFrame, words: int = 5) -> DataFrame:
     null doc_id counts in no minimum. Repeated rows give repeated results.
     """
     own = stage(described(docs, words), "shingle-sets")
-    least = stage(own.groupBy("key").agg(F.min("doc_id").alias("least"), F.min("fingerprint").alias("fingerprint"), F.max("n").alias("n")), "distinct-sets")
+    same = [F.max(c).alias(c) for c in ("fingerprint", "n", *PARITY)]
+    least = stage(own.groupBy("key").agg(F.min("doc_id").alias("least"), *same), "distinct-sets")
     # First the SimHash groups, each text with the first of its group.
     near = connected_components(simhash.links(least.select("fingerprint").distinct()))
     grouped = least.join(near, least.fingerprint == near.node, "left").select("key", F.coalesce("root", "fingerprint").alias("root"))
@@ -157,14 +177,14 @@ def alike_groups(docs: DataFrame, words: int = 5) -> DataFrame:
     links = stage(links.unionByName(checked(led, docs, least, words)), "lead-links")
     roots = connected_components(links)
     shared = shared.drop("group").join(roots, shared.key == roots.node, "left").select("h", "key", "n", "at", F.coalesce("root", "key").alias("group"))
+    by_h = F.expr("min(group) over (partition by h) < max(group) over (partition by h)")
+    shared = shared.withColumn("_two", by_h).where("_two").drop("_two").join(least.select("key", *PARITY), "key")
     shared = stage(shared, "shared-shingles")
-    g = shared.select("h", "group").distinct()
-    pairs = g.select("h", F.col("group").alias("ga")).join(g.select("h", F.col("group").alias("gb")), "h").where("ga < gb")
-    x, y = (shared.select("h", F.col("group").alias(f"g{k}"), F.col("key").alias(k), F.col("n").alias(f"n{k}"), F.col("at").alias(f"at{k}")) for k in ("a", "b"))
-    pairs = pairs.join(x, ["h", "ga"]).join(y, ["h", "gb"])
-    # What is left of both sets from their first shared shingle on must hold enough.
-    enough = F.expr(f"{SHARE + OF} * least(na - ata, nb - atb) >= {SHARE} * (na + nb)")
-    pairs = stage(pairs.where(enough).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidate-pairs")
+    x, y = (shared.select([F.col(c).alias(c + k) for c in shared.columns]) for k in ("_a", "_b"))
+    # What is left of both sets from a shared shingle on must hold enough.
+    enough = f"{SHARE + OF} * least(n_a - at_a, n_b - at_b) >= {SHARE} * (n_a + n_b)"
+    pairs = x.join(y, F.expr(f"h_a = h_b and group_a < group_b and {enough} and {may_link('_a', '_b')}"))
+    pairs = stage(pairs.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct(), "candidate-pairs")
     found = links.unionByName(checked(pairs, docs, least, words))
     roots = connected_components(found)
     joined = least.join(roots, least.key == roots.node, "left").select("key", F.coalesce("root", "key").alias("root"), "least")

@@ -4,6 +4,9 @@ import itertools
 import random
 
 import corpus_pipeline
+import numpy as np
+
+from skyledger.llm import resemblance
 
 
 def shingles(text):
@@ -64,3 +67,12 @@ def test_near_copies_are_those_that_all_pairs_find(spark, sf_dir):
 def test_no_rows(spark, sf_dir):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert corpus_pipeline.drop_near_copies(spark, docs, sf_dir).count() == 0
+
+
+def test_parities_differ_in_no_more_bits_than_sets_in_shingles():
+    rng = np.random.default_rng(5)
+    for n, d in ((0, 0), (1, 1), (40, 3), (150, 32), (150, 0), (5000, 900)):
+        a = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        b = np.union1d(a[d:], rng.integers(0, 1 << 64, d // 2, dtype=np.uint64))
+        apart = sum(int(x).bit_count() for x in resemblance.parity(a) ^ resemblance.parity(b))
+        assert apart <= len(np.setxor1d(a, b))
