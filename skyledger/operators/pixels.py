@@ -129,17 +129,18 @@ def band_limits(pixels: DataFrame, keys: Sequence[str], low: float = 0.01, high:
     return q.groupBy(*k).agg(F.max(F.when(F.col("which") == "low", F.col("v"))).alias("low"), F.max(F.when(F.col("which") == "high", F.col("v"))).alias("high"))
 
 
-def two_colour(blue: DataFrame, red: DataFrame, limits: tuple[float, float, float, float]) -> DataFrame:
+def two_colour(blue: DataFrame, red: DataFrame, limits: tuple[float, float, float, float], keys: Sequence[str] = ()) -> DataFrame:
     """RGB bytes of two bands: green is the mean of the stretched bands before missing pixels become 0; alpha is 0 only
-    where both bands miss."""
-    b = blue.select("y", "x", S.asinh_stretch(F.when(~bad(), F.col("value")), F.lit(limits[0]), F.lit(limits[1])).alias("_b"), bad().alias("_nb"))
-    r = red.select("y", "x", S.asinh_stretch(F.when(~bad(), F.col("value")), F.lit(limits[2]), F.lit(limits[3])).alias("_r"), bad().alias("_nr"))
-    j = b.join(r, ["y", "x"], "full_outer")
+    where both bands miss. With ``keys``, columns of both, many pairs of images go in one job."""
+    at = [*keys, "y", "x"]
+    b = blue.select(*keys, "y", "x", S.asinh_stretch(F.when(~bad(), F.col("value")), F.lit(limits[0]), F.lit(limits[1])).alias("_b"), bad().alias("_nb"))
+    r = red.select(*keys, "y", "x", S.asinh_stretch(F.when(~bad(), F.col("value")), F.lit(limits[2]), F.lit(limits[3])).alias("_r"), bad().alias("_nr"))
+    j = b.join(r, at, "full_outer")
     none = lambda c: F.coalesce(F.col(c), F.lit(True))
     blank = lambda c, n: F.when(none(n), F.lit(None)).otherwise(c)
     B, R = blank(F.col("_b"), "_nb"), blank(F.col("_r"), "_nr")
     to_byte = lambda c: F.floor(F.coalesce(c, F.lit(0.0)) * 255).cast("int")
-    return j.select("y", "x", to_byte(R).alias("r"), to_byte((R + B) / 2).alias("g"), to_byte(B).alias("b"), F.when(none("_nb") & none("_nr"), 0).otherwise(255).alias("a"))
+    return j.select(*at, to_byte(R).alias("r"), to_byte((R + B) / 2).alias("g"), to_byte(B).alias("b"), F.when(none("_nb") & none("_nr"), 0).otherwise(255).alias("a"))
 
 
 def resample(source: DataFrame, grid: DataFrame, to_source: tuple[Column, Column], keys: Sequence[str] = ()) -> DataFrame:
@@ -158,8 +159,8 @@ def resample(source: DataFrame, grid: DataFrame, to_source: tuple[Column, Column
     return j.groupBy(*keys, "y", "x").agg(F.when(need, F.sum(F.when(F.col("w") > 0, F.col("w") * F.col("value")))).alias("value"))
 
 
-def covered_fraction(resampled: DataFrame) -> DataFrame:
-    return resampled.agg(F.avg(F.col("value").isNotNull().cast("double")).alias("covered"))
+def covered_fraction(resampled: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    return resampled.groupBy(*keys).agg(F.avg(F.col("value").isNotNull().cast("double")).alias("covered"))
 
 
 def finite_fraction(pixels: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -217,10 +218,11 @@ def covering_tile(positions: DataFrame, wcs: DataFrame, shape: tuple[int, int])
     return n.groupBy("tile", "field").agg(F.min_by("image", F.struct(-F.col("n"), F.col("image"))).alias("image"), F.max("n").alias("n"))
 
 
-def alpha_mismatch(rgb: DataFrame, pixels: DataFrame) -> DataFrame:
-    """Share of pixels whose transparency disagrees with the image's missing pixels."""
-    j = rgb.select("y", "x", (F.col("a") == 0).alias("clear")).join(pixels.select("y", "x", bad().alias("_bad")), ["y", "x"], "full_outer")
-    return j.agg(F.avg((F.coalesce("clear", F.lit(True)) != F.coalesce("_bad", F.lit(True))).cast("double")).alias("mismatch"), F.count(F.lit(1)).alias("n"))
+def alpha_mismatch(rgb: DataFrame, pixels: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Share of pixels whose transparency disagrees with the image's missing pixels, of each image that ``keys`` name."""
+    at = [*keys, "y", "x"]
+    j = rgb.select(*at, (F.col("a") == 0).alias("clear")).join(pixels.select(*at, bad().alias("_bad")), at, "full_outer")
+    return j.groupBy(*keys).agg(F.avg((F.coalesce("clear", F.lit(True)) != F.coalesce("_bad", F.lit(True))).cast("double")).alias("mismatch"), F.count(F.lit(1)).alias("n"))
 
 
 def photometry_tail(fluxes: DataFrame, keys: Sequence[str], least_sn: float = 30.0) -> DataFrame:

@@ -67,9 +67,9 @@ def preferred_filter(spark, d):
 W = "substr({}, 2, 3)::INT"
 
 
-@query("nearest_band", f"{INV}, b AS (SELECT DISTINCT field, filter FROM f WHERE mtime % 3 = 0) SELECT a.field, a.filter, first(b.filter ORDER BY abs({W.format('a.filter')} - {W.format('b.filter')}), b.filter) AS partner FROM b a JOIN b ON a.field = b.field AND a.filter <> b.filter GROUP BY ALL")
+@query("nearest_band", f"{INV}, b AS (SELECT DISTINCT field, filter FROM f) SELECT a.field, a.filter, first(b.filter ORDER BY abs({W.format('a.filter')} - {W.format('b.filter')}), b.filter) AS partner FROM b a JOIN b ON a.field = b.field AND a.filter <> b.filter GROUP BY ALL")
 def nearest_band(spark, d):
-    return I.nearest_band(inv(spark, d).where("mtime % 3 = 0"), ["field"])
+    return I.nearest_band(inv(spark, d), ["field"])
 
 
 @query("reference_by_obs", f"{INV} SELECT field, filter, max(name) AS name FROM f WHERE obs = '002' GROUP BY ALL")
@@ -82,10 +82,10 @@ def reference_by_obs(spark, d):
 
 @query(
     "pattern_priority",
-    f"{INV}, p AS (SELECT *, CASE WHEN regexp_matches(name, '_m8_dedup.*ecsv$') THEN 0 WHEN regexp_matches(name, 'ecsv$') THEN 1 WHEN regexp_matches(name, '_cal.fits$') THEN 2 END AS pattern FROM f WHERE mtime % 5 = 0) SELECT field, filter, obs, name, pattern FROM {first('pattern, name', 'field, filter, obs', '(SELECT * FROM p WHERE pattern IS NOT NULL)')} WHERE r = 1",
+    f"{INV}, p AS (SELECT *, CASE WHEN regexp_matches(name, '_m8_dedup.*ecsv$') THEN 0 WHEN regexp_matches(name, 'ecsv$') THEN 1 WHEN regexp_matches(name, '_cal.fits$') THEN 2 END AS pattern FROM f) SELECT field, filter, obs, name, pattern FROM {first('pattern, name', 'field, filter, obs', '(SELECT * FROM p WHERE pattern IS NOT NULL)')} WHERE r = 1",
 )
 def pattern_priority(spark, d):
-    x = I.by_pattern(inv(spark, d).where("mtime % 5 = 0"), ["_m8_dedup.*ecsv$", "ecsv$", "_cal.fits$"], ["field", "filter", "obs"])
+    x = I.by_pattern(inv(spark, d), ["_m8_dedup.*ecsv$", "ecsv$", "_cal.fits$"], ["field", "filter", "obs"])
     return x.select("field", "filter", "obs", "name", "pattern")
 
 
@@ -132,9 +132,10 @@ def two_modules(spark, d):
     return I.two_modules(x, ["field", "filter", "day"], "module", F.col("k") % 61 == 0)
 
 
-@query("bands_with_product", f"{INV} SELECT DISTINCT field, filter FROM f WHERE obs = '001' AND EXISTS (SELECT 1 FROM f g WHERE g.field = f.field AND g.filter = f.filter AND g.mtime % 200 = 3)")
+@query("bands_with_product", f"{INV} SELECT DISTINCT field, filter, obs, mtime FROM f WHERE EXISTS (SELECT 1 FROM f g WHERE g.field = f.field AND g.filter = f.filter AND g.obs = f.obs AND g.mtime = f.mtime AND g.name LIKE '%i2d.fits')")
 def bands_with_product(spark, d):
-    return I.with_product(inv(spark, d).where("obs = '001'").select("field", "filter").distinct(), inv(spark, d).where("mtime % 200 = 3"), ["field", "filter"])
+    keys = ["field", "filter", "obs", "mtime"]
+    return I.with_product(inv(spark, d).select(*keys).distinct(), inv(spark, d).where("endswith(name, 'i2d.fits')"), keys)
 
 
 @query("newest_version", f"{INV} SELECT field, filter, first(name ORDER BY mtime DESC, name DESC) AS name, max(mtime) AS mtime FROM f GROUP BY ALL")
@@ -148,11 +149,15 @@ def exclude_flagged(spark, d):
     return I.without_flagged(x, spark.createDataFrame([("vgroup3_exp2",)], "token string"), "name").groupBy("k", "n").agg(F.count(F.lit(1)).alias("c"))
 
 
-@query("frame_of_catalogue", f"{INV}, c AS (SELECT k, name, 'x' || mtime || '_cal.fits' AS frame FROM f WHERE k % 3 = 2), r AS (SELECT 'x' || mtime || '_cal.fits' AS frame, CASE WHEN bool_or(folder = 'pipeline') THEN 'pipeline' ELSE 'flat' END AS frame_folder FROM f WHERE mtime % 3 < 2 GROUP BY 1) SELECT k, frame, frame_folder FROM c LEFT JOIN r USING (frame)")
+@query(
+    "frame_of_catalogue",
+    f"""{INV}, n AS (SELECT k, 'x' || mtime || regexp_extract(name, '_[a-z0-9]+[.][a-z]+$') AS name, CASE WHEN k % 2 = 0 THEN 'pipeline' ELSE 'flat' END AS folder FROM f), c AS (SELECT k, replace(name, '_cat.ecsv', '_cal.fits') AS frame FROM n WHERE name LIKE '%cat.ecsv'),
+r AS (SELECT name AS frame, CASE WHEN bool_or(folder = 'pipeline') THEN 'pipeline' ELSE 'flat' END AS frame_folder FROM n GROUP BY 1) SELECT k, frame, frame_folder FROM c LEFT JOIN r USING (frame)""",
+)
 def frame_of_catalogue(spark, d):
-    made = F.concat(F.lit("x"), F.col("mtime").cast("string"))
-    c = inv(spark, d).where("k % 3 = 2").select("k", F.concat(made, F.lit("_cat.ecsv")).alias("name"))
-    r = inv(spark, d).where("mtime % 3 < 2").select(F.concat(made, F.lit("_cal.fits")).alias("name"), "folder")
+    name = F.concat(F.lit("x"), F.col("mtime").cast("string"), F.regexp_extract("name", "_[a-z0-9]+[.][a-z]+$", 0))
+    r = inv(spark, d).select("k", name.alias("name"), F.when(F.col("k") % 2 == 0, "pipeline").otherwise("flat").alias("folder"))
+    c = r.where("endswith(name, 'cat.ecsv')").select("k", "name")
     return I.frame_of_catalogue(c, r).select("k", "frame", "frame_folder")
 
 

@@ -96,43 +96,48 @@ def stretch(lo: float, hi: float) -> str:
     return f"asinh(least(1.0, greatest(0.0, (value - {lo}) / {hi - lo})) / 0.1) / asinh(10.0)"
 
 
-COLOUR = f"""WITH p AS ({SPARSE_SQL}), b AS (SELECT y, x, {stretch(20000.0, 60000.0)} AS b FROM p WHERE image = 1), r AS (SELECT y, x, {stretch(10000.0, 80000.0)} AS r FROM p WHERE image = 2),
-rgb AS (SELECT y, x, floor(coalesce(r, 0) * 255)::INT AS r, floor(coalesce((r + b) / 2, 0) * 255)::INT AS g, floor(coalesce(b, 0) * 255)::INT AS b, CASE WHEN r IS NULL AND b IS NULL THEN 0 ELSE 255 END AS a FROM b FULL JOIN r USING (y, x))"""
+#: Odd images are blue and the next even ones red; the last blue one has no partner.
+COLOUR = f"""WITH p AS (SELECT *, (image + 1) // 2 AS field FROM ({SPARSE_SQL})), b AS (SELECT field, y, x, {stretch(20000.0, 60000.0)} AS b FROM p WHERE image % 2 = 1), r AS (SELECT field, y, x, {stretch(10000.0, 80000.0)} AS r FROM p WHERE image % 2 = 0),
+rgb AS (SELECT field, y, x, floor(coalesce(r, 0) * 255)::INT AS r, floor(coalesce((r + b) / 2, 0) * 255)::INT AS g, floor(coalesce(b, 0) * 255)::INT AS b, CASE WHEN r IS NULL AND b IS NULL THEN 0 ELSE 255 END AS a FROM b FULL JOIN r USING (field, y, x))"""
+
+
+def bands(spark, d):
+    p = sparse_pixels(spark, d).withColumn("field", F.expr("(image + 1) div 2"))
+    return p.where("image % 2 = 1"), p.where("image % 2 = 0")
 
 
 def rgb(spark, d):
-    p = sparse_pixels(spark, d)
-    return P.two_colour(p.where("image = 1"), p.where("image = 2"), (20000.0, 60000.0, 10000.0, 80000.0))
+    return P.two_colour(*bands(spark, d), (20000.0, 60000.0, 10000.0, 80000.0), ["field"])
 
 
-@query("two_colour", f"{COLOUR} SELECT y, x, r, g, b, a FROM rgb")
+@query("two_colour", f"{COLOUR} SELECT field, y, x, r, g, b, a FROM rgb")
 def two_colour(spark, d):
     return rgb(spark, d)
 
 
-@query("alpha_mismatch", f"{COLOUR}, i AS (SELECT y, x FROM p WHERE image = 1) SELECT round(avg(CASE WHEN i.y IS NULL THEN 1.0 ELSE 0.0 END), 6) AS mismatch, count(*) AS n FROM rgb LEFT JOIN i USING (y, x)")
+@query("alpha_mismatch", f"{COLOUR}, i AS (SELECT field, y, x, b IS NULL AS bad FROM b) SELECT field, round(avg(CASE WHEN (a = 0) <> coalesce(bad, true) THEN 1.0 ELSE 0.0 END), 6) AS mismatch, count(*) AS n FROM rgb LEFT JOIN i USING (field, y, x) GROUP BY field")
 def alpha_mismatch(spark, d):
-    return P.alpha_mismatch(rgb(spark, d), sparse_pixels(spark, d).where("image = 1")).select(F.round("mismatch", 6).alias("mismatch"), "n")
+    return P.alpha_mismatch(rgb(spark, d), bands(spark, d)[0], ["field"]).select("field", F.round("mismatch", 6).alias("mismatch"), "n")
 
 
-RESAMPLED = f"""{PIX}, g AS (SELECT y, x, 0.5 * x + 0.25 * y + 3.5 AS u, 0.75 * y + 2.25 AS v FROM p WHERE image = 0), n AS (SELECT y, x, u, v, floor(u) + i AS sx, floor(v) + j AS sy FROM g, (VALUES (0), (1)) a(i), (VALUES (0), (1)) b(j)),
-w AS (SELECT n.*, (1 - abs(u - sx)) * (1 - abs(v - sy)) AS w, s.value FROM n LEFT JOIN (SELECT x, y, value FROM p WHERE image = 0 AND value IS NOT NULL) s ON s.x = sx AND s.y = sy),
-r AS (SELECT y, x, CASE WHEN bool_and(value IS NOT NULL) FILTER (w > 0) THEN sum(w * value) FILTER (w > 0) END AS value FROM w GROUP BY ALL)"""
+RESAMPLED = f"""{PIX}, g AS (SELECT image, y, x, 0.5 * x + 0.25 * y + 3.5 AS u, 0.75 * y + 2.25 AS v FROM p), n AS (SELECT image, y, x, u, v, floor(u) + i AS sx, floor(v) + j AS sy FROM g, (VALUES (0), (1)) a(i), (VALUES (0), (1)) b(j)),
+w AS (SELECT n.*, (1 - abs(u - sx)) * (1 - abs(v - sy)) AS w, s.value FROM n LEFT JOIN (SELECT image, x, y, value FROM p WHERE value IS NOT NULL) s ON s.image = n.image AND s.x = sx AND s.y = sy),
+r AS (SELECT image, y, x, CASE WHEN bool_and(value IS NOT NULL) FILTER (w > 0) THEN sum(w * value) FILTER (w > 0) END AS value FROM w GROUP BY ALL)"""
 
 
 def resampled(spark, d):
-    p = pix(spark, d).where("image = 0")
-    return P.resample(p, p.select("y", "x"), (0.5 * F.col("x") + 0.25 * F.col("y") + 3.5, 0.75 * F.col("y") + 2.25))
+    p = pix(spark, d)
+    return P.resample(p, p.select("image", "y", "x"), (0.5 * F.col("x") + 0.25 * F.col("y") + 3.5, 0.75 * F.col("y") + 2.25), ["image"])
 
 
-@query("resample", f"{RESAMPLED} SELECT y, x, round(value, 9) AS value FROM r")
+@query("resample", f"{RESAMPLED} SELECT image, y, x, round(value, 9) AS value FROM r")
 def resample(spark, d):
-    return resampled(spark, d).select("y", "x", F.round("value", 9).alias("value"))
+    return resampled(spark, d).select("image", "y", "x", F.round("value", 9).alias("value"))
 
 
-@query("covered_fraction", f"{RESAMPLED} SELECT round(avg(CASE WHEN value IS NULL THEN 0.0 ELSE 1.0 END), 6) AS covered FROM r")
+@query("covered_fraction", f"{RESAMPLED} SELECT image, round(avg(CASE WHEN value IS NULL THEN 0.0 ELSE 1.0 END), 6) AS covered FROM r GROUP BY image")
 def covered_fraction(spark, d):
-    return P.covered_fraction(resampled(spark, d)).select(F.round("covered", 6).alias("covered"))
+    return P.covered_fraction(resampled(spark, d), ["image"]).select("image", F.round("covered", 6).alias("covered"))
 
 
 @query("finite_fraction", f"{PIX} SELECT image, round(avg(CASE WHEN value IS NULL THEN 0.0 ELSE 1.0 END), 6) AS finite, round(avg(CASE WHEN (dq & 2) > 0 THEN 1.0 ELSE 0.0 END), 6) AS saturated, count(*) AS n FROM p GROUP BY image")
