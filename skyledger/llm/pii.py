@@ -151,6 +151,8 @@ def _other_forms() -> dict[str, str]:
 HOMOGLYPHS |= {c: p for c, p in _other_forms().items() if c not in HOMOGLYPHS}
 _INVISIBLE = "​‌‍⁠﻿­"
 _GLYPH = re.compile("[" + "".join(map(re.escape, HOMOGLYPHS)) + "]+|[" + _INVISIBLE + "]+")
+#: The same characters as a set: most texts have none, and the pattern tries them one by one.
+_GLYPHS = frozenset("".join(HOMOGLYPHS) + _INVISIBLE)
 
 DIGITS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 _DIGIT_WORD = "(?:" + "|".join(DIGITS) + ")"
@@ -229,7 +231,7 @@ def hidden(text: str) -> list[Span]:
     """Spans that only the rewritten text shows, in source offsets."""
     chain: list[Rewritten] = []
     now = text
-    if not text.isascii() and _GLYPH.search(text):
+    if not text.isascii() and not _GLYPHS.isdisjoint(text):
         new = rewrite(now, _GLYPH, _glyphs)
         if new:
             chain.append(new)
