@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, line_dedup, mixing, pii, quality, recompress, simhash, sketch, toxicity
+from . import bpe, divergence, embeddings, line_dedup, mixing, pii, quality, recompress, simhash, sketch, toxicity, whitening
 from .common import documents, table
 
 
@@ -69,6 +69,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """deviation is null where a long does not hold it; the operator's own column is a decimal."""
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.expr("try_cast(deviation as long)"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
@@ -81,8 +91,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_substrings": op9_substrings,
         "op10_mixing": op10_mixing,
+        "op11_whitening": op11_whitening,
+        "op12_divergence": op12_divergence,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_dedup": line_dedup.ORACLE, "op10_mixing": mixing.ORACLE}
+    return {"op7_line_dedup": line_dedup.ORACLE, "op10_mixing": mixing.ORACLE, "op12_divergence": divergence.ORACLE}
