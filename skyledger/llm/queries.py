@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, divergence, embeddings, line_dedup, mixing, pii, quality, recompress, simhash, sketch, toxicity, whitening
+from . import bpe, divergence, embeddings, line_dedup, mixing, pii, quality, recompress, simhash, sketch, toxicity, warc, whitening
 from .common import documents, table
 
 
@@ -79,6 +79,11 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit_sources(documents(spark, sf_dir))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = warc.archive_and_index(table(spark, sf_dir, "pages"))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
@@ -93,8 +98,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_mixing": op10_mixing,
         "op11_whitening": op11_whitening,
         "op12_divergence": op12_divergence,
+        "op13_warc": op13_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_dedup": line_dedup.ORACLE, "op10_mixing": mixing.ORACLE, "op12_divergence": divergence.ORACLE}
+    return {"op7_line_dedup": line_dedup.ORACLE, "op10_mixing": mixing.ORACLE, "op12_divergence": divergence.ORACLE, "op13_warc": warc.ORACLE}
