@@ -6,8 +6,8 @@ at/dot disguises -, the same rules run on the rewritten text, and each span foun
 characters it came from. A rewritten text is a list of segments (start in the new text, start in the source, whether
 they run in step), so mapping costs a bisection and texts without disguises cost one scan.
 
-All rules run in time linear in the text: they begin at an anchor (an at sign, a plus sign, a digit run's start)
-and never rescan what an anchor has passed.
+All rules run in time linear in the text: they begin at an anchor (an at, a plus sign, a digit run's start), and what one
+anchor's match has passed is not looked at again.
 """
 
 from __future__ import annotations
@@ -93,7 +93,7 @@ class Rewritten:
         return low, high
 
 
-def rewrite(text: str, rule: re.Pattern, put) -> Rewritten | None:
+def rewrite(text: str, rule, put) -> Rewritten | None:
     """Replace each match by put(match); None means leave it. Returns None if nothing changed."""
     pieces, segments, at, here = [], [], 0, 0
 
@@ -125,7 +125,8 @@ def rewrite(text: str, rule: re.Pattern, put) -> Rewritten | None:
 # Look-alikes, each string's characters in the order of the plain ones beside it.
 _ALIKE = {
     "АВЕЅІЈКМНОРСТХаеіјорсухԁһѕԛԝ": "ABESIJKMHOPCTXaeijopcyxdhsqw",
-    "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοαν": "ABEZHIKMNOPTYXoav",
+    "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοανικρστυχγω": "ABEZHIKMNOPTYXoavikpotuxyw",
+    "ıɑɡӏүօհոս": "iaglyohnu",
     "․。．﹒·": ".....",
     "﹫＠": "@@",
     "‐‑‒–—−－": "-------",
@@ -166,10 +167,10 @@ _SPELLED_PART = re.compile(rf"{_DIGIT_WORD}|[0-9]+|dot|point|plus|\+", re.I)
 _BRACKETED = re.compile(r"\x20?[\[({<]\x20?(at|dot|point|punkt|punto|@|\.)\x20?[\])}>]\x20?", re.I)
 #: Four numbers with dots said between them.
 _SAID_IP = re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\x20(?:dot|point)\x20[0-9]{1,3}){3}(?![0-9])", re.I)
-#: name at host: the name may have said dots; the host's last dot may be a real one only before a common ending (see _bare).
-_BARE = re.compile(
-    r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]++(?:\x20dot\x20[A-Za-z0-9._%+-]++)*)(\x20at\x20|@)((?:[A-Za-z0-9-]+(?:\x20dot\x20|\.))+)([A-Za-z0-9-]+)", re.I
-)
+#: An at sign or a said "at"; what stands after it must be a host, whose dots may be said (see hosts).
+_AT = re.compile(r"\x20(?=(?:at|At|AT)\x20)|@")
+_HOST = re.compile(r"((?:[A-Za-z0-9-]++(?:\x20(?i:dot)\x20|\.))+)([A-Za-z0-9-]++)")
+_SAID_DOT = re.compile(r"\x20dot\x20", re.I)
 #: Endings of hosts and words that stand before a plain "at host.ending" without naming a mailbox.
 ENDINGS = frozenset("com org net edu gov io co info biz uk us de fr es it nl ch at ru cn jp in br au ca eu dev app example test".split())
 ORDINARY = frozenset(
@@ -201,20 +202,75 @@ def _said_ip(m: re.Match) -> str:
     return _DOT.sub(".", m[0])
 
 
-def _bare(m: re.Match) -> str | None:
-    said = _DOT.search(m[3]) or _DOT.search(m[1])
-    plain = m[2].lower() == " at " and not _DOT.search(m[3])
-    if plain and (m[4].lower() not in ENDINGS or m[1].lower() in ORDINARY):
+class Address:
+    """A said address in the shape of a match: [0] is what stands there, put what it stands for."""
+
+    def __init__(self, text: str, start: int, end: int, put: str | None):
+        self.text, self.span, self.put = text, (start, end), put
+
+    def start(self) -> int:
+        return self.span[0]
+
+    def end(self) -> int:
+        return self.span[1]
+
+    def __getitem__(self, _: int) -> str:
+        return self.text[self.span[0] : self.span[1]]
+
+
+def local_start(text: str, at: int, least: int) -> int:
+    """Where the name before ``at`` begins: local characters, and more of them before each said dot; not before ``least``."""
+    found = start = at
+    while True:
+        here = start
+        while here > least and text[here - 1] in _LOCAL_SET:
+            here -= 1
+        if here == start:
+            return found
+        found, start = here, here - 5
+        if start <= least or not _SAID_DOT.fullmatch(text, start, here):
+            return found
+
+
+class Addresses:
+    """The rule "name at host": the name may have said dots; the host's last dot may be a real one only before a common
+    ending. It begins at an at and looks back no further than the match before, so all of it is linear in the text."""
+
+    @staticmethod
+    def finditer(text: str) -> Iterator[Address]:
+        end = 0
+        for at in _AT.finditer(text):
+            if at.start() < end:
+                continue
+            said_at = at[0] == " "
+            host = _HOST.match(text, at.start() + (4 if said_at else 1))
+            start = local_start(text, at.start(), end) if host else at.start()
+            if start == at.start() or (start == end and start and text[start - 1] in _LOCAL_SET):
+                continue
+            name = text[start : at.start()]
+            end = host.end()
+            yield Address(text, start, end, said_address(name, said_at, host[1], host[2]))
+
+
+def said_address(name: str, said_at: bool, host: str, ending: str) -> str | None:
+    """The address that is meant, None if these words are none."""
+    dots = _DOT.search(host)
+    plain = said_at and not dots
+    if plain and (ending.lower() not in ENDINGS or name.lower() in ORDINARY):
         return None
-    if not plain and not said:
+    if ending.isdigit() or (not plain and not dots and not _DOT.search(name)):
         return None
-    return _DOT.sub(".", m[1]) + "@" + _DOT.sub(".", m[3]) + m[4]
+    return _DOT.sub(".", name) + "@" + _DOT.sub(".", host) + ending
+
+
+def _bare(m: Address) -> str | None:
+    return m.put
 
 
 _BRACKET = re.compile(r"[\[({<]\x20?(?:at|dot|point|punkt|punto|@|\.)\x20?[\])}>]", re.I)
 
 
-def _steps(text: str) -> Iterator[tuple[re.Pattern, object]]:
+def _steps(text: str) -> Iterator[tuple[object, object]]:
     """The transducers after look-alikes, those whose words do not occur left out."""
     lower = text.lower()
     if sum(map(lower.count, DIGITS)) >= 2:
@@ -224,7 +280,7 @@ def _steps(text: str) -> Iterator[tuple[re.Pattern, object]]:
     if " dot " in lower or " point " in lower:
         yield _SAID_IP, _said_ip
     if " dot " in lower or " at " in lower:
-        yield _BARE, _bare
+        yield Addresses, _bare
 
 
 def hidden(text: str) -> list[Span]:
@@ -254,9 +310,12 @@ def hidden(text: str) -> list[Span]:
 def spans_of(text: str) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans), each by start and then by kind. A hidden span inside a base span of its kind is left out."""
     base = find(text)
+    # Base spans of a kind do not overlap, so the last one that begins at or before a hidden span is the one to hold it.
+    known = {k: sorted((s, e) for kind, s, e in base if kind == k) for k in KINDS}
     more = []
     for kind, a, b in hidden(text):
-        if not any(k == kind and s <= a and b <= e for k, s, e in base):
+        i = bisect_right(known[kind], (a, len(text))) - 1
+        if i < 0 or known[kind][i][1] < b:
             more.append((kind, a, b))
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
     return sorted(base, key=order), sorted([*base, *more], key=order)
