@@ -33,48 +33,56 @@ WHOLE = 1_000_000_000
 #: Bytes of terms stay, A-Z in lower case; all others become spaces. UTF-8 has non-ASCII characters in bytes from 0x80 on.
 _TERMS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 #: Terms that a task holds before it hands them on; bytes of a text that are split at once.
-HELD, PIECE = 300_000, 1 << 20
+HELD, PIECE = 400_000, 1 << 20
 #: Sources of a block, rows of a unit, and candidates of one group that meet in one task when skybands are merged.
 BLOCK, UNIT, MERGED = 256, 100_000, 100_000
+#: Rows and columns of the grid that a skyband is counted by.
+CELLS = 128
 #: A table of one row a group is broadcast up to so many rows, else joined as any other.
 FEW = 100_000
 
 
-def terms_of(text: bytes) -> Counter:
-    """Occurrences of each term of a text."""
-    plain, out, at = text.translate(_TERMS), Counter(), 0
+def pieces(text: bytes) -> Iterator[list[bytes]]:
+    """The terms of a text, those of a piece of it at a time."""
+    plain, at = text.translate(_TERMS), 0
     while at < len(plain):
         end = plain.find(b" ", at + PIECE)
         end = len(plain) if end < 0 else end
-        out.update(plain[at:end].split())
+        yield plain[at:end].split()
         at = end
-    return out
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs): occurrences and documents of each term in each group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, list] = {}
+        held: dict[tuple, tuple[Counter, Counter]] = {}
+        size = 0
 
         def emit() -> Iterator[pa.RecordBatch]:
-            keys = list(held)
-            for lo in range(0, len(keys), 50_000):
-                some = keys[lo : lo + 50_000]
-                lang, source, term = (pa.array([k[i] for k in some], pa.binary()).cast(pa.string()) for i in range(3))
-                n, d = (pa.array([held[k][i] for k in some], pa.int64()) for i in range(2))
-                yield pa.RecordBatch.from_arrays([lang, source, term, n, d], names=["lang", "source", "term", "n", "docs"])
+            for (lang, source), (n, found) in held.items():
+                terms = list(n)
+                for lo in range(0, len(terms), 50_000):
+                    some = terms[lo : lo + 50_000]
+                    group = [pa.repeat(pa.scalar(x, pa.binary()), len(some)).cast(pa.string()) for x in (lang, source)]
+                    counts = [pa.array([c[t] for t in some], pa.int64()) for c in (n, found)]
+                    yield pa.RecordBatch.from_arrays([*group, pa.array(some, pa.binary()).cast(pa.string()), *counts], names=["lang", "source", "term", "n", "docs"])
             held.clear()
 
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 for lang, source, text in zip(*(c.cast(pa.binary()).to_pylist() for c in batch.slice(lo, 64).columns)):
-                    for term, n in terms_of(text).items():
-                        entry = held.setdefault((lang, source, term), [0, 0])
-                        entry[0] += n
-                        entry[1] += 1
-                    if len(held) > HELD:
+                    n, found = held.setdefault((lang, source), (Counter(), Counter()))
+                    size -= len(n)
+                    own: set[bytes] = set()
+                    for terms in pieces(text):
+                        n.update(terms)
+                        own.update(terms)
+                    found.update(own)
+                    size += len(n)
+                    if size > HELD:
                         yield from emit()
+                        size = 0
         yield from emit()
 
     read = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
@@ -101,21 +109,31 @@ def skyband(n: np.ndarray, total: np.ndarray, term: np.ndarray, k: int) -> np.nd
     """Positions of the terms that fewer than k others dominate: n as high, total as low, term earlier.
 
     In the order of falling n, rising total and term those that dominate a term come before it; and a term that k or more
-    dominate is dominated by k of the skyband, so it is enough to look at what is kept.
+    dominate is dominated by k of the skyband, so it is enough to look at what is kept. A grid of counts of what is kept,
+    by total and term, drops at once the terms above k others of lower cells; only the rest are compared one by one.
     """
     rank = np.empty(len(term), np.int64)
     rank[np.argsort(term, kind="stable")] = np.arange(len(term))
     order = np.lexsort((rank, total, -n))
     total, rank = total[order], rank[order]
+    # A lower cell of both holds only lower totals and earlier terms; row and column 0 of the grid stay empty.
+    row = np.searchsorted(np.unique(np.quantile(total, np.linspace(0, 1, CELLS)[1:-1])), total, side="right") + 1 if len(total) else total
+    column = rank * CELLS // max(1, len(rank)) + 1
+    grid = np.zeros((CELLS + 1, CELLS + 1), np.int64)
     kept = np.empty(0, np.int64)
-    for lo in range(0, len(order), 512):
-        t, u = total[lo : lo + 512], rank[lo : lo + 512]
-        by = np.zeros(len(t), np.int64)
+    for lo in range(0, len(order), 1024):
+        here = np.arange(lo, min(lo + 1024, len(order)))
+        below = grid.cumsum(axis=0).cumsum(axis=1)
+        here = here[below[row[here] - 1, column[here] - 1] < k]
+        t, u = total[here], rank[here]
+        by = np.zeros(len(here), np.int64)
         for at in range(0, len(kept), 8192):
             some = kept[at : at + 8192]
             by += ((total[some] <= t[:, None]) & (rank[some] < u[:, None])).sum(axis=1)
         by += (np.tri(len(t), k=-1, dtype=bool) & (t <= t[:, None]) & (u < u[:, None])).sum(axis=1)
-        kept = np.concatenate([kept, lo + np.flatnonzero(by < k)])
+        new = here[by < k]
+        kept = np.concatenate([kept, new])
+        np.add.at(grid, (row[new], column[new]), 1)
     return order[kept]
 
 
