@@ -33,7 +33,7 @@ WHOLE = 1_000_000_000
 #: Bytes of terms stay, A-Z in lower case; all others become spaces. UTF-8 has non-ASCII characters in bytes from 0x80 on.
 _TERMS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 #: Terms that a task holds before it hands them on; bytes of a text that are split at once.
-HELD, PIECE = 400_000, 1 << 20
+HELD, PIECE = 700_000, 1 << 20
 #: Sources of a block, rows of a unit, and candidates of one group that meet in one task when skybands are merged.
 BLOCK, UNIT, MERGED = 256, 100_000, 100_000
 #: Rows and columns of the grid that a skyband is counted by.
@@ -87,6 +87,8 @@ def term_counts(docs: DataFrame) -> DataFrame:
 
     read = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     found = read.mapInArrow(run, "lang string, source string, term string, n long, docs long")
+    # A task's counts are summed already: dealt out as they are, they are not hashed once more before the shuffle.
+    found = found.repartition("lang", "source", "term")
     return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
@@ -109,8 +111,8 @@ def skyband(n: np.ndarray, total: np.ndarray, term: np.ndarray, k: int) -> np.nd
     """Positions of the terms that fewer than k others dominate: n as high, total as low, term earlier.
 
     In the order of falling n, rising total and term those that dominate a term come before it; and a term that k or more
-    dominate is dominated by k of the skyband, so it is enough to look at what is kept. A grid of counts of what is kept,
-    by total and term, drops at once the terms above k others of lower cells; only the rest are compared one by one.
+    dominate is dominated by k of the skyband, so it is enough to look at what is kept. That is counted by a grid of total and
+    term: cells below and before a term's own hold dominators only, and just its own row and column are compared one by one.
     """
     rank = np.empty(len(term), np.int64)
     rank[np.argsort(term, kind="stable")] = np.arange(len(term))
@@ -124,12 +126,17 @@ def skyband(n: np.ndarray, total: np.ndarray, term: np.ndarray, k: int) -> np.nd
     for lo in range(0, len(order), 1024):
         here = np.arange(lo, min(lo + 1024, len(order)))
         below = grid.cumsum(axis=0).cumsum(axis=1)
-        here = here[below[row[here] - 1, column[here] - 1] < k]
-        t, u = total[here], rank[here]
-        by = np.zeros(len(here), np.int64)
-        for at in range(0, len(kept), 8192):
-            some = kept[at : at + 8192]
-            by += ((total[some] <= t[:, None]) & (rank[some] < u[:, None])).sum(axis=1)
+        by = below[row[here] - 1, column[here] - 1]
+        here, by = here[by < k], by[by < k]
+        t, u, r, c = total[here], rank[here], row[here], column[here]
+        for own, all_, before in ((r, row[kept], None), (c, column[kept], row[kept])):
+            some = np.argsort(all_, kind="stable")
+            cells = np.unique(own)
+            for cell, low, high in zip(cells, np.searchsorted(all_, cells, "left", some), np.searchsorted(all_, cells, "right", some)):
+                mine, others = np.flatnonzero(own == cell), kept[some[low:high]]
+                if len(others):
+                    under = total[others] <= t[mine, None] if before is None else row[others] < r[mine, None]
+                    by[mine] += (under & (rank[others] < u[mine, None])).sum(axis=1)
         by += (np.tri(len(t), k=-1, dtype=bool) & (t <= t[:, None]) & (u < u[:, None])).sum(axis=1)
         new = here[by < k]
         kept = np.concatenate([kept, new])
