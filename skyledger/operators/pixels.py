@@ -6,6 +6,7 @@ of a box around it by an equi join on (image, tile): a star goes into each tile
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..sources.staging import staged
 from .offset import median
 
 TILE = 32
@@ -34,33 +36,93 @@ def bad(c: str = "value") -> Column:
     return F.col(c).isNull() | F.isnan(c)
 
 
+def corner_area(x: str, y: str, r: float) -> str:
+    """SQL: the signed area of a circle of radius r about 0 between the axes and the lines at x and y.
+
+    Below the circle's arc that is a strip of height y as far as the arc is above it, and then what is under the arc.
+    """
+    x_, y_, rr = f"least(abs({x}), {r})", f"least(abs({y}), {r})", r * r
+    turn = f"sqrt({rr} - {y_} * {y_})"
+    under = lambda u: f"0.5 * ({u} * sqrt(greatest(0, {rr} - {u} * {u})) + {rr} * asin(least(1, {u} / {r})))"
+    return f"sign({x}) * sign({y}) * CASE WHEN {x_} * {x_} + {y_} * {y_} <= {rr} THEN {x_} * {y_} ELSE {y_} * {turn} + {under(x_)} - {under(turn)} END"
+
+
+def overlap_area(dx: str, dy: str, r: float) -> str:
+    """SQL: the area that a circle of radius r shares with the unit pixel whose centre lies (dx, dy) from the circle's."""
+    corner = lambda i, j: "(" + corner_area(f"({dx} {i} 0.5)", f"({dy} {j} 0.5)", float(r)) + ")"
+    whole = f"sqrt({dx} * {dx} + {dy} * {dy})"
+    return f"CASE WHEN {whole} >= {r + 0.7072} THEN 0.0 WHEN {whole} <= {r - 0.7072} THEN 1.0 ELSE {corner('+', '+')} - {corner('-', '+')} - {corner('+', '-')} + {corner('-', '-')} END"
+
+
 def aperture_flux(stars: DataFrame, pixels: DataFrame, radius: float = 3.0, inner: float = 6.0, outer: float = 9.0) -> DataFrame:
-    """Sum of pixels whose centres lie within ``radius``, less the annulus' median times their number.
+    """Flux within ``radius``, each pixel by the share of it that lies inside, less the local background times the area.
 
-    A star with a missing pixel in its aperture has no flux. Pixels count whole, by their centres.
+    ``sky`` and ``sky_std`` are the median and the (population) standard deviation of the present pixels whose centres lie in the
+    annulus. A star with more than half a pixel missing in its aperture has no flux. The annulus must be wider than the
+    aperture.
     """
-    r = F.hypot("dx", "dy")
-    j = box_join(stars, pixels, outer).withColumn("r", r)
+    j = box_join(stars, pixels, outer).withColumns({"share": F.expr(overlap_area("dx", "dy", radius)).cast("double"), "r": F.hypot("dx", "dy")})
+    ring = (F.col("r") >= inner) & (F.col("r") < outer) & ~bad()
     x = j.groupBy("image", "id").agg(
-        F.sum(F.when(F.col("r") <= radius, F.col("value"))).alias("_sum"),
-        F.count_if(F.col("r") <= radius).alias("area"),
-        F.count_if((F.col("r") <= radius) & bad()).alias("n_bad"),
-        F.percentile(F.when((F.col("r") >= inner) & (F.col("r") <= outer) & ~bad(), F.col("value")), 0.5).alias("sky"),
+        F.sum(F.when(~bad(), F.col("value") * F.col("share"))).alias("_sum"),
+        F.sum(F.when(bad(), F.col("share")).otherwise(0.0)).alias("missing"),
+        F.percentile(F.when(ring, F.col("value")), 0.5).alias("sky"),
+        F.stddev_pop(F.when(ring, F.col("value"))).alias("sky_std"),
     )
-    return x.select("image", "id", "area", "n_bad", "sky", F.when(F.col("n_bad") == 0, F.col("_sum") - F.col("sky") * F.col("area")).alias("flux"))
+    area = math.pi * radius * radius
+    return x.select("image", "id", "missing", "sky", "sky_std", F.when(F.col("missing") <= 0.5, F.coalesce("_sum", F.lit(0.0)) - F.col("sky") * area).alias("flux"))
 
 
 def recentroid(stars: DataFrame, pixels: DataFrame, half: int = 5) -> DataFrame:
-    """Flux-weighted centroid of the stamp less its minimum; a stamp that leaves the image or misses pixels keeps the star."""
-    centre = stars.withColumns({"_ox": F.col("sx"), "_oy": F.col("sy"), "sx": F.round("sx"), "sy": F.round("sy")})
-    j = box_join(centre, pixels, half).where(~bad())
+    """Flux-weighted centroid of the stamp less its minimum, and how far it ``moved``; missing pixels count as 0.
+
+    A stamp that leaves the image or has no flux over its minimum keeps the star where it is.
+    """
+    centre = stars.withColumns({"_ox": F.col("sx"), "_oy": F.col("sy"), "sx": F.rint("sx"), "sy": F.rint("sy")})
+    j = box_join(centre, pixels, half).withColumn("value", F.when(bad(), 0.0).otherwise(F.col("value")))
     low = F.min("value").over(W.partitionBy("image", "id"))
     x = j.withColumn("w", F.col("value") - low).groupBy("image", "id").agg(F.sum("w").alias("_w"), F.sum(F.col("w") * F.col("dx")).alias("_x"), F.sum(F.col("w") * F.col("dy")).alias("_y"), F.count(F.lit(1)).alias("n"))
     y = centre.join(x, ["image", "id"], "left")
     ok = (F.col("n") == (2 * half + 1) ** 2) & (F.col("_w") > 0)
-    return y.select(
-        "image", "id", F.when(ok, F.col("sx") + F.col("_x") / F.col("_w")).otherwise(F.col("_ox")).alias("cx"), F.when(ok, F.col("sy") + F.col("_y") / F.col("_w")).otherwise(F.col("_oy")).alias("cy")
-    ).withColumn("moved", F.lit(True))
+    cx = F.when(ok, F.col("sx") + F.col("_x") / F.col("_w")).otherwise(F.col("_ox"))
+    cy = F.when(ok, F.col("sy") + F.col("_y") / F.col("_w")).otherwise(F.col("_oy"))
+    return y.select("image", "id", cx.alias("cx"), cy.alias("cy"), F.hypot(cx - F.col("_ox"), cy - F.col("_oy")).alias("moved"))
+
+
+def psf_against_aperture(
+    stars: DataFrame, pixels: DataFrame, radius: float = 3.0, inner: float = 6.0, outer: float = 9.0, apart: float = 12.0, most: int = 20_000, least: int = 50, least_sn: float = 30.0, far: float = 3.0
+) -> DataFrame:
+    """PSF fluxes of stars (image, id, sx, sy, flux) against apertures measured on their image, one row for each image.
+
+    Isolated stars away from the edge are taken, the brightest ``most`` of an image, and set on their centroids; ``shift`` is
+    the median move. Those whose aperture is whole, positive and over ``least_sn`` times the annulus' scatter and that moved
+    less than ``far`` count (n). ``correction`` and ``scatter`` are the median and the scaled median deviation of aperture minus
+    PSF magnitudes, ``tail`` the share beyond 0.3 mag. Where fewer than ``least`` stars are left these are null, with a reason.
+    """
+    from .offset import mad_std
+
+    size = pixels.groupBy("image").agg((F.max("x") + 1).alias("_nx"), (F.max("y") + 1).alias("_ny"))
+    edge = outer + 1
+    inside = (F.col("sx") > edge) & (F.col("sx") < F.col("_nx") - edge) & (F.col("sy") > edge) & (F.col("sy") < F.col("_ny") - edge)
+    alone = isolated_sources(stars, apart).join(size, "image").where(inside).drop("_nx", "_ny")
+    by_flux = W.partitionBy("image").orderBy(F.desc("flux"), "id")
+    taken = staged(alone.withColumn("_r", F.row_number().over(by_flux)).where(F.col("_r") <= most).drop("_r"), "isolated")
+    moved = staged(recentroid(taken.select("image", "id", "sx", "sy"), pixels), "centroids")
+    measured = aperture_flux(moved.select("image", "id", F.col("cx").alias("sx"), F.col("cy").alias("sy")), pixels, radius, inner, outer)
+    x = taken.select("image", "id", F.col("flux").alias("psf")).join(moved.select("image", "id", "moved"), ["image", "id"]).join(measured, ["image", "id"], "left")
+    noise = F.col("sky_std") * math.sqrt(math.pi * radius * radius)
+    clean = (F.col("flux") > 0) & (F.col("psf") > 0) & S.finite(F.col("psf")) & (F.try_divide("flux", noise) > least_sn) & (F.col("moved") < far)
+    x = staged(x.withColumn("dm", F.when(clean, -2.5 * F.log10("flux") + 2.5 * F.log10("psf"))), "apertures")
+    shift = x.groupBy("image").agg(F.count(F.lit(1)).alias("isolated"), median("moved").alias("shift"), F.count("dm").alias("n"))
+    good = x.where("dm is not null").join(shift.where((F.col("isolated") >= least) & (F.col("n") >= least)).select("image"), "image", "left_semi")
+    s = mad_std(good, ["image"], "dm")
+    tail = good.join(s, "image").groupBy("image", F.col("dm_med").alias("correction"), F.col("dm_mad").alias("scatter")).agg(F.avg((F.abs(F.col("dm") - F.col("dm_med")) > 0.3).cast("double")).alias("tail"))
+    reason = F.when(F.coalesce("isolated", F.lit(0)) < least, "too few isolated stars").when(F.col("n") < least, "too few clean stars after quality gate")
+    out = stars.select("image").distinct().join(shift, "image", "left").join(tail, "image", "left").withColumn("reason", reason)
+    seen = F.coalesce("isolated", F.lit(0)) >= least
+    return out.select(
+        "image", F.coalesce("isolated", F.lit(0)).alias("isolated"), F.when(seen, F.col("n")).alias("n"), F.when(seen, F.col("shift")).alias("shift"), F.when(seen, F.col("shift") > 2).alias("mismatch"), "correction", "scatter", "tail", "reason"
+    )
 
 
 def effective_psf(stars: DataFrame, pixels: DataFrame, half: int = 8, brightest: int = 40, least: int = 10) -> DataFrame:
@@ -225,22 +287,11 @@ def alpha_mismatch(rgb: DataFrame, pixels: DataFrame, keys: Sequence[str] = ())
     return j.groupBy(*keys).agg(F.avg((F.coalesce("clear", F.lit(True)) != F.coalesce("_bad", F.lit(True))).cast("double")).alias("mismatch"), F.count(F.lit(1)).alias("n"))
 
 
-def photometry_tail(fluxes: DataFrame, keys: Sequence[str], least_sn: float = 30.0) -> DataFrame:
-    """Scatter of PSF minus aperture magnitudes and the share beyond 0.3 mag, for S/N over ``least_sn`` and shifts under 3 px."""
-    k = list(keys)
-    x = fluxes.where((F.try_divide("flux", "error") > least_sn) & (F.col("moved") < 3) & (F.col("aperture") > 0) & (F.col("flux") > 0))
-    x = x.withColumn("dm", -2.5 * F.log10(F.col("flux") / F.col("aperture")))
-    from .offset import mad_std
-
-    s = mad_std(x, k, "dm")
-    return x.join(s, k).groupBy(*k, F.col("dm_mad").alias("scatter")).agg(F.avg((F.abs(F.col("dm") - F.col("dm_med")) > 0.3).cast("double")).alias("tail"), F.count(F.lit(1)).alias("n"))
-
-
 def isolated_sources(stars: DataFrame, pixels_apart: float) -> DataFrame:
-    """Stars without another within so many pixels, through tiles as wide as the distance."""
+    """Stars without another at most so many pixels away, through tiles as wide as the distance."""
     t = lambda c: F.floor(c / pixels_apart).cast("long")
     near = F.explode(F.array(*[F.struct((t(F.col("sx")) + i).alias("x"), (t(F.col("sy")) + j).alias("y")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
     a = stars.select("image", "id", "sx", "sy", t(F.col("sx")).alias("_x"), t(F.col("sy")).alias("_y"))
     b = stars.select("image", F.col("id").alias("o"), F.col("sx").alias("ox"), F.col("sy").alias("oy"), near.alias("_c")).select("image", "o", "ox", "oy", F.col("_c.x").alias("_x"), F.col("_c.y").alias("_y"))
-    j = a.join(b, ["image", "_x", "_y"]).where((F.col("id") != F.col("o")) & (F.hypot(F.col("sx") - F.col("ox"), F.col("sy") - F.col("oy")) < pixels_apart))
+    j = a.join(b, ["image", "_x", "_y"]).where((F.col("id") != F.col("o")) & (F.hypot(F.col("sx") - F.col("ox"), F.col("sy") - F.col("oy")) <= pixels_apart))
     return stars.join(j.select("image", "id").distinct(), ["image", "id"], "left_anti")

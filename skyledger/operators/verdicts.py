@@ -106,9 +106,10 @@ def distortion(pairs: DataFrame, keys: Sequence[str], limit: float = 15.0, least
     return a.select(*keys, "amp90", "cells", F.when(F.col("cells") >= least, F.col("amp90") > limit).alias("red_flag"), F.when(F.col("cells") >= least, F.lit(True)).alias("passed"))
 
 
-def photometry(scatter: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Stage 9: scatter under 0.15 mag and a tail under 5 %."""
-    return scatter.select(*keys, "scatter", "tail", "n", ((F.col("scatter") < 0.15) & (F.col("tail") < 0.05)).alias("passed"))
+def photometry(checks: DataFrame) -> DataFrame:
+    """Stage 9 from pixels.psf_against_aperture: scatter under 0.15 mag and a tail under 5 %; unmeasurable is a red flag."""
+    passed = F.coalesce((F.col("scatter") < 0.15) & (F.col("tail") < 0.05), F.lit(False))
+    return checks.withColumns({"red_flag": F.col("reason").isNotNull(), "passed": passed})
 
 
 def multi_exposure(curve: DataFrame, keys: Sequence[str]) -> DataFrame:

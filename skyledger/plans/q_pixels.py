@@ -28,24 +28,29 @@ def box(half: float, centre: str = "") -> str:
     return f"(SELECT s.image, s.id, s.sx AS ox, s.sy AS oy, s.mag, p.x, p.y, p.value, p.dq, p.x - {r('s.sx')} AS dx, p.y - {r('s.sy')} AS dy FROM s JOIN p ON s.image = p.image AND abs(p.x - {r('s.sx')}) <= {half} AND abs(p.y - {r('s.sy')}) <= {half})"
 
 
+#: Apertures on stars s and pixels p: shares of pixels, the annulus' median and scatter.
+APERTURES = f"""g AS (SELECT image, id, sum(value * share) AS f, sum(CASE WHEN value IS NULL THEN share ELSE 0.0 END) AS missing, median(value) FILTER (r >= 6 AND r < 9) AS sky, stddev_pop(value) FILTER (r >= 6 AND r < 9) AS sky_std
+  FROM (SELECT *, ({P.overlap_area('dx', 'dy', 3.0)})::DOUBLE AS share, sqrt(dx * dx + dy * dy) AS r FROM {{box}}) GROUP BY ALL),
+aperture AS (SELECT image, id, missing, sky, sky_std, CASE WHEN missing <= 0.5 THEN coalesce(f, 0) - sky * pi() * 9 END AS flux FROM g)"""
+#: Centroids of stars s on pixels p.
+CENTROIDS = f"""stamp AS (SELECT image, id, dx, dy, coalesce(value, 0) - min(coalesce(value, 0)) OVER (PARTITION BY image, id) AS w FROM {box(5, 'r')}),
+moment AS (SELECT image, id, sum(w) AS w, sum(w * dx) AS x, sum(w * dy) AS y, count(*) AS n FROM stamp GROUP BY ALL),
+centroid AS (SELECT image, id, sx AS ox, sy AS oy, CASE WHEN n = 121 AND w > 0 THEN round(sx) + x / w ELSE sx END AS cx, CASE WHEN n = 121 AND w > 0 THEN round(sy) + y / w ELSE sy END AS cy FROM s LEFT JOIN moment USING (image, id))"""
+
+
 @query(
     "aperture_flux",
-    f"""{PIX}, {LATTICE}, j AS (SELECT *, sqrt(dx * dx + dy * dy) AS r FROM {box(9)}), g AS (SELECT image, id, sum(value) FILTER (r <= 3) AS f, count(*) FILTER (r <= 3) AS area, count(*) FILTER (r <= 3 AND value IS NULL) AS n_bad, median(value) FILTER (r >= 6 AND r <= 9) AS sky FROM j GROUP BY ALL)
-SELECT image, id, area, n_bad, round(sky, 6) AS sky, CASE WHEN n_bad = 0 THEN round(f - sky * area, 5) END AS flux FROM g""",
+    f"{PIX}, {LATTICE}, {APERTURES.format(box=box(9))} SELECT image, id, round(missing, 6) AS missing, round(sky, 6) AS sky, round(sky_std, 6) AS sky_std, round(flux, 5) AS flux FROM aperture",
 )
 def aperture_flux(spark, d):
     x = P.aperture_flux(lattice(spark, d).drop("mag"), pix(spark, d))
-    return x.select("image", "id", "area", "n_bad", F.round("sky", 6).alias("sky"), F.round("flux", 5).alias("flux"))
+    return x.select("image", "id", F.round("missing", 6).alias("missing"), F.round("sky", 6).alias("sky"), F.round("sky_std", 6).alias("sky_std"), F.round("flux", 5).alias("flux"))
 
 
-@query(
-    "recentroid",
-    f"""{PIX}, {LATTICE}, j AS (SELECT *, value - min(value) OVER (PARTITION BY image, id) AS w FROM {box(5, 'r')} WHERE value IS NOT NULL), g AS (SELECT image, id, sum(w) AS w, sum(w * dx) AS x, sum(w * dy) AS y, count(*) AS n FROM j GROUP BY ALL)
-SELECT image, id, round(CASE WHEN n = 121 AND w > 0 THEN round(sx) + x / w ELSE sx END, 6) AS cx, round(CASE WHEN n = 121 AND w > 0 THEN round(sy) + y / w ELSE sy END, 6) AS cy FROM s LEFT JOIN g USING (image, id)""",
-)
+@query("recentroid", f"{PIX}, {LATTICE}, {CENTROIDS} SELECT image, id, round(cx, 6) AS cx, round(cy, 6) AS cy, round(sqrt(power(cx - ox, 2) + power(cy - oy, 2)), 6) AS moved FROM centroid")
 def recentroid(spark, d):
     x = P.recentroid(lattice(spark, d).drop("mag"), pix(spark, d))
-    return x.select("image", "id", F.round("cx", 6).alias("cx"), F.round("cy", 6).alias("cy"))
+    return x.select("image", "id", F.round("cx", 6).alias("cx"), F.round("cy", 6).alias("cy"), F.round("moved", 6).alias("moved"))
 
 
 PSF = f"""{PIX}, {LATTICE}, j AS (SELECT * FROM {box(4, 'r')}), g AS (SELECT image, id, bool_or(abs(dx) <= 2 AND abs(dy) <= 2 AND (value IS NULL)) AS b, max(value) AS peak, count(*) AS n FROM j GROUP BY ALL),
@@ -191,7 +196,7 @@ def covering_tile(spark, d):
     return P.covering_tile(a.select("tile", "field", "ra", "dec"), wcs, (600, 800))
 
 
-@query("isolated_sources", f"{PIX}, s AS (SELECT image, y * 128 + x AS id, x + (dq - 3) * 2.0 AS sx, y - (dq % 3) * 2.0 AS sy FROM p WHERE x % 16 = 8 AND y % 16 = 8) SELECT image, id FROM s WHERE NOT EXISTS (SELECT 1 FROM s o WHERE o.image = s.image AND o.id <> s.id AND sqrt(power(s.sx - o.sx, 2) + power(s.sy - o.sy, 2)) < 12)")
+@query("isolated_sources", f"{PIX}, s AS (SELECT image, y * 128 + x AS id, x + (dq - 3) * 2.0 AS sx, y - (dq % 3) * 2.0 AS sy FROM p WHERE x % 16 = 8 AND y % 16 = 8) SELECT image, id FROM s WHERE NOT EXISTS (SELECT 1 FROM s o WHERE o.image = s.image AND o.id <> s.id AND sqrt(power(s.sx - o.sx, 2) + power(s.sy - o.sy, 2)) <= 12)")
 def isolated_sources(spark, d):
     s = pix(spark, d).where("x % 16 = 8 and y % 16 = 8").select("image", (F.col("y") * 128 + F.col("x")).alias("id"), (F.col("x") + (F.col("dq") - 3) * 2.0).alias("sx"), (F.col("y") - (F.col("dq") % 3) * 2.0).alias("sy"))
     return P.isolated_sources(s, 12.0).select("image", "id")

@@ -8,10 +8,10 @@ from ..operators import match, offset, stats
 from ..operators import pixels as P
 from ..operators import verdicts as V
 from .q_match import AB, ISOLATED, OFF, near, refine
-from .q_pixels import PIX, pix
+from .q_pixels import APERTURES, CENTROIDS, PIX, box, pix
 from .q_stats import BINS, OFFS, QUAL, STAR, fit_rounds, offsets, quality
 from .registry import query
-from .standins import DENSE_REFERENCE, INVENTORY, REFERENCE, STARS
+from .standins import DENSE_PIXELS, DENSE_REFERENCE, INVENTORY, REFERENCE, STARS
 
 INV = f"WITH f AS ({INVENTORY.sql})"
 CH = "CASE WHEN substr(filter, 2, 3)::INT <= 212 THEN 'SW' ELSE 'LW' END"
@@ -99,15 +99,38 @@ def stage_distortion(spark, d):
     return V.distortion(offsets(spark, d), ["field"]).withColumn("amp90", F.round("amp90", 5))
 
 
+#: Pixels with a round star of scale 1.2 near each node of a lattice 14 apart, over the noise that the prices are.
+NODE = {"gx": "11 + 14 * cast(floor((x - 4) / 14.0) as bigint)", "gy": "11 + 14 * cast(floor((y - 4) / 14.0) as bigint)"}
+SUB = {"ox": "((gx * 7 + gy * 3) % 7 - 3) / cast(10 as double)", "oy": "((gx * 3 + gy * 5) % 7 - 3) / cast(10 as double)", "amp": "400 + (gx * 13 + gy * 5) % 300"}
+GLOW = "CASE WHEN value IS NULL AND dq = 3 THEN NULL ELSE coalesce(value, 0) / 100 END + amp * exp(-(power(x - gx - ox, 2) + power(y - gy - oy, 2)) / cast(2.88 as double))"
+PLANTED = {"id": "gy * 128 + gx", "sx": "gx + ox + (gx % 3) / cast(5 as double)", "sy": "gy + oy", "flux": "amp * cast(9.05 as double) * (1 + ((gx * 5 + gy) % 21 - 10) / cast(400 as double))"}
+
+
+def columns(x: dict[str, str]) -> str:
+    return ", ".join(f"{e} AS {c}" for c, e in x.items())
+
+
 @query(
     "stage_photometry",
-    f"""{STAR}, q AS (SELECT detector, -2.5 * log10(flux / (flux * (1 + (cust % 21 - 10) / 200.0::DOUBLE))) AS dm FROM a WHERE flux / flux_err > 30 AND cust % 5 < 3), m AS (SELECT detector, median(dm) AS c FROM q GROUP BY detector), s AS (SELECT detector, c, median(abs(dm - c)) * {offset.MAD} AS scatter FROM q JOIN m USING (detector) GROUP BY ALL)
-SELECT detector, round(scatter, 6) AS scatter, round(avg(CASE WHEN abs(dm - c) > 0.3 THEN 1.0 ELSE 0.0 END), 6) AS tail, count(*) AS n, scatter < 0.15 AND avg(CASE WHEN abs(dm - c) > 0.3 THEN 1.0 ELSE 0.0 END) < 0.05 AS passed FROM q JOIN s USING (detector) GROUP BY detector, scatter""",
+    f"""WITH p0 AS ({DENSE_PIXELS.sql}), p1 AS (SELECT *, {columns(NODE)} FROM p0), p2 AS (SELECT *, {columns(SUB)} FROM p1), p AS (SELECT image, y, x, dq, {GLOW} AS value FROM p2),
+s0 AS (SELECT image, {columns(PLANTED)} FROM p2 WHERE x = gx AND y = gy), size AS (SELECT image, max(x) + 1 AS nx, max(y) + 1 AS ny FROM p GROUP BY image),
+alone AS (SELECT * FROM s0 JOIN size USING (image) WHERE sx > 10 AND sx < nx - 10 AND sy > 10 AND sy < ny - 10 AND NOT EXISTS (SELECT 1 FROM s0 o WHERE o.image = s0.image AND o.id <> s0.id AND sqrt(power(s0.sx - o.sx, 2) + power(s0.sy - o.sy, 2)) <= 12)),
+taken AS (SELECT *, 0 AS mag FROM alone QUALIFY row_number() OVER (PARTITION BY image ORDER BY flux DESC, id) <= 20000), moved AS (WITH s AS (SELECT * FROM taken), {CENTROIDS} SELECT image, id, cx, cy, sqrt(power(cx - ox, 2) + power(cy - oy, 2)) AS moved FROM centroid),
+measured AS (WITH s AS (SELECT image, id, cx AS sx, cy AS sy, 0 AS mag FROM moved), {APERTURES.format(box=box(9))} SELECT * FROM aperture),
+x AS (SELECT t.image, m.moved, CASE WHEN a.flux > 0 AND t.flux > 0 AND a.flux / nullif(a.sky_std * sqrt(pi() * 9), 0) > 30 AND m.moved < 3 THEN -2.5 * log10(CASE WHEN a.flux > 0 THEN a.flux END) + 2.5 * log10(t.flux) END AS dm FROM taken t JOIN moved m USING (image, id) LEFT JOIN measured a USING (image, id)),
+shift AS (SELECT image, count(*) AS isolated, median(moved) AS shift, count(dm) AS n FROM x GROUP BY image), good AS (SELECT * FROM x JOIN shift USING (image) WHERE dm IS NOT NULL AND isolated >= 50 AND n >= 50),
+mid AS (SELECT image, median(dm) AS correction FROM good GROUP BY image), off AS (SELECT image, correction, median(abs(dm - correction)) * {offset.MAD} AS scatter, avg(CASE WHEN abs(dm - correction) > 0.3 THEN 1.0 ELSE 0.0 END) AS tail FROM good JOIN mid USING (image) GROUP BY ALL)
+SELECT image, coalesce(isolated, 0) AS isolated, CASE WHEN isolated >= 50 THEN n END AS n, CASE WHEN isolated >= 50 THEN round(shift, 6) END AS shift, CASE WHEN isolated >= 50 THEN shift > 2 END AS mismatch, round(correction, 6) AS correction, round(scatter, 6) AS scatter, round(tail, 6) AS tail,
+  CASE WHEN coalesce(isolated, 0) < 50 THEN 'too few isolated stars' WHEN n < 50 THEN 'too few clean stars after quality gate' END AS reason, coalesce(isolated, 0) < 50 OR n < 50 AS red_flag, coalesce(scatter < 0.15 AND tail < 0.05, false) AS passed
+FROM (SELECT DISTINCT image FROM s0) LEFT JOIN shift USING (image) LEFT JOIN off USING (image)""",
 )
 def stage_photometry(spark, d):
-    a = STARS.df(spark, d).select("detector", "flux", F.col("flux_err").alias("error"), (F.col("cust") % 5).alias("moved"), (F.col("flux") * (1 + (F.col("cust") % 21 - 10) / 200)).alias("aperture"))
-    x = V.photometry(P.photometry_tail(a, ["detector"]), ["detector"])
-    return x.select("detector", F.round("scatter", 6).alias("scatter"), F.round("tail", 6).alias("tail"), "n", "passed")
+    p = pix(spark, d)
+    for step in (NODE, SUB):
+        p = p.withColumns({c: F.expr(e) for c, e in step.items()})
+    stars = p.where("x = gx and y = gy").select("image", *[F.expr(e).alias(c) for c, e in PLANTED.items()])
+    x = V.photometry(P.psf_against_aperture(stars, p.select("image", "y", "x", "dq", F.expr(GLOW).alias("value"))))
+    return x.withColumns({c: F.round(c, 6) for c in ("shift", "correction", "scatter", "tail")})
 
 
 @query(
