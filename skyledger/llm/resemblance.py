@@ -5,8 +5,9 @@ with the group's first one, which links most copies at a cost of the group's siz
 join that misses none: sets that are 0.8 alike share one of the first fifth of their shingles in any order that is the
 same for all texts. The order puts common shingles last; it changes the cost only. The texts of a shingle are first compared
 with one of them. Then pairs of what does not hang together yet leave the join only if their parities allow it: sets that
-differ in d shingles differ in at most d parity bits, so no pair is lost by that. Every pair is checked on its whole sets
-before it links.
+differ in d shingles differ in at most d parity bits, so no pair is lost by that. The texts of a crowded shingle are dealt to
+parts: pairs of one part come first, then pairs of two parts, each two in a task of their own, without what hangs together
+by then. Every pair is checked on its whole sets before it links.
 """
 
 from __future__ import annotations
@@ -25,6 +26,10 @@ from .common import connected_components, fresh, stage
 SHARE, OF = 4, 5
 #: Shingles are counted by so many buckets, and so many of the fullest are known as common.
 BUCKETS, COMMON = 1 << 22, 1 << 16
+#: A shingle with more texts than this is crowded: its texts are dealt to parts, and pairs of parts to different tasks.
+PART = 2_000
+#: Rows of a crowded shingle are looked over in so many windows.
+SALTS = 64
 #: Longs of a set's parity, 64 bits each.
 LANES = 8
 PARITY = [f"p{i}" for i in range(LANES)]
@@ -110,8 +115,10 @@ def prefix_length(n: int) -> int:
 
 
 def prefixes(docs: DataFrame, words: int) -> DataFrame:
-    """(h, key, n, at): the first shingles of each row's set in the common order, at their places."""
+    """(h, key, n, at, salt): the first shingles of each row's set in the common order, at their places. salt is 0 but for
+    shingles of a bucket that is crowded, where it depends on the key."""
     buckets, counts = common_buckets(docs, words)
+    crowded = buckets[counts > PART]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,10 +131,12 @@ def prefixes(docs: DataFrame, words: int) -> DataFrame:
                     sizes.append(len(own))
                 lengths = [len(h) for h in hs[1:]]
                 at = np.concatenate([np.arange(x) for x in lengths])
-                columns = [_signed(np.concatenate(hs)), _signed(np.repeat(np.array(keys, np.uint64), lengths)), pa.array(np.repeat(sizes, lengths).astype(np.int32)), pa.array(at.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, names=["h", "key", "n", "at"])
+                h, key = np.concatenate(hs), np.repeat(np.array(keys, np.uint64), lengths)
+                salt = np.where(np.isin((h % np.uint64(BUCKETS)).astype(np.int64), crowded), 1 + key % np.uint64(SALTS), 0)
+                columns = [_signed(h), _signed(key), *(pa.array(x.astype(np.int32)) for x in (np.repeat(sizes, lengths), at, salt))]
+                yield pa.RecordBatch.from_arrays(columns, names=["h", "key", "n", "at", "salt"])
 
-    return docs.select("text").mapInArrow(run, "h long, key long, n int, at int")
+    return docs.select("text").mapInArrow(run, "h long, key long, n int, at int, salt int")
 
 
 def checked(pairs: DataFrame, docs: DataFrame, least: DataFrame, words: int) -> DataFrame:
@@ -150,11 +159,50 @@ def checked(pairs: DataFrame, docs: DataFrame, least: DataFrame, words: int) ->
     return joined.where(OF * F.col("both") >= SHARE * (F.col("all") - F.col("both"))).select("a", "b")
 
 
+def regrouped(shared: DataFrame, roots: DataFrame, least: DataFrame) -> DataFrame:
+    """Rows of the shingles whose texts do not all hang together yet: h, key, n, at, group, parts and the set's parity.
+
+    What a shingle's rows have together is summed up before it is joined back, so Spark can split a crowded one's rows.
+    """
+    x = shared.select("h", "key", "n", "at").join(roots, F.col("key") == F.col("node"), "left").select("h", "key", "n", "at", F.coalesce("root", "key").alias("group"))
+    per_h = x.groupBy("h").agg(F.min("group").alias("_low"), F.max("group").alias("_high"), F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts")).where("_low < _high")
+    return stage(x.join(per_h.select("h", "parts"), "h").join(least.select("key", *PARITY), "key"), "shared-shingles")
+
+
+#: What is left of both sets from a shared shingle on must hold enough.
+ENOUGH = f"{SHARE + OF} * least(n_a - at_a, n_b - at_b) >= {SHARE} * (n_a + n_b)"
+
+
+def sides(x: DataFrame, y: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return tuple(d.select([F.col(c).alias(c + k) for c in d.columns]) for d, k in ((x, "_a"), (y, "_b")))
+
+
+def candidates(pairs: DataFrame) -> DataFrame:
+    return stage(pairs.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct(), "candidate-pairs")
+
+
+def pairs_within(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of keys that share a shingle and a part of it and may be alike enough."""
+    cells = rows.withColumn("part", F.pmod(F.xxhash64("key"), "parts"))
+    x, y = sides(cells, cells)
+    return candidates(x.join(y, F.expr(f"h_a = h_b and part_a = part_b and group_a < group_b and {ENOUGH} and {may_link('_a', '_b')}")))
+
+
+def pairs_across(rows: DataFrame) -> DataFrame:
+    """The same for two parts of a crowded shingle: each pair of parts is a cell of its own."""
+    mine, other = F.pmod(F.xxhash64("key"), "parts"), F.col("other")
+    cells = rows.select("*", mine.alias("part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).where("part <> other")
+    cells = cells.withColumns({"low": F.least("part", other), "high": F.greatest("part", other)})
+    x, y = sides(cells.where("part = low"), cells.where("part = high"))
+    return candidates(x.join(y, F.expr(f"h_a = h_b and low_a = low_b and high_a = high_b and group_a <> group_b and {ENOUGH} and {may_link('_a', '_b')}")))
+
+
 def alike_groups(docs: DataFrame, words: int = 5) -> DataFrame:
     """(doc_id, component_id) a row of docs; texts link when their shingle sets are 0.8 alike or more.
 
     component_id is the smallest doc_id that links lead to. Texts without words, null ones too, are alike one another. A
-    null doc_id counts in no minimum. Repeated rows give repeated results.
+    null doc_id counts in no minimum. Repeated rows give repeated results. A very long text is compared by its whole set. An
+    empty table gives an empty result. Other columns are not read, whatever their names.
     """
     own = stage(described(docs, words), "shingle-sets")
     same = [F.max(c).alias(c) for c in ("fingerprint", "n", *PARITY)]
@@ -167,26 +215,21 @@ def alike_groups(docs: DataFrame, words: int = 5) -> DataFrame:
     links = stage(checked(stars, docs, least, words), "simhash-links")
     # Then what shares a first shingle and does not hang together yet.
     hangs = links.groupBy("b").agg(F.min("a").alias("of"))
-    by_h = F.expr("min(key) over (partition by h) < max(key) over (partition by h)")
-    shared = prefixes(docs, words).withColumn("_two", by_h).where("_two").drop("_two").distinct()
+    by_h = F.expr("salt > 0 or min(key) over (partition by h, salt) < max(key) over (partition by h, salt)")
+    shared = prefixes(docs, words).withColumn("_two", by_h).where("_two").drop("_two", "salt").distinct()
     shared = stage(shared.join(hangs, shared.key == hangs.b, "left").select("h", "key", "n", "at", F.coalesce("of", "key").alias("group")), "shared-shingles")
     # Each text with the first one of its shingle, so that a large group of near copies hangs together before pairs are made.
     lead = shared.groupBy("h").agg(F.min_by(F.struct("key", "n", "at", "group"), F.struct("group", "key")).alias("lead"))
     led = shared.join(lead, "h").where("group <> lead.group").where(F.expr(f"{SHARE + OF} * least(n - at, lead.n - lead.at) >= {SHARE} * (n + lead.n)"))
     led = stage(led.select(F.least("key", "lead.key").alias("a"), F.greatest("key", "lead.key").alias("b")).distinct(), "lead-pairs")
     links = stage(links.unionByName(checked(led, docs, least, words)), "lead-links")
+    rows = regrouped(shared, connected_components(links), least)
+    links = stage(links.unionByName(checked(pairs_within(rows), docs, least, words)), "links")
+    if rows.where("parts > 1").limit(1).count():
+        # What hangs together by the pairs of a part is not compared across parts.
+        rows = regrouped(rows.where("parts > 1"), connected_components(links), least)
+        links = links.unionByName(checked(pairs_across(rows), docs, least, words))
     roots = connected_components(links)
-    shared = shared.drop("group").join(roots, shared.key == roots.node, "left").select("h", "key", "n", "at", F.coalesce("root", "key").alias("group"))
-    by_h = F.expr("min(group) over (partition by h) < max(group) over (partition by h)")
-    shared = shared.withColumn("_two", by_h).where("_two").drop("_two").join(least.select("key", *PARITY), "key")
-    shared = stage(shared, "shared-shingles")
-    x, y = (shared.select([F.col(c).alias(c + k) for c in shared.columns]) for k in ("_a", "_b"))
-    # What is left of both sets from a shared shingle on must hold enough.
-    enough = f"{SHARE + OF} * least(n_a - at_a, n_b - at_b) >= {SHARE} * (n_a + n_b)"
-    pairs = x.join(y, F.expr(f"h_a = h_b and group_a < group_b and {enough} and {may_link('_a', '_b')}"))
-    pairs = stage(pairs.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct(), "candidate-pairs")
-    found = links.unionByName(checked(pairs, docs, least, words))
-    roots = connected_components(found)
     joined = least.join(roots, least.key == roots.node, "left").select("key", F.coalesce("root", "key").alias("root"), "least")
     ids = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     by_key = joined.join(ids, "root").select("key", "component_id")

@@ -76,3 +76,21 @@ def test_parities_differ_in_no_more_bits_than_sets_in_shingles():
         b = np.union1d(a[d:], rng.integers(0, 1 << 64, d // 2, dtype=np.uint64))
         apart = sum(int(x).bit_count() for x in resemblance.parity(a) ^ resemblance.parity(b))
         assert apart <= len(np.setxor1d(a, b))
+
+
+def test_crowded_shingles_are_compared_part_by_part(spark, monkeypatch):
+    """Parts of three texts: most pairs of a shingle lie in two parts, and prefixes of crowded buckets are salted."""
+    calls = []
+    across = resemblance.pairs_across
+    monkeypatch.setattr(resemblance, "PART", 3)
+    monkeypatch.setattr(resemblance, "pairs_across", lambda rows: calls.append(rows.agg({"parts": "max"}).first()[0]) or across(rows))
+    rng = random.Random(5)
+    rows, common = planted(), [f"c{i}" for i in range(60)]
+    # Texts that share a template and differ in the rest: one shingle has them all, few pairs are alike enough.
+    for _ in range(40):
+        own = [f"o{rng.randrange(10**6)}" for _ in range(rng.choice([5, 12, 14, 16, 30]))]
+        rows.append((len(rows) + 1000, " ".join(common + own)))
+        rows.append((len(rows) + 1000, " ".join(common + own[:-2] + ["x", "y"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id for r in resemblance.one_of_each(docs).collect()}
+    assert got == kept_by_all_pairs(rows) and calls and calls[0] > 1
