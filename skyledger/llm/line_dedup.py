@@ -1,23 +1,27 @@
 r"""Line dedup over levelled sorted runs of line digests.
 
-A line's key is the line without ASCII white space at its ends, A-Z in lower case. ``LineRuns`` keeps what
-is known of all keys seen so far as *runs*: tables (digest, n_docs, last_doc) sorted by digest, each key in one of
-them. A batch of documents is merge-anti-joined with the runs: its keys that no run has yet are its own run, one more of
-level 0; what it adds to keys of runs is kept beside as increments. When a level holds ``fanout`` runs they are merged
-into one run of the next level, so a batch meets O(log batches) runs. ``frequent`` goes over the keys of the runs, adds
-their increments and gives those found in many documents.
+A line's key is the line without ASCII white space at its ends, A-Z in lower case. ``LineRuns`` keeps what is known of all
+keys seen so far as *runs*: tables (digest, n_docs, has_null, last_doc) in buckets by digest, each bucket sorted, each key in
+one of the runs. A batch of documents is dealt to the same buckets and merged with each run bucket by bucket, so a run
+is read in place and never shuffled again; keys of the batch that no run has are its own run, one more of level 0, what it
+adds to keys of runs is kept beside as increments. When a level holds ``fanout`` runs they are compacted into one run
+of the next level, so a batch meets O(log batches) runs. ``frequent`` goes over the keys of the runs, adds their increments
+and gives those found in many documents.
 
 Digests are MD5 values of the key (128 bits), so unequal keys do not meet in practice.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, stage, text_or_empty
+from .common import fresh, new_folder, stage, text_or_empty
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACES = " \t\n\x0b\f\r"
@@ -37,78 +41,122 @@ def digest(line: Column, min_chars: int) -> Column:
     return F.when(F.char_length(bare) >= min_chars, F.unhex(F.md5(line_key(line))))
 
 
+def salt() -> Column:
+    """0 for a document with an id; all rows without one are one document, which their texts spread over tasks."""
+    return F.when(F.col("doc_id").isNull(), F.xxhash64(text_or_empty())).otherwise(F.lit(0)).cast("long")
+
+
 def digests(docs: DataFrame, batches: int, min_chars: int) -> DataFrame:
-    """(batch, digest, doc_id), one row for each key of a document. A document lies in one batch."""
+    """(doc_id, salt, batch, digest), one row for each key of a document. A document with an id lies in one batch."""
     keys = F.array_distinct(F.filter(F.transform(lines_of(text_or_empty()), lambda x: digest(x, min_chars)), lambda x: x.isNotNull()))
-    rows = docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int").alias("batch"), F.explode(keys).alias("digest"))
-    return rows.distinct()  # rows that repeat a doc_id are one document
+    rows = docs.select("doc_id", salt().alias("salt"), F.explode(keys).alias("digest"))
+    batch = F.pmod(F.xxhash64("doc_id", "salt"), F.lit(batches)).cast("int")
+    return rows.distinct().select("doc_id", "salt", batch.alias("batch"), "digest")  # rows that repeat a doc_id are one document
 
 
 class LineRuns:
-    """Levelled sorted runs, staged tables of disjoint keys, and increments to their keys."""
+    """Levelled sorted runs, bucketed tables of disjoint keys, and increments to their keys. ``close`` forgets the tables."""
 
-    def __init__(self, spark: SparkSession, fanout: int = 2):
+    def __init__(self, spark: SparkSession, fanout: int = 2, buckets: int | None = None):
         self.spark, self.fanout = spark, fanout
-        self.levels: list[list[DataFrame]] = []
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.levels: list[list[str]] = []
         self.increments: list[DataFrame] = []
+        self.names: list[str] = []
 
-    def known(self) -> DataFrame | None:
+    @property
+    def runs(self) -> list[DataFrame]:
+        return [self.spark.table(name) for level in self.levels for name in level]
+
+    def known(self) -> DataFrame:
         """All runs one under the other; no key is there twice."""
-        return self._union([run for level in self.levels for run in level])
+        return reduce(DataFrame.unionByName, self.runs)
+
+    def _write(self, run: DataFrame) -> str:
+        """A run in the shared folder, one sorted file a bucket; the catalog knows how it lies until close()."""
+        name = f"line_run_{uuid.uuid4().hex}"
+        writer = run.repartition(self.buckets, "digest").write.bucketBy(self.buckets, "digest").sortBy("digest")
+        writer.option("path", new_folder(self.spark, "run")).format("parquet").saveAsTable(name)
+        self.names.append(name)
+        return name
 
-    @staticmethod
-    def _union(tables: list[DataFrame]) -> DataFrame | None:
-        return reduce(DataFrame.unionByName, tables) if tables else None
+    def close(self) -> None:
+        for name in self.names:
+            self.spark.sql(f"drop table if exists {name}")
+        self.names, self.levels = [], []
 
     def add(self, batch: DataFrame) -> DataFrame:
-        """Add a batch of rows (digest, doc_id), distinct. Returns its run: the keys that no run had before."""
-        own = batch.groupBy("digest").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc"))
-        known = self.known()
-        if known is not None:
-            own = stage(own, "batch")
-            self.increments.append(stage(own.join(known.select("digest"), "digest", "left_semi"), "increment"))
-            own = own.join(known.select("digest"), "digest", "left_anti")
-        run = stage(own.repartition("digest").sortWithinPartitions("digest"), "run")
-        self._place(run, 0)
+        """Add a batch of rows (digest, doc_id), distinct but for null ids. Returns its run: the keys that no run had before."""
+        # A null doc_id is one document, whatever the number of rows that have it.
+        own = batch.groupBy("digest").agg(F.count("doc_id").alias("n_docs"), F.max(F.col("doc_id").isNull()).alias("has_null"), F.max("doc_id").alias("last_doc"))
+        known = F.lit(False)
+        for i, run in enumerate(self.runs):
+            own = own.join(run.select("digest", F.lit(True).alias(f"_in{i}")), "digest", "left")
+            known = known | F.coalesce(F.col(f"_in{i}"), F.lit(False))
+        own = stage(own.select("digest", "n_docs", "has_null", "last_doc", known.alias("known")), "batch")
+        if self.levels:
+            self.increments.append(own.where("known").drop("known"))
+        name = self._write(own.where("not known").drop("known"))
+        run = self.spark.table(name)
+        self._place(name, 0)
         return run
 
-    def _place(self, run: DataFrame, level: int) -> None:
+    def _place(self, run: str, level: int) -> None:
         if len(self.levels) == level:
             self.levels.append([])
         self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
             runs, self.levels[level] = self.levels[level], []
-            merged = self._union(runs)
-            self._place(stage(merged.repartition("digest").sortWithinPartitions("digest"), "run"), level + 1)
+            self._place(self._write(reduce(DataFrame.unionByName, [self.spark.table(r) for r in runs])), level + 1)
 
     def frequent(self, min_docs: int) -> DataFrame:
         """(digest, n_docs, last_doc) of keys found in min_docs documents or more: one row a key of the runs."""
-        more = self._union(self.increments)
-        if more is None:
-            return self.known().where(F.col("n_docs") >= min_docs)
-        more = more.groupBy("digest").agg(F.sum("n_docs").alias("n_more"), F.max("last_doc").alias("last_more"))
-        n = F.col("n_docs") + F.coalesce("n_more", F.lit(0))
-        found = self.known().join(more, "digest", "left").select("digest", n.alias("n_docs"), F.greatest("last_doc", "last_more").alias("last_doc"))
-        return found.where(F.col("n_docs") >= min_docs)
+        more = reduce(DataFrame.unionByName, self.increments) if self.increments else self.runs[0].limit(0)
+        more = more.groupBy("digest").agg(F.sum("n_docs").alias("n_more"), F.max("has_null").alias("null_more"), F.max("last_doc").alias("last_more"))
+        n = F.col("n_docs") + F.coalesce("n_more", F.lit(0)) + (F.col("has_null") | F.coalesce("null_more", F.lit(False))).cast("int")
+        found = [r.join(more, "digest", "left").select("digest", n.alias("n_docs"), F.greatest("last_doc", "last_more").alias("last_doc")) for r in self.runs]
+        return reduce(DataFrame.unionByName, found).where(F.col("n_docs") >= min_docs)
 
 
 #: A key is very common if it makes one in so many of all (key, document) rows; so there are at most so many of them.
 VERY_COMMON = 20_000
 
 
-def lost_lines(all_digests: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(doc_id, digest) of frequent keys outside their last document.
+def lost_lines(all_digests: DataFrame, often: DataFrame) -> DataFrame:
+    """(doc_id, salt, digest) of frequent keys outside their last document.
 
     Rows of a very common key would meet in one task of a join by key. Such keys are few by definition, whatever the
     table's size, so they are broadcast and never shuffled; all other keys are joined by key.
     """
-    often = stage(frequent, "frequent")
     limit = all_digests.count() // VERY_COMMON
     common = F.broadcast(often.where(F.col("n_docs") > limit).select("digest", F.struct("last_doc").alias("_common")))
     tagged = all_digests.join(common, "digest", "left")
-    rest = tagged.where("_common is null").join(often.where(F.col("n_docs") <= limit).select("digest", "last_doc"), "digest").select("doc_id", "digest", "last_doc")
-    met = tagged.where("_common is not null").select("doc_id", "digest", F.col("_common.last_doc").alias("last_doc"))
-    return met.unionByName(rest).where(~F.col("doc_id").eqNullSafe(F.col("last_doc"))).select("doc_id", "digest")
+    rest = tagged.where("_common is null").join(often.where(F.col("n_docs") <= limit).select("digest", "last_doc"), "digest").select("doc_id", "salt", "digest", "last_doc")
+    met = tagged.where("_common is not null").select("doc_id", "salt", "digest", F.col("_common.last_doc").alias("last_doc"))
+    return met.unionByName(rest).where(~F.col("doc_id").eqNullSafe(F.col("last_doc"))).select("doc_id", "salt", "digest")
+
+
+_LOWER = str.maketrans(UPPER, LOWER)
+
+
+def kept_lines(text: str, gone: list[bytes], min_chars: int) -> str | None:
+    """The text without the lines whose key's digest is in gone, in time linear in both; None if nothing is left."""
+    lost = set(gone)
+
+    def stays(line: str) -> bool:
+        bare = line.strip(SPACES)
+        return len(bare) < min_chars or hashlib.md5(bare.translate(_LOWER).encode()).digest() not in lost
+
+    kept = [line for line in text.split("\n") if stays(line)]
+    return "\n".join(kept) if kept else None
+
+
+def without_lines(min_chars: int):
+    @F.pandas_udf("string")
+    def run(text: pd.Series, gone: pd.Series) -> pd.Series:
+        return pd.Series([None if g is None else kept_lines(t, g, min_chars) for t, g in zip(text, gone)], dtype=object)
+
+    return run
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 4, fanout: int = 2) -> DataFrame:
@@ -116,27 +164,32 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
 
     A key of at least ``min_chars`` code points found in at least ``min_docs`` documents loses all its lines
     except in the document with the largest doc_id that holds it. Lines are split at \n only; a null or empty
-    text is one empty line and its kept text is empty. Rows that repeat a doc_id count as one document. A null
-    doc_id is one document that comes before all others. A very long text is one row like any other, and its lines are
-    looked up among those it loses. An empty table gives an empty result. Columns of docs other than doc_id and text pass
-    through, whatever their names; those named like an added column are replaced.
+    text is one empty line and its kept text is empty. Rows that repeat a doc_id count as one document. Rows with a null
+    doc_id are one document that comes before all others. A very long text is one row like any other; each of its lines is
+    looked up once. An empty table gives an empty result. Columns of docs other than doc_id and text pass through, whatever
+    their names; those named like an added column are replaced.
     """
-    spark = docs.sparkSession
     all_digests = stage(digests(docs, batches, min_chars), "digests", partition_by="batch")
-    runs = LineRuns(spark, fanout)
-    for b in range(batches):
-        runs.add(all_digests.where(F.col("batch") == b).select("digest", "doc_id"))
-    doc, gone, left = fresh("doc"), fresh("lost"), fresh("stays")
-    lost = lost_lines(all_digests.select("digest", "doc_id"), runs.frequent(min_docs)).groupBy(F.col("doc_id").alias(doc)).agg(F.collect_list("digest").alias(gone))
+    runs = LineRuns(docs.sparkSession, fanout)
+    try:
+        for b in range(batches):
+            runs.add(all_digests.where(F.col("batch") == b).select("digest", "doc_id"))
+        often = stage(runs.frequent(min_docs), "frequent")
+    finally:
+        runs.close()
+    doc, row, gone, left, own = (fresh(n) for n in ("doc", "salt", "lost", "stays", "own"))
+    lost = lost_lines(all_digests.select("digest", "doc_id", "salt"), often).groupBy(F.col("doc_id").alias(doc), F.col("salt").alias(row)).agg(F.collect_list("digest").alias(gone))
     added = ["kept_text", "n_lines", "n_dropped"]
-    out = docs.select(*[c for c in docs.columns if c not in added]).join(lost, F.col("doc_id").eqNullSafe(F.col(doc)), "left")
-    lines = lines_of(text_or_empty())
-    stays = F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col(gone), digest(x, min_chars)), F.lit(False)))
-    out = out.withColumn("n_lines", F.size(lines).cast("long"))
-    out = out.withColumn(left, F.when(F.col(gone).isNotNull(), stays))
-    kept = F.when(F.col(gone).isNull(), text_or_empty()).otherwise(F.array_join(left, "\n"))
-    dropped = F.when(F.col(gone).isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size(left)).cast("long")
-    return out.withColumn("kept_text", kept).withColumn("n_dropped", dropped).drop(doc, gone, left)
+    read = docs.select(*[c for c in docs.columns if c not in added], salt().alias(own))
+    out = read.join(lost, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(row)), "left")
+    lines = lambda text: (F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"))) + 1).cast("long")
+    out = out.withColumn("n_lines", lines(text_or_empty()))
+    # Only texts that lose lines are handed to Python.
+    hit = F.col(gone).isNotNull()
+    out = out.withColumn(left, without_lines(min_chars)(F.when(hit, text_or_empty()), F.col(gone)))
+    out = out.withColumn("kept_text", F.when(hit, F.coalesce(left, F.lit(""))).otherwise(text_or_empty()))
+    left_lines = F.when(F.col(left).isNull(), F.lit(0)).otherwise(lines(F.col(left)))
+    return out.withColumn("n_dropped", F.when(hit, F.col("n_lines") - left_lines).otherwise(0).cast("long")).drop(doc, row, own, gone, left)
 
 
 ORACLE = r"""
