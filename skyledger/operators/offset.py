@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
-from . import match
+from . import match, quantiles
 
 MAD = 1.482602218505602
 
@@ -18,12 +18,20 @@ def median(c: str | Column) -> Column:
     return F.percentile(c, 0.5)
 
 
-def mad_std(df: DataFrame, keys: Sequence[str], *columns: str) -> DataFrame:
-    """Keys and, for each column, <column>_med and <column>_mad (scaled median absolute deviation)."""
+def mad_std(df: DataFrame, keys: Sequence[str], *columns: str, count: str | None = None) -> DataFrame:
+    """Keys and, for each column, <column>_med and <column>_mad (scaled median absolute deviation); with ``count`` the rows too.
+
+    df is read once and staged; groups too large for one task are narrowed first (see quantiles).
+    """
     g = list(keys)
-    centre = df.groupBy(*g).agg(*[median(c).alias(f"{c}_med") for c in columns])
-    far = df.join(centre, g) if g else df.crossJoin(F.broadcast(centre))
-    spread = far.groupBy(*g).agg(*[(median(F.abs(F.col(c) - F.col(f"{c}_med"))) * MAD).alias(f"{c}_mad") for c in columns])
+    x = staged(df.select(*g, *columns), "deviations")
+    most = quantiles.largest(x, g)
+    found = quantiles.group_quantiles(x, g, columns, most=most)
+    centre = staged(found.select(*g, *([F.col("n").alias(count)] if count else []), *[F.col(c).alias(f"{c}_med") for c in columns]), "medians")
+    far = x.join(centre, g) if g else x.crossJoin(F.broadcast(centre))
+    far = far.select(*g, *[F.abs(F.col(c) - F.col(f"{c}_med")).alias(f"{c}_mad") for c in columns])
+    spread = quantiles.group_quantiles(far, g, [f"{c}_mad" for c in columns], most=most)
+    spread = spread.select(*g, *[(F.col(f"{c}_mad") * MAD).alias(f"{c}_mad") for c in columns])
     return centre.join(spread, g) if g else centre.crossJoin(F.broadcast(spread))
 
 
@@ -58,10 +66,16 @@ def xcorr(pairs: DataFrame, keys: Sequence[str] = (), maxsep: float = 2.5, bin_:
     core = p.join(centre, g).where((F.abs(F.col("dra") - F.col("cx")) < reach) & (F.abs(F.col("ddec") - F.col("cy")) < reach))
     core = staged(core.select(*g, "dra", "ddec"), "core")
     held = [*g, "npairs", "top", "background", "cx", "cy", "moving"]
+    most = quantiles.largest(core, g)
     for _ in range(rounds):
         # Each round reads the centres once, so the plan grows by one join and one aggregate.
         near = F.col("moving") & (F.abs(F.col("dra") - F.col("cx")) < bin_) & (F.abs(F.col("ddec") - F.col("cy")) < bin_)
-        step = centre.join(core, g, "left").groupBy(*held).agg(F.count_if(near).alias("_n"), median(F.when(near, F.col("dra"))).alias("_x"), median(F.when(near, F.col("ddec"))).alias("_y"))
+        if most <= quantiles.FEW:
+            step = centre.join(core, g, "left").groupBy(*held).agg(F.count_if(near).alias("_n"), median(F.when(near, F.col("dra"))).alias("_x"), median(F.when(near, F.col("ddec"))).alias("_y"))
+        else:
+            found = quantiles.group_quantiles(centre.join(core, g).where(near), g, ["dra", "ddec"], most=most)
+            found = found.select(*g, F.col("n").alias("_n"), F.col("dra").alias("_x"), F.col("ddec").alias("_y"))
+            step = staged(centre.join(found, g, "left").withColumn("_n", F.coalesce("_n", F.lit(0))), "centres")
         go = F.col("moving") & (F.col("_n") >= fewest)
         centre = step.select(
             *g, "npairs", "top", "background", F.when(go, F.col("_x")).otherwise(F.col("cx")).alias("cx"), F.when(go, F.col("_y")).otherwise(F.col("cy")).alias("cy"), go.alias("moving")
@@ -87,8 +101,7 @@ def same_star_offset(matched: DataFrame, keys: Sequence[str] = (), least: int =
     """
     g = list(keys)
     x = matched.select(*g, (F.col("dra") * 1000).alias("dra"), (F.col("ddec") * 1000).alias("ddec"))
-    n = x.groupBy(*g).agg(F.count(F.lit(1)).alias("n"))
-    stat = mad_std(x, g, "dra", "ddec").join(n, g)
+    stat = mad_std(x, g, "dra", "ddec", count="n")
     reason = F.when(F.col("n") < least, "too few matches")
     if bulk is not None:
         stat = stat.join(bulk.select(*g, F.col("off").alias("_off"), F.col("peak_ratio").alias("_ratio")), g, "left")
@@ -134,7 +147,7 @@ def module_offset(a: DataFrame, b: DataFrame, keys: Sequence[str] = (), radius:
     """Direct offset of module A from module B within ``radius``; the scatter is that of ddec alone."""
     g = [f"a_{k}" for k in keys]
     p = pair_offsets(match.radius_join(a, b, radius, keys)).withColumns({"dra": F.col("dra") * 1000, "ddec": F.col("ddec") * 1000})
-    stat = mad_std(p, g, "dra", "ddec").join(p.groupBy(*g).agg(F.count(F.lit(1)).alias("n")), g)
+    stat = mad_std(p, g, "dra", "ddec", count="n")
     ok = F.col("n") >= least
     return stat.select(
         *[F.col(f"a_{k}").alias(k) for k in keys],

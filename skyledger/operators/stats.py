@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
-from . import match
+from . import match, quantiles
 from .offset import mad_std, median
 
 
@@ -46,7 +46,15 @@ def sigma_clipped(df: DataFrame, keys: Sequence[str], value: str, rounds: int =
     """
     g = list(keys)
     p = df.select(*g, F.col(value).alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    stat = lambda d: d.groupBy(*g).agg(F.avg("v").alias("mean"), median("v").alias("median"), F.stddev_pop("v").alias("std"), F.count(F.lit(1)).alias("n"))
+    most = quantiles.largest(p, g)
+
+    def stat(d: DataFrame) -> DataFrame:
+        moments = [F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.count(F.lit(1)).alias("n")]
+        if most <= quantiles.FEW:
+            return d.groupBy(*g).agg(*moments, median("v").alias("median"))
+        mid = quantiles.group_quantiles(d, g, ["v"], most=most).select(*g, F.col("v").alias("median"))
+        return staged(d.groupBy(*g).agg(*moments).join(mid, g) if g else d.agg(*moments).crossJoin(F.broadcast(mid)), "moments")
+
     s = stat(p)
     bounds = staged(s.select(*g, (F.col("median") - sigmas * F.col("std")).alias("_lo"), (F.col("median") + sigmas * F.col("std")).alias("_hi")), "clip")
     for r in range(rounds):
@@ -103,7 +111,7 @@ def sky_map(df: DataFrame, keys: Sequence[str], n: int = 12, least: int = 3) ->
     x = x.join(box, g)
     cell = lambda c, lo, hi: F.least(F.floor(F.coalesce(F.try_divide(F.col(c) - F.col(lo), F.col(hi) - F.col(lo)), F.lit(0.0)) * n), F.lit(n - 1)).cast("int")
     x = x.select(*g, cell("_x", "_lox", "_hix").alias("i"), cell("dec", "_loc", "_hic").alias("j"), "dra", "ddec")
-    return x.groupBy(*g, "i", "j").agg(F.count(F.lit(1)).alias("n"), median("dra").alias("dra"), median("ddec").alias("ddec")).where(F.col("n") >= least)
+    return quantiles.group_quantiles(x, [*g, "i", "j"], ["dra", "ddec"]).where(F.col("n") >= least)
 
 
 def amp90(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -157,10 +165,14 @@ def weighted_median(df: DataFrame, keys: Sequence[str], value: str, weight: str)
 def zeropoint(matched: DataFrame, keys: Sequence[str], mag: str, reference_mag: str, bright: float = 0.4, least_bright: int = 20, least: int = 50) -> DataFrame:
     """Median reference - instrumental magnitude of the bright part (all if it has under ``least_bright`` rows)."""
     g = list(keys)
-    q = matched.groupBy(*g).agg(F.percentile(reference_mag, bright).alias("_q"), F.count(F.lit(1)).alias("n_matched"))
-    x = matched.join(q, g).withColumn("_b", F.col(reference_mag) <= F.col("_q"))
-    x = x.withColumn("_nb", F.count_if(F.col("_b")).over(W.partitionBy(*g))).where(F.col("_b") | (F.col("_nb") < least_bright))
-    z = x.groupBy(*g, "n_matched").agg(median(F.col(reference_mag) - F.col(mag)).alias("zeropoint"), F.count(F.lit(1)).alias("n_used"))
+    matched = staged(matched.select(*g, F.col(reference_mag).cast("double").alias("_r"), (F.col(reference_mag) - F.col(mag)).alias("zeropoint")), "matched")
+    most = quantiles.largest(matched, g)
+    q = quantiles.group_quantiles(matched, g, ["_r"], bright, most=most).select(*g, F.col("_r").alias("_q"), F.col("n").alias("n_matched"))
+    x = matched.join(q, g).withColumn("_b", F.col("_r") <= F.col("_q"))
+    # How many are bright is summed up a group, and not looked over in a window that holds it.
+    n = x.groupBy(*g).agg(F.count_if("_b").alias("_nb"))
+    x = x.join(n, g).where(F.col("_b") | (F.col("_nb") < least_bright))
+    z = quantiles.group_quantiles(x, [*g, "n_matched"], ["zeropoint"], most=most).withColumnRenamed("n", "n_used")
     return z.select(*g, "n_matched", "n_used", F.when(F.col("n_matched") >= least, F.col("zeropoint")).alias("zeropoint"))
 
 
@@ -172,7 +184,7 @@ def detector_residuals(pairs: DataFrame, field: str, detector: str, least: int =
     """
     g = [field, detector]
     x = pairs.select(*g, "dra", "ddec")
-    m = mad_std(x, g, "dra", "ddec").join(x.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least), g)
+    m = mad_std(x, g, "dra", "ddec", count="n").where(F.col("n") >= least)
     f = m.groupBy(field).agg(median("dra_med").alias("_fx"), median("ddec_med").alias("_fy"))
     m = m.join(f, field).select(*g, "n", (F.col("dra_med") - F.col("_fx")).alias("dra"), (F.col("ddec_med") - F.col("_fy")).alias("ddec"), F.hypot("dra_mad", "ddec_mad").alias("scatter"))
     # Ties go to the first detector by name: fewer than a dozen rows a field are sorted.
