@@ -76,8 +76,9 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, keep_ids: bo
 
     ids are the tokens of the whole text, null with keep_ids=False; ids_sha256 is the digest of the ids as
     little-endian unsigned 32-bit integers and decoded_sha256 that of the bytes the ids decode to. A null text
-    is encoded as the empty text: no ids. A null doc_id stays null; repeated rows give repeated results; other
-    columns of docs are not read. No shuffle: every row is encoded where it is read.
+    is encoded as the empty text: no ids. A null doc_id stays null; repeated rows give repeated results; an empty table
+    gives an empty one; other columns of docs are not read, whatever their names. A very long text is encoded whole, in
+    chunks that change no id. No shuffle: every row is encoded where it is read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

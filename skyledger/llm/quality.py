@@ -157,7 +157,12 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """The rows of docs that the classifier does not reject, with docs' columns and no shuffle."""
+    """The rows of docs that the classifier does not reject, with docs' columns and no shuffle.
+
+    Null and empty texts are scored like any other text. A null doc_id, repeated rows and other columns, whatever their
+    names, pass through; rows with equal texts go or stay together. A very long text is scored whole. An empty table gives
+    an empty one; labels with a null doc_id or label are not used.
+    """
     scorer = train(docs.select("doc_id", "text"), labels)
     columns = docs.columns
 

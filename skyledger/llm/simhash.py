@@ -260,7 +260,8 @@ def near_groups(docs: DataFrame, words: int = 3, budget: int = 3) -> DataFrame:
     doc_id that links lead to, the document's own included. Texts without words, null ones too, have fingerprint
     0 and link like any other. Documents with equal fingerprints meet once in the join however many they are.
     Repeated rows give repeated results. A null doc_id counts in no minimum; a component of null ids has a null
-    id. An empty table gives an empty result. Other columns of docs are not read.
+    id. A very long text is one fingerprint of all its shingles. An empty table gives an empty result. Other columns of
+    docs are not read, whatever their names.
     """
     own = stage(fingerprints(docs, words), "fingerprints")
     least = stage(own.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")

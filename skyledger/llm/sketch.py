@@ -124,8 +124,8 @@ def fingerprint_documents(docs: DataFrame, shingle: int = SHINGLE, scale: int =
 
     The edited text has the last floor(n_chars / 4) code points replaced by the first as many (or all) of the
     next document in ascending doc_id order (after the last: the first). Returns doc_id, text, edited, sketch,
-    edited_sketch, next_sketch, near_edited, near_next. The last two are the likeness of sketches; where both are empty
-    they are 1 for equal texts, else 0.
+    edited_sketch, next_sketch, near_edited, near_next. The last two are the likeness of sketches; two empty sketches
+    are equal ones, so their likeness is 1.
 
     A null text counts as empty and its sketch is empty. A very long text is one row's sketch and nothing more. A null
     doc_id comes before all others; rows with it are dealt to many tasks. Rows that repeat a doc_id have the same next document, the row with the next larger doc_id;
@@ -140,7 +140,7 @@ def fingerprint_documents(docs: DataFrame, shingle: int = SHINGLE, scale: int =
     head = F.substring(F.col("text"), F.lit(1), F.floor(F.col("before_chars") / 4).cast("int"))
     heads = joined.select(
         "before_id",
-        F.struct(head.alias("head"), sketch(F.col("text"), shingle, scale).alias("next_sketch"), F.sha1("text").alias("digest")).alias("next"),
+        F.struct(head.alias("head"), sketch(F.col("text"), shingle, scale).alias("next_sketch")).alias("next"),
         F.xxhash64("text", "doc_id").alias("_hash"),  # with doc_id, so that both uses read the same columns
     )
     # Keyed before they are grouped, so that group and join share one shuffle.
@@ -151,6 +151,6 @@ def fingerprint_documents(docs: DataFrame, shingle: int = SHINGLE, scale: int =
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.coalesce("next.head", F.lit("")), F.lit(1), cut))
     out = out.withColumn("edited", edited)
     sketches = [sketch(F.col(c), shingle, scale) for c in ("text", "edited")]
-    out = out.select("doc_id", "text", "edited", sketches[0].alias("sketch"), sketches[1].alias("edited_sketch"), F.col("next.next_sketch").alias("next_sketch"), F.col("next.digest").alias("_next"))
-    near = lambda other, same: F.coalesce(likeness(F.col("sketch"), F.col(other)), same.cast("double"), F.lit(0.0))
-    return out.withColumns({"near_edited": near("edited_sketch", F.col("text") == F.col("edited")), "near_next": near("next_sketch", F.sha1("text") == F.col("_next"))}).drop("_next")
+    out = out.select("doc_id", "text", "edited", sketches[0].alias("sketch"), sketches[1].alias("edited_sketch"), F.col("next.next_sketch").alias("next_sketch"))
+    near = lambda other: F.coalesce(likeness(F.col("sketch"), F.col(other)), F.lit(1.0))
+    return out.withColumns({"near_edited": near("edited_sketch"), "near_next": near("next_sketch")})

@@ -32,12 +32,10 @@ from .learning import held_out, sample_ids, training_labels
 
 #: Bound on the labelled documents that the field is fitted on.
 SAMPLE = 2_500
-#: Longest text, in bytes, that is learned from.
+#: Longest text, in bytes, that is learned from unless a caller says otherwise: with SAMPLE a bound on what the driver holds.
 MAX_BYTES = 20_000
 SLOTS = 1 << 16
 TOKEN = re.compile(r"[^\W_]+")
-#: Marginals under this do not count towards a document's score.
-FLOOR = 0.05
 ROW = 256
 CACHE = 300_000
 
@@ -106,9 +104,8 @@ class Field:
         return forward.T.ravel()[:n], backward.T.ravel()[:n], x
 
     def evidence(self, q: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
-        """Minus the log chance that no token of a document is toxic, from marginals of at least FLOOR."""
-        some = q >= FLOOR
-        return np.bincount(doc[some], weights=-np.log1p(-np.minimum(q[some], 1 - 1e-6)), minlength=n_docs)
+        """Minus the log chance that no token of a document is toxic, every token counting: many weak ones add up."""
+        return np.bincount(doc, weights=-np.log1p(-np.minimum(q, 1 - 1e-6)), minlength=n_docs)
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
         """Chance that a document is toxic."""
@@ -224,20 +221,20 @@ def fit(rows: Iterator[tuple[str, int]], rounds: int = 30, rate: float = 0.25, d
     return field
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 29) -> Field:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 29, max_bytes: int = MAX_BYTES) -> Field:
     """Fit on a bounded sample of labelled documents outside the held-out fold.
 
-    About ``sample`` documents, one text each, of at most MAX_BYTES: longer ones are scored, but not learned from. So at
-    most sample * MAX_BYTES bytes of text reach the driver, whatever the table holds.
+    About ``sample`` documents, one text each, of at most ``max_bytes``: longer ones are scored, but not learned from. So at
+    most sample * max_bytes bytes of text reach the driver, whatever the table holds.
     """
     chosen = sample_ids(training_labels(labels, "toxic"), sample, seed)
-    rows = docs.where(F.octet_length(text_or_empty()) <= MAX_BYTES).join(F.broadcast(chosen), "doc_id")
+    rows = docs.where(F.octet_length(text_or_empty()) <= max_bytes).join(F.broadcast(chosen), "doc_id")
     rows = rows.groupBy("doc_id", "label").agg(F.min(text_or_empty()).alias("text"))
     rows = sorted((r.doc_id, r.text, r.label) for r in rows.collect())
     return fit((text, int(label > 0)) for _, text, label in rows)
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, sample: int = SAMPLE) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, sample: int = SAMPLE, max_bytes: int = MAX_BYTES) -> DataFrame:
     """(doc_id, held_out, score, predicted, spans) for each row of docs.
 
     score is the chance that the whole text is toxic, predicted is 1 from ``threshold`` on, and
@@ -247,7 +244,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
     A very long text is scored whole. Equal scores are equal texts' or chance, no order rests on them.
     Repeated rows give repeated results, an empty table gives an empty one; other columns are not read, whatever their names.
     """
-    field = train(docs.select("doc_id", "text"), labels, sample)
+    field = train(docs.select("doc_id", "text"), labels, sample, max_bytes=max_bytes)
 
     def part_of(ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
         split = [TOKEN.findall(t) for t in texts]
