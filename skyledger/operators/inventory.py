@@ -116,10 +116,14 @@ def newest(files: DataFrame, keys: Sequence[str], path: str, mtime: str) -> Data
     return files.groupBy(*keys).agg(F.max_by(path, F.struct(mtime, path)).alias(path), F.max(mtime).alias(mtime))
 
 
+def exposure_token(name: Column) -> Column:
+    """vgroup<vgroup>_exp<exposure> of a name that ends in _<vgroup>_<exposure>."""
+    return F.concat(F.lit("vgroup"), F.regexp_extract(name, r"_(\d+)_(\d+)$", 1), F.lit("_exp"), F.regexp_extract(name, r"_(\d+)_(\d+)$", 2))
+
+
 def without_flagged(frames: DataFrame, flagged: DataFrame, name: str) -> DataFrame:
     """Frames whose name's _<vgroup>_<exposure> is not flagged as vgroup<vgroup>_exp<exposure>."""
-    token = F.concat(F.lit("vgroup"), F.regexp_extract(F.col(name), r"_(\d+)_(\d+)$", 1), F.lit("_exp"), F.regexp_extract(F.col(name), r"_(\d+)_(\d+)$", 2))
-    return frames.withColumn("_t", token).join(flagged.select(F.col("token").alias("_t")), "_t", "left_anti").drop("_t")
+    return frames.withColumn("_t", exposure_token(F.col(name))).join(flagged.select(F.col("token").alias("_t")), "_t", "left_anti").drop("_t")
 
 
 def frame_of_catalogue(catalogues: DataFrame, frames: DataFrame, name: str = "name") -> DataFrame:

@@ -9,22 +9,38 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from . import grid, match, offset, stats
+from ..sources.staging import staged
+from . import grid, inventory, match, offset, quantiles, stats
 
 
-def interfilter(pairs: DataFrame, keys: Sequence[str], least: int = 200, far: float = 20.0) -> DataFrame:
-    """Residuals between two bands (dra, ddec in mas), the group's median removed: rms and share beyond ``far``."""
+def interfilter(pairs: DataFrame, keys: Sequence[str], least: int = 200, far: float = 20.0, least_sn: float = 10.0) -> DataFrame:
+    """Residuals between two bands (dra, ddec in mas; S/N sn_a and sn_b over ``least_sn`` in both), the group's median
+    removed: rms and share beyond ``far``."""
     g = list(keys)
-    m = pairs.groupBy(*g).agg(offset.median("dra").alias("_x"), offset.median("ddec").alias("_y"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least)
+    p = staged(pairs.where((F.col("sn_a") > least_sn) & (F.col("sn_b") > least_sn)).select(*g, "dra", "ddec"), "bands")
+    m = quantiles.group_quantiles(p, g, ["dra", "ddec"], most=quantiles.largest(p, g)).select(*g, F.col("dra").alias("_x"), F.col("ddec").alias("_y"), F.col("n").alias("_n")).where(F.col("_n") >= least)
     r = F.hypot(F.col("dra") - F.col("_x"), F.col("ddec") - F.col("_y"))
-    x = pairs.join(m, g).withColumn("r", r)
+    x = p.join(m, g).withColumn("r", r)
     return x.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(F.col("r") * F.col("r"))).alias("rms"), F.avg((F.col("r") > far).cast("double")).alias("far"))
 
 
-def presence(nominal: DataFrame, files: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Stage 1: a reduced image in the short channel, and in the long one if the observation has a long band."""
+def images(files: DataFrame, keys: Sequence[str], module: str = "module") -> DataFrame:
+    """(keys, filter) that have an image: a merged one, or that of one module if the observation has only one.
+
+    ``module`` is 'A', 'B' or 'merged'. An observation has two modules if any of its filters is merged or has both; a filter
+    of it with one module's image is half delivered, and both modules without a merged image are not merged yet.
+    """
+    g = list(keys)
+    has = lambda m: F.bool_or(F.col(module) == m).alias(f"_{m}")
+    x = files.where(F.col(module).isNotNull()).groupBy(*g, "filter").agg(has("merged"), has("A"), has("B"))
+    two = x.groupBy(*g).agg(F.bool_or(F.col("_merged") | (F.col("_A") & F.col("_B"))).alias("_two"))
+    return x.join(two, g).where(F.col("_merged") | ((F.col("_A") != F.col("_B")) & ~F.col("_two"))).select(*g, "filter")
+
+
+def presence(nominal: DataFrame, images_: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stage 1: an image (see images) in the short channel, and in the long one if the observation has a long band."""
     g = list(keys)
-    n = nominal.select(*g, "filter").distinct().join(files.select(*g, "filter", F.lit(True).alias("_have")).distinct(), [*g, "filter"], "left").withColumn("channel", S.channel(F.col("filter")))
+    n = nominal.select(*g, "filter").distinct().join(images_.select(*g, "filter", F.lit(True).alias("_have")).distinct(), [*g, "filter"], "left").withColumn("channel", S.channel(F.col("filter")))
     have = F.coalesce("_have", F.lit(False))
     x = n.groupBy(*g).agg(
         F.count_if((F.col("channel") == "SW") & have).alias("sw"), F.count_if((F.col("channel") == "LW") & have).alias("lw"), F.count_if(F.col("channel") == "LW").alias("_lw"), F.count_if(~have).alias("missing")
@@ -32,12 +48,24 @@ def presence(nominal: DataFrame, files: DataFrame, keys: Sequence[str]) -> DataF
     return x.select(*g, "sw", "lw", "missing", ((F.col("sw") > 0) & ((F.col("lw") > 0) | (F.col("_lw") == 0))).alias("passed"))
 
 
-def colour_magnitude(colours: DataFrame, keys: Sequence[str], least: int = 500, least_high: int = 50) -> DataFrame:
-    """Stage 2: enough sources; the high-S/N ones are used only if there are ``least_high``. colours: colour, mag, high."""
+def colour_magnitude(colours: DataFrame, bands: DataFrame, keys: Sequence[str], least: int = 500, least_high: int = 50) -> DataFrame:
+    """Stage 2: over ``least`` sources. colours: mag, colour and high (S/N in both bands); bands: the filters of a group.
+
+    The high-S/N sources are used only if there are ``least_high``. A group without a long band at all has a luminosity function
+    in place of colours (single_filter), its mode over 60 bins; one that has a long band but no colours does not pass.
+    """
     g = list(keys)
-    x = colours.withColumn("_h", F.count_if("high").over(W.partitionBy(*g))).where((F.col("_h") < least_high) | F.col("high"))
-    s = x.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), offset.median("colour").alias("colour"))
-    return s.join(stats.histogram_mode(x, g, "mag", 50).select(*g, "mode"), g).withColumn("passed", F.col("n") > least)
+    b = bands.groupBy(*g).agg((~F.bool_or(S.channel(F.col("filter")) == "LW")).alias("single_filter"))
+    have = F.when(F.col("single_filter"), F.col("mag").isNotNull() & ~F.isnan("mag")).otherwise(F.col("colour").isNotNull())
+    c = colours.join(b, g).where(have)
+    n = c.groupBy(*g).agg(F.count_if("high").alias("_h"))
+    c = c.join(n, g).where(F.col("single_filter") | (F.col("_h") < least_high) | F.col("high"))
+    c = staged(c.select(*g, "single_filter", "mag", "colour"), "colours")
+    s = c.groupBy(*g).agg(F.count(F.lit(1)).alias("n"))
+    colour = quantiles.group_quantiles(c.where("not single_filter"), g, ["colour"]).drop("n")
+    mode = stats.histogram_mode(c.where("not single_filter"), g, "mag", 50).unionByName(stats.histogram_mode(c.where("single_filter"), g, "mag", 60)).select(*g, "mode")
+    x = b.join(s, g, "left").join(colour, g, "left").join(mode, g, "left")
+    return x.select(*g, "single_filter", F.coalesce("n", F.lit(0)).alias("n"), "colour", "mode", (F.coalesce("n", F.lit(0)) > least).alias("passed"))
 
 
 def calibration(matched: DataFrame, keys: Sequence[str], x: str, y: str, least: int = 30) -> DataFrame:
@@ -45,35 +73,42 @@ def calibration(matched: DataFrame, keys: Sequence[str], x: str, y: str, least:
     g = list(keys)
     n = matched.groupBy(*g).agg(F.count(F.lit(1)).alias("n_matched"))
     f = n.join(stats.clipped_line(matched, g, x, y), g, "left")
-    ok = (F.col("n_matched") >= least) & F.col("slope").between(0.8000000001, 1.1999999999) & (F.col("scatter") < 0.8)
+    ok = (F.col("n_matched") >= least) & (F.col("slope") > 0.8) & (F.col("slope") < 1.2) & (F.col("scatter") < 0.8)
     return f.select(*g, "n_matched", "slope", "intercept", "scatter", F.coalesce(ok, F.lit(False)).alias("passed"))
 
 
-def registration(stars: DataFrame, reference: DataFrame, keys: Sequence[str], gate: float = 75.0) -> DataFrame:
-    """Stage 4: the larger of the cells' and the same stars' offset is under ``gate``, and cells agree and cover.
+def registration(stars: DataFrame, reference: DataFrame, keys: Sequence[str], modules: DataFrame | None = None, gate: float = 75.0, module_gate: float = 15.0, clear: float = 4.0) -> DataFrame:
+    """Stage 4: the larger of the cells' and the same stars' offset is under ``gate``, cells agree and cover, and the modules
+    (keys, off; see offset.module_offset) are less than ``module_gate`` apart where both are measured.
 
-    A map whose cells scatter beyond 300 mas is not trusted: the whole field's isolated offset is reported instead and
-    the stage cannot pass. A field measured as one cell has no consistency to judge.
+    The same stars count only where the bulk offset is small and its peak clear. A map whose cells scatter beyond 300 mas
+    though 50 isolated stars are clean is not trusted: the whole field's offset stands in if its peak is ``clear``, with no cells
+    to agree; else the isolated stars' is shown and the stage cannot pass. A field measured as one cell has no consistency to
+    judge. low_confidence: the cells and the isolated stars are over 50 mas apart, on a trusted map.
     """
     g = list(keys)
-    cells = grid.adaptive_grid(stars, reference, g)
+    cells = staged(grid.adaptive_grid(stars, reference, g), "cells")
     used = cells.groupBy(*g).agg(F.first("grid").alias("grid"))
-    agree = grid.consistency(cells, g).select(*g, F.col("off").alias("cell_off"), "spread", "coverage", "consistent")
+    agree = grid.consistency(cells, g).select(*g, F.col("dra").alias("cell_dra"), F.col("ddec").alias("cell_ddec"), F.col("off").alias("cell_off"), "spread", "coverage", "consistent")
     pairs = match.radius_join(stars, reference, 2.5, g)
     off = offset.pair_offsets(pairs).select(*[F.col(f"a_{k}").alias(k) for k in g], "a_id", "b_id", "sep", "dra", "ddec")
-    bulk = offset.xcorr(off, g)
+    off = staged(off, "pairs")
+    bulk = staged(offset.xcorr(off, g), "bulk")
     same = off.where("sep <= 0.3").withColumnsRenamed({k: f"a_{k}" for k in g})
     same = match.mutual_nearest(same, [f"a_{k}" for k in g]).withColumnsRenamed({f"a_{k}": k for k in g})
-    tie = offset.same_star_offset(same, g).select(*g, F.col("off").alias("same_off"))
-    lone = offset.isolated_bulk(stars, reference, g).select(*g, F.col("off").alias("isolated_off"), "n_clean")
+    tie = offset.same_star_offset(same, g, bulk=bulk).select(*g, F.col("off").alias("same_off"))
+    lone = offset.isolated_bulk(stars, reference, g).select(*g, F.col("dra").alias("lone_dra"), F.col("ddec").alias("lone_ddec"), F.col("off").alias("isolated_off"), "n_clean")
     x = used.join(agree, g, "left").join(bulk.select(*g, F.col("off").alias("bulk_off"), "peak_ratio"), g, "left").join(tie, g, "left").join(lone, g, "left")
+    x = x.join(modules.select(*g, F.col("off").alias("module_off")), g, "left") if modules is not None else x.withColumn("module_off", F.lit(None).cast("double"))
     trusted = ~F.coalesce((F.col("spread") > 300) & (F.col("n_clean") >= 50), F.lit(False))
-    value = F.greatest("cell_off", "same_off")
-    ok = trusted & (value < gate) & ((F.col("grid") == 1) | F.col("consistent")) & (F.col("coverage") >= 0.5)
-    low = F.abs(F.col("bulk_off") - F.col("isolated_off")) > 50
+    whole = F.col("bulk_off").isNotNull() & (F.col("peak_ratio") >= clear)
+    gated = F.when(trusted, F.greatest("cell_off", "same_off")).when(whole, F.col("bulk_off"))
+    even = ~trusted | (F.col("grid") == 1) | F.col("consistent")
+    ok = (gated < gate) & even & (F.col("coverage") >= 0.5) & (F.col("module_off").isNull() | (F.col("module_off") < module_gate))
+    low = trusted & (F.hypot(F.col("cell_dra") - F.col("lone_dra"), F.col("cell_ddec") - F.col("lone_ddec")) > 50)
     return x.select(
-        *g, "grid", "cell_off", "same_off", "bulk_off", "isolated_off", "spread", "coverage", "consistent", F.when(trusted, value).otherwise(F.col("isolated_off")).alias("off"),
-        F.coalesce(low, F.lit(False)).alias("low_confidence"), F.coalesce(ok, F.lit(False)).alias("passed"),
+        *g, "grid", "cell_off", "same_off", "bulk_off", "isolated_off", "module_off", "spread", "coverage", "consistent", F.coalesce(gated, "isolated_off").alias("off"),
+        gated.isNull().alias("unmeasurable"), F.coalesce(low, F.lit(False)).alias("low_confidence"), F.coalesce(ok, F.lit(False)).alias("passed"),
     )
 
 
@@ -92,6 +127,25 @@ def precision(curves: DataFrame, keys: Sequence[str]) -> DataFrame:
     return f.select(*keys, "formal", "empirical", F.coalesce("empirical", "formal").alias("floor"), F.coalesce("empirical", "formal").isNotNull().alias("passed"))
 
 
+def precision_with_and_without(measured: DataFrame, flagged: DataFrame, keys: Sequence[str], name: str, value: str = "value", mag: str = "mag") -> DataFrame:
+    """Stage 6 with all exposures and without the streaked ones, by one scan and one set of aggregates.
+
+    measured: keys, kind (formal or empirical), mag, value and a ``name`` whose last two tokens are the exposure's;
+    flagged: tokens (keys, token) as inventory.exposure_token makes them. Every row is in the variant "all", those of exposures
+    that are not flagged in "clean" too. clean_floor is null where no exposure is flagged.
+    """
+    g = list(keys)
+    bad = flagged.select(*g, F.col("token").alias("_token"), F.lit(True).alias("_bad")).distinct()
+    x = measured.withColumn("_token", inventory.exposure_token(F.col(name))).join(bad, [*g, "_token"], "left")
+    x = x.select(*g, "kind", mag, value, F.explode(F.array_compact(F.array(F.lit("all"), F.when(F.col("_bad").isNull(), "clean")))).alias("variant"))
+    p = precision(stats.binned(x, [*g, "variant", "kind"], mag, value), [*g, "variant"])
+    n = flagged.groupBy(*g).agg(F.count_distinct("token").alias("excluded"))
+    of = lambda v, c: F.max(F.when(F.col("variant") == v, F.col(c)))
+    wide = p.groupBy(*g).agg(*[of("all", c).alias(c) for c in ("formal", "empirical", "floor")], of("clean", "floor").alias("clean_floor"))
+    x = wide.join(n, g, "left").withColumn("excluded", F.coalesce("excluded", F.lit(0)))
+    return x.select(*g, "formal", "empirical", "floor", "excluded", F.when(F.col("excluded") > 0, F.col("clean_floor")).alias("clean_floor"), F.col("floor").isNotNull().alias("passed"))
+
+
 def against_archive(ours: DataFrame, theirs: DataFrame, keys: Sequence[str], slack: float = 5.0) -> DataFrame:
     """Stage 7: our offset is at most ``slack`` mas over the archive's, or one of them is unmeasured; ours unmeasured is a red flag."""
     g = list(keys)

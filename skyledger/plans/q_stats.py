@@ -147,16 +147,19 @@ def detector_residuals(spark, d):
     return x.select("field", "detector", "n", *[F.round(c, 5).alias(c) for c in ("dra", "ddec", "scatter", "module_dra")], "worst")
 
 
+SECOND = "flux * (1 + id % 7) / 4 / flux_err"  # the other band's S/N
+
+
 @query(
     "interfilter_residual",
-    f"""{OFFS}, g AS (SELECT *, count(*) OVER (PARTITION BY field) AS n FROM o WHERE flux / flux_err > 10), m AS (SELECT field, median(dra) AS mx, median(ddec) AS my FROM g WHERE n >= 200 GROUP BY field),
+    f"""{OFFS}, g AS (SELECT *, count(*) OVER (PARTITION BY field) AS n FROM o WHERE flux / flux_err > 10 AND {SECOND} > 10), m AS (SELECT field, median(dra) AS mx, median(ddec) AS my FROM g WHERE n >= 200 GROUP BY field),
 r AS (SELECT field, sqrt((dra - mx) * (dra - mx) + (ddec - my) * (ddec - my)) AS r FROM g JOIN m USING (field))
 SELECT field, count(*) AS n, round(sqrt(avg(r * r)), 5) AS rms, round(avg(CASE WHEN r > 20 THEN 1.0 ELSE 0.0 END), 6) AS far FROM r GROUP BY field""",
 )
 def interfilter_residual(spark, d):
     from ..operators.verdicts import interfilter
 
-    x = interfilter(offsets(spark, d).where("flux / flux_err > 10"), ["field"])
+    x = interfilter(offsets(spark, d).withColumns({"sn_a": F.col("flux") / F.col("flux_err"), "sn_b": F.expr(SECOND)}), ["field"])
     return x.select("field", "n", F.round("rms", 5).alias("rms"), F.round("far", 6).alias("far"))
 
 

@@ -9,34 +9,49 @@ from ..operators import pixels as P
 from ..operators import verdicts as V
 from .q_match import AB, ISOLATED, OFF, near, refine
 from .q_pixels import APERTURES, CENTROIDS, PIX, box, pix
-from .q_stats import BINS, OFFS, QUAL, STAR, fit_rounds, offsets, quality
+from .q_stats import BINS, OFFS, QUAL, STAR, exposures, fit_rounds, offsets, quality
 from .registry import query
-from .standins import DENSE_PIXELS, DENSE_REFERENCE, INVENTORY, REFERENCE, STARS
+from .standins import DENSE_PIXELS, DENSE_REFERENCE, INVENTORY, MODULE_A, MODULE_B, REFERENCE, STARS
 
 INV = f"WITH f AS ({INVENTORY.sql})"
 CH = "CASE WHEN substr(filter, 2, 3)::INT <= 212 THEN 'SW' ELSE 'LW' END"
 
 
+#: Images of the inventory: those of one detector's module, or merged ones.
+MODULE = "CASE WHEN k % 9 = 0 THEN 'merged' WHEN k % 2 = 0 THEN 'A' ELSE 'B' END"
+
+
 @query(
     "stage_presence",
-    f"""{INV}, n AS (SELECT DISTINCT field, obs, filter FROM f WHERE NOT (field = 'w51' AND {CH} = 'LW')), h AS (SELECT DISTINCT field, obs, filter, true AS have FROM f WHERE mtime % 90 = 1), j AS (SELECT field, obs, {CH} AS c, coalesce(have, false) AS have FROM n LEFT JOIN h USING (field, obs, filter)),
+    f"""{INV}, n AS (SELECT DISTINCT field, obs, filter FROM f WHERE NOT (field = 'w51' AND {CH} = 'LW')), i AS (SELECT field, obs, filter, {MODULE} AS module FROM f WHERE mtime % 90 = 1),
+p AS (SELECT field, obs, filter, bool_or(module = 'merged') AS m, bool_or(module = 'A') AS a, bool_or(module = 'B') AS b FROM i GROUP BY ALL), two AS (SELECT field, obs, bool_or(m OR (a AND b)) AS two FROM p GROUP BY ALL),
+h AS (SELECT field, obs, filter, true AS have FROM p JOIN two USING (field, obs) WHERE m OR (a <> b AND NOT two)), j AS (SELECT field, obs, {CH} AS c, coalesce(have, false) AS have FROM n LEFT JOIN h USING (field, obs, filter)),
 g AS (SELECT field, obs, count(*) FILTER (c = 'SW' AND have) AS sw, count(*) FILTER (c = 'LW' AND have) AS lw, count(*) FILTER (c = 'LW') AS l, count(*) FILTER (NOT have) AS missing FROM j GROUP BY ALL) SELECT field, obs, sw, lw, missing, sw > 0 AND (lw > 0 OR l = 0) AS passed FROM g""",
 )
 def stage_presence(spark, d):
     f = INVENTORY.df(spark, d)
     nominal = f.where(~((F.col("field") == "w51") & (V.S.channel(F.col("filter")) == "LW")))
-    return V.presence(nominal, f.where("mtime % 90 = 1"), ["field", "obs"])
+    return V.presence(nominal, V.images(f.where("mtime % 90 = 1").withColumn("module", F.expr(MODULE)), ["field", "obs"]), ["field", "obs"])
+
+
+#: Bands of a field: one has no long band, another's long band has no colours.
+BANDS = "CASE WHEN field = '5-LOW' OR detector % 2 = 0 THEN 'F212N' ELSE 'F405N' END"
+COLOUR = "CASE WHEN field = '3-MEDIUM' OR field = '5-LOW' THEN NULL ELSE (cust % 31) / cast(10 as double) END"
+MODE = "b{n} AS (SELECT field, min(mag) AS lo, (max(mag) - min(mag)) / {n} AS w FROM u WHERE {w} GROUP BY field), g{n} AS (SELECT field, lo, w, least(floor((mag - lo) / w), {n} - 1) AS i, count(*) AS k FROM u JOIN b{n} USING (field) GROUP BY ALL), m{n} AS (SELECT field, first(lo + (i + 0.5::DOUBLE) * w ORDER BY k DESC, i) AS mode FROM g{n} GROUP BY field)"
 
 
 @query(
     "stage_colour_magnitude",
-    f"""{STAR}, c AS (SELECT field, mag, (cust % 31) / 10.0::DOUBLE AS colour, flux / flux_err > 10 AS high FROM a WHERE detector < 3), h AS (SELECT *, count(*) FILTER (high) OVER (PARTITION BY field) AS nh FROM c), u AS (SELECT * FROM h WHERE nh < 50 OR high),
-b AS (SELECT field, min(mag) AS lo, (max(mag) - min(mag)) / 50 AS w FROM u GROUP BY field), g AS (SELECT field, lo, w, least(floor((mag - lo) / w), 49) AS i, count(*) AS k FROM u JOIN b USING (field) GROUP BY ALL), m AS (SELECT field, first(lo + (i + 0.5::DOUBLE) * w ORDER BY k DESC, i) AS mode FROM g GROUP BY field)
-SELECT field, count(*) AS n, round(median(colour), 6) AS colour, round(any_value(mode), 6) AS mode, count(*) > 500 AS passed FROM u JOIN m USING (field) GROUP BY field""",
+    f"""{STAR}, c AS (SELECT field, mag, {COLOUR} AS colour, flux / flux_err > 10 AS high FROM a), band AS (SELECT field, NOT bool_or({CH.replace('filter', BANDS)} = 'LW') AS single_filter FROM a GROUP BY field),
+v AS (SELECT * FROM c JOIN band USING (field) WHERE CASE WHEN single_filter THEN mag IS NOT NULL ELSE colour IS NOT NULL END), h AS (SELECT *, count(*) FILTER (high) OVER (PARTITION BY field) AS nh FROM v), u AS (SELECT * FROM h WHERE single_filter OR nh < 50 OR high),
+{MODE.format(n=50, w='NOT single_filter')}, {MODE.format(n=60, w='single_filter')}, m AS (SELECT * FROM m50 UNION ALL SELECT * FROM m60), s AS (SELECT field, count(*) AS n, median(colour) FILTER (NOT single_filter) AS colour FROM u GROUP BY field)
+SELECT field, single_filter, coalesce(n, 0) AS n, round(colour, 6) AS colour, round(mode, 6) AS mode, coalesce(n, 0) > 500 AS passed FROM band LEFT JOIN s USING (field) LEFT JOIN m USING (field)""",
 )
 def stage_colour_magnitude(spark, d):
-    c = STARS.df(spark, d).where("detector < 3").select("field", "mag", ((F.col("cust") % 31) / 10).alias("colour"), (F.col("flux") / F.col("flux_err") > 10).alias("high"))
-    return V.colour_magnitude(c, ["field"]).select("field", "n", F.round("colour", 6).alias("colour"), F.round("mode", 6).alias("mode"), "passed")
+    a = STARS.df(spark, d)
+    c = a.select("field", "mag", F.expr(COLOUR).alias("colour"), (F.col("flux") / F.col("flux_err") > 10).alias("high"))
+    x = V.colour_magnitude(c, a.select("field", F.expr(BANDS).alias("filter")).distinct(), ["field"])
+    return x.select("field", "single_filter", "n", F.round("colour", 6).alias("colour"), F.round("mode", 6).alias("mode"), "passed")
 
 
 @query(
@@ -50,8 +65,10 @@ def stage_calibration(spark, d):
 
 @query("stage_registration")
 def stage_registration(spark, d):
-    x = V.registration(STARS.df(spark, d), DENSE_REFERENCE.df(spark, d), ["tile"])
-    return x.select("tile", "grid", *[F.round(c, 4).alias(c) for c in ("cell_off", "same_off", "bulk_off", "isolated_off", "off")], "consistent", "low_confidence", "passed")
+    """Verdicts of the stars, with the modules' own offset."""
+    modules = offset.module_offset(MODULE_A.df(spark, d), MODULE_B.df(spark, d), ["tile"])
+    x = V.registration(STARS.df(spark, d), DENSE_REFERENCE.df(spark, d), ["tile"], modules)
+    return x.select("tile", "grid", *[F.round(c, 4).alias(c) for c in ("cell_off", "same_off", "bulk_off", "isolated_off", "module_off", "off")], "consistent", "unmeasurable", "low_confidence", "passed")
 
 
 @query(
@@ -66,16 +83,32 @@ def stage_intermodule(spark, d):
     return V.intermodule(off, acc, ["field"]).withColumn("nan_fraction", F.round("nan_fraction", 6))
 
 
+#: Measurements of exposures: formal errors of all, repeated positions of one group.
+MEASURED = "SELECT e.star % 3 AS vgroup, 'jw_' || (e.star % 3) || '_' || e.exposure AS name, exposure, -2.5 * log10(flux) + 30 AS mag, err * CASE WHEN exposure = 5 THEN 1 + star % 4 ELSE 2 END AS value, CASE WHEN star % 3 = 1 AND star % 5 = 0 THEN 'empirical' ELSE 'formal' END AS kind FROM e"
+FLOORS = "floor_{v} AS (SELECT vgroup, kind, min(median) AS floor FROM curve_{v} GROUP BY ALL), wide_{v} AS (SELECT vgroup, max(floor) FILTER (kind = 'formal') AS formal, max(floor) FILTER (kind = 'empirical') AS empirical FROM floor_{v} GROUP BY vgroup)"
+
+
+def curve(v: str, rows: str) -> str:
+    x = BINS.format(k="vgroup, kind", x="mag", y="value", t=rows, w="value > 0").replace("b AS", f"b_{v} AS").replace("FROM b)", f"FROM b_{v})").replace("curve AS", f"curve_{v} AS")
+    return f"{x}, {FLOORS.format(v=v)}"
+
+
 @query(
     "stage_precision",
-    f"""{STAR}, q AS (SELECT field, mag, flux_err AS v FROM a WHERE field <> '2-HIGH'), {BINS.format(k='field', x='mag', y='v', t='q', w='v > 0')}, fl AS (SELECT field, min(median) AS formal FROM curve GROUP BY field)
-SELECT field, round(formal, 6) AS formal, CASE WHEN field = '1-URGENT' THEN round(formal / 2, 6) END AS empirical, round(CASE WHEN field = '1-URGENT' THEN formal / 2 ELSE formal END, 6) AS floor, true AS passed FROM fl""",
+    f"""{QUAL}, t AS (SELECT vgroup, median(quality) AS typical FROM quality GROUP BY vgroup), bad AS (SELECT vgroup, exposure FROM quality JOIN t USING (vgroup) WHERE quality > 2 * typical), q AS ({MEASURED}),
+clean AS (SELECT q.* FROM q ANTI JOIN bad USING (vgroup, exposure)), {curve('all', 'q')}, {curve('clean', 'clean')}, x AS (SELECT vgroup, count(*) AS excluded FROM bad GROUP BY vgroup)
+SELECT vgroup, round(a.formal, 6) AS formal, round(a.empirical, 6) AS empirical, round(coalesce(a.empirical, a.formal), 6) AS floor, coalesce(excluded, 0) AS excluded, CASE WHEN excluded > 0 THEN round(coalesce(c.empirical, c.formal), 6) END AS clean_floor, coalesce(a.empirical, a.formal) IS NOT NULL AS passed
+FROM wide_all a LEFT JOIN wide_clean c USING (vgroup) LEFT JOIN x USING (vgroup)""",
 )
 def stage_precision(spark, d):
-    c = stats.binned(STARS.df(spark, d).where("field <> '2-HIGH'"), ["field"], "mag", "flux_err")
-    e = c.where("field = '1-URGENT'").withColumns({"median": F.col("median") / 2, "kind": F.lit("empirical")})
-    x = V.precision(c.withColumn("kind", F.lit("formal")).unionByName(e), ["field"])
-    return x.select("field", *[F.round(k, 6).alias(k) for k in ("formal", "empirical", "floor")], "passed")
+    flagged = stats.streaked(quality(spark, d), ["vgroup"]).where("streaked")
+    tokens = flagged.select("vgroup", F.format_string("vgroup%d_exp%d", "vgroup", "exposure").alias("token"))
+    e = exposures(spark, d)
+    mag, value = -2.5 * F.log10("flux") + 30, F.col("err") * F.when(F.col("exposure") == 5, 1 + F.col("star") % 4).otherwise(2)
+    kind = F.when((F.col("star") % 3 == 1) & (F.col("star") % 5 == 0), "empirical").otherwise("formal")
+    measured = e.select((F.col("star") % 3).alias("vgroup"), F.format_string("jw_%d_%d", F.col("star") % 3, F.col("exposure")).alias("name"), mag.alias("mag"), value.cast("double").alias("value"), kind.alias("kind"))
+    x = V.precision_with_and_without(measured, tokens, ["vgroup"], "name")
+    return x.select("vgroup", *[F.round(k, 6).alias(k) for k in ("formal", "empirical", "floor")], "excluded", F.round("clean_floor", 6).alias("clean_floor"), "passed")
 
 
 @query(
