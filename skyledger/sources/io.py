@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions import scalars as S
+
 #: Fixed order of the columns of a multi-exposure match file.
 MATCH_COLUMNS = ("xbar", "ybar", "mbar", "xsig", "ysig", "msig", "qbar", "nf", "ng", "nm")
 
@@ -115,18 +117,35 @@ def header_store(headers: DataFrame, keywords: Sequence[str], order: str) -> Dat
     return last.groupBy("obsid").pivot("keyword", list(keywords)).agg(F.first("value"))
 
 
-#: Fixed values: 'name - jwPPPPP-oNNN (instrument)', with a long dash or a short one, and what looks like an observation.
-TITLE = r"(?i)^(.*?)\s+[\u2014-]\s+jw0*(\d+)-o(\d{3})\s+\((NIRCam|MIRI)\)"
-OBS_LIKE = r"(?i)jw\d{5}-o\d{3}"
+#: The dashes between a title's name and its observation, and the instruments in brackets after it.
+DASHES, INSTRUMENTS = ("\u2014", "-"), ("NIRCam", "MIRI")
 
 
 def titles(lines: DataFrame, line: str) -> tuple[DataFrame, DataFrame]:
-    """Parsed title lines, and lines that carry an observation but do not parse; other lines are in neither."""
+    """Title lines 'name - jw<program>-o<obs> (instrument)', and lines that carry an observation but do not parse; other
+    lines are in neither. A line is taken word by word: a dash, the observation and the bracket must follow a name."""
     text = F.trim(F.col(line))
-    pick = lambda g: F.regexp_extract(text, TITLE, g)
-    ok = F.coalesce(text.rlike(TITLE), F.lit(False))
-    parsed = lines.where(ok).select("*", pick(2).cast("int").alias("program"), pick(3).alias("obs"), pick(4).alias("instrument"), pick(1).alias("name"))
-    return parsed, lines.where(~ok & text.rlike(OBS_LIKE))
+    words = F.split(text, r"\s+")
+    word = lambda i: F.get(words, i)
+    token = lambda w: F.split(F.lower(w), "-")
+    program = lambda w: F.when(F.get(token(w), F.lit(0)).startswith("jw"), F.substring(F.get(token(w), F.lit(0)), 3, 40))
+    number = lambda w: F.when(F.get(token(w), F.lit(1)).startswith("o"), F.substring(F.get(token(w), F.lit(1)), 2, 40))
+    observed = lambda w: (F.size(token(w)) == 2) & S.all_digits(program(w)) & S.all_digits(number(w)) & (F.length(number(w)) == 3)
+    bracket = lambda w: F.coalesce(*[F.when(F.lower(w).startswith(f"({i.lower()})"), F.substring(w, 2, len(i))) for i in INSTRUMENTS])
+    fits = lambda i: word(i).isin(*DASHES) & observed(word(i + 1)) & bracket(word(i + 2)).isNotNull()
+    at = F.get(F.filter(F.sequence(F.lit(0), F.size(words)), lambda i: (i > 0) & F.coalesce(fits(i), F.lit(False))), F.lit(0))
+    x = lines.withColumn("_at", at)
+    seen = F.col("_at")
+    # The name is what stands before the observation, less the dash, with the spaces it has.
+    before = F.rtrim(F.substring(text, F.lit(1), F.instr(text, word(seen + 1)) - 1))
+    name = F.rtrim(F.substring(before, F.lit(1), F.length(before) - 1))
+    parsed = x.where(seen.isNotNull()).select(
+        *lines.columns, program(word(seen + 1)).cast("int").alias("program"), number(word(seen + 1)).alias("obs"), bracket(word(seen + 2)).alias("instrument"), name.alias("name")
+    )
+    part = F.split(F.lower(text), "jw")
+    digits = lambda p, i, n: S.all_digits(F.substring(p, i, n)) & (F.length(F.substring(p, i, n)) == n)
+    alike = F.exists(F.slice(part, 2, F.size(part)), lambda p: digits(p, 1, 5) & (F.substring(p, 6, 2) == "-o") & digits(p, 8, 3))
+    return parsed, x.where(seen.isNull() & alike).drop("_at")
 
 
 def job_listing(lines: DataFrame, line: str, prefix: str, arity: int = 5) -> DataFrame:
