@@ -287,6 +287,27 @@ def alpha_mismatch(rgb: DataFrame, pixels: DataFrame, keys: Sequence[str] = ())
     return j.groupBy(*keys).agg(F.avg((F.coalesce("clear", F.lit(True)) != F.coalesce("_bad", F.lit(True))).cast("double")).alias("mismatch"), F.count(F.lit(1)).alias("n"))
 
 
+def wcs_round_trip(images: DataFrame, rebuilt: DataFrame, keys: Sequence[str] = ("image",), limit: float = 0.1) -> DataFrame:
+    """Greatest distance (arcseconds) between the sky positions that two solutions of an image give to five of its pixels.
+
+    images: keys, nx, ny and the solution (crval1 to cd22); rebuilt: keys and the solution read back. The pixels, from 0 on,
+    are the reference pixel, moved inside the image, and the corners. Images are few rows.
+    """
+    from . import match
+
+    k, names = list(keys), ("crval1", "crval2", "crpix1", "crpix2", "cd11", "cd12", "cd21", "cd22")
+    j = images.select(*k, "nx", "ny", *names).join(rebuilt.select(*k, *[F.col(c).alias(f"{c}_b") for c in names]), k)
+    inside = lambda c, n: F.greatest(F.lit(0.0), F.least(F.col(c).cast("double"), F.col(n) - 1.0))
+    point = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    right, top, zero = F.col("nx") - 1, F.col("ny") - 1, F.lit(0)
+    five = F.array(point(inside("crpix1", "nx"), inside("crpix2", "ny")), point(zero, zero), point(right, zero), point(zero, top), point(right, top))
+    j = j.withColumn("_p", F.explode(five))
+    x, y = F.col("_p.x"), F.col("_p.y")
+    a, b = (S.pixel_to_tan(x, y, {c: F.col(c + tail) for c in names}) for tail in ("", "_b"))
+    far = F.max(match.separation(*a, *b))
+    return j.groupBy(*k).agg(far.alias("offset")).withColumn("passed", F.col("offset") < limit)
+
+
 def isolated_sources(stars: DataFrame, pixels_apart: float) -> DataFrame:
     """Stars without another at most so many pixels away, through tiles as wide as the distance."""
     t = lambda c: F.floor(c / pixels_apart).cast("long")

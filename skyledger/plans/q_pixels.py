@@ -200,3 +200,28 @@ def covering_tile(spark, d):
 def isolated_sources(spark, d):
     s = pix(spark, d).where("x % 16 = 8 and y % 16 = 8").select("image", (F.col("y") * 128 + F.col("x")).alias("id"), (F.col("x") + (F.col("dq") - 3) * 2.0).alias("sx"), (F.col("y") - (F.col("dq") % 3) * 2.0).alias("sy"))
     return P.isolated_sources(s, 12.0).select("image", "id")
+
+
+#: A solution for each image, and the same with a small error in its scale that grows with the image's number.
+SOLUTION = {
+    "crval1": "266.4D + image / 100.0D", "crval2": "-28.9D", "crpix1": "64.5D + image * 100", "crpix2": "30.0D", "cd11": "-8.0e-6D", "cd12": "1.0e-6D", "cd21": "1.2e-6D", "cd22": "8.2e-6D"
+}
+OFF_SCALE = "8.2e-6D * (1 + image * 2.0e-4D + 1.0e-6D)"
+
+
+def sky_sql(x: str, y: str, cd22: str, tag: str) -> str:
+    u, v = f"({x} - (64.5::DOUBLE + image * 100))", f"({y} - 30)"
+    xi, eta = f"radians(-8.0e-6::DOUBLE * {u} + 1.0e-6::DOUBLE * {v})", f"radians(1.2e-6::DOUBLE * {u} + {cd22} * {v})"
+    low = f"(cos(radians(-28.9)) - {eta} * sin(radians(-28.9)))"
+    return f"radians(266.4::DOUBLE + image / 100.0::DOUBLE) + atan2({xi}, {low}) AS r{tag}, atan2(sin(radians(-28.9)) + {eta} * cos(radians(-28.9)), sqrt({xi} * {xi} + {low} * {low})) AS d{tag}"
+
+
+@query(
+    "wcs_round_trip",
+    f"""{PIX}, i AS (SELECT image, max(x) + 1 AS nx, max(y) + 1 AS ny FROM p GROUP BY image), c AS (SELECT image, greatest(0, least(64.5 + image * 100, nx - 1))::DOUBLE AS x, greatest(0, least(30, ny - 1))::DOUBLE AS y FROM i UNION ALL SELECT image, 0, 0 FROM i UNION ALL SELECT image, nx - 1, 0 FROM i UNION ALL SELECT image, 0, ny - 1 FROM i UNION ALL SELECT image, nx - 1, ny - 1 FROM i),
+s AS (SELECT image, {sky_sql('x', 'y', '8.2e-6::DOUBLE', '1')}, {sky_sql('x', 'y', '(8.2e-6::DOUBLE * (1 + image * 2.0e-4::DOUBLE + 1.0e-6::DOUBLE))', '2')} FROM c)
+SELECT image, round(max(2 * degrees(asin(sqrt(power(sin((d2 - d1) / 2), 2) + cos(d1) * cos(d2) * power(sin((r2 - r1) / 2), 2)))) * 3600), 6) AS offset, max(2 * degrees(asin(sqrt(power(sin((d2 - d1) / 2), 2) + cos(d1) * cos(d2) * power(sin((r2 - r1) / 2), 2)))) * 3600) < 0.1 AS passed FROM s GROUP BY image""",
+)
+def wcs_round_trip(spark, d):
+    i = pix(spark, d).groupBy("image").agg((F.max("x") + 1).alias("nx"), (F.max("y") + 1).alias("ny")).withColumns({c: F.expr(e) for c, e in SOLUTION.items()})
+    return P.wcs_round_trip(i, i.withColumn("cd22", F.expr(OFF_SCALE))).withColumn("offset", F.round("offset", 6))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import scalars as S
 from ..sources import io
+from ..sources.staging import new_folder
 from .registry import query, table
-from .standins import POLL_1, STARS
+from .standins import POLL_0, POLL_1, STARS
 
 
 @query("read_columns", "SELECT o_orderkey, o_totalprice FROM orders")
@@ -28,10 +30,78 @@ def match_file(spark, d):
     return io.match_rows(lines).select("k", "xbar", "mbar", "nm")
 
 
-@query("pooled_rows", "SELECT count(*) AS n, 1::BIGINT AS files FROM orders")
+def many_files(spark, d):
+    """Sixteen small files of orders, one that lacks a column and one that is no Parquet file."""
+    root = new_folder(spark, "pool")
+    table(spark, d, "orders").withColumn("part", F.col("o_orderkey") % 16).repartition(4, "part").write.partitionBy("part").parquet(f"{root}/good")
+    table(spark, d, "nation").coalesce(1).write.parquet(f"{root}/poor")
+    table(spark, d, "region").select("r_name").coalesce(1).write.text(f"{root}/odd")
+    return [f"{root}/good", f"{root}/poor", f"{root}/odd"]
+
+
+@query("pooled_rows", "SELECT count(*) AS n, count(DISTINCT o_orderkey % 16) AS files, sum(o_orderkey)::BIGINT AS keys FROM orders")
 def pooled_rows(spark, d):
-    p = io.pooled(spark, [f"{d}/orders.parquet", f"{d}/nation.parquet"], ["o_orderkey"])
-    return p.agg(F.count(F.lit(1)).alias("n"), F.least(F.count_distinct("file"), F.lit(1)).cast("long").alias("files"))
+    p = io.pooled(spark, many_files(spark, d), ["o_orderkey"])
+    return p.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("file").alias("files"), F.sum("o_orderkey").cast("long").alias("keys"))
+
+
+@query("skipped_files", "SELECT 'lacks o_orderkey' AS reason, (SELECT count(*) FROM nation WHERE n_nationkey = 0) AS files UNION ALL SELECT 'unreadable', (SELECT count(*) FROM region WHERE r_regionkey = 0)")
+def skipped_files(spark, d):
+    x = io.skipped(spark, many_files(spark, d), ["o_orderkey"]).where(~F.col("path").rlike("/_|[.]crc$"))
+    return x.groupBy("reason").agg(F.count(F.lit(1)).alias("files"))
+
+
+@query("file_hashes", "SELECT n_name AS nation, sha256(string_agg(c_name || chr(10), '' ORDER BY c_custkey)) AS sha FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name")
+def file_hashes(spark, d):
+    """A text file of customers for each nation."""
+    root = new_folder(spark, "hashed")
+    c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    c.repartition("n_name").sortWithinPartitions("n_name", "c_custkey").select("c_name", "n_name").write.partitionBy("n_name").text(root)
+    return io.file_hashes(spark, root, "part-*").select(F.url_decode(F.regexp_extract("path", "n_name=([^/]*)/", 1)).alias("nation"), "sha")
+
+
+@query("spec_files", "SELECT o_orderkey AS key, CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'target' ELSE 'field,target' END AS missing FROM orders")
+def spec_files(spark, d):
+    """Specifications as JSON, read back; two thirds lack one or two required keys."""
+    root, k = new_folder(spark, "specs"), F.col("o_orderkey")
+    x = table(spark, d, "orders").select(k.alias("key"), F.when(k % 3 < 2, F.col("o_orderpriority")).alias("field"), F.when(k % 3 == 0, F.col("o_orderstatus")).alias("target"))
+    x.write.option("ignoreNullFields", True).json(root)
+    schema = spark.createDataFrame([], "key long, field string, target string").schema
+    good, bad = io.specs(spark, root, schema, ["field", "target"], lines=True)
+    return good.select("key", F.lit("").alias("missing")).unionByName(bad.select("key", F.array_join("missing", ",").alias("missing")))
+
+
+@query("manifest_files", "SELECT o_orderstatus AS category, count(*) AS n, count(DISTINCT o_orderkey) AS urls FROM orders WHERE o_orderkey % 4 >= 2 GROUP BY ALL")
+def manifest_files(spark, d):
+    """The lists of addresses that a manifest is written to, one folder a category."""
+    k, root = F.col("o_orderkey"), new_folder(spark, "manifest")
+    url = F.when(k % 4 == 0, F.lit(None)).when(k % 4 == 1, " ").otherwise(F.concat(F.lit("https://host/"), k.cast("string")))
+    m = table(spark, d, "orders").groupBy("o_custkey").agg(F.collect_list(F.struct(F.col("o_orderstatus").alias("category"), url.alias("url"))).alias("files"))
+    io.write_manifest(m, root)
+    return spark.read.text(root).groupBy("category").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("value").alias("urls"))
+
+
+@query(
+    "state_versions",
+    f"SELECT v, program, count(*) AS n FROM (SELECT 1 AS v, program FROM ({POLL_0.sql}) UNION ALL SELECT 2, program FROM ({POLL_1.sql})) GROUP BY ALL",
+)
+def state_versions(spark, d):
+    """The state as each of two commits has it; keys are appended and read across both."""
+    from ..streaming import polls
+
+    parts = [p.df(spark, d).select("program", "obs_id") for p in (POLL_0, POLL_1)]
+    state = polls.VersionedState(spark, new_folder(spark, "versions"), parts[0].schema, {"keys": polls.KEYS})
+    for v, rows in enumerate(parts, 1):
+        state.commit(rows, v, appended={"keys": rows.select(F.lit("seen").alias("kind"), F.col("obs_id").alias("key"), F.lit(v).cast("long").alias("batch"))})
+    both = [state.load(at_most=v).groupBy("program").agg(F.count(F.lit(1)).alias("n")) for v in (1, 2)]
+    keys = state.load("keys").groupBy("batch").agg(F.count(F.lit(1)).alias("kept"))
+    x = both[0].withColumn("v", F.lit(1)).unionByName(both[1].withColumn("v", F.lit(2)))
+    return x.join(keys.where("kept > 0"), F.col("v") == F.col("batch")).select("v", "program", "n")
+
+
+@query("observation_urls", f"SELECT k, 'https://www.stsci.edu/jwst/phase2-public/' || program || '.pdf' AS program_url, right(replace('{S.SEARCH_URL}', '%d', program::VARCHAR), 40) AS search_end FROM ({POLL_1.sql})")
+def observation_urls(spark, d):
+    return POLL_1.df(spark, d).select("k", S.program_url(F.col("program")).alias("program_url"), F.right(S.search_url(F.col("program")), F.lit(40)).alias("search_end"))
 
 
 @query("latest_keys", "SELECT o_custkey AS key, max(o_orderkey) AS at, max_by(o_orderstatus, o_orderkey) AS status FROM orders GROUP BY o_custkey")

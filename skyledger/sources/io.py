@@ -56,28 +56,62 @@ def match_rows(lines: DataFrame, line: str = "value", columns: Sequence[str] = M
     return x.select(*keep, *[F.col("_p")[i].try_cast("double").alias(c) for i, c in enumerate(columns)])
 
 
+#: Files up to this size have their footers read by tasks, which takes the whole file through them; larger ones are few.
+SMALL_FILE = 64 << 20
+
+
+def footers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, columns) of Parquet files, columns null for those that cannot be read. Small files are looked at in tasks."""
+    import pyarrow as pa
+
+    def run(batches):
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            found = []
+            for content in batch.column(1):
+                try:
+                    found.append(pq.read_schema(pa.BufferReader(content.as_buffer())).names)
+                except (pa.ArrowInvalid, OSError):
+                    found.append(None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))], names=["path", "columns"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    large = [r.path for r in files.where(F.col("length") > SMALL_FILE).select("path").collect()]
+    small = files.where(F.col("length") <= SMALL_FILE).select("path", "content").mapInArrow(run, "path string, columns array<string>")
+    rows = []
+    for p in large:
+        try:
+            rows.append((p, spark.read.parquet(p).columns))
+        except Exception as e:  # noqa: BLE001  an unreadable file is no reason to stop
+            if "PARQUET" not in str(e).upper() and "SCHEMA" not in str(e).upper():
+                raise
+            rows.append((p, None))
+    return small.unionByName(spark.createDataFrame(rows, small.schema)) if rows else small
+
+
 def pooled(spark: SparkSession, paths: Sequence[str], needed: Sequence[str]) -> DataFrame:
-    """Per-exposure files under one another with the file of each row; unreadable files and those without the needed columns are skipped."""
+    """Per-exposure files under one another with the file of each row; unreadable files and those without the needed columns are skipped.
+
+    Files of one set of columns are one scan; ``skipped`` tells which are left out and why.
+    """
+    good = footers(spark, paths).where(F.col("columns").isNotNull()).groupBy(F.array_sort("columns").alias("columns")).agg(F.array_sort(F.collect_list("path")).alias("paths"))
     out: DataFrame | None = None
-    for schema, group in _by_schema(spark, paths).items():
-        if not set(needed) <= set(schema):
+    for r in good.orderBy(F.col("paths")[0]).collect():  # one row a set of columns, with the paths that a scan must be told
+        if not set(needed) <= set(r.columns):
             continue
-        df = spark.read.option("ignoreCorruptFiles", True).parquet(*group).withColumn("file", F.col("_metadata.file_path"))
+        df = spark.read.option("ignoreCorruptFiles", True).parquet(*r.paths).withColumn("file", F.col("_metadata.file_path"))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     if out is None:
         raise ValueError("no file has the columns " + ", ".join(needed))
     return out
 
 
-def _by_schema(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    found: dict[tuple[str, ...], list[str]] = {}
-    for p in paths:
-        try:
-            found.setdefault(tuple(spark.read.parquet(p).columns), []).append(p)
-        except Exception as e:  # noqa: BLE001  an unreadable file is no reason to stop
-            if "PARQUET" not in str(e).upper() and "PATH" not in str(e).upper() and "SCHEMA" not in str(e).upper():
-                raise
-    return found
+def skipped(spark: SparkSession, paths: Sequence[str], needed: Sequence[str]) -> DataFrame:
+    """(path, reason) of the files that ``pooled`` leaves out."""
+    lack = F.array_except(F.array(*[F.lit(c) for c in needed]), F.col("columns"))
+    reason = F.when(F.col("columns").isNull(), "unreadable").when(F.size(lack) > 0, F.concat(F.lit("lacks "), F.array_join(lack, ", ")))
+    return footers(spark, paths).select("path", reason.alias("reason")).where("reason is not null")
 
 
 def latest_keys(rows: DataFrame, key: str, when: str) -> DataFrame:
@@ -102,9 +136,15 @@ def manifest_urls(manifest: DataFrame) -> DataFrame:
     return f.where(F.col("url").isNotNull() & (F.trim("url") != ""))
 
 
-def specs(spark: SparkSession, path: str, schema: StructType, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Specifications that have all required keys, and those that do not with what they miss."""
-    df = spark.read.schema(schema).json(path, multiLine=True)
+def write_manifest(manifest: DataFrame, path: str) -> None:
+    """One folder of address lists a category, a line an address."""
+    manifest_urls(manifest).repartition("category").write.mode("overwrite").partitionBy("category").text(path)
+
+
+def specs(spark: SparkSession, path: str, schema: StructType, required: Sequence[str], lines: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Specifications that have all required keys, and those that do not with what they miss. A file is one, or with
+    ``lines`` each of its lines."""
+    df = spark.read.schema(schema).json(path, multiLine=not lines)
     missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), c) for c in required]))
     x = df.withColumn("missing", missing)
     return x.where(F.size("missing") == 0).drop("missing"), x.where(F.size("missing") > 0)
