@@ -8,7 +8,7 @@ documents labelled bad are never shown to the classifier as such. With class pri
 the second part being the risk on negatives; when a step makes it negative, the step is undone in its
 direction, which keeps the scorer from explaining the positives away (non-negative PU learning). The prior is
 estimated from the labelled rows outside the held-out fold. The scorer is linear in text statistics and their
-squares, so its state is two short vectors.
+sizes, so its state is two short vectors.
 """
 
 from __future__ import annotations
@@ -83,7 +83,7 @@ def featured(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 class Scorer:
-    """g(x) = w . (z, z^2) + b with z the standardised statistics; the score is sigmoid(g)."""
+    """g(x) = w . (z, |z| - 1) + b with z the standardised statistics, cut off at 8; the score is sigmoid(g)."""
 
     def __init__(self, mean: np.ndarray, scale: np.ndarray, weights: np.ndarray, bias: float):
         self.mean, self.scale, self.weights, self.bias = mean, scale, weights, bias
