@@ -9,6 +9,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -148,23 +150,53 @@ def psf_radius(psf: DataFrame, keys: Sequence[str] = ("image",)) -> DataFrame:
     return psf.groupBy(*keys).agg(F.sqrt(F.try_divide(F.sum(w * (F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy"))), F.sum(w))).alias("radius"))
 
 
+#: Pixels along the side of a block.
+BLOCK = 128
+
+
+def blocks(pixels: DataFrame, keys: Sequence[str], size: int = BLOCK, halo: int = 1) -> DataFrame:
+    """Pixels with the blocks (_by, _bx) that need them: their own and those whose margin of ``halo`` pixels they lie in.
+
+    A margin of one pixel around 128 makes 1.03 rows of one.
+    """
+    own = lambda c: F.floor(F.col(c) / size)
+    at = lambda c: F.pmod(F.col(c), F.lit(size))
+    needed = lambda c: F.explode(F.array_compact(F.array(own(c), F.when(at(c) < halo, own(c) - 1), F.when(at(c) >= size - halo, own(c) + 1))))
+    x = pixels.select(*keys, F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x"), F.col("value").cast("double").alias("value"))
+    return x.select("*", needed("y").alias("_by")).select("*", needed("x").alias("_bx"))
+
+
 def local_maxima(pixels: DataFrame, threshold: DataFrame, keys: Sequence[str] = ("image",)) -> DataFrame:
     """Pixels over their image's threshold that no neighbour exceeds, with the 3 x 3 flux-weighted centroid.
 
-    Equal neighbours go to the first by (y, x). Each pixel sends itself to its eight neighbours: one shuffle, no
-    window over an image.
+    Equal neighbours go to the first by (y, x). One shuffle deals pixels to blocks with a margin; a block is an array of
+    bounded size, whatever the image's.
     """
     k = list(keys)
-    around = F.explode(F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]))
-    good = pixels.where(~bad())
-    seen = good.select(*k, "y", "x", "value", around.alias("o")).select(*k, (F.col("y") + F.col("o.dy")).alias("cy"), (F.col("x") + F.col("o.dx")).alias("cx"), -F.col("o.dy").alias("dy"), -F.col("o.dx").alias("dx"), "value")
-    seen = seen.toDF(*k, "cy", "cx", "dy", "dx", "value")
-    own = F.max(F.when((F.col("dy") == 0) & (F.col("dx") == 0), F.col("value")))
-    peak = F.max_by(F.struct("dy", "dx"), F.struct(F.col("value"), -F.col("dy"), -F.col("dx")))
-    w = F.sum("value")
-    x = seen.groupBy(*k, "cy", "cx").agg(own.alias("value"), peak.alias("_p"), F.try_divide(F.sum(F.col("value") * F.col("dx")), w).alias("_x"), F.try_divide(F.sum(F.col("value") * F.col("dy")), w).alias("_y"))
-    x = x.where((F.col("_p.dy") == 0) & (F.col("_p.dx") == 0)).join(threshold.select(*k, "threshold"), k).where(F.col("value") > F.col("threshold"))
-    return x.select(*k, F.col("cy").alias("y"), F.col("cx").alias("x"), "value", (F.col("cx") + F.col("_x")).alias("sx"), (F.col("cy") + F.col("_y")).alias("sy"))
+    kinds = dict(pixels.dtypes)
+    fields = ", ".join([*[f"`{c}` {kinds[c]}" for c in k], "y long, x long, value double, sx double, sy double"])
+
+    def peaks(key: tuple, table: pa.Table) -> pa.Table:
+        top, left = (key[len(k) + i].as_py() * BLOCK - 1 for i in (0, 1))
+        v = np.full((BLOCK + 2, BLOCK + 2), np.nan)
+        v[table["y"].to_numpy() - top, table["x"].to_numpy() - left] = table["value"].to_numpy()
+        own, beaten = v[1:-1, 1:-1], np.isnan(v[1:-1, 1:-1])
+        total, px, py = (np.zeros_like(own) for _ in range(3))
+        for dy, dx in ((i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)):
+            near = v[1 + dy : BLOCK + 1 + dy, 1 + dx : BLOCK + 1 + dx]
+            beaten = beaten | (near > own) | ((near == own) & ((dy, dx) < (0, 0)))
+            there = np.nan_to_num(near)
+            total, px, py = total + there, px + there * dx, py + there * dy
+        y, x = np.nonzero(~beaten)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            off = [np.where(total[y, x] == 0, np.nan, p[y, x] / total[y, x]) for p in (px, py)]
+        y_, x_ = y + top + 1, x + left + 1
+        columns = [pa.array([key[i].as_py()] * len(y), table.schema.field(c).type) for i, c in enumerate(k)]
+        columns += [pa.array(y_), pa.array(x_), pa.array(own[y, x]), *(pa.array(c + o, from_pandas=True) for c, o in zip((x_, y_), off))]
+        return pa.Table.from_arrays(columns, names=[*k, "y", "x", "value", "sx", "sy"])
+
+    found = blocks(pixels.where(~bad()), k).groupBy(*k, "_by", "_bx").applyInArrow(peaks, fields)
+    return found.join(threshold.select(*k, "threshold"), k).where(F.col("value") > F.col("threshold")).drop("threshold")
 
 
 def band_limits(pixels: DataFrame, keys: Sequence[str], low: float = 0.01, high: float = 0.995, bins: int = 4096) -> DataFrame:

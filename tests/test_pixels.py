@@ -76,3 +76,23 @@ def test_recentroid_of_stamps_at_the_edge_and_missing_pixels(spark):
     got = {r.id: r for r in P.recentroid(stars.unionByName(edge).drop("flux"), pixels).collect()}
     assert got[900].moved == 0 and got[901].moved == 0 and got[900].cx == 2.2
     assert got[5].moved > got[6].moved  # a missing pixel counts as 0, which is the stamp's least then
+
+
+def test_local_maxima_across_blocks(spark, monkeypatch):
+    """Small blocks, plateaus over their borders, holes and negative coordinates, against every pixel's neighbours."""
+    monkeypatch.setattr(P, "BLOCK", 4)
+    monkeypatch.setattr(P.blocks, "__defaults__", (4, 1))
+    rng = np.random.default_rng(6)
+    data = {(i, y, x): float(rng.integers(0, 6)) for i in range(2) for y in range(-5, 14) for x in range(-3, 17) if rng.random() > 0.1}
+    rows = [(i, y, x, v) for (i, y, x), v in data.items()] + [(0, 40, 40, None), (0, 41, 40, float("nan")), (1, 60, 60, 3.0)]
+    data[1, 60, 60] = 3.0
+    want = {}
+    for (i, y, x), v in data.items():
+        near = {(dy, dx): data[i, y + dy, x + dx] for dy in (-1, 0, 1) for dx in (-1, 0, 1) if (i, y + dy, x + dx) in data}
+        if v > 1.0 and all(n < v or (n == v and (d == (0, 0) or d > (0, 0))) for d, n in near.items()):
+            s = sum(near.values())
+            want[i, y, x] = (x + sum(n * d[1] for d, n in near.items()) / s, y + sum(n * d[0] for d, n in near.items()) / s)
+    pixels = spark.createDataFrame(rows, "image long, y long, x long, value double").repartition(5)
+    got = P.local_maxima(pixels, spark.createDataFrame([(0, 1.0), (1, 1.0)], "image long, threshold double")).collect()
+    assert {(r.image, r.y, r.x) for r in got} == set(want) and len(got) == len(want)
+    assert all(math.isclose(r.sx, want[r.image, r.y, r.x][0]) and math.isclose(r.sy, want[r.image, r.y, r.x][1]) for r in got)
