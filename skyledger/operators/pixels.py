@@ -312,6 +312,53 @@ def covering_tile(positions: DataFrame, wcs: DataFrame, shape: tuple[int, int])
     return n.groupBy("tile", "field").agg(F.min_by("image", F.struct(-F.col("n"), F.col("image"))).alias("image"), F.max("n").alias("n"))
 
 
+def cells_of_band(band: Column, width: float) -> Column:
+    """Cells that a declination band of ``width`` degrees is cut into: about as wide as high where the band is longest."""
+    low = F.least(F.abs(band * width), F.abs((band + 1) * width))
+    return F.greatest(F.lit(1), F.floor(F.cos(F.radians(F.least(low, F.lit(90.0)))) * (360.0 / width))).cast("long")
+
+
+def sky_cell(df: DataFrame, width: float) -> DataFrame:
+    """Positions (ra, dec in degrees) with their declination band (_band) and cell in it (_cell)."""
+    band = F.floor(F.col("dec") / width).cast("long")
+    n = cells_of_band(F.col("_band"), width)
+    return df.withColumn("_band", band).withColumn("_cell", F.least(F.floor(F.pmod(F.col("ra"), F.lit(360.0)) / 360 * n), n - 1).cast("long"))
+
+
+def footprint_cells(images: DataFrame, width: float) -> DataFrame:
+    """images (solution, nx, ny) with each sky cell that they may touch, one row a cell.
+
+    An image lies in the cap about its centre that reaches its farthest corner; the cells are those of the cap's box, which
+    goes all around where the cap holds a pole. They are those of no other image, so images that lie far apart share none.
+    """
+    from . import match
+
+    w = {c: F.col(c) for c in ("crval1", "crval2", "crpix1", "crpix2", "cd11", "cd12", "cd21", "cd22")}
+    ra0, dec0 = S.pixel_to_tan((F.col("nx") - 1) / 2, (F.col("ny") - 1) / 2, w)
+    corner = lambda i, j: S.pixel_to_tan((F.col("nx") * i - 0.5), (F.col("ny") * j - 0.5), w)
+    reach = F.greatest(*[match.separation(F.col("_ra0"), F.col("_dec0"), *corner(i, j)) for i in (0, 1) for j in (0, 1)]) / 3600 * (1 + 1e-6) + 1e-9
+    x = images.withColumns({"_ra0": ra0, "_dec0": dec0}).withColumn("_reach", reach)
+    bands = F.sequence(F.floor(F.greatest(F.lit(-90.0), F.col("_dec0") - F.col("_reach")) / width).cast("long"), F.floor(F.least(F.lit(90.0), F.col("_dec0") + F.col("_reach")) / width).cast("long"))
+    x = x.withColumn("_band", F.explode(bands)).withColumn("_n", cells_of_band(F.col("_band"), width))
+    around = F.abs("_dec0") + F.col("_reach") >= 90
+    side = F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.radians("_reach")) / F.cos(F.radians("_dec0")))))
+    edge = lambda s: F.floor((F.col("_ra0") + side * s) / 360 * F.col("_n")).cast("long")
+    cells = F.when(around | (edge(1) - edge(-1) >= F.col("_n")), F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).otherwise(F.transform(F.sequence(edge(-1), edge(1)), lambda c: F.pmod(c, F.col("_n"))))
+    return x.select(*images.columns, "_band", F.explode(F.array_distinct(cells)).alias("_cell"))
+
+
+def covering_image(positions: DataFrame, images: DataFrame, keys: Sequence[str], width: float = 0.02) -> DataFrame:
+    """For each group of positions the image (image, solution, nx, ny) on whose pixels most of them fall, the first by
+    name on a tie. Positions meet the images above their sky cell only; images may be many and lie anywhere."""
+    k = list(keys)
+    j = sky_cell(positions.select(*k, "ra", "dec"), width).join(footprint_cells(images, width), ["_band", "_cell"])
+    w = {c: F.col(c) for c in ("crval1", "crval2", "crpix1", "crpix2", "cd11", "cd12", "cd21", "cd22")}
+    x, y = S.tan_to_pixel(F.col("ra"), F.col("dec"), w)
+    inside = (x >= 0) & (x < F.col("nx")) & (y >= 0) & (y < F.col("ny"))
+    n = j.where(inside).groupBy(*k, "image").agg(F.count(F.lit(1)).alias("n"))
+    return n.groupBy(*k).agg(F.min_by("image", F.struct(-F.col("n"), F.col("image"))).alias("image"), F.max("n").alias("n"))
+
+
 def alpha_mismatch(rgb: DataFrame, pixels: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Share of pixels whose transparency disagrees with the image's missing pixels, of each image that ``keys`` name."""
     at = [*keys, "y", "x"]

@@ -196,6 +196,22 @@ def covering_tile(spark, d):
     return P.covering_tile(a.select("tile", "field", "ra", "dec"), wcs, (600, 800))
 
 
+@query(
+    "covering_image",
+    f"""WITH a AS ({STARS.sql}), w(name, v1, v2) AS (VALUES ('north', 266.41, -28.885), ('south', 266.41, -28.897)), i AS (SELECT DISTINCT tile || name AS image, radians(v1 + tile * 0.05) AS a0, radians(v2) AS d0 FROM a, w),
+t AS (SELECT tile, field, image, radians(ra) AS al, radians(dec) AS de, a0, d0 FROM a, i), c AS (SELECT *, sin(d0) * sin(de) + cos(d0) * cos(de) * cos(al - a0) AS cc FROM t),
+q AS (SELECT tile, field, image, degrees(cos(de) * sin(al - a0) / cc) / -2e-5 + 400 AS x, degrees((cos(d0) * sin(de) - sin(d0) * cos(de) * cos(al - a0)) / cc) / 2e-5 + 300 AS y FROM c WHERE cc > 0),
+n AS (SELECT tile, field, image, count(*) AS n FROM q WHERE x >= 0 AND x < 800 AND y >= 0 AND y < 600 GROUP BY ALL) SELECT tile, field, first(image ORDER BY n DESC, image) AS image, max(n) AS n FROM n GROUP BY ALL""",
+)
+def covering_image(spark, d):
+    """Images of all tiles against stars of all tiles: which lie above which is found by sky cells."""
+    a = STARS.df(spark, d)
+    tiles = a.select("tile").distinct().join(F.broadcast(spark.createDataFrame(WCS, "name string, crval1 double, crval2 double, crpix1 double, crpix2 double")), F.lit(True))
+    shape = {"nx": F.lit(800), "ny": F.lit(600), "cd11": F.lit(-2e-5), "cd12": F.lit(0.0), "cd21": F.lit(0.0), "cd22": F.lit(2e-5)}
+    images = tiles.select(F.concat(F.col("tile").cast("string"), "name").alias("image"), (F.col("crval1") + F.col("tile") * 0.05).alias("crval1"), "crval2", "crpix1", "crpix2").withColumns(shape)
+    return P.covering_image(a, images, ["tile", "field"])
+
+
 @query("isolated_sources", f"{PIX}, s AS (SELECT image, y * 128 + x AS id, x + (dq - 3) * 2.0 AS sx, y - (dq % 3) * 2.0 AS sy FROM p WHERE x % 16 = 8 AND y % 16 = 8) SELECT image, id FROM s WHERE NOT EXISTS (SELECT 1 FROM s o WHERE o.image = s.image AND o.id <> s.id AND sqrt(power(s.sx - o.sx, 2) + power(s.sy - o.sy, 2)) <= 12)")
 def isolated_sources(spark, d):
     s = pix(spark, d).where("x % 16 = 8 and y % 16 = 8").select("image", (F.col("y") * 128 + F.col("x")).alias("id"), (F.col("x") + (F.col("dq") - 3) * 2.0).alias("sx"), (F.col("y") - (F.col("dq") % 3) * 2.0).alias("sy"))

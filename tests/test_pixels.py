@@ -96,3 +96,43 @@ def test_local_maxima_across_blocks(spark, monkeypatch):
     got = P.local_maxima(pixels, spark.createDataFrame([(0, 1.0), (1, 1.0)], "image long, threshold double")).collect()
     assert {(r.image, r.y, r.x) for r in got} == set(want) and len(got) == len(want)
     assert all(math.isclose(r.sx, want[r.image, r.y, r.x][0]) and math.isclose(r.sy, want[r.image, r.y, r.x][1]) for r in got)
+
+
+def project(ra, dec, w):
+    """Gnomonic pixel position in plain Python, None on the far side of the sky."""
+    a, d, a0, d0 = (math.radians(v) for v in (ra, dec, w["crval1"], w["crval2"]))
+    c = math.sin(d0) * math.sin(d) + math.cos(d0) * math.cos(d) * math.cos(a - a0)
+    if c <= 0:
+        return None
+    xi, eta = math.degrees(math.cos(d) * math.sin(a - a0) / c), math.degrees((math.cos(d0) * math.sin(d) - math.sin(d0) * math.cos(d) * math.cos(a - a0)) / c)
+    det = w["cd11"] * w["cd22"] - w["cd12"] * w["cd21"]
+    return (w["cd22"] * xi - w["cd12"] * eta) / det + w["crpix1"], (w["cd11"] * eta - w["cd21"] * xi) / det + w["crpix2"]
+
+
+def test_covering_image_equals_brute_force_at_the_poles_and_across_zero(spark):
+    rng = np.random.default_rng(9)
+    images, names = [], ("crval1", "crval2", "crpix1", "crpix2", "cd11", "cd12", "cd21", "cd22")
+    for i, (ra, dec) in enumerate([(0.0, 0.0), (359.99, -28.0), (0.02, -28.0), (266.4, -28.9), (266.42, -28.9), (10.0, 89.99), (200.0, 89.9), (77.0, -89.98), (180.0, 45.0), (12.0, 90.0)]):
+        turn, scale = rng.uniform(0, 6.28), 3e-5
+        cd = [-scale * math.cos(turn), scale * math.sin(turn), scale * math.sin(turn), scale * math.cos(turn)]
+        images.append((i, 1200, 900, ra, dec, float(rng.uniform(-200, 1300)), float(rng.uniform(-200, 1000)), *map(float, cd)))
+    positions = []
+    for i, (_, _, _, ra, dec, *_) in enumerate(images):
+        for _ in range(150):
+            d = dec + rng.uniform(-0.08, 0.08)
+            a = (ra + rng.uniform(-0.08, 0.08) / max(math.cos(math.radians(min(abs(d), 89.9999))), 1e-6)) % 360
+            if abs(d) > 90:
+                d, a = math.copysign(180 - abs(d), d), (a + 180) % 360
+            positions.append((int(rng.integers(0, 6)), float(a), float(d)))
+    positions += [(6, float(rng.uniform(0, 360)), float(rng.uniform(-90, 90))) for _ in range(300)]
+    count = {}
+    for g, ra, dec in positions:
+        for image in images:
+            at = project(ra, dec, dict(zip(names, image[3:])))
+            if at and 0 <= at[0] < image[1] and 0 <= at[1] < image[2]:
+                count[g, image[0]] = count.get((g, image[0]), 0) + 1
+    want = {g: max(((n, -i) for (h, i), n in count.items() if h == g)) for g in {g for g, _ in count}}
+    schema = "image long, nx int, ny int, " + ", ".join(f"{c} double" for c in names)
+    for width in (0.02, 0.5, 7.0):
+        got = P.covering_image(spark.createDataFrame(positions, "field long, ra double, dec double"), spark.createDataFrame(images, schema), ["field"], width).collect()
+        assert {r.field: (r.n, -r.image) for r in got} == want
