@@ -53,6 +53,7 @@ def empty(spark, folder, tmp_path_factory):
     root = tmp_path_factory.mktemp("empty")
     for t in ("documents", "labels", "embeddings"):
         table(spark, folder, t).limit(0).write.parquet(f"{root}/{t}.parquet")
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{root}/pages.parquet")
     return str(root)
 
 
@@ -202,7 +203,7 @@ def test_queries_take_no_rows(spark, empty, name):
 
 def test_every_operator_is_registered_once():
     names = sorted(int(n[2:].split("_")[0]) for n in queries.queries())
-    assert names == list(range(1, 11))
+    assert names == list(range(1, 14))
     assert set(queries.oracle_sql()) <= set(queries.queries())
 
 
