@@ -2,7 +2,7 @@
 
 A radius join is an equi join on sky buckets as wide as the radius: the second side takes the 3 x 3 buckets
 around each of its rows, the other side its own bucket, and the exact distance decides. Right ascension wraps at
-360 degrees. Rows whose position is null or NaN match nothing.
+360 degrees. Rows whose position is null or NaN match nothing. Crowded buckets are dealt to several tasks, see ``crowded_cells``.
 """
 
 from __future__ import annotations
@@ -13,8 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
+
+from ..sources.staging import staged
 
 ARCSEC = 3600.0
+#: Rows of one side that a cell may hold before it is cut; cells a side of the blocks that are counted first.
+PART, BLOCK = 5_000, 32
 
 
 def separation(ra1: Column, dec1: Column, ra2: Column, dec2: Column) -> Column:
@@ -34,12 +39,40 @@ def finite(df: DataFrame, *columns: str) -> DataFrame:
     return df
 
 
-def radius_join(a: DataFrame, b: DataFrame, radius: float, keys: Sequence[str] = ()) -> DataFrame:
+def crowded_cells(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], part: int) -> DataFrame | None:
+    """(_k0, _k1, ..., _by, _bx, _pa, _pb): cells that hold over ``part`` rows of a side, and the parts to cut each side into.
+
+    None if there is no such cell. A first pass counts rows by blocks of 32 x 32 cells, which combine before the shuffle;
+    only blocks with over ``part`` rows, and so no others' cells, are counted cell by cell.
+    """
+    names = [f"_k{i}" for i in range(len(on))]
+    sides = [
+        df.select(*[F.col(k[i]).alias(n) for k, n in zip(on, names)], "_by", "_bx", F.lit(i == 0).alias("_first"))
+        for i, df in enumerate((left, right))
+    ]
+    rows = sides[0].unionByName(sides[1])
+    block = {"_Y": F.floor(F.col("_by") / BLOCK), "_X": F.floor(F.col("_bx") / BLOCK)}
+    full = rows.withColumns(block).groupBy(*names, "_Y", "_X", "_first").agg(F.count(F.lit(1)).alias("n"))
+    full = staged(full.where(F.col("n") > part).select(*names, "_Y", "_X").distinct(), "blocks")
+    if full.isEmpty():
+        return None
+    cells = rows.withColumns(block).join(full, [*names, "_Y", "_X"], "left_semi")
+    n = lambda first: F.ceil(F.count_if(F.col("_first") == first) / part)
+    cells = cells.groupBy(*names, "_by", "_bx").agg(n(True).cast("int").alias("_pa"), n(False).cast("int").alias("_pb"))
+    cells = staged(cells.where("_pa > 0 and _pb > 0 and (_pa > 1 or _pb > 1)"), "cells")
+    return None if cells.isEmpty() else cells
+
+
+def radius_join(a: DataFrame, b: DataFrame, radius: float, keys: Sequence[str] = (), part: int = PART) -> DataFrame:
     """Pairs at most ``radius`` arcseconds apart with equal ``keys``.
 
     Columns of a are named a_<column>, those of b b_<column>; ``sep`` is the distance. Declination bands are as high as the
     radius, and each band has its own cells in right ascension, as wide as the radius is there: rows near a pole make
     the cells of no other band wider. b takes the 3 x 3 cells around each of its rows, so it should be the smaller side.
+
+    A cell with over ``part`` rows of a side is cut into parts of about so many rows, by a hash of the rows, and each pair
+    of a part of a with a part of b is compared by itself: no comparison is made twice or left out, and about part * part of
+    them share a key, however crowded the cell (rows equal in all plain columns stay in one part).
     """
     a, b = finite(a, "ra", "dec"), finite(b, "ra", "dec")
     height = radius / ARCSEC * 1.0001
@@ -52,16 +85,35 @@ def radius_join(a: DataFrame, b: DataFrame, radius: float, keys: Sequence[str] =
     def column(ra: Column, n: Column) -> Column:
         return F.least(F.floor(F.pmod(ra, F.lit(360.0)) / 360.0 * n).cast("long"), n - 1)
 
+    def dealt(df: DataFrame, cut: DataFrame, side: int) -> DataFrame:
+        """df with its rows' part of their own side (_qa or _qb), once for each part of the other side."""
+        plain = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+        same = F.lit(True)
+        for i, k in enumerate(keys):
+            same = same & (df[f"{'ab'[side]}_{k}"] == cut[f"_k{i}"])
+        mine, others = (("_pa", "_pb"), ("_pb", "_pa"))[side]
+        own, other = (("_qa", "_qb"), ("_qb", "_qa"))[side]
+        x = df.join(cut, same & (df["_by"] == cut["_by"]) & (df["_bx"] == cut["_bx"]), "left")
+        deal = F.explode(F.sequence(F.lit(0), F.coalesce(cut[others], F.lit(1)) - 1)).alias(other)
+        return x.select(*[df[c] for c in df.columns], F.pmod(F.xxhash64(*[df[c] for c in plain]), F.coalesce(cut[mine], F.lit(1)).cast("long")).cast("int").alias(own), deal)
+
     band = F.floor(F.col("dec") / height).cast("long")
     left = a.select(*[F.col(c).alias(f"a_{c}") for c in a.columns], band.alias("_by")).withColumn("_bx", column(F.col("a_ra"), cells(F.col("_by"))))
     right = b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns], F.explode(F.array(*[band + j for j in (-1, 0, 1)])).alias("_by"))
     right = right.withColumn("_n", cells(F.col("_by"))).withColumn("_x", column(F.col("b_ra"), F.col("_n")))
     right = right.withColumn("_bx", F.explode(F.array_distinct(F.array(*[F.pmod(F.col("_x") + i, F.col("_n")) for i in (-1, 0, 1)])))).drop("_n", "_x")
-    on = (left["_bx"] == right["_bx"]) & (left["_by"] == right["_by"])
+    cut = crowded_cells(left, right, [(f"a_{k}", f"b_{k}") for k in keys], part)
+    extra = ["_bx", "_by"]
+    if cut is not None:
+        left, right = dealt(left, cut, 0), dealt(right, cut, 1)
+        extra += ["_qa", "_qb"]
+    on = F.lit(True)
     for k in keys:
         on = on & (left[f"a_{k}"] == right[f"b_{k}"])
+    for c in extra:
+        on = on & (left[c] == right[c])
     sep = separation(F.col("a_ra"), F.col("a_dec"), F.col("b_ra"), F.col("b_dec"))
-    return left.join(right, on).drop("_bx", "_by").withColumn("sep", sep).where(F.col("sep") <= radius)
+    return left.join(right, on).drop(*extra).withColumn("sep", sep).where(F.col("sep") <= radius)
 
 
 def nearest(pairs: DataFrame, of: str, other: str, within: float | None = None, keys: Sequence[str] = ()) -> DataFrame:

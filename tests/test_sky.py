@@ -202,3 +202,28 @@ def test_sigma_clipping_reads_its_values_once_a_round(spark, tmp_path):
     spark.range(100).selectExpr("id % 3 AS k", "double(id) AS v").write.parquet(path)
     plan = stats.sigma_clipped(spark.read.parquet(path), ["k"], "v")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parquet") == 2  # the values and the limits
+
+
+@pytest.mark.parametrize("radius", [0.5, 3.0])
+def test_crowded_cells_lose_and_repeat_no_pair(spark, radius):
+    rng = np.random.default_rng(23)
+    rows = [(i, "f" if i % 3 else "g", 10 + float(x) / 3600, float(y) / 3600) for i, (x, y) in enumerate(rng.normal(0, 1.5, (400, 2)))]
+    rows += rows[:5] + [(900, None, 10.0, 0.0), (901, "f", None, 0.0)]
+    stars = spark.createDataFrame(rows, "id int, field string, ra double, dec double")
+    found = lambda part: sorted((p.a_id, p.b_id, p.a_field) for p in match.radius_join(stars, stars, radius, ["field"], part=part).collect())
+    whole = found(10**9)
+    assert len(whole) > 2_000 and found(7) == whole
+
+
+def test_a_cluster_of_a_hundred_thousand_stars_is_dealt_to_many_tasks(spark):
+    near = F.rand(5) / 3600
+    cluster = spark.range(100_000).select("id", (F.lit(80.0) + near).alias("ra"), (F.lit(-30.0) + F.rand(6) / 3600).alias("dec"))
+    few = spark.range(40).select("id", (F.lit(80.0) + F.col("id") / 40 / 3600).alias("ra"), (F.lit(-30.0) + F.col("id") / 40 / 3600).alias("dec"))
+    side = lambda df, n: df.select(F.lit(0).alias("_by"), F.lit(n).alias("_bx"))
+    cut = match.crowded_cells(side(cluster, 7).unionByName(side(few, 8)), side(few, 7).unionByName(side(few, 8)), [], 5_000).collect()
+    assert [(c._bx, c._pa, c._pb) for c in cut] == [(7, 20, 1)]
+    assert match.crowded_cells(side(cluster, 7), side(few, 8), [], 5_000) is None
+    assert match.crowded_cells(side(few, 7), side(few, 7), [], 5_000) is None
+    a, b = (np.array(df.select("ra", "dec").collect()) for df in (cluster, few))
+    want = sum(int((np.hypot((a[:, 0] - ra) * np.cos(np.radians(a[:, 1])), a[:, 1] - dec) * 3600 <= 0.5).sum()) for ra, dec in b)
+    assert abs(match.radius_join(cluster, few, 0.5).count() - want) <= 2  # flat distances, so ties at the edge may differ
