@@ -27,6 +27,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,8 @@ CELL, PART, SEED = 1.5, 2_000, 31
 #: Chances that one projection keeps two vectors of cosine 0.95, or two at right angles, in one cell of 1.5.
 TOGETHER, APART = 0.83, 0.39
 CROWD, MISS, UNIT = 8, 1e-3, 1 << 18
+#: Bytes of vectors that a task deals out, or compares, at once.
+OUT = 16 << 20
 
 
 def setting_for(n: int) -> tuple[int, int]:
@@ -103,6 +106,30 @@ def by_dimension(raw: list[bytes]) -> Iterator[np.ndarray]:
         yield np.flatnonzero(size == s)
 
 
+def near_pairs(unit: np.ndarray, size: np.ndarray, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions (i, j), i < j, of rows with at least this cosine in the same cell; cells are runs of ``size`` rows.
+
+    Small cells of one size are multiplied together, large ones by blocks of rows.
+    """
+    start = np.cumsum(size) - size
+    for s in np.unique(size):
+        first = start[size == s]
+        if s <= 64:
+            step = max(1, (1 << 20) // int(s * max(s, unit.shape[1])))
+            for lo in range(0, len(first), step):
+                at = first[lo : lo + step, None] + np.arange(s)
+                v = unit[at]
+                k, i, j = np.nonzero(v @ v.transpose(0, 2, 1) >= cosine)
+                keep = i < j
+                yield at[k[keep], i[keep]], at[k[keep], j[keep]]
+        else:
+            for b in first:
+                for lo in range(0, s, 512):
+                    i, j = np.nonzero(unit[b + lo : b + min(lo + 512, s)] @ unit[b : b + s].T >= cosine)
+                    keep = i + lo < j
+                    yield b + lo + i[keep], b + j[keep]
+
+
 def near_groups(
     vectors: DataFrame, cosine: float = 0.95, width: int | None = None, tables: int | None = None, cell: float = CELL, part: int = PART, seed: int = SEED
 ) -> DataFrame:
@@ -137,80 +164,90 @@ def near_groups(
     parts = keys.join(large, ["table", "bucket"]).groupBy("class").agg(F.map_from_entries(F.collect_list(F.struct("table", F.ceil(F.col("n") / part).cast("int")))).alias("parts"))
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("bucket", pa.int64()), ("cell", pa.int64()), ("side", pa.int32()), ("table", pa.int32()), ("class", pa.int64()), ("times", pa.int64()), ("vec", pa.binary())])
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                rows = batch.slice(lo, 500).to_pylist()
-                raw = [r["vec"] for r in rows]
-                out = []
+            longest = pc.max(pc.binary_length(batch.column("vec"))).as_py() or 1
+            step = max(1, OUT // (tables * longest))
+            for lo in range(0, batch.num_rows, step):
+                rows = batch.slice(lo, step)
+                raw, split, ids = rows.column("vec").to_pylist(), rows.column("parts"), rows.column("class").to_numpy()
+                n = np.ones((len(raw), tables), np.int64)
+                for i in np.flatnonzero(split.is_valid().to_numpy(zero_copy_only=False)):
+                    for t, x in split[i].as_py():
+                        n[i, t] = x
                 for which in by_dimension(raw):
-                    b = buckets(units([raw[i] for i in which]), *setting)
-                    for row, bucket in zip((rows[i] for i in which), b.tolist()):
-                        split = dict(row["parts"] or ())
-                        for t, x in enumerate(bucket):
-                            n = split.get(t, 1)
-                            mine = row["class"] % n
-                            for other in range(n):
-                                low, high = min(mine, other), max(mine, other)
-                                out.append((x, low * n + high, 0 if low == high else 1 + int(mine != low), t, row["class"], row["times"], row["vec"]))
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-
+                    times = n[which].ravel()  # each row goes to the pairs of its part with every part of its bucket
+                    flat = np.repeat(np.arange(len(times)), times)
+                    other, times = np.arange(len(flat)) - np.repeat(np.cumsum(times) - times, times), times[flat]
+                    at, mine = which[flat // tables], ids[which[flat // tables]] % times
+                    low, high = np.minimum(mine, other), np.maximum(mine, other)
+                    side = np.where(low == high, 0, 1 + (mine != low)).astype(np.int32)
+                    bucket = buckets(units([raw[i] for i in which]), *setting).ravel()[flat]
+                    same = [rows.column(c).take(pa.array(at)) for c in ("class", "times", "vec")]
+                    yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(low * times + high), pa.array(side), pa.array((flat % tables).astype(np.int32)), *same], names=list(names))
+
+    names = ("bucket", "cell", "side", "table", "class", "times", "vec")
     fields = "bucket long, cell long, side int, table int, class long, times long, vec binary"
     cells = classes.join(parts, "class", "left").select("class", "times", "vec", "parts").mapInArrow(dealt, fields)
     cells = cells.repartition("table", "bucket", "cell").sortWithinPartitions("table", "bucket", "cell")
 
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links_of(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-            """Rows are (side, class, times, vec, table) of one cell; side is 0 in a cell of one part, else 1 or 2."""
-            unit, table = units([r[3] for r in rows]), rows[0][4]
-            ids, times = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
-            side = np.array([r[0] for r in rows])
-            hashes, counts, pairs = None, np.zeros(len(rows), np.int64), []
-            for lo in range(0, len(rows), 512):
-                near = unit[lo : lo + 512] @ unit.T >= cosine
-                i, j = np.nonzero(near)
-                i = i + lo
-                keep = (i < j) & ((side[i] == 0) | (side[i] != side[j]))
-                i, j = i[keep], j[keep]
-                if not len(i):
-                    continue
-                if hashes is None:
-                    hashes = buckets(unit, *setting)
-                fresh = (hashes[i] == hashes[j]).argmax(axis=1) == table
-                i, j = i[fresh], j[fresh]
-                counts += np.bincount(i, weights=times[j], minlength=len(rows)).astype(np.int64) + np.bincount(j, weights=times[i], minlength=len(rows)).astype(np.int64)
-                pairs.append((i, j))
-            if not pairs:
-                return
-            i, j = (np.concatenate(x) for x in zip(*pairs))
-            root = np.arange(len(rows))
-            while True:  # smallest position that links lead to
-                new = root.copy()
-                np.minimum.at(new, i, root[j])
-                np.minimum.at(new, j, root[i])
-                new = new[new]
-                if np.array_equal(new, root):
-                    break
-                root = new
-            hit = np.flatnonzero((counts > 0) | (root != np.arange(len(rows))))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array(counts[hit]), pa.array(ids[root[hit]])], names=["a", "n", "b"])
-
-        def cell_of(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-            if len(held) > 1:
-                raw = [r[3] for r in held]
-                for which in by_dimension(raw):
-                    if len(which) > 1:
-                        yield from links_of([held[i] for i in which])
+    def linked(unit: np.ndarray, size: np.ndarray, side: np.ndarray, table: np.ndarray, ids: np.ndarray, times: np.ndarray) -> pa.RecordBatch | None:
+        """Sums and a spanning forest of the links in cells of so many rows; side is 0 in a cell of one part, else 1 or 2."""
+        i, j = (np.concatenate(x) for x in zip(*near_pairs(unit, size, cosine)))
+        keep = (side[i] == 0) | (side[i] != side[j])
+        i, j = i[keep], j[keep]
+        rows = np.unique(np.concatenate([i, j]))
+        if not len(rows):
+            return None
+        hashes, at = buckets(unit[rows], *setting), np.zeros(len(unit), np.int64)
+        at[rows] = np.arange(len(rows))
+        first = np.concatenate([(hashes[at[i[lo : lo + 50_000]]] == hashes[at[j[lo : lo + 50_000]]]).argmax(axis=1) for lo in range(0, len(i), 50_000)])
+        fresh = first == table[i]
+        i, j = i[fresh], j[fresh]
+        counts = np.zeros(len(unit), np.int64)
+        np.add.at(counts, i, times[j])
+        np.add.at(counts, j, times[i])
+        root = np.arange(len(unit))
+        while True:  # smallest position that links lead to
+            new = root.copy()
+            np.minimum.at(new, i, root[j])
+            np.minimum.at(new, j, root[i])
+            new = new[new]
+            if np.array_equal(new, root):
+                break
+            root = new
+        hit = np.flatnonzero(counts)
+        return pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array(counts[hit]), pa.array(ids[root[hit]])], names=["a", "n", "b"])
 
-        last, held = None, []
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def begins(rows: pa.RecordBatch, which: np.ndarray | slice) -> np.ndarray:
+            """Positions at which a new cell begins, the first one left out."""
+            x = [rows.column(c).to_numpy()[which] for c in ("table", "bucket", "cell")]
+            return np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in x])) + 1
+
+        def links(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            """Rows are those of whole cells, in order."""
+            raw = rows.column("vec").to_pylist()
+            columns = [rows.column(c).to_numpy() for c in ("side", "table", "class", "times")]
+            for which in by_dimension(raw):
+                size = np.diff(np.concatenate([[0], begins(rows, which), [len(which)]]))
+                which, size = which[np.repeat(size > 1, size)], size[size > 1]
+                most = max(1, OUT // len(raw[which[0]])) if len(which) else 1
+                run = (np.cumsum(size) - size) // most  # so many rows are compared at once, or one cell
+                for r in np.unique(run):
+                    here = which[np.repeat(run == r, size)]
+                    found = linked(units([raw[i] for i in here]), size[run == r], *[c[here] for c in columns])
+                    if found is not None:
+                        yield found
+
+        held = None
         for batch in batches:
-            for r in batch.to_pylist():
-                key = (r["table"], r["bucket"], r["cell"])
-                if key != last:
-                    yield from cell_of(held)
-                    last, held = key, []
-                held.append((r["side"], r["class"], r["times"], r["vec"], r["table"]))
-        yield from cell_of(held)
+            held = batch if held is None else pa.concat_batches([held, batch])
+            ends = begins(held, slice(None))
+            if len(ends):  # the last cell may go on in the next batch
+                yield from links(held.slice(0, ends[-1]))
+                held = held.slice(ends[-1])
+        if held is not None and held.num_rows:
+            yield from links(held)
 
     found = stage(cells.mapInArrow(compared, "a long, n long, b long"), "links")
     counts = found.groupBy("a").agg(F.sum("n").alias("n"))

@@ -350,6 +350,38 @@ def test_embedding_setting_follows_the_number_of_vectors():
     assert abs((one == near).mean() - embeddings.TOGETHER) < 0.02 and abs((one == far).mean() - embeddings.APART) < 0.02
 
 
+def test_planted_pairs_near_the_threshold_are_found(spark):
+    """2,000 pairs of cosine 0.95 to 0.97 among 6,000 vectors, against all pairs: recall over 0.99, no link below 0.95."""
+    rng = np.random.default_rng(17)
+    a = rng.standard_normal((4000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    side = rng.standard_normal((2000, 64))
+    side -= (side * a[:2000]).sum(axis=1, keepdims=True) * a[:2000]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    c = rng.uniform(0.9501, 0.97, (2000, 1))
+    x = np.concatenate([a, c * a[:2000] + np.sqrt(1 - c * c) * side])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    want = near.sum(axis=1)
+    assert want.sum() >= 4000
+    got = {r.vec_id: r for r in embeddings.near_groups(df).collect()}
+    assert all(got[i].n_links <= want[i] for i in range(len(x)))
+    assert sum(r.n_links for r in got.values()) >= 0.99 * want.sum()
+    assert sum(got[4000 + i].component_id == i for i in range(2000)) >= 1980
+
+
+def test_near_pairs_of_cells_are_those_of_all_pairs():
+    rng = np.random.default_rng(18)
+    size = np.array([2, 1, 3, 64, 65, 700, 2, 3])
+    unit = rng.standard_normal((size.sum(), 3))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    cell = np.repeat(np.arange(len(size)), size)
+    want = {(i, j) for i, j in zip(*np.nonzero((unit @ unit.T >= 0.9) & (cell[:, None] == cell))) if i < j}
+    got = [(i, j) for a, b in embeddings.near_pairs(unit, size, 0.9) for i, j in zip(a.tolist(), b.tolist())]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_embeddings_of_single_and_double_precision_link(spark):
     v = [float(np.float32(x)) for x in (0.1, 0.2, 0.3)]
     rows = [(1, v), (2, [0.1, 0.2, 0.3]), (3, [-x for x in v])]
