@@ -154,10 +154,41 @@ def against_archive(ours: DataFrame, theirs: DataFrame, keys: Sequence[str], sla
     return x.select(*g, "ours", "theirs", F.coalesce(F.col("ours") < F.col("theirs"), F.lit(False)).alias("tighter"), F.col("ours").isNull().alias("red_flag"), ok.alias("passed"))
 
 
-def distortion(pairs: DataFrame, keys: Sequence[str], limit: float = 15.0, least: int = 3) -> DataFrame:
-    """Stage 8: amplitude of the residual map; needs ``least`` cells, else it is not applicable (null)."""
-    a = stats.amp90(stats.sky_map(pairs, keys), keys)
-    return a.select(*keys, "amp90", "cells", F.when(F.col("cells") >= least, F.col("amp90") > limit).alias("red_flag"), F.when(F.col("cells") >= least, F.lit(True)).alias("passed"))
+def distortion(pairs: DataFrame, keys: Sequence[str], groups: DataFrame | None = None, limit: float = 15.0, least: int = 3, far: float = 20.0, id_: str = "id") -> DataFrame:
+    """Stage 8: amplitude of the residual map in mas against its shuffled null, from pairs (id, ra, dec, dra, ddec).
+
+    Passes with at least ``least`` cells, whatever the amplitude, which is a red flag over ``limit``. significance is the amplitude
+    over the null's median, infinite where that is 0; a map without cells has amplitude 0 and no null. Keys of ``groups`` (all that
+    should be looked at) without pairs are not applicable: measurable is false and passed null, which is no defect.
+    """
+    g = list(keys)
+    x = staged(pairs.select(*g, id_, "ra", "dec", "dra", "ddec"), "residuals")
+    cells = staged(stats.sky_map(x, g, least=least), "cells")
+    a = cells.groupBy(*g).agg(F.percentile(F.hypot("dra", "ddec"), 0.9).alias("_amp"), F.count(F.lit(1)).alias("_cells"), F.percentile("n", 0.5).alias("_per_cell"))
+    spread = offset.mad_std(x, g, "dra", "ddec", count="n_stars").select(*g, "n_stars", F.hypot("dra_mad", "ddec_mad").alias("resid_rms"))
+    tail = x.groupBy(*g).agg(F.avg((F.hypot("dra", "ddec") > far).cast("int")).alias("frac_far"))
+    null = stats.shuffled_null(x, g, id_, least=least).select(*g, F.col("null_median").alias("null_amp"), "p_value")
+    out = spread.join(tail, g).join(a, g, "left").join(null, g, "left").withColumn("measurable", F.lit(True))
+    if groups is not None:
+        out = groups.select(*g).distinct().join(out, g, "left")
+    seen = F.coalesce("measurable", F.lit(False))
+    amp, n, per = F.when(seen, F.coalesce("_amp", F.lit(0.0))), F.when(seen, F.coalesce("_cells", F.lit(0))), F.when(seen, F.coalesce("_per_cell", F.lit(0.0)))
+    return out.select(
+        *g,
+        "n_stars",
+        "resid_rms",
+        "frac_far",
+        amp.alias("amp90"),
+        n.cast("long").alias("cells"),
+        per.alias("stars_per_cell"),
+        (F.col("resid_rms") / F.sqrt(F.greatest(per, F.lit(1.0)))).alias("cell_sem"),
+        "null_amp",
+        F.when(F.col("null_amp") > 0, amp / F.col("null_amp")).when(F.col("null_amp").isNotNull(), F.lit(float("inf"))).alias("significance"),
+        "p_value",
+        F.coalesce(amp > limit, F.lit(False)).alias("red_flag"),
+        seen.alias("measurable"),
+        (n >= least).alias("passed"),
+    )
 
 
 def photometry(checks: DataFrame) -> DataFrame:

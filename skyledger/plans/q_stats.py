@@ -85,10 +85,23 @@ def offsets(spark, d):
     return p.select(*[F.col(f"a_{c}").alias(c) for c in ("field", "detector", "obs", "mag", "flux", "flux_err", "id", "ra", "dec")], F.col("b_mag").alias("bmag"), "dra", "ddec")
 
 
-MAP = f"""{OFFS}, d0 AS (SELECT obs, median(dec) AS d0 FROM o GROUP BY obs), x AS (SELECT o.*, ra * cos(radians(d0)) AS px FROM o JOIN d0 USING (obs)),
-box AS (SELECT obs, min(px) AS x0, max(px) AS x1, min(dec) AS y0, max(dec) AS y1 FROM x GROUP BY obs),
-c AS (SELECT obs, least(floor((px - x0) / (x1 - x0) * 12), 11)::INT AS i, least(floor((dec - y0) / (y1 - y0) * 12), 11)::INT AS j, dra, ddec FROM x JOIN box USING (obs)),
-cells AS (SELECT obs, i, j, count(*) AS n, median(dra) AS dra, median(ddec) AS ddec FROM c GROUP BY ALL HAVING count(*) >= 3)"""
+def map_ctes(key: str) -> str:
+    return f"""{OFFS}, d0 AS (SELECT {key}, median(dec) AS d0 FROM o GROUP BY {key}), x AS (SELECT o.*, ra * cos(radians(d0)) AS px FROM o JOIN d0 USING ({key})),
+box AS (SELECT {key}, min(px) AS x0, max(px) AS x1, min(dec) AS y0, max(dec) AS y1 FROM x GROUP BY {key}),
+c AS (SELECT {key}, least(floor((px - x0) / (x1 - x0) * 12), 11)::INT AS i, least(floor((dec - y0) / (y1 - y0) * 12), 11)::INT AS j, dra, ddec FROM x JOIN box USING ({key})),
+cells AS (SELECT {key}, i, j, count(*) AS n, median(dra) AS dra, median(ddec) AS ddec FROM c GROUP BY ALL HAVING count(*) >= 3)"""
+
+
+def null_ctes(key: str) -> str:
+    """The real map's amplitude and those of twenty shuffled ones, after map_ctes."""
+    return f"""real AS (SELECT {key}, quantile_cont(sqrt(dra * dra + ddec * ddec), 0.9) AS amp90 FROM cells GROUP BY {key}), k AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY md5(id::VARCHAR), id) - 1 AS r, count(*) OVER (PARTITION BY {key}) AS m FROM o),
+v AS (SELECT {key}, p, dra, ddec, (r * [{", ".join(str(p) for p in stats._PRIMES)}][p % {len(stats._PRIMES)} + 1] + p * floor(m / 20)::BIGINT + 1) % m AS r FROM k, unnest(range(20)) AS u(p)),
+j AS (SELECT v.{key}, p, ra, dec, v.dra, v.ddec FROM v JOIN k ON v.{key} = k.{key} AND v.r = k.r), e0 AS (SELECT {key}, p, median(dec) AS d0 FROM j GROUP BY ALL), x2 AS (SELECT j.*, ra * cos(radians(d0)) AS px FROM j JOIN e0 USING ({key}, p)),
+box2 AS (SELECT {key}, p, min(px) AS x0, max(px) AS x1, min(dec) AS y0, max(dec) AS y1 FROM x2 GROUP BY ALL), c2 AS (SELECT {key}, p, least(floor((px - x0) / (x1 - x0) * 12), 11)::INT AS i, least(floor((dec - y0) / (y1 - y0) * 12), 11)::INT AS j, dra, ddec FROM x2 JOIN box2 USING ({key}, p)),
+cells2 AS (SELECT {key}, p, i, j, median(dra) AS dra, median(ddec) AS ddec FROM c2 GROUP BY ALL HAVING count(*) >= 3), n AS (SELECT {key}, p, quantile_cont(sqrt(dra * dra + ddec * ddec), 0.9) AS a FROM cells2 GROUP BY ALL)"""
+
+
+MAP = map_ctes("obs")
 
 
 @query("binned_median_2d", f"{MAP} SELECT obs, i, j, n, round(dra, 5) AS dra, round(ddec, 5) AS ddec FROM cells")
@@ -103,11 +116,7 @@ def amp90(spark, d):
 
 @query(
     "shuffled_null",
-    f"""{MAP}, real AS (SELECT obs, quantile_cont(sqrt(dra * dra + ddec * ddec), 0.9) AS amp90 FROM cells GROUP BY obs), k AS (SELECT *, row_number() OVER (PARTITION BY obs ORDER BY md5(id::VARCHAR), id) - 1 AS r, count(*) OVER (PARTITION BY obs) AS m FROM o),
-v AS (SELECT obs, p, dra, ddec, (r * [{", ".join(str(p) for p in stats._PRIMES)}][p % {len(stats._PRIMES)} + 1] + p * floor(m / 20)::BIGINT + 1) % m AS r FROM k, unnest(range(20)) AS u(p)),
-j AS (SELECT v.obs, p, ra, dec, v.dra, v.ddec FROM v JOIN k ON v.obs = k.obs AND v.r = k.r), e0 AS (SELECT obs, p, median(dec) AS d0 FROM j GROUP BY ALL), x2 AS (SELECT j.*, ra * cos(radians(d0)) AS px FROM j JOIN e0 USING (obs, p)),
-box2 AS (SELECT obs, p, min(px) AS x0, max(px) AS x1, min(dec) AS y0, max(dec) AS y1 FROM x2 GROUP BY ALL), c2 AS (SELECT obs, p, least(floor((px - x0) / (x1 - x0) * 12), 11)::INT AS i, least(floor((dec - y0) / (y1 - y0) * 12), 11)::INT AS j, dra, ddec FROM x2 JOIN box2 USING (obs, p)),
-cells2 AS (SELECT obs, p, i, j, median(dra) AS dra, median(ddec) AS ddec FROM c2 GROUP BY ALL HAVING count(*) >= 3), n AS (SELECT obs, p, quantile_cont(sqrt(dra * dra + ddec * ddec), 0.9) AS a FROM cells2 GROUP BY ALL)
+    f"""{MAP}, {null_ctes("obs")}
 SELECT obs, round(amp90, 5) AS amp90, round(median(a), 5) AS null_median, round((count(*) FILTER (a >= amp90) + 1) / 21, 6) AS p_value FROM n JOIN real USING (obs) GROUP BY obs, amp90""",
 )
 def shuffled_null(spark, d):

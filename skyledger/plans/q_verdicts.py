@@ -9,7 +9,7 @@ from ..operators import pixels as P
 from ..operators import verdicts as V
 from .q_match import AB, ISOLATED, OFF, near, refine
 from .q_pixels import APERTURES, CENTROIDS, PIX, box, pix
-from .q_stats import BINS, OFFS, QUAL, STAR, exposures, fit_rounds, offsets, quality
+from .q_stats import BINS, QUAL, STAR, exposures, fit_rounds, map_ctes, null_ctes, offsets, quality
 from .registry import query
 from .standins import DENSE_PIXELS, DENSE_REFERENCE, INVENTORY, MODULE_A, MODULE_B, REFERENCE, STARS
 
@@ -124,12 +124,18 @@ def stage_archive(spark, d):
 
 @query(
     "stage_distortion",
-    f"""{OFFS}, d0 AS (SELECT field, median(dec) AS d0 FROM o GROUP BY field), x AS (SELECT o.*, ra * cos(radians(d0)) AS px FROM o JOIN d0 USING (field)), box AS (SELECT field, min(px) AS x0, max(px) AS x1, min(dec) AS y0, max(dec) AS y1 FROM x GROUP BY field),
-c AS (SELECT field, least(floor((px - x0) / (x1 - x0) * 12), 11)::INT AS i, least(floor((dec - y0) / (y1 - y0) * 12), 11)::INT AS j, dra, ddec FROM x JOIN box USING (field)), cells AS (SELECT field, i, j, median(dra) AS dra, median(ddec) AS ddec FROM c GROUP BY ALL HAVING count(*) >= 3)
-SELECT field, round(quantile_cont(sqrt(dra * dra + ddec * ddec), 0.9), 5) AS amp90, count(*) AS cells, quantile_cont(sqrt(dra * dra + ddec * ddec), 0.9) > 15 AS red_flag, true AS passed FROM cells GROUP BY field""",
+    f"""{map_ctes("field")}, {null_ctes("field")}, far AS (SELECT field, count(*) AS n_stars, {offset.MAD} * sqrt(pow(mad(dra), 2) + pow(mad(ddec), 2)) AS rms, avg((sqrt(dra * dra + ddec * ddec) > 20)::INT) AS frac_far FROM o GROUP BY field),
+per AS (SELECT field, count(*) AS cells, median(n)::DOUBLE AS stars_per_cell FROM cells GROUP BY field), nulls AS (SELECT field, median(a) AS null_amp, (count(*) FILTER (a >= amp90) + 1) / 21 AS p_value FROM n JOIN real USING (field) GROUP BY field),
+every AS (SELECT DISTINCT field FROM ({STARS.sql}))
+SELECT field, n_stars, round(rms, 5) AS resid_rms, round(frac_far, 6) AS frac_far, CASE WHEN n_stars > 0 THEN round(coalesce(amp90, 0), 5) END AS amp90, CASE WHEN n_stars > 0 THEN coalesce(cells, 0) END AS cells, CASE WHEN n_stars > 0 THEN coalesce(stars_per_cell, 0) END AS stars_per_cell,
+round(rms / sqrt(greatest(coalesce(stars_per_cell, 0), 1)), 5) AS cell_sem, round(null_amp, 5) AS null_amp, CASE WHEN null_amp > 0 THEN round(amp90 / null_amp, 5) WHEN null_amp = 0 THEN 'inf'::DOUBLE END AS significance, round(p_value, 6) AS p_value,
+coalesce(amp90, 0) > 15 AS red_flag, n_stars IS NOT NULL AS measurable, CASE WHEN n_stars > 0 THEN coalesce(cells, 0) >= 3 END AS passed
+FROM every LEFT JOIN far USING (field) LEFT JOIN per USING (field) LEFT JOIN real USING (field) LEFT JOIN nulls USING (field)""",
 )
 def stage_distortion(spark, d):
-    return V.distortion(offsets(spark, d), ["field"]).withColumn("amp90", F.round("amp90", 5))
+    x = V.distortion(offsets(spark, d), ["field"], STARS.df(spark, d))
+    rounded = {c: F.round(c, 5) for c in ("resid_rms", "amp90", "cell_sem", "null_amp", "significance")}
+    return x.withColumns({**rounded, "frac_far": F.round("frac_far", 6), "p_value": F.round("p_value", 6)})
 
 
 #: Pixels with a round star of scale 1.2 near each node of a lattice 14 apart, over the noise that the prices are.

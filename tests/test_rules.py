@@ -1,10 +1,11 @@
 """Edge cases of filters, file choices and gates."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from skyledger.functions import scalars
-from skyledger.operators import gates, inventory, offset, select, stats
+from skyledger.operators import gates, inventory, offset, select, stats, verdicts
 from skyledger.sources import io
 
 
@@ -153,3 +154,23 @@ def test_staged_metrics_keep_other_stages(spark, tmp_path):
     io.write_stage(spark.createDataFrame([("o", 1, "a", 1.0), ("o", 2, "a", 2.0)], schema), path)
     io.write_stage(spark.createDataFrame([("o", 2, "a", 3.0)], schema), path)
     assert sorted((r.stage, r.value) for r in spark.read.parquet(path).collect()) == [(1, 1.0), (2, 3.0)]
+
+
+def test_distortion_is_measured_against_its_null_and_absence_is_no_defect(spark):
+    n = 24 * 24
+    star = lambda f, i: (f, i, 10 + (i % 24) / 1000, (i // 24) / 1000)
+    rows = [(*star("swirl", i), (i % 24 - 11.5) * 2.0, (i // 24 - 11.5) * 2.0) for i in range(n)]
+    rows += [(*star("flat", i), *xy) for i, xy in enumerate(np.random.default_rng(3).normal(0, 3, (n, 2)).tolist())]
+    rows += [(*star("few", i), 1.0, 0.0) for i in range(4)]
+    pairs = spark.createDataFrame(rows, "field string, id int, ra double, dec double, dra double, ddec double")
+    groups = spark.createDataFrame([("swirl",), ("flat",), ("few",), ("none",), ("none",)], "field string")
+    got = {r.field: r for r in verdicts.distortion(pairs, ["field"], groups).collect()}
+    swirl, middle = got["swirl"], 4 * np.arange(12) - 22  # each cell's median is that of two columns and two rows
+    assert len(got) == 4 and swirl.red_flag and swirl.passed and swirl.p_value == 1 / 21
+    assert swirl.amp90 == pytest.approx(np.percentile(np.hypot(*np.meshgrid(middle, middle)), 90))
+    assert swirl.significance == pytest.approx(swirl.amp90 / swirl.null_amp) and swirl.significance > 1
+    assert got["flat"].passed and not got["flat"].red_flag and got["flat"].p_value > 1 / 21 and got["flat"].cells == 144 and got["flat"].stars_per_cell == 4
+    assert (got["few"].cells, got["few"].amp90, got["few"].passed, got["few"].measurable, got["few"].null_amp) == (0, 0.0, False, True, None)
+    none = got["none"]
+    assert (none.n_stars, none.amp90, none.passed, none.measurable, none.red_flag) == (None, None, None, False, False)
+    assert verdicts.distortion(pairs.limit(0), ["field"]).count() == 0
