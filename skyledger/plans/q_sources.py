@@ -131,10 +131,11 @@ def header_store(spark, d):
 
 
 def title_lines(spark, d):
-    k, two = F.col("o_orderkey"), lambda c, n: F.lpad(c.cast("string"), n, "0")
-    obs = F.concat(F.lit("jw"), two(F.col("o_custkey"), 5), F.lit("-o"), two(k % 1000, 3))
-    good = F.concat("o_orderpriority", F.when(k % 2 == 0, " \u2014 ").otherwise(" - "), obs, F.when(k % 5 == 0, " (MIRI) old").otherwise(" (NIRCam)"))
-    line = F.when(k % 3 == 0, good).when(k % 3 == 1, F.concat(F.lit(" renamed: "), obs, F.lit(" (NIRCam)"))).otherwise("jw1 other text")
+    """Program numbers have five digits at least in titles; lines that do not parse count as alike with exactly five."""
+    k, program = F.col("o_orderkey"), F.col("o_custkey")
+    obs = lambda p: F.concat(F.lit("jw"), F.format_string("%05d", p), F.lit("-o"), F.format_string("%03d", k % 1000))
+    good = F.concat("o_orderpriority", F.when(k % 2 == 0, " \u2014 ").otherwise(" - "), obs(program), F.when(k % 5 == 0, " (MIRI) old").otherwise(" (NIRCam)"))
+    line = F.when(k % 3 == 0, good).when(k % 3 == 1, F.concat(F.lit(" renamed: "), obs(program % 100_000), F.lit(" (NIRCam)"))).otherwise("jw1 other text")
     return table(spark, d, "orders").select(k.alias("k"), line.alias("line"))
 
 

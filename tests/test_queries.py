@@ -48,6 +48,16 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     assert bag([tuple(r) for r in got.collect()], got.columns) == bag(want.fetchall(), columns)
 
 
+@pytest.mark.parametrize("name", ["title_lines", "odd_titles"])
+def test_titles_of_programs_with_over_five_digits(spark, sf_dir, tmp_path, name):
+    con = duckdb.connect()
+    con.execute(f"copy (select * replace (o_custkey + 899990 as o_custkey) from '{sf_dir}/orders.parquet') to '{tmp_path}/orders.parquet'")
+    con.execute(f"create view orders as select * from '{tmp_path}/orders.parquet'")
+    got, want = plans.queries()[name](spark, str(tmp_path)), con.execute(plans.oracle_sql()[name])
+    columns = [d[0] for d in want.description]
+    assert bag([tuple(r) for r in got.collect()], got.columns) == bag(want.fetchall(), columns)
+
+
 def test_queries_load_without_a_session():
     import subprocess
     import sys
