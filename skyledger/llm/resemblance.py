@@ -7,7 +7,8 @@ same for all texts. The order puts common shingles last; it changes the cost onl
 with one of them. Then pairs of what does not hang together yet leave the join only if their parities allow it: sets that
 differ in d shingles differ in at most d parity bits, so no pair is lost by that. The texts of a crowded shingle are dealt to
 parts: pairs of one part come first, then pairs of two parts, each two in a task of their own, without what hangs together
-by then. Every pair is checked on its whole sets before it links.
+by then. Every pair is checked on its whole sets before it links. Sets of long texts are large, and parities of a fixed length
+say little about them, so pairs are sieved first by parities that grow with the set: whole sets meet for few pairs that do not link.
 """
 
 from __future__ import annotations
@@ -139,24 +140,65 @@ def prefixes(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "h long, key long, n int, at int, salt int")
 
 
-def checked(pairs: DataFrame, docs: DataFrame, least: DataFrame, words: int) -> DataFrame:
-    """Those pairs (a, b) of keys whose sets are alike enough. Sets are made for the keys of pairs only."""
+def fine_parity(own: np.ndarray) -> bytes:
+    """As parity, with at least as many classes as the set has shingles: a power of two, so that a longer one can be folded."""
+    bits = max(64, 1 << (len(own) - 1).bit_length()) if len(own) else 64
+    return np.packbits((np.bincount(((own >> np.uint64(24)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def parities_apart(a: bytes, b: bytes) -> int:
+    """In how many bits two fine parities differ, the longer one folded: never more than shingles are in one set only."""
+    x, y = (np.frombuffer(p, np.uint8) for p in (a, b))
+    width = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(p.reshape(-1, width), axis=0) for p in (x, y))
+    return int(np.unpackbits(x ^ y).sum())
+
+
+def texts_of(pairs: DataFrame, docs: DataFrame, least: DataFrame) -> DataFrame:
+    """The texts that the keys of pairs (a, b) name, with some more where doc_id is null or repeated."""
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    ids = stage(least.join(needed, "key").select(F.col("least").alias("_doc")).distinct(), "candidate-ids")
+    return docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi").select("text")
+
+
+def of_sets(texts: DataFrame, words: int, make, kind: pa.DataType, schema: str) -> DataFrame:
+    """(key, n, own) of the distinct shingle sets of texts, own as ``make`` gives it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 sets = [shingle_set(simhash.shingle_hashes(t.as_py(), words)) for t in batch.column(0).slice(lo, 64)]
-                rows = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([_signed([set_key(s) for s in sets]), rows], names=["key", "own"])
+                yield pa.RecordBatch.from_arrays([_signed([set_key(s) for s in sets]), pa.array([len(s) for s in sets], pa.int64()), pa.array([make(s) for s in sets], kind)], names=["key", "n", "own"])
 
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    ids = stage(least.join(needed, "key").select(F.col("least").alias("_doc")).distinct(), "candidate-ids")
-    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
-    sets = stage(texts.select("text").mapInArrow(run, "key long, own array<long>").dropDuplicates(["key"]), "candidate-sets")
-    a, b = (sets.select(F.col("key").alias(k), F.col("own").alias(f"own_{k}")) for k in ("a", "b"))
+    return texts.mapInArrow(run, f"key long, n long, own {schema}").dropDuplicates(["key"])
+
+
+def joined(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs with both sides' n and own."""
+    a, b = (sets.select(F.col("key").alias(k), F.col("n").alias(f"n_{k}"), F.col("own").alias(f"own_{k}")) for k in ("a", "b"))
+    return pairs.join(a, "a").join(b, "b")
+
+
+def sieved(pairs: DataFrame, docs: DataFrame, least: DataFrame, words: int) -> DataFrame:
+    """Those pairs (a, b) that their fine parities allow; no pair that is alike enough is lost."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n_a, n_b, own_a, own_b = (c.to_pylist() for c in batch.columns)
+            keep = [(SHARE + OF) * parities_apart(x, y) <= (OF - SHARE) * (m + n) for m, n, x, y in zip(n_a, n_b, own_a, own_b)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    sets = stage(of_sets(texts_of(pairs, docs, least), words, fine_parity, pa.binary(), "binary"), "candidate-parities")
+    return joined(pairs, sets).select("a", "b", "n_a", "n_b", "own_a", "own_b").mapInArrow(run, "a long, b long")
+
+
+def checked(pairs: DataFrame, docs: DataFrame, least: DataFrame, words: int) -> DataFrame:
+    """Those pairs (a, b) of keys whose sets are alike enough. Sets are made for the keys of pairs that the sieve leaves."""
+    close = stage(sieved(pairs, docs, least, words), "close-pairs")
+    sets = stage(of_sets(texts_of(close, docs, least), words, lambda s: s.view(np.int64), pa.list_(pa.int64()), "array<long>"), "candidate-sets")
     both = F.size(F.array_intersect("own_a", "own_b"))
-    joined = pairs.join(a, "a").join(b, "b").select("a", "b", both.alias("both"), (F.size("own_a") + F.size("own_b")).alias("all"))
-    return joined.where(OF * F.col("both") >= SHARE * (F.col("all") - F.col("both"))).select("a", "b")
+    sized = joined(close, sets).select("a", "b", both.alias("both"), (F.col("n_a") + F.col("n_b")).alias("all"))
+    return sized.where(OF * F.col("both") >= SHARE * (F.col("all") - F.col("both"))).select("a", "b")
 
 
 def regrouped(shared: DataFrame, roots: DataFrame, least: DataFrame) -> DataFrame:
@@ -230,9 +272,9 @@ def alike_groups(docs: DataFrame, words: int = 5) -> DataFrame:
         rows = regrouped(rows.where("parts > 1"), connected_components(links), least)
         links = links.unionByName(checked(pairs_across(rows), docs, least, words))
     roots = connected_components(links)
-    joined = least.join(roots, least.key == roots.node, "left").select("key", F.coalesce("root", "key").alias("root"), "least")
-    ids = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_key = joined.join(ids, "root").select("key", "component_id")
+    rooted = least.join(roots, least.key == roots.node, "left").select("key", F.coalesce("root", "key").alias("root"), "least")
+    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_key = rooted.join(ids, "root").select("key", "component_id")
     return own.join(by_key, "key").select("doc_id", "component_id")
 
 

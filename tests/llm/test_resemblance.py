@@ -94,3 +94,33 @@ def test_crowded_shingles_are_compared_part_by_part(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {r.doc_id for r in resemblance.one_of_each(docs).collect()}
     assert got == kept_by_all_pairs(rows) and calls and calls[0] > 1
+
+
+def test_whole_sets_are_made_for_pairs_that_link_only(spark, monkeypatch):
+    """Long texts of common blocks share first shingles, and 512 bits of parity allow all their pairs."""
+    rng = random.Random(5)
+    blocks = [" ".join(rng.choice("abcdefghij") * 2 + str(rng.randrange(10**6)) for _ in range(100)) for _ in range(40)]
+    texts = [" ".join(rng.sample(blocks, 24)) for _ in range(24)]
+    texts += [texts[3] + " one more word", texts[7] + " another word"]
+    made, stage = {}, resemblance.stage
+
+    def counted(df, name, *more):
+        out = stage(df, name, *more)
+        made[name] = made.get(name, 0) + (out.count() if name in ("candidate-sets", "candidate-parities") else 0)
+        return out
+
+    monkeypatch.setattr(resemblance, "stage", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in resemblance.alike_groups(docs).collect()}
+    assert got == {i: {24: 3, 25: 7}.get(i, i) for i in range(26)}
+    assert made["candidate-parities"] > 20 and made["candidate-sets"] <= 8
+
+
+def test_fine_parities_never_tell_more_than_sets_differ():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 63, 64, 65, 900, 1100, 5000):
+        pool = np.unique(rng.integers(0, 1 << 63, 3 * n + 40, dtype=np.uint64))
+        for other in (n, n + 1, n + n // 5, 2 * n):
+            a, b = np.sort(pool[:n]), np.sort(pool[n // 9 : n // 9 + other])
+            apart = resemblance.parities_apart(resemblance.fine_parity(a), resemblance.fine_parity(b))
+            assert apart <= len(np.setxor1d(a, b))
