@@ -33,22 +33,23 @@ def in_cells(df: DataFrame, boxes: DataFrame, keys: Sequence[str], n: int, margi
     return x.drop("ra0", "ra1", "dec0", "dec1")
 
 
-def cell_offsets(stars: DataFrame, reference: DataFrame, keys: Sequence[str], n: int, least: int, floor: float, pairs_least: int | None = None) -> DataFrame:
+def cell_offsets(stars: DataFrame, reference: DataFrame, keys: Sequence[str], n: int, least: int, floor: float, pairs_least: int | None = None, boxes: DataFrame | None = None) -> DataFrame:
     """One row for each cell with at least ``least`` stars: its offset, or why it is dropped.
 
     The reference is taken from the cell and 2 arcseconds around it; it needs ``least`` rows as well. A peak counts if
-    its ratio reaches ``floor`` and it rests on ``pairs_least`` pairs (default: ``least``).
+    its ratio reaches ``floor`` and it rests on ``pairs_least`` pairs (default: ``least``). Only groups of ``boxes`` count,
+    the extents of all groups by default.
     """
     g = [*keys, "i", "j"]
-    boxes = select.boxes(match.finite(stars, "ra", "dec"), keys)
+    if boxes is None:
+        boxes = select.boxes(match.finite(stars, "ra", "dec"), keys)
     a = staged(in_cells(stars.select(*keys, "id", "ra", "dec"), boxes, keys, n), "cell-stars")
     b = staged(in_cells(reference.select(*keys, "id", "ra", "dec"), boxes, keys, n, 2.0 / 3600), "cell-reference")
     size = a.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
     size = size.join(b.groupBy(*g).agg(F.count(F.lit(1)).alias("n_ref")), g, "left").fillna(0, ["n_ref"])
     size = staged(size, "cell-sizes")
     full = size.where(F.col("n_ref") >= least).select(*g)
-    pairs = offset.pair_offsets(match.radius_join(a.join(full, g), b.join(full, g), 2.5, g)).select(*[F.col(f"a_{k}").alias(k) for k in g], "dra", "ddec")
-    x = size.join(offset.xcorr(pairs, g).drop("reason"), g, "left")
+    x = size.join(offset.bulk_offset(a.join(full, g), b.join(full, g), g).drop("reason"), g, "left")
     ok = F.coalesce((F.col("peak_ratio") >= floor) & (F.col("npairs") >= (pairs_least or least)), F.lit(False))
     reason = F.when(F.col("n_ref") < least, "too few reference stars").when(~ok, "no clear peak")
     x = x.withColumn("reason", reason)
@@ -57,15 +58,23 @@ def cell_offsets(stars: DataFrame, reference: DataFrame, keys: Sequence[str], n:
 
 
 def adaptive_grid(stars: DataFrame, reference: DataFrame, keys: Sequence[str], grids: Sequence[tuple[int, int, float]] = GRIDS) -> DataFrame:
-    """cell_offsets of the first grid that gives any cell; without any, the last grid's dropped cells and grid 0."""
-    all_ = None
+    """cell_offsets of the first grid that gives any cell; without any, the last grid's dropped cells and grid 0.
+
+    A grid is laid over the groups only that the grids before gave no cell.
+    """
+    k, out = list(keys), None
+    boxes = staged(select.boxes(match.finite(stars, "ra", "dec"), k), "boxes")
     for rank, (n, least, floor) in enumerate(grids):
-        c = cell_offsets(stars, reference, keys, n, least, floor).withColumns({"grid": F.lit(n), "_rank": F.lit(rank)})
-        all_ = c if all_ is None else all_.unionByName(c)
-    all_ = staged(all_, "grids")
-    best = all_.groupBy(*keys).agg(F.min(F.when(F.col("reason").isNull(), F.col("_rank"))).alias("_best"))
-    x = all_.join(best, list(keys)).where(F.col("_rank") == F.coalesce("_best", F.lit(len(grids) - 1)))
-    return x.withColumn("grid", F.when(F.col("_best").isNull(), 0).otherwise(F.col("grid"))).drop("_rank", "_best")
+        cells = staged(cell_offsets(stars, reference, k, n, least, floor, boxes=boxes), "grid")
+        given = cells.where("reason is null").select(*k).distinct()
+        part = cells.join(given, k, "left_semi").withColumn("grid", F.lit(n))
+        out = part if out is None else out.unionByName(part)
+        boxes = staged(boxes.join(given, k, "left_anti"), "boxes")
+        if rank == len(grids) - 1:
+            out = out.unionByName(cells.join(given, k, "left_anti").withColumn("grid", F.lit(0)))
+        elif boxes.isEmpty():
+            break
+    return staged(out, "grids")
 
 
 def consistency(cells: DataFrame, keys: Sequence[str]) -> DataFrame:

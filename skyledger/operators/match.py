@@ -63,24 +63,25 @@ def crowded_cells(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
     return None if cells.isEmpty() else cells
 
 
-def radius_join(a: DataFrame, b: DataFrame, radius: float, keys: Sequence[str] = (), part: int = PART) -> DataFrame:
-    """Pairs at most ``radius`` arcseconds apart with equal ``keys``.
-
-    Columns of a are named a_<column>, those of b b_<column>; ``sep`` is the distance. Declination bands are as high as the
-    radius, and each band has its own cells in right ascension, as wide as the radius is there: rows near a pole make
-    the cells of no other band wider. b takes the 3 x 3 cells around each of its rows, so it should be the smaller side.
+def neighbours(a: DataFrame, b: DataFrame, radius: float, keys: Sequence[str] = (), part: int = PART, spread: float = 0.0, wide: int = 1) -> DataFrame:
+    """Pairs with equal ``keys``, under the names that radius_join gives; it has all pairs within ``radius``, and others.
 
-    A cell with over ``part`` rows of a side is cut into parts of about so many rows, by a hash of the rows, and each pair
-    of a part of a with a part of b is compared by itself: no comparison is made twice or left out, and about part * part of
-    them share a key, however crowded the cell (rows equal in all plain columns stay in one part).
+    It also has all pairs at most ``radius`` apart in declination and radius / cos(dec) in right ascension, for any dec up to
+    ``spread`` arcseconds from the first's. Cells are ``wide`` radii wide and b takes those that its surroundings touch: with
+    many, b is repeated less and more pairs are looked at.
     """
     a, b = finite(a, "ra", "dec"), finite(b, "ra", "dec")
     height = radius / ARCSEC * 1.0001
+    tall = height * wide
+
+    def span(band: Column, degrees: float) -> Column:
+        """The most degrees of right ascension that so many degrees may be in a band."""
+        far = F.least(F.greatest(F.abs(band), F.abs(band + 1)) * tall + 2 * height + spread / ARCSEC, F.lit(90.0))
+        half = F.asin(F.least(F.lit(1.0), math.sin(math.radians(degrees / 2)) / F.greatest(F.cos(F.radians(far)), F.lit(1e-12))))
+        return F.degrees(half) * 2
 
     def cells(band: Column) -> Column:
-        far = F.least(F.greatest(F.abs(band), F.abs(band + 1)) * height + 2 * height, F.lit(90.0))
-        half = F.asin(F.least(F.lit(1.0), math.sin(math.radians(height / 2)) / F.greatest(F.cos(F.radians(far)), F.lit(1e-12))))
-        return F.greatest(F.lit(1), F.floor(360.0 / (F.degrees(half) * 2)).cast("long"))
+        return F.greatest(F.lit(1), F.floor(360.0 / span(band, tall)).cast("long"))
 
     def column(ra: Column, n: Column) -> Column:
         return F.least(F.floor(F.pmod(ra, F.lit(360.0)) / 360.0 * n).cast("long"), n - 1)
@@ -97,11 +98,14 @@ def radius_join(a: DataFrame, b: DataFrame, radius: float, keys: Sequence[str] =
         deal = F.explode(F.sequence(F.lit(0), F.coalesce(cut[others], F.lit(1)) - 1)).alias(other)
         return x.select(*[df[c] for c in df.columns], F.pmod(F.xxhash64(*[df[c] for c in plain]), F.coalesce(cut[mine], F.lit(1)).cast("long")).cast("int").alias(own), deal)
 
-    band = F.floor(F.col("dec") / height).cast("long")
-    left = a.select(*[F.col(c).alias(f"a_{c}") for c in a.columns], band.alias("_by")).withColumn("_bx", column(F.col("a_ra"), cells(F.col("_by"))))
-    right = b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns], F.explode(F.array(*[band + j for j in (-1, 0, 1)])).alias("_by"))
-    right = right.withColumn("_n", cells(F.col("_by"))).withColumn("_x", column(F.col("b_ra"), F.col("_n")))
-    right = right.withColumn("_bx", F.explode(F.array_distinct(F.array(*[F.pmod(F.col("_x") + i, F.col("_n")) for i in (-1, 0, 1)])))).drop("_n", "_x")
+    band = lambda dec: F.floor(dec / tall).cast("long")
+    left = a.select(*[F.col(c).alias(f"a_{c}") for c in a.columns], band(F.col("dec")).alias("_by")).withColumn("_bx", column(F.col("a_ra"), cells(F.col("_by"))))
+    right = b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns], F.explode(F.sequence(band(F.col("dec") - height), band(F.col("dec") + height))).alias("_by"))
+    right = right.withColumns({"_n": cells(F.col("_by")), "_w": span(F.col("_by"), height)})
+    place = lambda ra: F.floor(ra / 360.0 * F.col("_n")).cast("long")
+    turn = F.pmod(F.col("b_ra"), F.lit(360.0))
+    touched = F.transform(F.sequence(place(turn - F.col("_w")), place(turn + F.col("_w"))), lambda x: F.pmod(x, F.col("_n")))
+    right = right.withColumn("_bx", F.explode(F.array_distinct(touched))).drop("_n", "_w")
     cut = crowded_cells(left, right, [(f"a_{k}", f"b_{k}") for k in keys], part)
     extra = ["_bx", "_by"]
     if cut is not None:
@@ -112,8 +116,22 @@ def radius_join(a: DataFrame, b: DataFrame, radius: float, keys: Sequence[str] =
         on = on & (left[f"a_{k}"] == right[f"b_{k}"])
     for c in extra:
         on = on & (left[c] == right[c])
+    return left.join(right, on).drop(*extra)
+
+
+def radius_join(a: DataFrame, b: DataFrame, radius: float, keys: Sequence[str] = (), part: int = PART) -> DataFrame:
+    """Pairs at most ``radius`` arcseconds apart with equal ``keys``.
+
+    Columns of a are named a_<column>, those of b b_<column>; ``sep`` is the distance. Declination bands are as high as the
+    radius, and each band has its own cells in right ascension, as wide as the radius is there: rows near a pole make
+    the cells of no other band wider. b takes the 3 x 3 cells around each of its rows, so it should be the smaller side.
+
+    A cell with over ``part`` rows of a side is cut into parts of about so many rows, by a hash of the rows, and each pair
+    of a part of a with a part of b is compared by itself: no comparison is made twice or left out, and about part * part of
+    them share a key, however crowded the cell (rows equal in all plain columns stay in one part).
+    """
     sep = separation(F.col("a_ra"), F.col("a_dec"), F.col("b_ra"), F.col("b_dec"))
-    return left.join(right, on).drop(*extra).withColumn("sep", sep).where(F.col("sep") <= radius)
+    return neighbours(a, b, radius, keys, part).withColumn("sep", sep).where(F.col("sep") <= radius)
 
 
 def nearest(pairs: DataFrame, of: str, other: str, within: float | None = None, keys: Sequence[str] = ()) -> DataFrame:

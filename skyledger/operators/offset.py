@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -41,13 +41,14 @@ def pair_offsets(pairs: DataFrame) -> DataFrame:
     return pairs.withColumns({"dra": dra, "ddec": ddec})
 
 
-def xcorr(pairs: DataFrame, keys: Sequence[str] = (), maxsep: float = 2.5, bin_: float = 0.05, least: int = 30, rounds: int = 4, fewest: int = 5) -> DataFrame:
+def xcorr(pairs: DataFrame, keys: Sequence[str] = (), maxsep: float = 2.5, bin_: float = 0.05, least: int = 30, rounds: int = 4, fewest: int = 5, near: Callable[[DataFrame, float], DataFrame] | None = None) -> DataFrame:
     """Offset of two catalogues from the peak of the histogram of all pair offsets.
 
     pairs has dra and ddec in arcseconds (see pair_offsets). The peak is the fullest bin, the first by (i, j) on a
     tie; the background is the median of non-empty bins. The peak's centre is refined by up to ``rounds`` medians of
     pairs strictly within one bin of it, until fewer than ``fewest`` are there. Returns keys, dra, ddec, off (mas),
-    npairs, peak_ratio (infinite without background), reason; groups with fewer than ``least`` pairs have nulls.
+    npairs, peak_ratio (infinite without background), reason; groups with fewer than ``least`` pairs have nulls. ``near``
+    gives the pairs around a centre again (see pairs_around), else ``pairs`` is read twice.
     """
     g = list(keys) or ["_all"]
     p = (pairs if keys else pairs.withColumn("_all", F.lit(0))).select(*g, "dra", "ddec")
@@ -63,7 +64,8 @@ def xcorr(pairs: DataFrame, keys: Sequence[str] = (), maxsep: float = 2.5, bin_:
     )
     # The centre moves by less than a bin a round, so refinement needs no pair farther out. These few are written.
     reach = (rounds + 1) * bin_
-    core = p.join(centre, g).where((F.abs(F.col("dra") - F.col("cx")) < reach) & (F.abs(F.col("ddec") - F.col("cy")) < reach))
+    core = near(centre.select(*g, "cx", "cy"), reach) if near else p.join(centre, g)
+    core = core.where((F.abs(F.col("dra") - F.col("cx")) < reach) & (F.abs(F.col("ddec") - F.col("cy")) < reach))
     core = staged(core.select(*g, "dra", "ddec"), "core")
     held = [*g, "npairs", "top", "background", "cx", "cy", "moving"]
     most = quantiles.largest(core, g)
@@ -93,6 +95,32 @@ def xcorr(pairs: DataFrame, keys: Sequence[str] = (), maxsep: float = 2.5, bin_:
     return out if keys else out.drop("_all")
 
 
+def pairs_around(a: DataFrame, b: DataFrame, keys: Sequence[str], maxsep: float) -> Callable[[DataFrame, float], DataFrame]:
+    """For xcorr: those pairs within ``maxsep`` whose offset is near a group's centre (cx, cy), by a join of a moved there."""
+    g = list(keys)
+    a, b = (x.select(*g, "id", "ra", "dec") for x in (a, b))
+
+    def near(centre: DataFrame, reach: float) -> DataFrame:
+        moved = {"ra": F.col("ra") - F.col("cx") / match.ARCSEC / F.cos(F.radians("dec")), "dec": F.col("dec") - F.col("cy") / match.ARCSEC}
+        x = a.withColumns({"ra0": F.col("ra"), "dec0": F.col("dec")}).join(centre, g).withColumns(moved)
+        x = match.neighbours(x, b, reach, g, spread=maxsep, wide=4)
+        place = [F.col(c) for c in ("a_ra0", "a_dec0", "b_ra", "b_dec")]
+        dra, ddec = match.tangent_offsets(*place)
+        # The cheap comparisons go first.
+        x = x.where((F.abs(dra - F.col("a_cx")) < reach) & (F.abs(ddec - F.col("a_cy")) < reach)).where(match.separation(*place) <= maxsep)
+        return x.select(*[F.col(f"a_{k}").alias(k) for k in g], dra.alias("dra"), ddec.alias("ddec"), F.col("a_cx").alias("cx"), F.col("a_cy").alias("cy"))
+
+    return near
+
+
+def bulk_offset(a: DataFrame, b: DataFrame, keys: Sequence[str], maxsep: float = 2.5) -> DataFrame:
+    """xcorr of all pairs of two catalogues within ``maxsep`` with equal keys. The wide join is made once, for the histogram."""
+    g = list(keys)
+    a, b = (x.select(*g, "id", "ra", "dec") for x in (a, b))
+    pairs = pair_offsets(match.radius_join(a, b, maxsep, g)).select(*[F.col(f"a_{k}").alias(k) for k in g], "dra", "ddec")
+    return xcorr(pairs, g, maxsep, near=pairs_around(a, b, g, maxsep))
+
+
 def same_star_offset(matched: DataFrame, keys: Sequence[str] = (), least: int = 30, bulk: DataFrame | None = None, most_off: float = 100.0, least_ratio: float = 4.0) -> DataFrame:
     """Median offset and scatter of mutual matches (dra, ddec in arcseconds).
 
@@ -125,7 +153,8 @@ def isolated_bulk(stars: DataFrame, reference: DataFrame, keys: Sequence[str] =
     """
     g = list(keys)
     count = lambda df, name: df.groupBy(*g).agg(F.count(F.lit(1)).alias(name))
-    lone = match.isolated(stars, alone, g)
+    stars, reference = (x.select(*g, "id", "ra", "dec") for x in (stars, reference))
+    lone = staged(match.isolated(stars, alone, g), "isolated")
     pairs = match.radius_join(lone, reference, clear, g)
     clean = match.unambiguous(pairs, near, clear, [f"a_{k}" for k in g]).select(*[F.col(f"a_{k}").alias(k) for k in g], "a_ra", "a_dec", "b_ra", "b_dec")
     m = clean.groupBy(*g).agg(
