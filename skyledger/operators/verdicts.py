@@ -245,7 +245,8 @@ def field_audit(modules: DataFrame, bands: DataFrame, absolute: DataFrame, key:
 def whole_field(bulk: DataFrame, isolated: DataFrame, keys: Sequence[str], limit: float = 50.0) -> DataFrame:
     """Whole-field offset with the isolated one beside it; low confidence if they are over ``limit`` mas apart."""
     g = list(keys)
-    x = bulk.select(*g, "dra", "ddec", "off", "peak_ratio").join(isolated.select(*g, F.col("dra").alias("_x"), F.col("ddec").alias("_y")), g, "left")
+    bulk = staged(bulk.select(*g, "dra", "ddec", "off", "peak_ratio"), "bulk")
+    x = bulk.join(staged(isolated.select(*g, F.col("dra").alias("_x"), F.col("ddec").alias("_y")), "isolated-bulk"), g, "left")
     apart = F.hypot(F.col("dra") - F.col("_x"), F.col("ddec") - F.col("_y"))
     return x.select(*g, "off", "peak_ratio", apart.alias("apart"), F.coalesce(apart > limit, F.lit(False)).alias("low_confidence"))
 

@@ -234,7 +234,7 @@ SELECT tile, round(off, 4) AS off, round(ratio, 4) AS peak_ratio, round(apart, 4
 )
 def whole_field(spark, d):
     a, b = STARS.df(spark, d), REFERENCE.df(spark, d)
-    bulk = offset.xcorr(offset.pair_offsets(match.radius_join(a, b, 2.5, ["tile"])).select(F.col("a_tile").alias("tile"), "dra", "ddec"), ["tile"])
+    bulk = offset.bulk_offset(a, b, ["tile"])
     x = V.whole_field(bulk, offset.isolated_bulk(a, b, ["tile"]), ["tile"])
     return x.select("tile", *[F.round(c, 4).alias(c) for c in ("off", "peak_ratio", "apart")], "low_confidence")
 
